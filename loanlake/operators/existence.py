@@ -16,27 +16,33 @@ from pyspark.sql import functions as F
 
 
 def _parent_keys(parent: DataFrame, parent_key: str, alias: str) -> DataFrame:
-    # distinct() is a grouping with map-side partial aggregation, so a hot key is deduplicated
-    # before it is shuffled.
-    return (parent.select(F.col(parent_key).alias(alias))
-            .where(F.col(alias).isNotNull())
-            .distinct())
+    """Distinct parent keys, the NULL key included (it never matches an equi-join).
 
+    ``distinct()`` is a grouping with map-side partial aggregation, so a hot key is deduplicated
+    before it is shuffled. The same frame feeds the join and the scalar facts below, so Spark
+    reuses its exchange instead of aggregating the parent twice.
+    """
+    return parent.select(F.col(parent_key).alias(alias)).distinct()
+
+
+def _parent_stats(keys: DataFrame, alias: str) -> Column:
+    """Scalar subquery over the distinct keys: struct(n = distinct keys incl. NULL, nn = NULL present).
 
-def _parent_stats(parent: DataFrame, parent_key: str) -> Column:
-    """Scalar subquery: struct(n = row count, nn = NULL-key count) of the parent."""
-    return parent.select(F.struct(
+    ``n == 0`` exactly when the parent is empty; ``nn > 0`` exactly when it holds a NULL key.
+    """
+    return keys.select(F.struct(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(parent_key).isNull()).alias("nn"),
+        F.count_if(F.col(alias).isNull()).alias("nn"),
     )).scalar()
 
 
 def with_not_in_flag(left: DataFrame, left_key: Column, parent: DataFrame, parent_key: str,
                      flag_name: str) -> DataFrame:
     """Add ``flag_name = CASE WHEN left_key NOT IN (SELECT parent_key FROM parent) THEN TRUE ELSE FALSE``."""
-    keys = _parent_keys(parent, parent_key, "_p_key").withColumn("_p_hit", F.lit(True))
-    stats = _parent_stats(parent, parent_key)
-    joined = left.withColumn("_l_key", left_key).join(keys, F.col("_l_key") == F.col("_p_key"), "left")
+    keys = _parent_keys(parent, parent_key, "_p_key")
+    stats = _parent_stats(keys, "_p_key")
+    hits = keys.withColumn("_p_hit", F.lit(True))
+    joined = left.withColumn("_l_key", left_key).join(hits, F.col("_l_key") == F.col("_p_key"), "left")
     flag = (F.when(stats["n"] == 0, F.lit(True))
             .when(F.col("_l_key").isNull(), F.lit(False))
             .when(F.col("_p_hit").isNotNull(), F.lit(False))
@@ -48,7 +54,7 @@ def with_not_in_flag(left: DataFrame, left_key: Column, parent: DataFrame, paren
 def not_in_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows of ``child`` for which ``child_key NOT IN (SELECT parent_key FROM parent)`` is TRUE."""
     keys = _parent_keys(parent, parent_key, "_p_key")
-    stats = _parent_stats(parent, parent_key)
+    stats = _parent_stats(keys, "_p_key")
     k = F.col(child_key)
     # Parent empty -> every row; parent with a NULL key -> no row; else non-null keys without match.
     pre = child.where((stats["n"] == 0) | (k.isNotNull() & (stats["nn"] == 0)))

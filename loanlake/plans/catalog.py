@@ -6,14 +6,23 @@ them. Used by ``__spark_entry__.py`` and ``bench.py``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlake.operators import staging
+from loanlake.operators import quality, staging
+from loanlake.operators.upsert import append_new, dedup_latest, upsert
+from loanlake.plans import alerts
 from loanlake.plans import questions as Q
 from loanlake.plans import views as V
 from loanlake.plans.model import LendingModel
+from loanlake.streaming.incremental import next_mark, window_rows
+
+# Parameters of the registered incremental queries: the stored mark of the previous run and the
+# re-read overlap before it (the upsert makes the overlap idempotent).
+INCREMENTAL_MARK = dt.datetime(2024, 1, 15)
+INCREMENTAL_OVERLAP = dt.timedelta(days=1)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +82,80 @@ def _registry() -> dict[str, QueryFn]:
     r["q5_bi_ordered"] = lambda s, d: Q.q5_bi_ordered(V.bi_dataset(_m(s, d).mart))
     r["q5_exec_summary"] = lambda s, d: Q.q5_exec_summary(V.bi_dataset(_m(s, d).mart))
     r["portfolio_kpis"] = lambda s, d: Q.portfolio_kpis(_m(s, d).mart)
+
+    # data-quality suite over the raw tables
+    def raw4(s, d):
+        raw = _m(s, d).raw
+        return raw.customers, raw.loans, raw.installments, raw.payments
+
+    r["quality_customers"] = lambda s, d: quality.quality_customers(raw4(s, d)[0])
+    r["quality_loans"] = lambda s, d: quality.quality_loans(raw4(s, d)[1], raw4(s, d)[0])
+
+    def q_inst(s, d):
+        c, lo, i, p = raw4(s, d)
+        return quality.quality_installments(i, lo)
+
+    def q_pay(s, d):
+        c, lo, i, p = raw4(s, d)
+        return quality.quality_payments(p, lo, i)
+
+    def q_cross(s, d):
+        c, lo, i, p = raw4(s, d)
+        return quality.quality_cross(lo, p, i)
+
+    def q_report(s, d):
+        return quality.quality_report(*raw4(s, d))
+
+    def fk(s, d):
+        c, lo, i, p = raw4(s, d)
+        return quality.fk_violations(lo, c, i, p)
+
+    r["quality_installments"] = q_inst
+    r["quality_payments"] = q_pay
+    r["quality_cross"] = q_cross
+    r["quality_report"] = q_report
+    r["fk_violations"] = fk
+    r["loans_without_installments"] = lambda s, d: quality.loans_without_installments(raw4(s, d)[1], raw4(s, d)[2])
+    r["overcollected_loans"] = lambda s, d: quality.overcollected_loans(raw4(s, d)[1], raw4(s, d)[3])
+    r["closed_with_unpaid"] = lambda s, d: quality.closed_with_unpaid(raw4(s, d)[2], raw4(s, d)[1])
+
+    # incremental load, dedup and upserts
+    def inc_new(s, d):
+        raw = _m(s, d).raw
+        return staging.stage_payments(window_rows(raw.payments, INCREMENTAL_MARK, None), raw.installments)
+
+    def two_batches(s, d):
+        raw = _m(s, d).raw
+        base_raw = raw.payments.where(raw.payments.loaded_at <= INCREMENTAL_MARK)
+        base = staging.stage_payments(base_raw, raw.installments)
+        delta = staging.stage_payments(
+            window_rows(raw.payments, INCREMENTAL_MARK - INCREMENTAL_OVERLAP, None), raw.installments)
+        return base, delta
+
+    r["incremental_new_payments"] = inc_new
+    r["watermark_state"] = lambda s, d: next_mark(_m(s, d).raw.payments)
+    r["incremental_upsert"] = lambda s, d: upsert(*two_batches(s, d), ["payment_id"], ["loaded_at"])
+    r["incremental_append"] = lambda s, d: append_new(*two_batches(s, d), ["payment_id"])
+    r["dedup_payments"] = lambda s, d: dedup_latest(_m(s, d).payments, ["payment_id"], ["loaded_at"])
+
+    # operational datasets
+    r["zero_activity_days"] = lambda s, d: alerts.zero_activity_days(disb(s, d), coll(s, d))
+
+    def counts(s, d):
+        m = _m(s, d)
+        raw = m.raw
+        return alerts.row_counts({
+            ("raw", "customers"): raw.customers, ("raw", "loans"): raw.loans,
+            ("raw", "installments"): raw.installments, ("raw", "payments"): raw.payments,
+            ("staging", "customers"): m.customers, ("staging", "loans"): m.loans,
+            ("staging", "installments"): m.installments, ("staging", "payments"): m.payments,
+            ("rejected", "customers"): staging.rejected_customers(raw.customers),
+            ("rejected", "loans"): staging.rejected_loans(raw.loans),
+            ("rejected", "installments"): staging.rejected_installments(raw.installments),
+            ("rejected", "payments"): staging.rejected_payments(raw.payments, raw.installments),
+            ("analytics", "portfolio_mart"): m.mart,
+        })
+    r["row_counts"] = counts
     return r
 
 

@@ -58,6 +58,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    # Only effective when this call starts the JVM (local runs); on a cluster executor and driver
+    # memory come from spark-submit.
+    builder = builder.config("spark.driver.memory", os.environ.get("LOANLAKE_DRIVER_MEMORY", "16g"))
     for key, value in SQL_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions is None:

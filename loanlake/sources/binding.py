@@ -13,8 +13,8 @@ written as SQL in ``oracle_sql.py``; both must stay in step.
 | loans | orders | id, customer, order date, total price, rate by priority, term 6 + key % 19,
   status O/F/P -> ACTIVE/CLOSED/DEFAULT, product by priority |
 | installments | lineitem grouped by (order, line) | line 7 plays the outlier number 99; due =
-  latest ship date; principal = sum of prices; interest = principal x max tax; status from
-  line status / return flag |
+  latest ship date; principal = sum of prices; interest = principal x max tax; status PAID if
+  any line is final, else LATE if any line was returned, else DUE if any is open, else PARTIAL |
 | payments | events | loan = user, installment = user-(1 + id % 8) (line 8 never exists, so some
   payments are orphans), amount = value, 'view' channel is NULL, error/signup are
   REVERSED/PENDING |
@@ -87,13 +87,16 @@ def installments(t: DriverTables) -> DataFrame:
         F.max(F.col("l_shipdate").cast("date")).alias("due_date"),
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("principal_sum"),
         F.max("l_tax").alias("max_tax"),
-        F.max("l_linestatus").alias("max_linestatus"),
-        F.max("l_returnflag").alias("max_returnflag"),
+        # boolean aggregates keep the buffer fixed-width, so Spark plans a HashAggregate
+        # (a max() over strings would fall back to a sort-based aggregate)
+        F.bool_or(F.col("l_linestatus") == "F").alias("any_final"),
+        F.bool_or(F.col("l_returnflag") == "R").alias("any_returned"),
+        F.bool_or(F.col("l_returnflag") == "N").alias("any_open"),
     )
-    status = (F.when(F.col("max_linestatus") == "F", F.lit("PAID"))
-              .when(F.col("max_returnflag") == "N", F.lit("DUE"))
-              .when(F.col("max_returnflag") == "A", F.lit("PARTIAL"))
-              .otherwise(F.lit("LATE")))
+    status = (F.when(F.col("any_final"), F.lit("PAID"))
+              .when(F.col("any_returned"), F.lit("LATE"))
+              .when(F.col("any_open"), F.lit("DUE"))
+              .otherwise(F.lit("PARTIAL")))
     principal = F.col("principal_sum").cast("decimal(18,2)")
     interest = F.round(principal * F.col("max_tax").cast("decimal(4,2)"), 2).cast("decimal(18,2)")
     df = g.select(

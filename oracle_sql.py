@@ -49,8 +49,9 @@ li_grouped AS (
          MAX(CAST(l_shipdate AS DATE)) AS due_date,
          CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS principal_due,
          MAX(l_tax) AS max_tax,
-         MAX(l_linestatus) AS max_linestatus,
-         MAX(l_returnflag) AS max_returnflag
+         bool_or(l_linestatus = 'F') AS any_final,
+         bool_or(l_returnflag = 'R') AS any_returned,
+         bool_or(l_returnflag = 'N') AS any_open
   FROM lineitem GROUP BY l_orderkey, l_linenumber
 ),
 raw_installments AS (
@@ -60,10 +61,10 @@ raw_installments AS (
          due_date,
          principal_due,
          CAST(ROUND(principal_due * CAST(max_tax AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS interest_due,
-         CASE WHEN max_linestatus = 'F' THEN 'PAID'
-              WHEN max_returnflag = 'N' THEN 'DUE'
-              WHEN max_returnflag = 'A' THEN 'PARTIAL'
-              ELSE 'LATE' END AS installment_status
+         CASE WHEN any_final THEN 'PAID'
+              WHEN any_returned THEN 'LATE'
+              WHEN any_open THEN 'DUE'
+              ELSE 'PARTIAL' END AS installment_status
   FROM li_grouped
 ),
 raw_payments AS (
@@ -405,5 +406,133 @@ _FINAL: dict[str, str] = {
 }
 
 
+# ------------------------------------------------------------------------------ quality checks
+# (seq, table, check, SQL counting offending rows or groups, threshold)
+_CHECKS = [
+    (1, "customers", "pk_not_null", "SELECT COUNT(*) FROM raw_customers WHERE customer_id IS NULL OR TRIM(customer_id) = ''", 0),
+    (2, "customers", "pk_unique", "SELECT COUNT(*) FROM (SELECT customer_id FROM raw_customers GROUP BY customer_id HAVING COUNT(*) > 1)", 0),
+    (3, "customers", "segment_valid", "SELECT COUNT(*) FROM raw_customers WHERE segment NOT IN ('Mass Market', 'Premium', 'SME')", 0),
+    (4, "customers", "income_positive", "SELECT COUNT(*) FROM raw_customers WHERE monthly_income IS NULL OR monthly_income <= 0", 0),
+    (5, "customers", "city_not_null", "SELECT COUNT(*) FROM raw_customers WHERE city IS NULL OR TRIM(city) = ''", 0),
+    (6, "loans", "pk_not_null", "SELECT COUNT(*) FROM raw_loans WHERE loan_id IS NULL OR TRIM(loan_id) = ''", 0),
+    (7, "loans", "pk_unique", "SELECT COUNT(*) FROM (SELECT loan_id FROM raw_loans GROUP BY loan_id HAVING COUNT(*) > 1)", 0),
+    (8, "loans", "fk_customer", "SELECT COUNT(*) FROM raw_loans WHERE customer_id NOT IN (SELECT customer_id FROM raw_customers)", 0),
+    (9, "loans", "amount_positive", "SELECT COUNT(*) FROM raw_loans WHERE principal_amount IS NULL OR principal_amount <= 0", 0),
+    (10, "loans", "rate_in_range", "SELECT COUNT(*) FROM raw_loans WHERE annual_rate IS NULL OR annual_rate <= 0 OR annual_rate > 1", 0),
+    (11, "loans", "status_valid", "SELECT COUNT(*) FROM raw_loans WHERE UPPER(loan_status) NOT IN ('ACTIVE', 'CLOSED', 'DEFAULT')", 0),
+    (12, "loans", "term_positive", "SELECT COUNT(*) FROM raw_loans WHERE term_months IS NULL OR term_months <= 0", 0),
+    (13, "installments", "pk_not_null", "SELECT COUNT(*) FROM raw_installments WHERE installment_id IS NULL OR TRIM(installment_id) = ''", 0),
+    (14, "installments", "pk_unique", "SELECT COUNT(*) FROM (SELECT installment_id FROM raw_installments GROUP BY installment_id HAVING COUNT(*) > 1)", 0),
+    (15, "installments", "fk_loan", "SELECT COUNT(*) FROM raw_installments WHERE loan_id NOT IN (SELECT loan_id FROM raw_loans)", 0),
+    (16, "installments", "status_valid", "SELECT COUNT(*) FROM raw_installments WHERE UPPER(installment_status) NOT IN ('PAID', 'DUE', 'LATE', 'PARTIAL')", 0),
+    (17, "installments", "number_outlier", "SELECT COUNT(*) FROM raw_installments WHERE installment_number = 99", 1),
+    (18, "installments", "amounts_non_negative", "SELECT COUNT(*) FROM raw_installments WHERE principal_due < 0 OR interest_due < 0", 0),
+    (19, "loans", "without_installments", "SELECT COUNT(*) FROM raw_loans WHERE loan_status IN ('ACTIVE', 'DEFAULT') AND loan_id NOT IN (SELECT DISTINCT loan_id FROM raw_installments)", 0),
+    (20, "payments", "pk_not_null", "SELECT COUNT(*) FROM raw_payments WHERE payment_id IS NULL OR TRIM(payment_id) = ''", 0),
+    (21, "payments", "pk_unique", "SELECT COUNT(*) FROM (SELECT payment_id FROM raw_payments GROUP BY payment_id HAVING COUNT(*) > 1)", 0),
+    (22, "payments", "fk_loan", "SELECT COUNT(*) FROM raw_payments WHERE loan_id NOT IN (SELECT loan_id FROM raw_loans)", 0),
+    (23, "payments", "orphan_installment", "SELECT COUNT(*) FROM raw_payments WHERE installment_id NOT IN (SELECT installment_id FROM raw_installments)", 1),
+    (24, "payments", "amount_invalid", "SELECT COUNT(*) FROM raw_payments WHERE payment_amount IS NULL OR payment_amount <= 0", 1),
+    (25, "payments", "channel_null", "SELECT COUNT(*) FROM raw_payments WHERE payment_channel IS NULL", 1),
+    (26, "payments", "status_valid", "SELECT COUNT(*) FROM raw_payments WHERE UPPER(payment_status) NOT IN ('CONFIRMED', 'REVERSED', 'PENDING')", 0),
+    (27, "payments", "unconfirmed", "SELECT COUNT(*) FROM raw_payments WHERE UPPER(payment_status) IN ('REVERSED', 'PENDING')", 5),
+    (28, "payments", "possible_duplicate", "SELECT COUNT(*) FROM (SELECT loan_id, installment_id, payment_date FROM raw_payments WHERE UPPER(payment_status) = 'CONFIRMED' GROUP BY loan_id, installment_id, payment_date HAVING COUNT(*) > 1)", 2),
+    (29, "cross", "collected_vs_principal", "SELECT COUNT(*) FROM overcollected", 0),
+    (30, "cross", "closed_unpaid", "SELECT COUNT(*) FROM closed_unpaid", 2),
+]
+
+_CROSS_CTES = """,
+overcollected AS (
+  SELECT l.loan_id, l.principal_amount, CAST(COALESCE(SUM(p.payment_amount), 0) AS DECIMAL(38,2)) AS collected
+  FROM raw_loans l
+  LEFT JOIN raw_payments p
+    ON l.loan_id = p.loan_id AND UPPER(p.payment_status) = 'CONFIRMED' AND p.payment_amount > 0
+  GROUP BY l.loan_id, l.principal_amount
+  HAVING COALESCE(SUM(p.payment_amount), 0) > l.principal_amount * 1.5
+),
+closed_unpaid AS (
+  SELECT i.*
+  FROM raw_installments i JOIN raw_loans l ON i.loan_id = l.loan_id
+  WHERE UPPER(l.loan_status) = 'CLOSED' AND UPPER(i.installment_status) NOT IN ('PAID')
+    AND i.installment_number != 99
+)
+"""
+
+
+def _checks_sql(seqs) -> str:
+    parts = [f"SELECT {n} AS seq, '{t}' AS table_name, '{c}' AS check_name, ({q}) AS failed_count, {th} AS threshold"
+             for n, t, c, q, th in _CHECKS if n in seqs]
+    body = "\n  UNION ALL ".join(parts)
+    return f"""
+        SELECT CAST(seq AS INTEGER) AS seq, table_name, check_name,
+               CAST(failed_count AS BIGINT) AS failed_count, CAST(threshold AS BIGINT) AS threshold,
+               failed_count <= threshold AS passed,
+               CAST(failed_count AS VARCHAR) || ' rows with issues' AS detail
+        FROM ({body}) q"""
+
+
+_FINAL.update({
+    "quality_customers": _checks_sql(range(1, 6)),
+    "quality_loans": _checks_sql(range(6, 13)),
+    "quality_installments": _checks_sql(range(13, 20)),
+    "quality_payments": _checks_sql(range(20, 29)),
+    "quality_cross": _checks_sql(range(29, 31)),
+    "quality_report": _checks_sql(range(1, 31)),
+    "fk_violations": """
+        SELECT 'loans.customer_id' AS relation, loan_id AS child_id, customer_id AS parent_id
+        FROM raw_loans WHERE customer_id NOT IN (SELECT customer_id FROM raw_customers)
+        UNION ALL
+        SELECT 'installments.loan_id', installment_id, loan_id
+        FROM raw_installments WHERE loan_id NOT IN (SELECT loan_id FROM raw_loans)
+        UNION ALL
+        SELECT 'payments.loan_id', payment_id, loan_id
+        FROM raw_payments WHERE loan_id NOT IN (SELECT loan_id FROM raw_loans)""",
+    "loans_without_installments": """
+        SELECT * FROM raw_loans
+        WHERE loan_status IN ('ACTIVE', 'DEFAULT')
+          AND loan_id NOT IN (SELECT DISTINCT loan_id FROM raw_installments)""",
+    "overcollected_loans": "SELECT * FROM overcollected",
+    "closed_with_unpaid": "SELECT * FROM closed_unpaid",
+    "incremental_new_payments": "SELECT * FROM stg_payments WHERE loaded_at > TIMESTAMP '2024-01-15 00:00:00'",
+    "watermark_state": "SELECT MAX(loaded_at) AS last_loaded_at, COUNT(*) AS n_rows FROM raw_payments",
+    "incremental_upsert": """
+        SELECT * FROM stg_payments
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY loaded_at DESC) = 1""",
+    "incremental_append": """
+        SELECT * FROM stg_payments
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY loaded_at) = 1""",
+    "dedup_payments": """
+        SELECT * FROM stg_payments
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY loaded_at DESC) = 1""",
+    "zero_activity_days": """
+        SELECT 'disbursement' AS kind, CAST(g.d AS DATE) AS day
+        FROM (SELECT MIN(disbursement_date) AS lo, MAX(disbursement_date) AS hi FROM disbursement_daily) b,
+             generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)
+        WHERE CAST(g.d AS DATE) NOT IN (SELECT disbursement_date FROM disbursement_daily)
+        UNION ALL
+        SELECT 'collections', CAST(g.d AS DATE)
+        FROM (SELECT MIN(collection_date) AS lo, MAX(collection_date) AS hi FROM collections_daily) b,
+             generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)
+        WHERE CAST(g.d AS DATE) NOT IN (SELECT collection_date FROM collections_daily)""",
+    "row_counts": """
+        SELECT 'raw' AS layer, 'customers' AS table_name, COUNT(*) AS n_rows FROM raw_customers
+        UNION ALL SELECT 'raw', 'loans', COUNT(*) FROM raw_loans
+        UNION ALL SELECT 'raw', 'installments', COUNT(*) FROM raw_installments
+        UNION ALL SELECT 'raw', 'payments', COUNT(*) FROM raw_payments
+        UNION ALL SELECT 'staging', 'customers', COUNT(*) FROM stg_customers
+        UNION ALL SELECT 'staging', 'loans', COUNT(*) FROM stg_loans
+        UNION ALL SELECT 'staging', 'installments', COUNT(*) FROM stg_installments
+        UNION ALL SELECT 'staging', 'payments', COUNT(*) FROM stg_payments
+        UNION ALL SELECT 'rejected', 'customers', COUNT(*) FROM cust_f WHERE f_no_id OR f_income OR f_segment
+        UNION ALL SELECT 'rejected', 'loans', COUNT(*) FROM loan_f
+                  WHERE f_no_id OR f_no_customer OR f_amount OR f_rate OR f_term OR f_status
+        UNION ALL SELECT 'rejected', 'installments', COUNT(*) FROM inst_f
+                  WHERE f_no_id OR f_no_loan OR f_status OR f_outlier
+        UNION ALL SELECT 'rejected', 'payments', COUNT(*) FROM pay_f
+                  WHERE f_no_id OR f_amount OR f_status OR f_reversed OR f_pending
+        UNION ALL SELECT 'analytics', 'portfolio_mart', COUNT(*) FROM mart""",
+})
+
+
 def oracle_queries() -> dict[str, str]:
-    return {name: f"WITH {_CTES}\n{sql.strip()}" for name, sql in _FINAL.items()}
+    return {name: f"WITH {_CTES}{_CROSS_CTES}\n{sql.strip()}" for name, sql in _FINAL.items()}
