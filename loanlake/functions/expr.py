@@ -123,10 +123,14 @@ def monthly_rate(annual_rate: Column) -> Column:
 
 
 def level_payment(principal: Column, annual_rate: Column, term_months: Column) -> Column:
-    """Amortised (annuity) payment ``P*i / (1 - (1+i)^-n)`` with ``i = rate/12``, rounded to units."""
+    """Amortised (annuity) payment ``P*i / (1 - (1+i)^-n)`` with ``i = rate/12``, rounded to units.
+
+    A zero denominator (term 0 or rate 0, rows that staging rejects anyway) gives NULL rather than
+    an infinity or an ANSI error.
+    """
     i = annual_rate.cast("double") / F.lit(12.0)
-    raw = (principal.cast("double") * i) / (F.lit(1.0) - F.pow(F.lit(1.0) + i, (-term_months).cast("double")))
-    return F.round(raw, 0)
+    den = F.lit(1.0) - F.pow(F.lit(1.0) + i, (-term_months).cast("double"))
+    return F.round(F.try_divide(principal.cast("double") * i, F.nullif(den, F.lit(0.0))), 0)
 
 
 def days_past_due(status: Column, due_date: Column, as_of: Column) -> Column:
