@@ -42,7 +42,10 @@ def with_not_in_flag(left: DataFrame, left_key: Column, parent: DataFrame, paren
     keys = _parent_keys(parent, parent_key, "_p_key")
     stats = _parent_stats(keys, "_p_key")
     hits = keys.withColumn("_p_hit", F.lit(True))
-    joined = left.withColumn("_l_key", left_key).join(hits, F.col("_l_key") == F.col("_p_key"), "left")
+    # Null-safe equality keeps Catalyst from inferring an IS NOT NULL filter on the key side, so
+    # the join and the scalar facts read the very same aggregated keys (one exchange, reused).
+    # A NULL left key short-circuits below before the match column is consulted.
+    joined = left.withColumn("_l_key", left_key).join(hits, F.col("_l_key").eqNullSafe(F.col("_p_key")), "left")
     flag = (F.when(stats["n"] == 0, F.lit(True))
             .when(F.col("_l_key").isNull(), F.lit(False))
             .when(F.col("_p_hit").isNotNull(), F.lit(False))
@@ -58,7 +61,9 @@ def not_in_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
     k = F.col(child_key)
     # Parent empty -> every row; parent with a NULL key -> no row; else non-null keys without match.
     pre = child.where((stats["n"] == 0) | (k.isNotNull() & (stats["nn"] == 0)))
-    return pre.join(keys, k == F.col("_p_key"), "left_anti")
+    # null-safe for exchange reuse (see with_not_in_flag); a NULL child key survives ``pre`` only
+    # when the parent is empty, where nothing can match anyway
+    return pre.join(keys, k.eqNullSafe(F.col("_p_key")), "left_anti")
 
 
 def with_in_flag(left: DataFrame, left_key: Column, keys: DataFrame, key: str, flag_name: str) -> DataFrame:

@@ -18,13 +18,25 @@ from loanlake.session import DEFAULT_AS_OF
 
 
 class LendingModel:
+    # Lazy plan definitions per (application, source, cut-off). Building a plan is pure driver work
+    # (thousands of expression objects, table resolution); defining it once per session and
+    # reusing it is what registering views does. No data is cached: every action re-reads the
+    # source. ``refresh=True`` re-resolves the tables, e.g. after new files landed.
+    _defined: dict[tuple, "LendingModel"] = {}
+
     def __init__(self, raw: RawTables, as_of: dt.date = DEFAULT_AS_OF):
         self.raw = raw
         self.as_of = as_of
 
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF) -> "LendingModel":
-        return cls(RawTables(spark, sf_dir), as_of)
+    def from_driver(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
+                    refresh: bool = False, ingest: bool = True) -> "LendingModel":
+        """Model over the driver tables; by default the bound raw layer is ingested once per
+        session (see ``RawTables``)."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of, ingest)
+        if refresh or key not in cls._defined:
+            cls._defined[key] = cls(RawTables(spark, sf_dir, ingest=ingest), as_of)
+        return cls._defined[key]
 
     # staging ------------------------------------------------------------------------------
     @cached_property

@@ -129,17 +129,41 @@ def payments(t: DriverTables) -> DataFrame:
     return schemas.conform(df, schemas.PAYMENTS)
 
 
+BINDERS = {"customers": customers, "loans": loans, "installments": installments, "payments": payments}
+
+
 class RawTables:
-    """The four raw model frames, built lazily from a driver-table directory."""
+    """The four raw model frames bound from a driver-table directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``ingest=False``: each frame is the lazy binding plan over the driver tables.
+    ``ingest=True``: the bound tables are written once as Parquet under the session's
+    ``spark.checkpoint.dir`` (shared storage on a cluster) and read back, like a raw layer that is
+    landed once and then read by every stage. This cuts lineage (an executor loss recomputes from
+    the stored raw layer, not from the driver tables) and lets every later plan prune columns
+    and push filters into plain scans instead of re-deriving the binding.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, ingest: bool = False):
         self.spark = spark
+        self.sf_dir = sf_dir
         self.driver = DriverTables(spark, sf_dir)
+        self.ingest = ingest
         self._cache: dict[str, DataFrame] = {}
 
+    def _landing_path(self, name: str) -> str:
+        from loanlake.session import ensure_checkpoint_dir
+        root = ensure_checkpoint_dir(self.spark).rstrip("/")
+        tag = abs(hash(self.sf_dir.rstrip("/"))) % (10 ** 12)
+        return f"{root}/loanlake-raw/{self.spark.sparkContext.applicationId}/{tag}/{name}"
+
     def _get(self, name, fn):
         if name not in self._cache:
-            self._cache[name] = fn(self.driver)
+            df = fn(self.driver)
+            if self.ingest:
+                path = self._landing_path(name)
+                df.write.mode("overwrite").parquet(path)
+                df = self.spark.read.schema(schemas.RAW[name]).parquet(path)
+            self._cache[name] = df
         return self._cache[name]
 
     @property
