@@ -25,14 +25,22 @@ def test_top_k_limits_before_numbering(spark):
     assert "TakeOrderedAndProject" in text
 
 
-def test_scans_are_pruned(spark):
-    text = plan_text(E.queries()["stage_loans"](spark, SMALL))
-    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string" in text
-    # lineitem columns not used by the binding never leave the file
-    text = plan_text(E.queries()["scan_installments"](spark, SMALL))
+def test_binding_scans_are_pruned(spark):
+    from loanlake.sources.binding import RawTables
+    raw = RawTables(spark, SMALL)  # the lazy binding over the driver tables
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string" in plan_text(raw.loans)
+    text = plan_text(raw.installments)
     assert "l_quantity" not in text and "l_discount" not in text
 
 
+def test_raw_layer_scans_are_pruned(spark):
+    # only the columns a plan needs leave the ingested raw files
+    text = plan_text(E.queries()["loans_without_installments"](spark, SMALL))
+    assert "ReadSchema: struct<loan_id:string,customer_id:string" in text
+    text = plan_text(E.queries()["collections_daily"](spark, SMALL))
+    assert "payment_channel" not in text  # collections never read the channel column
+
+
 def test_incremental_window_pushed_to_scan(spark):
     text = plan_text(E.queries()["incremental_new_payments"](spark, SMALL))
-    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in text
+    assert "PushedFilters: [IsNotNull(loaded_at), GreaterThan(loaded_at," in text
