@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loanlake.operators import quality, staging
+from loanlake.operators.history import initial_history, scd2_apply
 from loanlake.operators.upsert import append_new, dedup_latest, upsert
 from loanlake.plans import alerts
 from loanlake.plans import questions as Q
@@ -23,12 +24,17 @@ from loanlake.streaming.incremental import next_mark, window_rows
 # re-read overlap before it (the upsert makes the overlap idempotent).
 INCREMENTAL_MARK = dt.datetime(2024, 1, 15)
 INCREMENTAL_OVERLAP = dt.timedelta(days=1)
+# Delinquency-state history: the mart observed at the previous cut-off, then at the current one.
+HISTORY_PREVIOUS_AS_OF = dt.date(1998, 6, 1)
+HISTORY_TRACKED = ["loan_status", "aging_bucket", "in_arrears"]
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _m(spark: SparkSession, sf_dir: str) -> LendingModel:
-    return LendingModel.from_driver(spark, sf_dir)
+def _m(spark: SparkSession, sf_dir: str, as_of: dt.date | None = None) -> LendingModel:
+    if as_of is None:
+        return LendingModel.from_driver(spark, sf_dir)
+    return LendingModel.from_driver(spark, sf_dir, as_of=as_of)
 
 
 def _registry() -> dict[str, QueryFn]:
@@ -156,6 +162,14 @@ def _registry() -> dict[str, QueryFn]:
             ("analytics", "portfolio_mart"): m.mart,
         })
     r["row_counts"] = counts
+
+    # loan delinquency-state history (SCD type 2) from two mart snapshots
+    def history(s, d):
+        prev = _m(s, d, HISTORY_PREVIOUS_AS_OF)
+        cur = _m(s, d)
+        h0 = initial_history(prev.mart, "loan_id", HISTORY_TRACKED, prev.as_of)
+        return scd2_apply(h0, cur.mart, "loan_id", HISTORY_TRACKED, cur.as_of)
+    r["loan_status_history"] = history
     return r
 
 

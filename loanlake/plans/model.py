@@ -23,6 +23,7 @@ class LendingModel:
     # reusing it is what registering views does. No data is cached: every action re-reads the
     # source. ``refresh=True`` re-resolves the tables, e.g. after new files landed.
     _defined: dict[tuple, "LendingModel"] = {}
+    _raw: dict[tuple, RawTables] = {}
 
     def __init__(self, raw: RawTables, as_of: dt.date = DEFAULT_AS_OF):
         self.raw = raw
@@ -33,9 +34,12 @@ class LendingModel:
                     refresh: bool = False, ingest: bool = True) -> "LendingModel":
         """Model over the driver tables; by default the bound raw layer is ingested once per
         session (see ``RawTables``)."""
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of, ingest)
+        raw_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ingest)
+        if refresh or raw_key not in cls._raw:
+            cls._raw[raw_key] = RawTables(spark, sf_dir, ingest=ingest)
+        key = raw_key + (as_of,)
         if refresh or key not in cls._defined:
-            cls._defined[key] = cls(RawTables(spark, sf_dir, ingest=ingest), as_of)
+            cls._defined[key] = cls(cls._raw[raw_key], as_of)
         return cls._defined[key]
 
     # staging ------------------------------------------------------------------------------

@@ -534,5 +534,49 @@ _FINAL.update({
 })
 
 
+# --------------------------------------------------------------------- history (two cut-offs)
+_CTE_NAMES = ["raw_customers", "raw_loans", "li_grouped", "raw_installments", "raw_payments",
+              "cust_f", "stg_customers", "loan_f", "stg_loans", "inst_f", "stg_installments",
+              "pay_f", "stg_payments", "open_loans", "inst_rollup", "pay_rollup", "mart",
+              "disbursement_daily", "pay_arrears", "collections_daily", "cohort_portfolio",
+              "bi_dataset"]
+PREV_AS_OF = "DATE '1998-06-01'"
+
+
+def _ctes_at(as_of: str, suffix: str) -> str:
+    """The whole CTE chain at another cut-off, every CTE name suffixed."""
+    import re
+    text = _CTES.replace(AS_OF, as_of)
+    return re.sub(r"\b(" + "|".join(_CTE_NAMES) + r")\b", lambda m: m.group(1) + suffix, text)
+
+
+_HISTORY = f"""
+, h AS (
+  SELECT loan_id, loan_status, aging_bucket, in_arrears,
+         {PREV_AS_OF} AS valid_from, CAST(NULL AS DATE) AS valid_to
+  FROM mart_p
+),
+j AS (
+  SELECT h.loan_id AS h_id, h.loan_status AS h_status, h.aging_bucket AS h_bucket,
+         h.in_arrears AS h_arrears, h.valid_from AS h_from,
+         s.loan_id AS s_id, s.loan_status AS s_status, s.aging_bucket AS s_bucket,
+         s.in_arrears AS s_arrears,
+         (h.loan_status IS DISTINCT FROM s.loan_status
+          OR h.aging_bucket IS DISTINCT FROM s.aging_bucket
+          OR h.in_arrears IS DISTINCT FROM s.in_arrears) AS changed
+  FROM h FULL OUTER JOIN mart s ON h.loan_id = s.loan_id
+)
+SELECT h_id AS loan_id, h_status AS loan_status, h_bucket AS aging_bucket, h_arrears AS in_arrears,
+       h_from AS valid_from,
+       CASE WHEN s_id IS NULL OR changed THEN {AS_OF} END AS valid_to
+FROM j WHERE h_id IS NOT NULL
+UNION ALL
+SELECT s_id, s_status, s_bucket, s_arrears, {AS_OF}, CAST(NULL AS DATE)
+FROM j WHERE s_id IS NOT NULL AND (h_id IS NULL OR changed)
+"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {name: f"WITH {_CTES}{_CROSS_CTES}\n{sql.strip()}" for name, sql in _FINAL.items()}
+    out = {name: f"WITH {_CTES}{_CROSS_CTES}\n{sql.strip()}" for name, sql in _FINAL.items()}
+    out["loan_status_history"] = f"WITH {_CTES}, {_ctes_at(PREV_AS_OF, '_p')}{_HISTORY}"
+    return out
