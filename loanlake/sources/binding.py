@@ -161,6 +161,12 @@ class RawTables:
             df = fn(self.driver)
             if self.ingest:
                 path = self._landing_path(name)
+                # Spread a table that arrives in fewer partitions than the cluster has cores
+                # (e.g. one file with one row group) so every later scan is parallel; a large
+                # source already has enough partitions and is written as it comes.
+                parallelism = self.spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < parallelism:
+                    df = df.repartition(parallelism)
                 df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.schema(schemas.RAW[name]).parquet(path)
             self._cache[name] = df
