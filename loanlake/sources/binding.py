@@ -22,6 +22,8 @@ written as SQL in ``oracle_sql.py``; both must stay in step.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,7 +155,7 @@ class RawTables:
     def _landing_path(self, name: str) -> str:
         from loanlake.session import ensure_checkpoint_dir
         root = ensure_checkpoint_dir(self.spark).rstrip("/")
-        tag = abs(hash(self.sf_dir.rstrip("/"))) % (10 ** 12)
+        tag = hashlib.sha1(self.sf_dir.rstrip("/").encode()).hexdigest()[:12]
         return f"{root}/loanlake-raw/{self.spark.sparkContext.applicationId}/{tag}/{name}"
 
     def _get(self, name, fn):

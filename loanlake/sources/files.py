@@ -8,6 +8,7 @@ the text formats (``PERMISSIVE`` keeps them with NULLs so staging flags them; ``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanlake.sources import schemas
 
@@ -27,6 +28,12 @@ def read_landing(spark: SparkSession, path: str, table: str, fmt: str = "csv",
     return reader.load(path)
 
 
+def stamp_load_time(df: DataFrame, column: str = "loaded_at") -> DataFrame:
+    """Set the load stamp of a landed batch: ``current_timestamp()`` is evaluated once per query,
+    so every row of the batch shares the same mark (ties are expected by the incremental step)."""
+    return df.withColumn(column, F.current_timestamp().cast("timestamp_ntz"))
+
+
 def read_landing_stream(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
     """Streaming counterpart (file source); see ``streaming.incremental.stream_payments``."""
     reader = spark.readStream.schema(schemas.RAW[table]).format(fmt)

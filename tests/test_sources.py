@@ -31,3 +31,11 @@ def test_sql_views(spark):
     assert "fx_portfolio_mart" in names
     n = spark.sql("SELECT COUNT(*) AS n FROM fx_portfolio_mart WHERE in_arrears").first()["n"]
     assert n == 2
+
+
+def test_load_stamp_is_one_instant(spark):
+    from loanlake.sources.files import stamp_load_time
+    raw = FixtureRaw(spark)
+    stamped = stamp_load_time(raw.payments.drop("loaded_at"))
+    assert stamped.select("loaded_at").distinct().count() == 1
+    assert dict(stamped.dtypes)["loaded_at"] == "timestamp_ntz"
