@@ -44,7 +44,8 @@ def main() -> None:
     from loanlake.plans.catalog import QUERIES
     from loanlake.session import get_session
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="loanlake-bench")
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=shuffle, app_name="loanlake-bench")
     timings: dict[str, float] = {}
     for name in names:
         fn = QUERIES[name]
@@ -64,7 +65,7 @@ def main() -> None:
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
-        "shuffle_partitions": 2 * cpus,
+        "shuffle_partitions": shuffle,
         "runs": runs,
     }))
     spark.stop()

@@ -53,8 +53,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Build (or reuse) a session with the engine settings above.
 
     ``master`` defaults to ``$LOANLAKE_MASTER`` or ``local[*]``; on a cluster it is left to
-    spark-submit. Shuffle partitions default to 2x the local cores; size them to the data on a
-    cluster (roughly input bytes / 128 MB per stage).
+    spark-submit. Shuffle partitions default to one per local core (one wave of tasks; AQE
+    coalesces further); size them to the data on a cluster (roughly input bytes / 128 MB per stage).
     """
     builder = SparkSession.builder.appName(app_name)
     master = master or os.environ.get("LOANLAKE_MASTER")
@@ -67,7 +67,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for key, value in SQL_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions is None:
-        shuffle_partitions = 2 * (os.cpu_count() or 4)
+        shuffle_partitions = os.cpu_count() or 4
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
