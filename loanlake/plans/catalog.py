@@ -83,6 +83,7 @@ def _registry() -> dict[str, QueryFn]:
     # business questions and KPIs
     r["q1_disbursement"] = lambda s, d: Q.q1_disbursement(disb(s, d))
     r["q2_collections"] = lambda s, d: Q.q2_collections(coll(s, d))
+    r["q2_collections_calendar"] = lambda s, d: Q.q2_collections_calendar(coll(s, d))
     r["q3_cohort_health"] = lambda s, d: Q.q3_cohort_health(V.cohort_portfolio(_m(s, d).mart))
     r["q4_top_delinquent"] = lambda s, d: Q.q4_top_delinquent(_m(s, d).mart)
     r["q5_bi_ordered"] = lambda s, d: Q.q5_bi_ordered(V.bi_dataset(_m(s, d).mart))

@@ -37,6 +37,17 @@ def q2_collections(coll_daily: DataFrame) -> DataFrame:
     ).orderBy(F.col("collection_date").desc())
 
 
+def q2_collections_calendar(coll_daily: DataFrame) -> DataFrame:
+    """Question 2 with a true 7-calendar-day moving average (days without payments are gaps in
+    the frame, not skipped rows)."""
+    order = [F.col("collection_date").asc()]
+    return coll_daily.select(
+        "collection_date", "total_collected",
+        X.money(W.running_sum("total_collected", [], order)).alias("running_total"),
+        W.moving_avg_days("total_collected", "collection_date", 7).alias("moving_avg_7d"),
+    ).orderBy(F.col("collection_date").desc())
+
+
 def q3_cohort_health(cohorts: DataFrame) -> DataFrame:
     return cohorts.select(
         F.col("cohort_month").alias("cohort"), "n_loans", "total_disbursed", "balance_current",

@@ -362,6 +362,14 @@ _FINAL: dict[str, str] = {
         FROM collections_daily
         WINDOW w7 AS (ORDER BY collection_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
         ORDER BY collection_date DESC""",
+    "q2_collections_calendar": """
+        SELECT collection_date, total_collected,
+               CAST(SUM(total_collected) OVER (ORDER BY collection_date
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS running_total,
+               CAST(SUM(total_collected) OVER w AS DOUBLE) / COUNT(total_collected) OVER w AS moving_avg_7d
+        FROM collections_daily
+        WINDOW w AS (ORDER BY collection_date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)
+        ORDER BY collection_date DESC""",
     "q3_cohort_health": """
         SELECT cohort_month AS cohort, n_loans, total_disbursed, balance_current, balance_arrears,
                balance_open, arrears_pct, max_days_late, n_loans_arrears, loans_arrears_pct,
