@@ -15,33 +15,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _parent_keys(parent: DataFrame, parent_key: str, alias: str) -> DataFrame:
-    """Distinct parent keys, the NULL key included (it never matches an equi-join).
+def key_counts(parent: DataFrame, parent_key: str) -> DataFrame:
+    """Rows per distinct parent key (``_p_key``, ``_cnt``), the NULL key included.
 
-    ``distinct()`` is a grouping with map-side partial aggregation, so a hot key is deduplicated
-    before it is shuffled. The same frame feeds the join and the scalar facts below, so Spark
-    reuses its exchange instead of aggregating the parent twice.
+    One grouping serves uniqueness checks (``_cnt > 1``), the NOT IN join (a NULL key never
+    matches an equi-join) and the scalar facts below. Every use reads ``_cnt``, so column pruning
+    leaves the aggregate identical in all of them and Spark shuffles it once (exchange reuse);
+    the grouping has map-side partial aggregation, so a hot key is combined before the shuffle.
     """
-    return parent.select(F.col(parent_key).alias(alias)).distinct()
+    return parent.groupBy(F.col(parent_key).alias("_p_key")).agg(F.count(F.lit(1)).alias("_cnt"))
 
 
-def _parent_stats(keys: DataFrame, alias: str) -> Column:
-    """Scalar subquery over the distinct keys: struct(n = distinct keys incl. NULL, nn = NULL present).
+def _parent_stats(keys: DataFrame) -> Column:
+    """Scalar subquery over ``key_counts``: struct(n = distinct keys incl. NULL, nn = NULL present).
 
     ``n == 0`` exactly when the parent is empty; ``nn > 0`` exactly when it holds a NULL key.
     """
     return keys.select(F.struct(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(alias).isNull()).alias("nn"),
+        F.count_if(F.col("_p_key").isNull() & (F.col("_cnt") > 0)).alias("nn"),
     )).scalar()
 
 
 def with_not_in_flag(left: DataFrame, left_key: Column, parent: DataFrame, parent_key: str,
                      flag_name: str) -> DataFrame:
     """Add ``flag_name = CASE WHEN left_key NOT IN (SELECT parent_key FROM parent) THEN TRUE ELSE FALSE``."""
-    keys = _parent_keys(parent, parent_key, "_p_key")
-    stats = _parent_stats(keys, "_p_key")
-    hits = keys.withColumn("_p_hit", F.lit(True))
+    keys = key_counts(parent, parent_key)
+    stats = _parent_stats(keys)
+    hits = keys.select("_p_key", (F.col("_cnt") > 0).alias("_p_hit"))
     # Null-safe equality keeps Catalyst from inferring an IS NOT NULL filter on the key side, so
     # the join and the scalar facts read the very same aggregated keys (one exchange, reused).
     # A NULL left key short-circuits below before the match column is consulted.
@@ -56,14 +57,14 @@ def with_not_in_flag(left: DataFrame, left_key: Column, parent: DataFrame, paren
 
 def not_in_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows of ``child`` for which ``child_key NOT IN (SELECT parent_key FROM parent)`` is TRUE."""
-    keys = _parent_keys(parent, parent_key, "_p_key")
-    stats = _parent_stats(keys, "_p_key")
+    keys = key_counts(parent, parent_key)
+    stats = _parent_stats(keys)
     k = F.col(child_key)
     # Parent empty -> every row; parent with a NULL key -> no row; else non-null keys without match.
     pre = child.where((stats["n"] == 0) | (k.isNotNull() & (stats["nn"] == 0)))
     # null-safe for exchange reuse (see with_not_in_flag); a NULL child key survives ``pre`` only
     # when the parent is empty, where nothing can match anyway
-    return pre.join(keys, k.eqNullSafe(F.col("_p_key")), "left_anti")
+    return pre.join(keys, k.eqNullSafe(F.col("_p_key")) & (F.col("_cnt") > 0), "left_anti")
 
 
 def with_in_flag(left: DataFrame, left_key: Column, keys: DataFrame, key: str, flag_name: str) -> DataFrame:
@@ -71,7 +72,7 @@ def with_in_flag(left: DataFrame, left_key: Column, keys: DataFrame, key: str, f
 
     Used inside ``SUM(CASE WHEN ... IN (subquery) ...)``, where NULL and FALSE behave alike.
     """
-    k = _parent_keys(keys, key, "_in_key").withColumn("_in_hit", F.lit(True))
+    k = keys.select(F.col(key).alias("_in_key")).distinct().withColumn("_in_hit", F.lit(True))
     joined = left.withColumn("_l_key", left_key).join(k, F.col("_l_key") == F.col("_in_key"), "left")
     return (joined.withColumn(flag_name, F.col("_in_hit").isNotNull())
             .drop("_l_key", "_in_key", "_in_hit"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.functions import expr as X
-from loanlake.operators.existence import not_in_rows
+from loanlake.operators.existence import key_counts, not_in_rows
 
 REPORT_COLUMNS = ["seq", "table_name", "check_name", "failed_count", "threshold", "passed", "detail"]
 
@@ -64,7 +64,13 @@ def _scalar(seq: int, table: str, name: str, counted: DataFrame, threshold: int
 
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key groups holding more than one row (NULL forms its own group, as in SQL GROUP BY)."""
+    """Key groups holding more than one row (NULL forms its own group, as in SQL GROUP BY).
+
+    A single key reuses ``key_counts``, the grouping the NOT IN checks on the same key use, so
+    the uniqueness check and the foreign-key checks against this table share one shuffle.
+    """
+    if len(keys) == 1:
+        return key_counts(df, keys[0]).where(F.col("_cnt") > 1)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > 1)
 
 
