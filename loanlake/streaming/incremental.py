@@ -96,18 +96,34 @@ class IncrementalPayments:
         return {"previous_mark": lo, "new_mark": hi, "new_rows": n_new}
 
 
+def dedup_within(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
+    """Drop re-delivered rows of a stream by ``key`` while their ``event_time`` is within
+    ``delay`` of the watermark; the state per key is dropped once the watermark passes it, so
+    state stays bounded however long the stream runs. Watermarks need a zoned timestamp, so a
+    wall-clock (NTZ) stamp is read in the session time zone for the watermark only."""
+    return (stream.withColumn("_event_ts", F.col(event_time).cast("timestamp"))
+            .withWatermark("_event_ts", delay)
+            .dropDuplicatesWithinWatermark([key])
+            .drop("_event_ts"))
+
+
 def stream_payments(spark: SparkSession, landing_dir: str, fmt: str, schema: T.StructType,
-                    checkpoint: str, on_batch: Callable[[DataFrame, int], None]):
+                    checkpoint: str, on_batch: Callable[[DataFrame, int], None],
+                    dedup_delay: str | None = None):
     """Process every landing file not seen before (AvailableNow), one micro-batch at a time.
 
     ``on_batch(df, epoch_id)`` receives the raw rows of the micro-batch, e.g. to stage them and
     upsert into the staged table. The checkpoint records which files were consumed, so a restart
-    after an executor or driver loss resumes exactly where it stopped.
+    after an executor or driver loss resumes exactly where it stopped. ``dedup_delay`` (e.g.
+    ``"1 day"``) drops payment ids delivered again within that delay of the load-time watermark.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
-    q = (reader.load(landing_dir).writeStream
+    stream = reader.load(landing_dir)
+    if dedup_delay:
+        stream = dedup_within(stream, "payment_id", "loaded_at", dedup_delay)
+    q = (stream.writeStream
          .foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)

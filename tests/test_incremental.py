@@ -76,3 +76,18 @@ def test_available_now_stream_upserts_landing_files(spark, scratch):
     final = ids(sinks.read_table(spark, target, "stg_payments"))
     assert set(first) < set(final)
     assert final == ids(staging.stage_payments(raw.payments, raw.installments))
+
+
+def test_stream_drops_redelivered_ids_within_watermark(spark, scratch):
+    raw = FixtureRaw(spark)
+    landing = f"{scratch}/landing"
+    raw.payments.write.parquet(f"{landing}/b1")
+    raw.payments.where(F.col("payment_id").isin("P1", "P2")).write.parquet(f"{landing}/b2")  # re-delivery
+    seen = []
+
+    def on_batch(df, epoch_id):
+        seen.extend(r["payment_id"] for r in df.select("payment_id").collect())
+
+    stream_payments(spark, f"{landing}/*", "parquet", schemas.PAYMENTS, f"{scratch}/ck", on_batch,
+                    dedup_delay="1 day")
+    assert sorted(seen) == sorted(r["payment_id"] for r in raw.payments.collect())
