@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loanlake.operators import rollups, staging
 from loanlake.plans import mart as mart_plans
 from loanlake.sources.binding import RawTables
-from loanlake.session import DEFAULT_AS_OF
+from loanlake.session import DEFAULT_AS_OF, app_id
 
 
 class LendingModel:
@@ -34,7 +34,7 @@ class LendingModel:
                     refresh: bool = False, ingest: bool = True) -> "LendingModel":
         """Model over the driver tables; by default the bound raw layer is ingested once per
         session (see ``RawTables``)."""
-        raw_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ingest)
+        raw_key = (app_id(spark), sf_dir.rstrip("/"), ingest)
         if refresh or raw_key not in cls._raw:
             cls._raw[raw_key] = RawTables(spark, sf_dir, ingest=ingest)
         key = raw_key + (as_of,)

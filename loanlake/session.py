@@ -29,6 +29,28 @@ SQL_CONF = {
 }
 
 
+def app_id(spark: SparkSession) -> str:
+    """Application id of the session (also under Spark Connect, which has no SparkContext)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def _set_checkpoint_dir(spark: SparkSession, path: str) -> None:
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # Spark Connect: DataFrame.checkpoint uses the conf value
+        pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only when none is configured.
 
@@ -37,14 +59,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        _set_checkpoint_dir(spark, current)
         return current
     path = tempfile.mkdtemp(prefix="loanlake-ckpt-")
     try:
         spark.conf.set("spark.checkpoint.dir", path)
     except Exception:  # some deployments reject runtime changes of core settings
         pass
-    spark.sparkContext.setCheckpointDir(path)
+    _set_checkpoint_dir(spark, path)
     return path
 
 

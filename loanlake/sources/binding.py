@@ -153,10 +153,10 @@ class RawTables:
         self._cache: dict[str, DataFrame] = {}
 
     def _landing_path(self, name: str) -> str:
-        from loanlake.session import ensure_checkpoint_dir
+        from loanlake.session import app_id, ensure_checkpoint_dir
         root = ensure_checkpoint_dir(self.spark).rstrip("/")
         tag = hashlib.sha1(self.sf_dir.rstrip("/").encode()).hexdigest()[:12]
-        return f"{root}/loanlake-raw/{self.spark.sparkContext.applicationId}/{tag}/{name}"
+        return f"{root}/loanlake-raw/{app_id(self.spark)}/{tag}/{name}"
 
     def _get(self, name, fn):
         if name not in self._cache:
@@ -166,8 +166,13 @@ class RawTables:
                 # Spread a table that arrives in fewer partitions than the cluster has cores
                 # (e.g. one file with one row group) so every later scan is parallel; a large
                 # source already has enough partitions and is written as it comes.
-                parallelism = self.spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < parallelism:
+                from loanlake.session import default_parallelism
+                parallelism = default_parallelism(self.spark)
+                try:
+                    few = df.rdd.getNumPartitions() < parallelism  # plan metadata, no job
+                except Exception:  # Spark Connect has no RDD view
+                    few = False
+                if few:
                     df = df.repartition(parallelism)
                 df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.schema(schemas.RAW[name]).parquet(path)
