@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanlake.operators import quality, staging
 from loanlake.operators.history import initial_history, scd2_apply
+from loanlake.operators.rollups import payment_rollup
 from loanlake.operators.upsert import append_new, dedup_latest, upsert
+from loanlake.plans import mart as mart_plans
 from loanlake.plans import alerts
 from loanlake.plans import questions as Q
 from loanlake.plans import views as V
@@ -143,6 +145,16 @@ def _registry() -> dict[str, QueryFn]:
     r["watermark_state"] = lambda s, d: next_mark(_m(s, d).raw.payments)
     r["incremental_upsert"] = lambda s, d: upsert(*two_batches(s, d), ["payment_id"], ["loaded_at"])
     r["incremental_append"] = lambda s, d: append_new(*two_batches(s, d), ["payment_id"])
+    def mart_refresh(s, d):
+        # mart built before the mark, then refreshed with the payments that arrived after it
+        m = _m(s, d)
+        before = m.payments.where(m.payments.loaded_at <= INCREMENTAL_MARK)
+        base = mart_plans.portfolio_mart(m.open_loans, m.installment_rollup,
+                                         payment_rollup(before, m.installments), m.as_of)
+        affected = m.payments.where(m.payments.loaded_at > INCREMENTAL_MARK).select("loan_id").distinct()
+        pays = m.payments.join(affected, "loan_id", "left_semi")
+        return mart_plans.refresh_payments(base, payment_rollup(pays, m.installments), affected)
+    r["incremental_mart_refresh"] = mart_refresh
     r["dedup_payments"] = lambda s, d: dedup_latest(_m(s, d).payments, ["payment_id"], ["loaded_at"])
 
     # operational datasets

@@ -29,17 +29,28 @@ def open_loans(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
     return loans.join(cust, "customer_id", "left")
 
 
+PAYMENT_COLUMNS = ["n_payments", "collected", "collected_arrears", "last_payment_date",
+                   "arrears_coverage_pct"]
+
+
+def _z(c: str):
+    return F.coalesce(F.col(c), F.lit(0))
+
+
+def _coverage(bal_arrears, coll_arrears):
+    return (F.when(bal_arrears == 0, F.lit(None).cast("double"))
+            .otherwise(X.safe_pct(coll_arrears, bal_arrears)))
+
+
 def portfolio_mart(open_loans_df: DataFrame, inst_rollup: DataFrame, pay_rollup: DataFrame,
                    as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     inst = inst_rollup.drop("worst_installment_number")
     j = open_loans_df.join(inst, "loan_id", "left").join(pay_rollup, "loan_id", "left")
-    zero = F.lit(0)
-    z = lambda c: F.coalesce(F.col(c), zero)
+    z = _z
     max_days = F.coalesce(F.col("max_days_late"), F.lit(0))
     bal_arrears = X.money(z("balance_arrears"))
     coll_arrears = X.money(z("collected_arrears"))
-    coverage = (F.when(bal_arrears == 0, F.lit(None).cast("double"))
-                .otherwise(X.safe_pct(coll_arrears, bal_arrears)))
+    coverage = _coverage(bal_arrears, coll_arrears)
     return j.select(
         "loan_id", "customer_id",
         F.col("full_name").alias("customer_name"),
@@ -66,3 +77,28 @@ def portfolio_mart(open_loans_df: DataFrame, inst_rollup: DataFrame, pay_rollup:
         coverage.alias("arrears_coverage_pct"),
         X.as_of_lit(as_of).alias("as_of"),
     )
+
+
+def refresh_payments(mart: DataFrame, pay_rollup_affected: DataFrame, affected_loans: DataFrame) -> DataFrame:
+    """Delta refresh: replace the payment columns of the loans in ``affected_loans`` with a
+    rollup recomputed for those loans only; every other mart row passes through unchanged.
+
+    Valid while the cut-off and the installments are those the mart was built with (payments
+    only move their own loan's rollup); aging still needs the daily full build. Only the
+    payments of affected loans are re-aggregated (the caller semi-joins them on the changed loan
+    ids); the rest of the mart passes through an anti join untouched.
+    """
+    keys = affected_loans.select("loan_id").distinct()
+    keep = mart.join(keys, "loan_id", "left_anti")
+    touched = (mart.join(keys, "loan_id", "left_semi").drop(*PAYMENT_COLUMNS)
+               .join(pay_rollup_affected, "loan_id", "left"))
+    coll_arrears = X.money(_z("collected_arrears"))
+    cols = {
+        "n_payments": _z("n_payments").cast("bigint"),
+        "collected": X.money(_z("collected")),
+        "collected_arrears": coll_arrears,
+        "last_payment_date": F.col("last_payment_date"),
+        "arrears_coverage_pct": _coverage(F.col("balance_arrears"), coll_arrears),
+    }
+    touched = touched.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in MART_COLUMNS])
+    return keep.unionByName(touched)

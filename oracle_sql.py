@@ -509,6 +509,7 @@ _FINAL.update({
     "incremental_append": """
         SELECT * FROM stg_payments
         QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY loaded_at) = 1""",
+    "incremental_mart_refresh": "SELECT * FROM mart",
     "dedup_payments": """
         SELECT * FROM stg_payments
         QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY loaded_at DESC) = 1""",
