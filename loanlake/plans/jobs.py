@@ -12,15 +12,18 @@ import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanlake.operators import quality, staging
+from loanlake.operators.rollups import payment_rollup
+from loanlake.plans import mart as mart_plans
 from loanlake.plans import questions as Q
 from loanlake.plans import views as V
 from loanlake.plans.model import LendingModel, MaterializedModel
 from loanlake.session import DEFAULT_AS_OF
 from loanlake.sources import sinks
 from loanlake.sources.binding import RawTables
-from loanlake.streaming.incremental import IncrementalPayments
+from loanlake.streaming.incremental import IncrementalPayments, window_rows
 
 log = logging.getLogger("loanlake.jobs")
 
@@ -88,17 +91,39 @@ def run_full(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = D
             "kpis": report, "incremental": inc, "seconds": round(time.time() - t0, 2)}
 
 
-def run_incremental(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = DEFAULT_AS_OF) -> dict:
-    """Upsert new payments since the stored mark, then rebuild the mart from the staged tables."""
-    raw = RawTables(spark, sf_dir)
+def run_incremental(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = DEFAULT_AS_OF,
+                    raw=None) -> dict:
+    """Upsert new payments since the stored mark, then bring the mart up to date.
+
+    When the stored mart has the same cut-off, only the loans that received new payments are
+    refreshed (``mart.refresh_payments``: their payments are re-aggregated, the rest of the mart
+    passes through); otherwise the mart is rebuilt from the staged tables.
+    """
+    raw = raw or RawTables(spark, sf_dir)
     current = sinks.current_path(spark, out_root, "stg_payments")
     staged_pay = spark.read.parquet(current).drop("staged_at") if current else None
     inc = IncrementalPayments(spark, f"{out_root}/_state/payments_mark")
     result = inc.run(raw.payments, raw.installments, staged_pay,
                      lambda df: sinks.write_table(df, out_root, "stg_payments", audit_col="staged_at"))
+    result["mart"] = "unchanged"
     if result["new_rows"] > 0 and all(sinks.current_path(spark, out_root, f"stg_{n}") for n in STAGED):
         staged = {n: sinks.read_table(spark, out_root, f"stg_{n}").drop("staged_at") for n in STAGED}
-        build_mart(spark, staged, out_root, as_of)
+        mart_path = sinks.current_path(spark, out_root, "portfolio_mart")
+        old = spark.read.parquet(mart_path).drop("refreshed_at") if mart_path else None
+        same_cutoff = old is not None and (old.select("as_of").first() or {"as_of": None})["as_of"] == as_of
+        if same_cutoff:
+            affected = (window_rows(raw.payments, result["previous_mark"], result["new_mark"])
+                        .select(F.trim("loan_id").alias("loan_id")).distinct())
+            m = MaterializedModel(staged, as_of)
+            pays = m.payments.join(affected, "loan_id", "left_semi")
+            fresh = mart_plans.refresh_payments(old.select(*mart_plans.MART_COLUMNS),
+                                                payment_rollup(pays, m.installments), affected)
+            sinks.write_table(fresh.sortWithinPartitions("cohort_month", "city", "segment"), out_root,
+                              "portfolio_mart", audit_col="refreshed_at", partition_by=["cohort_month"])
+            result["mart"] = "delta"
+        else:
+            build_mart(spark, staged, out_root, as_of)
+            result["mart"] = "rebuilt"
     return result
 
 
