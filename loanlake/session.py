@@ -74,23 +74,36 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "loanlake") -> SparkSession:
     """Build (or reuse) a session with the engine settings above.
 
-    ``master`` defaults to ``$LOANLAKE_MASTER`` or ``local[*]``; on a cluster it is left to
-    spark-submit. Shuffle partitions default to one per local core (one wave of tasks; AQE
-    coalesces further); size them to the data on a cluster (roughly input bytes / 128 MB per stage).
+    ``master`` defaults to ``$LOANLAKE_MASTER``; otherwise it is left to spark-submit / the
+    environment. Settings the deployment already made (spark-submit ``--conf``, defaults file)
+    win over ``SQL_CONF``. Shuffle partitions: the explicit argument if given; else, on a local
+    master, one per core (one task wave; AQE coalesces further); on a cluster, whatever was
+    submitted (size it to roughly input bytes / 128 MB per stage).
     """
     builder = SparkSession.builder.appName(app_name)
     master = master or os.environ.get("LOANLAKE_MASTER")
     if master:
         builder = builder.master(master)
+    # Only effective when this call starts the JVM (local runs); on a cluster these come from
+    # spark-submit.
     builder = builder.config("spark.ui.enabled", "false")
-    # Only effective when this call starts the JVM (local runs); on a cluster executor and driver
-    # memory come from spark-submit.
     builder = builder.config("spark.driver.memory", os.environ.get("LOANLAKE_DRIVER_MEMORY", "16g"))
-    for key, value in SQL_CONF.items():
-        builder = builder.config(key, value)
-    if shuffle_partitions is None:
-        shuffle_partitions = os.cpu_count() or 4
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        submitted = spark.sparkContext.getConf()
+        is_set = submitted.contains
+        local = spark.sparkContext.master.startswith("local")
+    except Exception:  # Spark Connect: no SparkContext; respect what the server has
+        is_set, local = (lambda key: True), False
+    for key, value in SQL_CONF.items():
+        if not is_set(key):
+            spark.conf.set(key, value)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    elif local and not is_set("spark.sql.shuffle.partitions"):
+        spark.conf.set("spark.sql.shuffle.partitions", str(default_parallelism(spark)))
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:
+        pass
     return spark
