@@ -54,13 +54,20 @@ def _set_checkpoint_dir(spark: SparkSession, path: str) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only when none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is honoured as is; the local
-    fallback exists for tests and single-machine runs only.
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is honoured as is (and is
+    required); the scratch-folder fallback exists for local masters (tests, single machine) only.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         _set_checkpoint_dir(spark, current)
         return current
+    try:
+        local = spark.sparkContext.master.startswith("local")
+    except Exception:
+        local = False
+    if not local:
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
+                           "(e.g. --conf spark.checkpoint.dir=hdfs:///.../checkpoints)")
     path = tempfile.mkdtemp(prefix="loanlake-ckpt-")
     try:
         spark.conf.set("spark.checkpoint.dir", path)
