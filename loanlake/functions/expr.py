@@ -56,6 +56,15 @@ def as_of_lit(as_of: dt.date | str) -> Column:
     return F.lit(as_of)
 
 
+def ntz_lit(ts: dt.datetime) -> Column:
+    """A wall-clock timestamp literal (``timestamp_ntz``), independent of any time zone.
+
+    ``F.lit(datetime)`` would build a zoned literal whose value depends on the Python process and
+    session time zones; parsing the ISO text as NTZ does not.
+    """
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def clean(c: str | Column) -> Column:
     """Outer-space trim of ids and dimension strings."""
     return F.trim(col_(c))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanlake.functions.expr import ntz_lit
 from loanlake.operators import quality, staging
 from loanlake.operators.history import initial_history, scd2_apply
 from loanlake.operators.rollups import payment_rollup
@@ -135,7 +136,7 @@ def _registry() -> dict[str, QueryFn]:
 
     def two_batches(s, d):
         raw = _m(s, d).raw
-        base_raw = raw.payments.where(raw.payments.loaded_at <= INCREMENTAL_MARK)
+        base_raw = raw.payments.where(raw.payments.loaded_at <= ntz_lit(INCREMENTAL_MARK))
         base = staging.stage_payments(base_raw, raw.installments)
         delta = staging.stage_payments(
             window_rows(raw.payments, INCREMENTAL_MARK - INCREMENTAL_OVERLAP, None), raw.installments)
@@ -148,10 +149,10 @@ def _registry() -> dict[str, QueryFn]:
     def mart_refresh(s, d):
         # mart built before the mark, then refreshed with the payments that arrived after it
         m = _m(s, d)
-        before = m.payments.where(m.payments.loaded_at <= INCREMENTAL_MARK)
+        before = m.payments.where(m.payments.loaded_at <= ntz_lit(INCREMENTAL_MARK))
         base = mart_plans.portfolio_mart(m.open_loans, m.installment_rollup,
                                          payment_rollup(before, m.installments), m.as_of)
-        affected = m.payments.where(m.payments.loaded_at > INCREMENTAL_MARK).select("loan_id").distinct()
+        affected = m.payments.where(m.payments.loaded_at > ntz_lit(INCREMENTAL_MARK)).select("loan_id").distinct()
         pays = m.payments.join(affected, "loan_id", "left_semi")
         return mart_plans.refresh_payments(base, payment_rollup(pays, m.installments), affected)
     r["incremental_mart_refresh"] = mart_refresh

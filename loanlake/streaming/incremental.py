@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanlake.functions.expr import ntz_lit
 from loanlake.operators import staging
 from loanlake.operators.upsert import upsert
 
@@ -53,9 +54,9 @@ def write_mark(spark: SparkSession, path: str, mark: dt.datetime) -> None:
 
 def window_rows(raw_payments: DataFrame, lo: dt.datetime, hi: dt.datetime | None) -> DataFrame:
     """Rows with ``lo < loaded_at <= hi`` (``hi`` None = no upper bound). Pushed into the scan."""
-    cond = F.col("loaded_at") > F.lit(lo).cast("timestamp_ntz")
+    cond = F.col("loaded_at") > ntz_lit(lo)
     if hi is not None:
-        cond = cond & (F.col("loaded_at") <= F.lit(hi).cast("timestamp_ntz"))
+        cond = cond & (F.col("loaded_at") <= ntz_lit(hi))
     return raw_payments.where(cond)
 
 
