@@ -21,7 +21,7 @@ from loanlake.plans import questions as Q
 from loanlake.plans import views as V
 from loanlake.plans.model import LendingModel, MaterializedModel
 from loanlake.session import DEFAULT_AS_OF
-from loanlake.sources import sinks
+from loanlake.sources import schemas, sinks
 from loanlake.sources.binding import RawTables
 from loanlake.streaming.incremental import IncrementalPayments, window_rows
 
@@ -57,6 +57,7 @@ def build_staging(raw: RawTables, out_root: str, as_of: dt.date) -> dict[str, Da
     }
     out = {}
     for name, df in frames.items():
+        schemas.assert_schema(df, schemas.STAGED[name])  # contract check on the plan, no job
         sinks.write_table(df, out_root, f"stg_{name}", audit_col="staged_at")
         sinks.write_table(rejected[name], out_root, f"rejected_{name}", audit_col="staged_at")
         out[name] = sinks.read_table(raw.spark, out_root, f"stg_{name}").drop("staged_at")
@@ -65,6 +66,7 @@ def build_staging(raw: RawTables, out_root: str, as_of: dt.date) -> dict[str, Da
 
 def build_mart(spark: SparkSession, staged: dict[str, DataFrame], out_root: str, as_of: dt.date) -> DataFrame:
     m = MaterializedModel(staged, as_of)
+    schemas.assert_schema(m.mart, schemas.MART)
     # D9: the mart is laid out by origination cohort (partition pruning on cohort and date
     # ranges) and clustered by city and segment inside each file (row-group min/max pruning).
     # Sorting within the existing partitions needs no shuffle and never sends a whole (possibly

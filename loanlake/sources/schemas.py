@@ -66,3 +66,42 @@ def assert_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     if got != want:
         raise AssertionError(f"schema mismatch:\n got  {got}\n want {want}")
     return df
+
+
+# ------------------------------------------------------------------ stage output contracts
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(),
+    "money": T.DecimalType(18, 2), "money19": T.DecimalType(19, 2), "money38": T.DecimalType(38, 2),
+    "rate": T.DecimalType(6, 4), "pct2": T.DecimalType(10, 2),
+}
+
+
+def _contract(spec: str) -> T.StructType:
+    """``"name:type, ..."`` with the short type names above."""
+    fields = [f.strip().split(":") for f in spec.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in fields])
+
+
+STAGED = {
+    "customers": _contract("customer_id:string, full_name:string, city:string, segment:string, "
+                           "monthly_income:money, created_at:date"),
+    "loans": _contract("loan_id:string, customer_id:string, origination_date:date, principal_amount:money, "
+                       "annual_rate:rate, monthly_rate:double, term_months:int, loan_status:string, "
+                       "product_type:string, cohort_month:string, level_payment:double"),
+    "installments": _contract("installment_id:string, loan_id:string, installment_number:int, due_date:date, "
+                              "principal_due:money, interest_due:money, total_due:money19, "
+                              "installment_status:string, days_late:int, in_arrears:boolean, aging_bucket:string"),
+    "payments": _contract("payment_id:string, loan_id:string, installment_id:string, payment_date:date, "
+                          "payment_amount:money, payment_channel:string, payment_status:string, "
+                          "orphan_installment:boolean, loaded_at:timestamp_ntz"),
+}
+
+MART = _contract(
+    "loan_id:string, customer_id:string, customer_name:string, city:string, segment:string, product:string, "
+    "origination_date:date, cohort_month:string, principal:money, annual_rate:rate, term_months:int, "
+    "loan_status:string, monthly_income:money, n_installments:bigint, n_paid:bigint, n_arrears:bigint, "
+    "n_upcoming:bigint, balance_open:money38, balance_arrears:money38, balance_current:money38, "
+    "recovered_est:money38, max_days_late:int, aging_bucket:string, in_arrears:boolean, n_payments:bigint, "
+    "collected:money38, collected_arrears:money38, last_payment_date:date, arrears_coverage_pct:double, "
+    "as_of:date")
