@@ -48,3 +48,23 @@ def test_dedup_latest_matches_brute_force(spark, rows):
         if k not in want or (t, v) > want[k]:
             want[k] = (t, v)
     assert got == want
+
+
+@SETTINGS
+@given(stored=st.dictionaries(st.sampled_from(["a", "b", "c", "d"]), st.integers(0, 9), max_size=4),
+       updates=st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d", "e"]), st.integers(0, 5), st.integers(10, 19)),
+                        max_size=6))
+def test_upsert_is_merge(spark, stored, updates):
+    from loanlake.operators.upsert import upsert
+    base = dt.datetime(2030, 1, 1)
+    old = spark.createDataFrame([(k, base, v) for k, v in stored.items()], "k string, t timestamp_ntz, v int")
+    new = spark.createDataFrame([(k, base + dt.timedelta(hours=h), v) for k, h, v in updates],
+                                "k string, t timestamp_ntz, v int")
+    got = {r["k"]: r["v"] for r in upsert(old, new, ["k"], ["t"]).collect()}
+    want = dict(stored)
+    latest = {}
+    for k, h, v in updates:  # among updates of one key: latest stamp, then greatest value
+        if k not in latest or (h, v) > latest[k]:
+            latest[k] = (h, v)
+    want.update({k: v for k, (h, v) in latest.items()})
+    assert got == want
