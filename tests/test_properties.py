@@ -68,3 +68,31 @@ def test_upsert_is_merge(spark, stored, updates):
             latest[k] = (h, v)
     want.update({k: v for k, (h, v) in latest.items()})
     assert got == want
+
+
+SNAP = st.dictionaries(st.sampled_from(["a", "b", "c", "d"]), st.one_of(st.none(), st.sampled_from(["x", "y"])),
+                       max_size=4)
+
+
+@SETTINGS
+@given(snaps=st.lists(SNAP, min_size=1, max_size=3))
+def test_scd2_history_matches_brute_force(spark, snaps):
+    from loanlake.operators.history import initial_history, scd2_apply
+    days = [dt.date(2030, 1, 1) + dt.timedelta(days=i) for i in range(len(snaps))]
+    frame = lambda snap: spark.createDataFrame(sorted(snap.items()), "k string, v string")
+    h = initial_history(frame(snaps[0]), "k", ["v"], days[0])
+    for snap, day in zip(snaps[1:], days[1:]):
+        h = scd2_apply(h, frame(snap), "k", ["v"], day)
+    order = lambda r: (r[0], r[1] or "", r[2], r[3] or dt.date.max)  # noqa: E731  NULL-safe sort key
+    got = sorted(((r["k"], r["v"], r["valid_from"], r["valid_to"]) for r in h.collect()), key=order)
+    versions, open_ = [], {}
+    for snap, day in zip(snaps, days):
+        for k in list(open_):
+            if k not in snap or snap[k] != open_[k][0]:
+                versions.append((k, open_[k][0], open_[k][1], day))
+                del open_[k]
+        for k, v in snap.items():
+            if k not in open_:
+                open_[k] = (v, day)
+    versions += [(k, v, since, None) for k, (v, since) in open_.items()]
+    assert got == sorted(versions, key=order)
