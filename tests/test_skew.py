@@ -51,3 +51,23 @@ def test_hot_key_dedup_keeps_one_row_per_key(spark):
     assert out.count() == 1 + 1200
     hot = out.where("payment_id = 'HOT'").first()
     assert hot["loaded_at"] == ts(6)
+
+
+def test_collections_preserve_left_join_fan_out_on_duplicate_installment_ids(spark):
+    from fixtures import INSTALLMENTS
+    # the same installment id twice: one copy in arrears (LATE), one not (DUE in the future)
+    dup = [("I1", "L1", 7, d(30), D("5.00"), D("0.50"), "DUE")]
+    m = LendingModel(FixtureRaw(spark, {"installments": spark.createDataFrame(INSTALLMENTS + dup,
+                                                                            schemas.INSTALLMENTS)}), AS_OF)
+    pays, inst = m.payments.toPandas(), m.installments.toPandas()
+    rows = {}
+    for _, p in pays[~pays.orphan_installment].iterrows():  # row-level LEFT JOIN, as in SQL
+        matches = inst[inst.installment_id == p.installment_id]
+        flags = list(matches.in_arrears) or [False]
+        for f in flags:
+            n, tot, arr = rows.get(p.payment_date, (0, D("0"), D("0")))
+            rows[p.payment_date] = (n + 1, tot + p.payment_amount, arr + (p.payment_amount if f else D("0")))
+    got = {r["collection_date"]: (r["n_payments"], r["total_collected"], r["collected_arrears"])
+           for r in V.collections_daily(m.payments, m.installments).collect()}
+    assert got == rows
+    assert got[d(-80)][0] == 3  # P1 meets both copies of I1, P2 one installment
