@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanlake.operators import rollups, staging
 from loanlake.plans import mart as mart_plans
-from loanlake.sources.binding import RawTables
+from loanlake.sources.binding import RawTables, StoredRawTables
 from loanlake.session import DEFAULT_AS_OF, app_id
 
 
@@ -42,6 +42,12 @@ class LendingModel:
             cls._defined[key] = cls(cls._raw[raw_key], as_of)
         return cls._defined[key]
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, root: str, as_of: dt.date = DEFAULT_AS_OF) -> "LendingModel":
+        """Model over raw tables stored as Parquet under ``root/<table>`` (production: no binding,
+        no ingest copy)."""
+        return cls(StoredRawTables(spark, root), as_of)
+
     # staging ------------------------------------------------------------------------------
     @cached_property
     def customers(self) -> DataFrame:

@@ -39,3 +39,13 @@ def test_load_stamp_is_one_instant(spark):
     stamped = stamp_load_time(raw.payments.drop("loaded_at"))
     assert stamped.select("loaded_at").distinct().count() == 1
     assert dict(stamped.dtypes)["loaded_at"] == "timestamp_ntz"
+
+
+def test_model_over_stored_raw_tables(spark, scratch):
+    raw = FixtureRaw(spark)
+    for name in ("customers", "loans", "installments", "payments"):
+        getattr(raw, name).write.parquet(f"{scratch}/raw/{name}")
+    stored = LendingModel.from_tables(spark, f"{scratch}/raw", AS_OF)
+    direct = LendingModel(raw, AS_OF)
+    cols = sorted(direct.mart.columns)
+    assert sorted(map(tuple, stored.mart.select(cols).collect())) == sorted(map(tuple, direct.mart.select(cols).collect()))
