@@ -22,7 +22,7 @@ from loanlake.plans import views as V
 from loanlake.plans.model import LendingModel, MaterializedModel
 from loanlake.session import DEFAULT_AS_OF
 from loanlake.sources import schemas, sinks
-from loanlake.sources.binding import RawTables
+from loanlake.sources.binding import RawTables, StoredRawTables
 from loanlake.streaming.incremental import IncrementalPayments, window_rows
 
 log = logging.getLogger("loanlake.jobs")
@@ -81,13 +81,14 @@ def kpis(mart: DataFrame) -> dict:
     return Q.portfolio_kpis(mart).first().asDict()
 
 
-def run_full(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = DEFAULT_AS_OF) -> dict:
+def run_full(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = DEFAULT_AS_OF,
+             raw=None) -> dict:
     t0 = time.time()
-    raw = RawTables(spark, sf_dir)
+    raw = raw or RawTables(spark, sf_dir)
     checks = run_checks(raw, out_root)
     staged = build_staging(raw, out_root, as_of)
     mart = build_mart(spark, staged, out_root, as_of)
-    inc = run_incremental(spark, sf_dir, out_root, as_of)
+    inc = run_incremental(spark, sf_dir, out_root, as_of, raw=raw)
     report = kpis(mart)
     return {"checks_passed": sum(1 for r in checks if r["passed"]), "checks": len(checks),
             "kpis": report, "incremental": inc, "seconds": round(time.time() - t0, 2)}
@@ -140,7 +141,9 @@ def main(argv: list[str] | None = None) -> int:
     from loanlake.session import ensure_checkpoint_dir, get_session
     p = argparse.ArgumentParser(prog="loanlake")
     p.add_argument("mode", choices=["full", "validate", "incremental", "export"])
-    p.add_argument("--source", required=True, help="directory of the driver parquet tables")
+    p.add_argument("--source", required=True,
+                   help="driver parquet tables (--source-kind driver) or raw tables root (tables)")
+    p.add_argument("--source-kind", choices=["driver", "tables"], default="driver")
     p.add_argument("--out", required=True, help="output root on shared storage")
     p.add_argument("--as-of", default=DEFAULT_AS_OF.isoformat())
     p.add_argument("--csv", default=None)
@@ -148,13 +151,14 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     ensure_checkpoint_dir(spark)
     as_of = dt.date.fromisoformat(a.as_of)
+    raw = StoredRawTables(spark, a.source) if a.source_kind == "tables" else RawTables(spark, a.source)
     if a.mode == "full":
-        print(run_full(spark, a.source, a.out, as_of))
+        print(run_full(spark, a.source, a.out, as_of, raw=raw))
     elif a.mode == "validate":
-        rows = run_checks(RawTables(spark, a.source), a.out)
+        rows = run_checks(raw, a.out)
         print(sum(1 for r in rows if r["passed"]), "of", len(rows), "checks passed")
     elif a.mode == "incremental":
-        print(run_incremental(spark, a.source, a.out, as_of))
+        print(run_incremental(spark, a.source, a.out, as_of, raw=raw))
     else:
         run_export(spark, a.out, a.csv or f"{a.out}/bi_dataset_csv", as_of)
     return 0
