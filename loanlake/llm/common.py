@@ -86,46 +86,29 @@ def group_bounds(t: pa.Table, keys: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(change), n)
 
 
-def shared_key_blocks(keyed: DataFrame, node: str, block: int) -> DataFrame:
+def shared_key_blocks(keyed: DataFrame, node: str, block: int, drop_lonely: bool = False) -> DataFrame:
     """Split the groups of equal ``key`` into pairs of blocks.
 
-    ``keyed`` has ``key`` and ``node``. Keys of a single row are left out. A group of n rows is cut
-    by a hash of the node into ceil(n / block) blocks, and each row goes to every pair (lo, hi) of
-    blocks that its own block is part of; so each pair of rows of a group meets, in a task of about
-    two blocks however large the group is. Counts are combined before the shuffle, and nothing is
-    paired here: the tasks compare the two blocks and emit links only.
+    ``keyed`` has ``key`` and ``node``. A group of more than ``block`` rows is cut by a hash of the node
+    into ceil(rows / block) blocks, and each row goes to every pair (lo, hi) of blocks that its own
+    block is part of; so each pair of rows of a group meets, in a task of about two blocks however
+    large the group is. Rows are counted before the shuffle, and nothing is paired here: the tasks
+    compare the two blocks and emit links only. ``drop_lonely`` leaves out keys of a single row (for
+    rows that would carry much).
     """
-    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("group_rows")).where("group_rows > 1")
-    blocks = F.ceil(F.col("group_rows") / F.lit(block)).cast("int")
-    return (keyed.join(counts, "key")
-            .withColumn("own_block", F.pmod(F.xxhash64(node), blocks).cast("int"))
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("group_rows"))
+    if drop_lonely:
+        sized = keyed.join(counts.where("group_rows > 1"), "key")
+    else:
+        sized = keyed.join(counts.where(F.col("group_rows") > block), "key", "left")
+    blocks = F.ceil(F.coalesce("group_rows", F.lit(1)) / F.lit(block)).cast("int")
+    return (sized.withColumn("own_block", F.pmod(F.xxhash64(node), blocks).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .withColumn("lo", F.least("own_block", "other"))
             .withColumn("hi", F.greatest("own_block", "other"))
             .drop("other", "group_rows"))
 
 
-class Forest:
-    """Union-find over the row numbers of one block pair; keeps the joins that made a difference."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        a, b = self.root(i), self.root(j)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
-
-
 def spanning_links(linked: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of a boolean adjacency matrix (rows x columns of one numbering): whole
     neighbour rows are merged at a time, so dense groups cost no Python step per link."""

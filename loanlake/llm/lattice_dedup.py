@@ -186,7 +186,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         functools.partial(_prepare, shape=shape),
         "rep long, label long, copies long, unit binary, cells binary"), "lattice")
     keyed = prepared.select("rep", "cells").mapInArrow(_explode_cells, "rep long, key long")
-    met = shared_key_blocks(keyed, "rep", block).join(prepared, "rep")
+    met = shared_key_blocks(keyed, "rep", block, drop_lonely=True).join(prepared, "rep")
     found = stored(met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(
         functools.partial(_verify, threshold=threshold), "a long, b long, links long"), "links")
     degree = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("linked"))

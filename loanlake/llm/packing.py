@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from loanlake.llm.common import byte_column
 from loanlake.llm.segtree_bpe import PieceCache, slices
 
-POOL = 4096
+POOL = 1024
+WORDS_A_CALL = 4096
+SPACE = "\u0120"  # how byte-level vocabularies write a space
 
 
 @dataclass(frozen=True)
@@ -184,11 +186,30 @@ def document_tokens(path: str) -> PieceCache:
     tokenizer = Tokenizer.from_file(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
+    spaced = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+    spaced[[i for t, i in tokenizer.get_vocab().items() if t.startswith(SPACE)]] = True
+
     def encode(texts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
-    return PieceCache(encode, lambda text: any(s in text for s in special))
+    def encode_words(words: list[str]) -> list[bytes]:
+        """Ids of each word after a space. Many words are one call: they hold no space, so a token
+        that starts with one is the first of its word."""
+        out: list[bytes] = []
+        for at in range(0, len(words), WORDS_A_CALL):
+            part = words[at:at + WORDS_A_CALL]
+            joined = tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids
+            ids = np.array(joined, dtype="<u4")
+            starts = np.flatnonzero(spaced[ids])
+            if len(starts) != len(part):  # a word that is white space in part: each by itself
+                out += encode([" " + w for w in part])
+                continue
+            data, bounds = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
+            out += [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out
+
+    return PieceCache(encode, lambda text: any(s in text for s in special), encode_words)
 
 
 def _read_texts(batch: pa.RecordBatch, path: str, end_id: int):

@@ -30,7 +30,7 @@ from loanlake.llm.common import byte_column
 NEVER = np.int64(1) << np.int64(62)
 POSITION_BITS = 32
 LONGEST_ROW = 64
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 1_000_000
 SLICE_BYTES = 2 << 20
 
 #: A space inside a run of white space: splitting there could move a token border.
@@ -203,13 +203,28 @@ class PieceCache:
     list of strings to packed ids. The cache is emptied when it is full, so memory stays bounded.
     """
 
-    def __init__(self, encode, uncut=lambda text: False, entries: int = CACHE_ENTRIES):
+    def __init__(self, encode, uncut=lambda text: False, encode_words=None, entries: int = CACHE_ENTRIES):
         self.encode, self.uncut, self.entries = encode, uncut, entries
+        self.encode_words = encode_words or (lambda words: encode([" " + w for w in words]))
         self.after_space: dict[str, bytes] = {}  # ids of " " + key
+        self.closing = dict(zip(".,", encode([".", ","])))
 
     def _misses(self, words: set[str]) -> None:
-        words = list(words)
-        self.after_space.update(zip(words, self.encode([" " + w for w in words])))
+        """Ids of new words. A letter and a closing "." or "," never share a token, so "word," takes
+        the ids of "word" and of ","."""
+        known, ended, new = self.after_space, [], []
+        stems = set()
+        for w in words:
+            if w[-1:] in self.closing and w[-2:-1].isalpha():
+                ended.append(w)
+                if w[:-1] not in known and w[:-1] not in words:
+                    stems.add(w[:-1])
+            else:
+                new.append(w)
+        new += stems
+        known.update(zip(new, self.encode_words(new)))
+        for w in ended:
+            known[w] = known[w[:-1]] + self.closing[w[-1]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.after_space) > self.entries:
