@@ -11,10 +11,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import golay_simhash, packing
+from loanlake.llm import ftrl, golay_simhash, packing, template_lines
 from loanlake.llm.common import stored, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more go. The model learns from the labelled rows of ``docs`` whose
+    crc32(doc_id) mod 5 is not 0."""
+    labels = table(spark, sf_dir, "labels").where(ftrl.remainder("doc_id", 5) != 0)
+    scored = ftrl.score(docs.withColumn("__body", F.col("text")), ftrl.fit(docs, labels), text="__body",
+                        keep=docs.columns)
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines whose template occurs in several documents go, but for the first; no document goes."""
+    cleaned = template_lines.drop_recurring(docs)
+    length = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", length).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of fingerprints linked at 4 or fewer bits (4-word shingles) stays."""
     return golay_simhash.drop_near_duplicates(docs, words_each=4, max_bits=4)
@@ -27,7 +43,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
-STAGES = [("simhash_dedup", near_duplicates), ("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_recurring_lines), 
+          ("simhash_dedup", near_duplicates), ("packing", pack)]
 
 #: Logistic regression, fingerprints and tokenizers are beyond SQL; see tests/llm.
 ORACLE_SQL = None

@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import golay_simhash, hamming_topk, lattice_dedup, packing, rendezvous, segtree_bpe, warc_salvage
+from loanlake.llm import (ctw, ftrl, golay_simhash, hamming_topk, lattice_dedup, packing, rendezvous,
+                          segtree_bpe, template_lines, warc_salvage)
 from loanlake.llm.common import table
 
 SHARDS = 8
@@ -51,6 +52,22 @@ def op5_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("law", F.lit("key"))
 
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"), ftrl.remainder("doc_id", 7) == 2)
+
+
+def op7_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return template_lines.drop_recurring(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def op8_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = ftrl.remainder("doc_id", 5) == 0
+    weights = ftrl.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return ftrl.score(docs.withColumn("held_out", held_out), weights, keep=["doc_id", "held_out"])
+
+
 def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc_salvage.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return records.where("kind = 'record'").select(
@@ -65,5 +82,6 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_lattice_dedup, op2_hamming_topk, op3_vector_packing, op4_segtree_bpe, op5_rendezvous,
+    op6_context_tree, op7_template_lines, op8_ftrl_toxicity,
     op9_warc_salvage, op10_golay_simhash)}
 ORACLE_SQL: dict[str, str] = {}
