@@ -209,7 +209,7 @@ def _gather(batches: Iterator[pa.RecordBatch], depth: int, buckets: int):
     for batch in batches:
         ids, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         texts = byte_column(batch, "text")
-        for part in slices(texts):
+        for part in slices(texts, 4 << 20):
             rows = []
             for i in range(part.start, part.stop):
                 rows.append((block, DOC, None, ids[i], held[i], texts[i], None))

@@ -66,7 +66,7 @@ def _lines(batches: Iterator[pa.RecordBatch], min_tokens: int):
     for batch in batches:
         ids = batch.column(0).to_pylist()
         texts = byte_column(batch, "text")
-        for part in slices(texts):
+        for part in slices(texts, 4 << 20):
             doc, pos, name, sig = [], [], [], []
             for i in range(part.start, part.stop):
                 for p, line in enumerate(texts[i].split(b"\n")):
