@@ -66,17 +66,19 @@ def _flips(n: int, a: int) -> np.ndarray:
 
 def _probe_batches(batches: Iterator[pa.RecordBatch], segments: list[tuple[int, int]], a: int):
     """(query, code, bound) -> a row per segment and value at distance a from the query's segment."""
+    m = len(segments)
     for batch in batches:
         query, code, bound = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         for s, (at, n) in enumerate(segments):
-            if a > n:
+            need = np.flatnonzero(s < bound - m * a + 1)
+            if a > n or not len(need):
                 continue
             flips = _flips(n, a)
             mine = (code.view(np.uint64) >> np.uint64(at)).astype(np.int64) & ((1 << n) - 1)
             each = max(1, (1 << 16) // len(flips))
-            for f in range(0, len(query), each):
-                rows = np.repeat(np.arange(f, min(f + each, len(query))), len(flips))
-                value = (mine[f:f + each, None] ^ flips).ravel()
+            for f in range(0, len(need), each):
+                rows = np.repeat(need[f:f + each], len(flips))
+                value = (mine[need[f:f + each], None] ^ flips).ravel()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(query[rows]), pa.array(code[rows]), pa.array(bound[rows]),
                      pa.array(np.full(len(rows), s, dtype=np.int32)), pa.array(value)],
@@ -88,8 +90,8 @@ def top_k(rows: DataFrame, queries: DataFrame, vec_id: str = "vec_id", code: str
     """(query_id, rank, the id column, distance): the k nearest other rows by Hamming distance,
     ties by smaller id, of every query row.
 
-    * ``segment_bits`` defaults to log2 of the number of rows (8 to 20): an index cell then holds
-      about one row.
+    * ``segment_bits`` defaults to log2 of the number of rows less 4 (8 to 24): an index cell then
+      holds some 16 codes, as a probe is a shuffled row and a comparison an XOR inside the join.
     * Rows or queries with a null id or code are left out. A query is never its own answer (rows
       with its id are left out of its answers); repeated ids of one code are one row.
     * Fewer than k other rows: all of them. Empty tables: empty result.
@@ -105,14 +107,14 @@ def top_k(rows: DataFrame, queries: DataFrame, vec_id: str = "vec_id", code: str
     entries = (index.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64)))
                .withColumn("nth", nth).where(F.col("nth") <= k + 1)
                .withColumn("nth", nth_all).where(F.col("nth") <= k + 1)
-               .groupBy("entry").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+               .groupBy("entry").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.min("id").alias("first")))
     entries = stored(entries, "codes")
     n = entries.count()
-    width = segment_bits or max(8, min(20, round(math.log2(max(n, 2)))))
+    width = segment_bits or max(8, min(24, round(math.log2(max(n, 2))) - 4))
     segments = _segments(bits, width)
-    indexed = entries.select("entry", F.explode(F.array(*[
+    indexed = entries.select("entry", "first", F.explode(F.array(*[
         F.struct(F.lit(s).alias("seg"), _segment("entry", at, m).alias("value"))
-        for s, (at, m) in enumerate(segments)])).alias("x")).select("entry", "x.seg", "x.value")
+        for s, (at, m) in enumerate(segments)])).alias("x")).select("entry", "first", "x.seg", "x.value")
     cells = indexed.groupBy("seg", "value").agg(
         F.ceil(F.count(F.lit(1)) / ENTRIES_EACH).cast("int").alias("salts"))
     indexed = stored(indexed.join(cells, ["seg", "value"]).withColumn(
@@ -124,9 +126,9 @@ def top_k(rows: DataFrame, queries: DataFrame, vec_id: str = "vec_id", code: str
     if bits < 64:
         q = q.withColumn("code", F.col("code").bitwiseAND(F.lit((1 << bits) - 1).cast("long")))
     open_ = stored(q.withColumn("bound", F.lit(bits)), "queries")
-    found = stored(spark.createDataFrame([], "query long, code long, entry long, distance int"), "found")
+    found = stored(spark.createDataFrame([], "query long, code long, entry long, first long, distance int"), "found")
     done = []
-    by_distance = Window.partitionBy("query", "code").orderBy("distance", "entry")
+    by_distance = Window.partitionBy("query", "code").orderBy("distance", "first")
     for a in range(max(m for _, m in segments) + 1):
         probes = open_.mapInArrow(functools.partial(_probe_batches, segments=segments, a=a),
                                   "query long, code long, bound int, seg int, value long")
@@ -136,14 +138,14 @@ def top_k(rows: DataFrame, queries: DataFrame, vec_id: str = "vec_id", code: str
         distance = F.bit_count(F.col("code").bitwiseXOR(F.col("entry")))
         met = (probes.join(indexed.drop("salts"), ["seg", "value", "salt"])
                .where(distance <= F.col("bound")).withColumn("distance", distance)
-               .select("query", "code", "entry", "distance").distinct())
-        # keep the nearest entries that can hold the k nearest ids; each entry has at least one id,
-        # besides the query's own
+               .select("query", "code", "entry", "first", "distance").distinct())
+        # the k nearest ids are in the k + 1 nearest entries by distance and first id: each of these
+        # has an id at or before those of all later ones, and only one can be the query's own
         live = found.union(met).distinct()
         best = stored(live.withColumn("nth", F.row_number().over(by_distance))
                       .where(F.col("nth") <= k + 1).drop("nth"), "found")
-        sized = best.join(entries, "entry").select(
-            "query", "code", "entry", "distance",
+        sized = best.join(entries.drop("first"), "entry").select(
+            "query", "code", "first", "distance",
             F.size(F.array_except("ids", F.array("query"))).alias("n"))
         upto = F.sum("n").over(by_distance)
         kth = (sized.withColumn("upto", upto).where(F.col("upto") >= k)
