@@ -23,7 +23,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     executor costs a re-read and never a recomputation of what led to the table."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

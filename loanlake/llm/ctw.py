@@ -80,6 +80,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma for x > 0: Stirling's series six steps up."""
     y = x + 6.0
     series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3)
+    series += 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)
     return series - np.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
 
 
@@ -321,7 +322,7 @@ def _answer(batches: Iterator[pa.RecordBatch], depth: int, top: dict[int, Level]
                     model = Mixture({**top, **_local_levels(body[i], packed[i], depth)})
                 continue
             if key[0] == WORDS:
-                values = np.array([counts.get(w, 0) for w in body[i].split(b"\n")], dtype=np.float64)
+                values = np.array([counts.get(w, 0) for w in body[i].split(b"\n")], dtype=np.int64)
             else:
                 values = model.log10(np.frombuffer(body[i], dtype=np.uint64), depth)
             rows.append((block[i], key[0], key[1], None, None, body[i], values.tobytes()))
@@ -376,7 +377,7 @@ def _score_blocks(batches: Iterator[pa.RecordBatch], depth: int, tokens: int, vo
             if at != now:
                 now, base, known, parts, table = at, {}, set(), [], None
             if kind[i] == WORDS:
-                totals = np.frombuffer(packed[i], dtype=np.float64)
+                totals = np.frombuffer(packed[i], dtype=np.int64)
                 words = body[i].split(b"\n")
                 base.update(zip(words, (np.log10(totals + 1.0) - smooth).tolist()))
                 known.update(w for w, n in zip(words, totals.tolist()) if not n)
