@@ -18,53 +18,53 @@ from pyspark.sql import functions as F
 def key_counts(parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows per distinct parent key (``_p_key``, ``_cnt``), the NULL key included.
 
-    One grouping serves uniqueness checks (``_cnt > 1``), the NOT IN join (a NULL key never
-    matches an equi-join) and the scalar facts below. Every use reads ``_cnt``, so column pruning
-    leaves the aggregate identical in all of them and Spark shuffles it once (exchange reuse);
-    the grouping has map-side partial aggregation, so a hot key is combined before the shuffle.
+    Serves the uniqueness checks (``_cnt > 1``); partial aggregation combines a hot key before the
+    shuffle.
     """
     return parent.groupBy(F.col(parent_key).alias("_p_key")).agg(F.count(F.lit(1)).alias("_cnt"))
 
 
-def _parent_stats(keys: DataFrame) -> Column:
-    """Scalar subquery over ``key_counts``: struct(n = distinct keys incl. NULL, nn = NULL present).
-
-    ``n == 0`` exactly when the parent is empty; ``nn > 0`` exactly when it holds a NULL key.
-    """
-    return keys.select(F.struct(
+def _parent_stats(parent: DataFrame, parent_key: str) -> Column:
+    """Scalar subquery: struct(n = rows, nn = rows with a NULL key) of the parent. A plain aggregate: one
+    partial row per task is all that is shuffled."""
+    return parent.select(F.struct(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("_p_key").isNull() & (F.col("_cnt") > 0)).alias("nn"),
+        F.count_if(F.col(parent_key).isNull()).alias("nn"),
     )).scalar()
 
 
+def _present_keys(parent: DataFrame, parent_key: str) -> DataFrame:
+    """Distinct non-null parent keys (``_p_key``). The join below is on plain equality, so it takes this
+    grouping's partitioning as it is: one exchange per key set."""
+    return parent.select(F.col(parent_key).alias("_p_key")).where(F.col("_p_key").isNotNull()).distinct()
+
+
 def with_not_in_flag(left: DataFrame, left_key: Column, parent: DataFrame, parent_key: str,
                      flag_name: str) -> DataFrame:
-    """Add ``flag_name = CASE WHEN left_key NOT IN (SELECT parent_key FROM parent) THEN TRUE ELSE FALSE``."""
-    keys = key_counts(parent, parent_key)
-    stats = _parent_stats(keys)
-    hits = keys.select("_p_key", (F.col("_cnt") > 0).alias("_p_hit"))
-    # Null-safe equality keeps Catalyst from inferring an IS NOT NULL filter on the key side, so
-    # the join and the scalar facts read the very same aggregated keys (one exchange, reused).
-    # A NULL left key short-circuits below before the match column is consulted.
-    joined = left.withColumn("_l_key", left_key).join(hits, F.col("_l_key").eqNullSafe(F.col("_p_key")), "left")
-    flag = (F.when(stats["n"] == 0, F.lit(True))
-            .when(F.col("_l_key").isNull(), F.lit(False))
-            .when(F.col("_p_hit").isNotNull(), F.lit(False))
-            .when(stats["nn"] > 0, F.lit(False))
-            .otherwise(F.lit(True)))
-    return joined.withColumn(flag_name, flag).drop("_l_key", "_p_key", "_p_hit")
+    """Add ``flag_name = CASE WHEN left_key NOT IN (SELECT parent_key FROM parent) THEN TRUE ELSE FALSE``.
+
+    Rows with a NULL key match nothing, so they skip the join instead of meeting in one partition.
+    """
+    stats = _parent_stats(parent, parent_key)
+    empty = stats["n"] == 0
+    hits = _present_keys(parent, parent_key).withColumn("_p_hit", F.lit(True))
+    keyed = left.withColumn("_l_key", left_key)
+    joined = keyed.where(F.col("_l_key").isNotNull()).join(hits, F.col("_l_key") == F.col("_p_key"), "left")
+    flagged = joined.withColumn(flag_name, empty | (F.col("_p_hit").isNull() & (stats["nn"] == 0)))
+    without = keyed.where(F.col("_l_key").isNull()).withColumn(flag_name, empty)
+    out = [*left.columns, flag_name]
+    return flagged.select(*out).unionByName(without.select(*out))
 
 
 def not_in_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Rows of ``child`` for which ``child_key NOT IN (SELECT parent_key FROM parent)`` is TRUE."""
-    keys = key_counts(parent, parent_key)
-    stats = _parent_stats(keys)
+    """Rows of ``child`` for which ``child_key NOT IN (SELECT parent_key FROM parent)`` is TRUE: all if
+    the parent is empty, none if it holds a NULL, else those with a non-null key without a match."""
+    stats = _parent_stats(parent, parent_key)
     k = F.col(child_key)
-    # Parent empty -> every row; parent with a NULL key -> no row; else non-null keys without match.
-    pre = child.where((stats["n"] == 0) | (k.isNotNull() & (stats["nn"] == 0)))
-    # null-safe for exchange reuse (see with_not_in_flag); a NULL child key survives ``pre`` only
-    # when the parent is empty, where nothing can match anyway
-    return pre.join(keys, k.eqNullSafe(F.col("_p_key")) & (F.col("_cnt") > 0), "left_anti")
+    keys = _present_keys(parent, parent_key)
+    with_key = child.where(k.isNotNull() & (stats["nn"] == 0)).join(keys, k == F.col("_p_key"), "left_anti")
+    without = child.where(k.isNull() & (stats["n"] == 0))
+    return with_key.unionByName(without)
 
 
 def with_in_flag(left: DataFrame, left_key: Column, keys: DataFrame, key: str, flag_name: str) -> DataFrame:

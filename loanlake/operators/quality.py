@@ -16,14 +16,19 @@ Each table's checks form one small DataFrame; ``quality_report`` unions them (30
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from loanlake.functions import expr as X
 from loanlake.operators.existence import key_counts, not_in_rows
 
+REPORT_SCHEMA = ("seq int, table_name string, check_name string, failed_count bigint, threshold bigint, "
+                 "passed boolean, detail string")
 REPORT_COLUMNS = ["seq", "table_name", "check_name", "failed_count", "threshold", "passed", "detail"]
 
 
@@ -74,77 +79,113 @@ def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > 1)
 
 
+@dataclass(frozen=True)
+class FrameRule:
+    """A check whose failure count is the row count of a frame."""
+    seq: int
+    table: str
+    name: str
+    rows: Callable[[], DataFrame]
+    threshold: int = 0
+
+
+@dataclass(frozen=True)
+class TableChecks:
+    df: DataFrame
+    rules: list[RowRule]
+    frames: list[FrameRule]
+
+    def report(self) -> DataFrame:
+        parts = [_row_rules(self.df, self.rules)] if self.rules else []
+        parts += [_scalar(f.seq, f.table, f.name, f.rows(), f.threshold) for f in self.frames]
+        return reduce(DataFrame.unionByName, parts)
+
+
 # ------------------------------------------------------------------------------------ per table
 
-def quality_customers(customers: DataFrame) -> DataFrame:
+def customer_checks(customers: DataFrame) -> TableChecks:
     c = F.col
-    rules = [
+    return TableChecks(customers, [
         RowRule(1, "customers", "pk_not_null", X.is_blank("customer_id")),
         RowRule(3, "customers", "segment_valid", X.not_in(c("segment"), X.CUSTOMER_SEGMENTS)),
         RowRule(4, "customers", "income_positive", X.not_positive("monthly_income")),
         RowRule(5, "customers", "city_not_null", X.is_blank("city")),
-    ]
-    return _row_rules(customers, rules).unionByName(
-        _scalar(2, "customers", "pk_unique", duplicate_groups(customers, ["customer_id"])))
+    ], [FrameRule(2, "customers", "pk_unique", lambda: duplicate_groups(customers, ["customer_id"]))])
 
 
-def quality_loans(loans: DataFrame, customers: DataFrame) -> DataFrame:
+def loan_checks(loans: DataFrame, customers: DataFrame) -> TableChecks:
     c = F.col
     rate = c("annual_rate")
-    rules = [
+    return TableChecks(loans, [
         RowRule(6, "loans", "pk_not_null", X.is_blank("loan_id")),
         RowRule(9, "loans", "amount_positive", X.not_positive("principal_amount")),
         RowRule(10, "loans", "rate_in_range", rate.isNull() | (rate <= 0) | (rate > 1)),
         RowRule(11, "loans", "status_valid", X.not_in(F.upper(c("loan_status")), X.LOAN_STATUSES)),
         RowRule(12, "loans", "term_positive", X.not_positive("term_months")),
-    ]
-    return (_row_rules(loans, rules)
-            .unionByName(_scalar(7, "loans", "pk_unique", duplicate_groups(loans, ["loan_id"])))
-            .unionByName(_scalar(8, "loans", "fk_customer",
-                                 not_in_rows(loans, "customer_id", customers, "customer_id"))))
+    ], [
+        FrameRule(7, "loans", "pk_unique", lambda: duplicate_groups(loans, ["loan_id"])),
+        FrameRule(8, "loans", "fk_customer", lambda: not_in_rows(loans, "customer_id", customers, "customer_id")),
+    ])
 
 
-def quality_installments(installments: DataFrame, loans: DataFrame) -> DataFrame:
+def installment_checks(installments: DataFrame, loans: DataFrame) -> TableChecks:
     c = F.col
-    rules = [
+    return TableChecks(installments, [
         RowRule(13, "installments", "pk_not_null", X.is_blank("installment_id")),
         RowRule(16, "installments", "status_valid",
                 X.not_in(F.upper(c("installment_status")), X.INSTALLMENT_STATUSES)),
         RowRule(17, "installments", "number_outlier",
                 c("installment_number") == X.OUTLIER_INSTALLMENT_NUMBER, threshold=1),
         RowRule(18, "installments", "amounts_non_negative", (c("principal_due") < 0) | (c("interest_due") < 0)),
-    ]
-    open_loans = loans.where(c("loan_status").isin(*X.OPEN_LOAN_STATUSES))
-    return (_row_rules(installments, rules)
-            .unionByName(_scalar(14, "installments", "pk_unique",
-                                 duplicate_groups(installments, ["installment_id"])))
-            .unionByName(_scalar(15, "installments", "fk_loan",
-                                 not_in_rows(installments, "loan_id", loans, "loan_id")))
-            .unionByName(_scalar(19, "loans", "without_installments",
-                                 not_in_rows(open_loans, "loan_id", installments, "loan_id"))))
+    ], [
+        FrameRule(14, "installments", "pk_unique", lambda: duplicate_groups(installments, ["installment_id"])),
+        FrameRule(15, "installments", "fk_loan", lambda: not_in_rows(installments, "loan_id", loans, "loan_id")),
+        FrameRule(19, "loans", "without_installments", lambda: loans_without_installments(loans, installments)),
+    ])
 
 
-def quality_payments(payments: DataFrame, loans: DataFrame, installments: DataFrame) -> DataFrame:
+def payment_checks(payments: DataFrame, loans: DataFrame, installments: DataFrame) -> TableChecks:
     c = F.col
     status = F.upper(c("payment_status"))
-    rules = [
+    confirmed = status == F.lit("CONFIRMED")
+    return TableChecks(payments, [
         RowRule(20, "payments", "pk_not_null", X.is_blank("payment_id")),
         RowRule(24, "payments", "amount_invalid", X.not_positive("payment_amount"), threshold=1),
         RowRule(25, "payments", "channel_null", c("payment_channel").isNull(), threshold=1),
         RowRule(26, "payments", "status_valid", X.not_in(status, X.PAYMENT_STATUSES)),
         RowRule(27, "payments", "unconfirmed", status.isin("REVERSED", "PENDING"), threshold=5),
-    ]
-    confirmed = payments.where(status == F.lit("CONFIRMED"))
-    return (_row_rules(payments, rules)
-            .unionByName(_scalar(21, "payments", "pk_unique", duplicate_groups(payments, ["payment_id"])))
-            .unionByName(_scalar(22, "payments", "fk_loan",
-                                 not_in_rows(payments, "loan_id", loans, "loan_id")))
-            .unionByName(_scalar(23, "payments", "orphan_installment",
-                                 not_in_rows(payments, "installment_id", installments, "installment_id"),
-                                 threshold=1))
-            .unionByName(_scalar(28, "payments", "possible_duplicate",
-                                 duplicate_groups(confirmed, ["loan_id", "installment_id", "payment_date"]),
-                                 threshold=2)))
+    ], [
+        FrameRule(21, "payments", "pk_unique", lambda: duplicate_groups(payments, ["payment_id"])),
+        FrameRule(22, "payments", "fk_loan", lambda: not_in_rows(payments, "loan_id", loans, "loan_id")),
+        FrameRule(23, "payments", "orphan_installment",
+                  lambda: not_in_rows(payments, "installment_id", installments, "installment_id"), threshold=1),
+        FrameRule(28, "payments", "possible_duplicate",
+                  lambda: duplicate_groups(payments.where(confirmed), ["loan_id", "installment_id", "payment_date"]),
+                  threshold=2),
+    ])
+
+
+def cross_checks(loans: DataFrame, payments: DataFrame, installments: DataFrame) -> TableChecks:
+    return TableChecks(loans, [], [
+        FrameRule(29, "cross", "collected_vs_principal", lambda: overcollected_loans(loans, payments)),
+        FrameRule(30, "cross", "closed_unpaid", lambda: closed_with_unpaid(installments, loans), threshold=2),
+    ])
+
+
+def quality_customers(customers: DataFrame) -> DataFrame:
+    return customer_checks(customers).report()
+
+
+def quality_loans(loans: DataFrame, customers: DataFrame) -> DataFrame:
+    return loan_checks(loans, customers).report()
+
+
+def quality_installments(installments: DataFrame, loans: DataFrame) -> DataFrame:
+    return installment_checks(installments, loans).report()
+
+
+def quality_payments(payments: DataFrame, loans: DataFrame, installments: DataFrame) -> DataFrame:
+    return payment_checks(payments, loans, installments).report()
 
 
 def overcollected_loans(loans: DataFrame, payments: DataFrame) -> DataFrame:
@@ -174,19 +215,40 @@ def closed_with_unpaid(installments: DataFrame, loans: DataFrame) -> DataFrame:
 
 
 def quality_cross(loans: DataFrame, payments: DataFrame, installments: DataFrame) -> DataFrame:
-    return (_scalar(29, "cross", "collected_vs_principal", overcollected_loans(loans, payments))
-            .unionByName(_scalar(30, "cross", "closed_unpaid", closed_with_unpaid(installments, loans),
-                                 threshold=2)))
+    return cross_checks(loans, payments, installments).report()
+
+
+def all_checks(customers: DataFrame, loans: DataFrame, installments: DataFrame,
+               payments: DataFrame) -> list[TableChecks]:
+    return [customer_checks(customers), loan_checks(loans, customers), installment_checks(installments, loans),
+            payment_checks(payments, loans, installments), cross_checks(loans, payments, installments)]
 
 
 def quality_report(customers: DataFrame, loans: DataFrame, installments: DataFrame,
                    payments: DataFrame) -> DataFrame:
     """All 30 checks, one row each (``seq`` gives the report order)."""
-    return (quality_customers(customers)
-            .unionByName(quality_loans(loans, customers))
-            .unionByName(quality_installments(installments, loans))
-            .unionByName(quality_payments(payments, loans, installments))
-            .unionByName(quality_cross(loans, payments, installments)))
+    return reduce(DataFrame.unionByName,
+                  [t.report() for t in all_checks(customers, loans, installments, payments)])
+
+
+def evaluate_report(customers: DataFrame, loans: DataFrame, installments: DataFrame, payments: DataFrame) -> list:
+    """The 30 report rows. One plan for all; if that fails, each check by itself, so that a check that
+    cannot run (a missing column, say) is a row with count -1 that does not pass, and the others count."""
+    try:
+        return quality_report(customers, loans, installments, payments).orderBy("seq").collect()  # 30 rows
+    except PySparkException:
+        pass
+    rows = []
+    for t in all_checks(customers, loans, installments, payments):
+        alone = [(r, TableChecks(t.df, [r], [])) for r in t.rules] + [(f, TableChecks(t.df, [], [f])) for f in t.frames]
+        for check, one in alone:
+            try:
+                rows.append(one.report().first())
+            except PySparkException as e:
+                rows.append(Row(seq=check.seq, table_name=check.table, check_name=check.name, failed_count=-1,
+                                threshold=check.threshold, passed=False,
+                                detail=f"error: {e.getCondition() or type(e).__name__}"))
+    return sorted(rows, key=lambda r: r["seq"])
 
 
 def fk_violations(loans: DataFrame, customers: DataFrame, installments: DataFrame,

@@ -34,3 +34,13 @@ def append_new(existing: DataFrame, updates: DataFrame, key: list[str]) -> DataF
     """Insert-only load: rows of ``updates`` whose key is not stored yet are appended."""
     fresh = updates.select(*existing.columns).join(existing.select(*key).distinct(), key, "left_anti")
     return existing.unionByName(fresh)
+
+
+def merge_versions(existing: DataFrame, versions: DataFrame, key: list[str], order_by: str, keep: str) -> DataFrame:
+    """MERGE of row versions: per key the newest by ``order_by`` decides (a tie: the new version); the
+    row stays only if that version has ``keep``. This is the matched-delete branch that a plain upsert
+    of clean rows lacks. One grouping with partial aggregation, whatever the key's frequency."""
+    cols = existing.columns
+    tagged = (existing.select(*cols, F.lit(True).alias("_keep"), F.lit(0).alias("_src"))
+              .unionByName(versions.select(*cols, F.col(keep).alias("_keep"), F.lit(1).alias("_src"))))
+    return dedup_latest(tagged, key, [order_by, "_src"]).where("_keep").select(*cols)

@@ -48,23 +48,31 @@ def top_k_numbered(df: DataFrame, order_by: list[Column], k: int, rank_col: str
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
 
 
-def running_total_large(df: DataFrame, value: str, order_col: str, out: str, n_parts: int | None = None) -> DataFrame:
-    """Global running total for inputs too large for one task.
-
-    Range-partition by the order column, compute a running sum inside each partition, then add
-    the total of all earlier partitions (one small aggregate of per-partition sums, joined back
-    on the partition id). Requires a total order (``order_col`` unique).
+def running_total_large(df: DataFrame, value: str, order_col: str, out: str, n_parts: int = 64) -> DataFrame:
+    """Global running total (``ROWS UNBOUNDED PRECEDING`` by ``order_col``) for inputs too large for one task.
+
+    ``order_col`` is numeric, a date or a timestamp without NULLs, and unique. Its approximate quantiles
+    give at most ``n_parts - 1`` bounds (one row to the driver); a row's bucket is a function of its own
+    ``order_col`` and these bounds, so every branch of the plan agrees on it, whatever columns it
+    carries. Running sums inside the buckets are shifted by the totals of earlier buckets, at most
+    ``n_parts`` rows.
     """
-    parts = df.repartitionByRange(n_parts, order_col) if n_parts else df.repartitionByRange(order_col)
-    with_pid = parts.withColumn("_pid", F.spark_partition_id())
-    local = with_pid.withColumn(
-        "_local", F.sum(value).over(Window.partitionBy("_pid").orderBy(order_col)
-                                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    sums = with_pid.groupBy("_pid").agg(F.sum(value).alias("_psum"))
-    offsets = sums.withColumn(
-        "_offset", F.coalesce(F.sum("_psum").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)))
-    # one row per partition: bounded by the partition count, so broadcasting it is safe
-    return (local.join(F.broadcast(offsets.select("_pid", "_offset")), "_pid")
+    kind = df.schema[order_col].dataType.typeName()
+    o = F.col(order_col)
+    place = {"date": F.unix_date(o).cast("double")}.get(
+        kind, o.cast("timestamp").cast("double") if kind.startswith("timestamp") else o.cast("double"))
+    bounds = df.select(place.alias("_at")).agg(F.percentile_approx(
+        "_at", [i / n_parts for i in range(1, n_parts)], 10_000)).first()[0] or []
+    bounds = sorted(set(bounds))
+    bucket = F.aggregate(F.array(*[F.lit(b) for b in bounds]), F.lit(0),
+                         lambda n, b: n + (place > b).cast("int")) if bounds else F.lit(0)
+    placed = df.withColumn("_bucket", bucket)
+    inside = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    totals = placed.groupBy("_bucket").agg(F.sum(value).alias("_sum"))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    # at most n_parts rows: the size is bounded by the parameter
+    return (placed.withColumn("_local", F.sum(value).over(inside)).join(F.broadcast(offsets), "_bucket")
             .withColumn(out, F.col("_local") + F.col("_offset"))
-            .drop("_pid", "_local", "_offset"))
+            .drop("_bucket", "_local", "_offset"))

@@ -1,8 +1,10 @@
 """Job modes: full build, checks only, incremental payments, BI export.
 
-Each stage output is written as a new table version and read back before the next layer, so a
-lost executor only recomputes from the last written layer (lineage is cut at every write). Only
-bounded results reach the driver: the 30-row quality report, one-row KPIs and one-row marks.
+A job writes every stage output as a new table version, reads it back before the next layer (a lost
+executor recomputes from the last written layer) and publishes all of them with the incremental mark
+in one commit at the end. A job that fails before that leaves the previous state current, and running
+it again does the whole work. Only bounded results reach the driver: the 30-row quality report,
+one-row KPIs and one-row marks.
 """
 
 from __future__ import annotations
@@ -15,66 +17,79 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlake.operators import quality, staging
-from loanlake.operators.rollups import payment_rollup
-from loanlake.plans import mart as mart_plans
 from loanlake.plans import questions as Q
 from loanlake.plans import views as V
 from loanlake.plans.model import LendingModel, MaterializedModel
 from loanlake.session import DEFAULT_AS_OF
 from loanlake.sources import schemas, sinks
 from loanlake.sources.binding import RawTables, StoredRawTables
-from loanlake.streaming.incremental import IncrementalPayments, window_rows
+from loanlake.streaming.incremental import DEFAULT_MARK, MARK, IncrementalPayments, merge_payments
 
 log = logging.getLogger("loanlake.jobs")
 
 STAGED = ("customers", "loans", "installments", "payments")
+LATE_OVERLAP = dt.timedelta(days=3)  # rows may arrive with a load stamp this far back
 
 
-def run_checks(raw: RawTables, out_root: str | None = None) -> list:
-    """Evaluate the 30 checks; optionally persist the report and its Markdown evidence."""
-    report = quality.quality_report(raw.customers, raw.loans, raw.installments, raw.payments)
-    rows = report.orderBy("seq").collect()  # 30 rows
+class ChecksFailed(RuntimeError):
+    """A quality check named in ``fail_on`` did not pass."""
+
+
+def run_checks(raw: RawTables, out_root: str | None = None, fail_on: set[str] | None = None,
+               publication: sinks.Publication | None = None) -> list:
+    """Evaluate the 30 checks; optionally persist the report and its Markdown evidence. ``fail_on`` names
+    checks that stop the job when they do not pass (the evidence is written first)."""
+    rows = quality.evaluate_report(raw.customers, raw.loans, raw.installments, raw.payments)
     if out_root:
         spark = raw.spark
-        sinks.write_table(spark.createDataFrame(rows, report.schema), out_root, "quality_report",
-                          audit_col="checked_at")
+        p = publication or sinks.Publication(spark, out_root)
+        p.write(spark.createDataFrame(rows, quality.REPORT_SCHEMA), "quality_report", audit_col="checked_at")
         sinks.write_text(spark, sinks.quality_markdown(rows), f"{out_root}/quality_evidence")
+        if publication is None:
+            p.commit()
     failed = [r for r in rows if not r["passed"]]
     log.info("quality: %d/%d passed", len(rows) - len(failed), len(rows))
+    stop = sorted(r["check_name"] for r in failed if r["check_name"] in (fail_on or ()))
+    if stop:
+        raise ChecksFailed(", ".join(stop))
     return rows
 
 
-def build_staging(raw: RawTables, out_root: str, as_of: dt.date) -> dict[str, DataFrame]:
-    """Write the four staged tables (plus rejected rows) and return them read back."""
+def build_dimensions(raw: RawTables, p: sinks.Publication, as_of: dt.date) -> dict[str, DataFrame]:
+    """Write customers, loans and installments (and all rejected rows) and return them read back."""
     m = LendingModel(raw, as_of)
-    frames = {"customers": m.customers, "loans": m.loans, "installments": m.installments,
-              "payments": m.payments}
+    frames = {"customers": m.customers, "loans": m.loans, "installments": m.installments}
     rejected = {
         "customers": staging.rejected_customers(raw.customers),
         "loans": staging.rejected_loans(raw.loans),
         "installments": staging.rejected_installments(raw.installments, as_of),
         "payments": staging.rejected_payments(raw.payments, raw.installments),
     }
+    for name, df in rejected.items():
+        p.write(df, f"rejected_{name}", audit_col="staged_at")
     out = {}
     for name, df in frames.items():
         schemas.assert_schema(df, schemas.STAGED[name])  # contract check on the plan, no job
-        sinks.write_table(df, out_root, f"stg_{name}", audit_col="staged_at")
-        sinks.write_table(rejected[name], out_root, f"rejected_{name}", audit_col="staged_at")
-        out[name] = sinks.read_table(raw.spark, out_root, f"stg_{name}").drop("staged_at")
+        p.write(df, f"stg_{name}", audit_col="staged_at")
+        out[name] = p.read(f"stg_{name}").drop("staged_at")
     return out
 
 
-def build_mart(spark: SparkSession, staged: dict[str, DataFrame], out_root: str, as_of: dt.date) -> DataFrame:
+def write_payments(p: sinks.Publication, df: DataFrame) -> None:
+    schemas.assert_schema(df, schemas.STAGED["payments"])
+    p.write(df, "stg_payments", audit_col="staged_at")
+
+
+def build_mart(staged: dict[str, DataFrame], p: sinks.Publication, as_of: dt.date) -> DataFrame:
     m = MaterializedModel(staged, as_of)
     schemas.assert_schema(m.mart, schemas.MART)
-    # D9: the mart is laid out by origination cohort (partition pruning on cohort and date
-    # ranges) and clustered by city and segment inside each file (row-group min/max pruning).
-    # Sorting within the existing partitions needs no shuffle and never sends a whole (possibly
-    # huge) cohort month to one task, as a repartition by cohort would.
-    clustered = m.mart.sortWithinPartitions("cohort_month", "city", "segment")
-    sinks.write_table(clustered, out_root, "portfolio_mart", audit_col="refreshed_at",
-                      partition_by=["cohort_month"])
-    return sinks.read_table(spark, out_root, "portfolio_mart").drop("refreshed_at")
+    # D9: laid out by origination cohort, clustered by city and segment inside each file. REBALANCE
+    # brings a month's rows together, splits months larger than the advisory size and merges small
+    # ones, so the number of files follows months and size, not tasks x months.
+    clustered = (m.mart.hint("rebalance", "cohort_month")
+                 .sortWithinPartitions("cohort_month", "city", "segment"))
+    p.write(clustered, "portfolio_mart", audit_col="refreshed_at", partition_by=["cohort_month"])
+    return p.read("portfolio_mart").drop("refreshed_at")
 
 
 def kpis(mart: DataFrame) -> dict:
@@ -82,52 +97,44 @@ def kpis(mart: DataFrame) -> dict:
 
 
 def run_full(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = DEFAULT_AS_OF,
-             raw=None) -> dict:
+             raw=None, fail_on: set[str] | None = None) -> dict:
+    """Checks, staging, mart and mark from the raw tables, published together. The newest version of a
+    payment id decides, as in the incremental run."""
     t0 = time.time()
     raw = raw or RawTables(spark, sf_dir)
-    checks = run_checks(raw, out_root)
-    staged = build_staging(raw, out_root, as_of)
-    mart = build_mart(spark, staged, out_root, as_of)
-    inc = run_incremental(spark, sf_dir, out_root, as_of, raw=raw)
+    p = sinks.Publication(spark, out_root)
+    checks = run_checks(raw, out_root, fail_on, p)
+    staged = build_dimensions(raw, p, as_of)
+    hi = raw.payments.agg(F.max("loaded_at")).first()[0]
+    write_payments(p, merge_payments(None, raw.payments, raw.installments))
+    staged["payments"] = p.read("stg_payments").drop("staged_at")
+    mart = build_mart(staged, p, as_of)
     report = kpis(mart)
+    p.commit({MARK: hi or DEFAULT_MARK})
     return {"checks_passed": sum(1 for r in checks if r["passed"]), "checks": len(checks),
-            "kpis": report, "incremental": inc, "seconds": round(time.time() - t0, 2)}
+            "kpis": report, "mark": hi, "seconds": round(time.time() - t0, 2)}
 
 
 def run_incremental(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = DEFAULT_AS_OF,
-                    raw=None) -> dict:
-    """Upsert new payments since the stored mark, then bring the mart up to date.
+                    raw=None, overlap: dt.timedelta = LATE_OVERLAP) -> dict:
+    """Merge the payments loaded since the committed mark (and the ``overlap`` before it), refresh the
+    other staged tables and the mart, and publish all of it with the new mark in one commit.
 
-    When the stored mart has the same cut-off, only the loans that received new payments are
-    refreshed (``mart.refresh_payments``: their payments are re-aggregated, the rest of the mart
-    passes through); otherwise the mart is rebuilt from the staged tables.
+    Only payments are read by window. The other tables are small beside them and carry no load stamp,
+    so they are refreshed whole, and the mart with them: it depends on all four and on the cut-off.
     """
     raw = raw or RawTables(spark, sf_dir)
-    current = sinks.current_path(spark, out_root, "stg_payments")
-    staged_pay = spark.read.parquet(current).drop("staged_at") if current else None
-    inc = IncrementalPayments(spark, f"{out_root}/_state/payments_mark")
-    result = inc.run(raw.payments, raw.installments, staged_pay,
-                     lambda df: sinks.write_table(df, out_root, "stg_payments", audit_col="staged_at"))
-    result["mart"] = "unchanged"
-    if result["new_rows"] > 0 and all(sinks.current_path(spark, out_root, f"stg_{n}") for n in STAGED):
-        staged = {n: sinks.read_table(spark, out_root, f"stg_{n}").drop("staged_at") for n in STAGED}
-        mart_path = sinks.current_path(spark, out_root, "portfolio_mart")
-        old = spark.read.parquet(mart_path).drop("refreshed_at") if mart_path else None
-        same_cutoff = old is not None and (old.select("as_of").first() or {"as_of": None})["as_of"] == as_of
-        if same_cutoff:
-            affected = (window_rows(raw.payments, result["previous_mark"], result["new_mark"])
-                        .select(F.trim("loan_id").alias("loan_id")).distinct())
-            m = MaterializedModel(staged, as_of)
-            pays = m.payments.join(affected, "loan_id", "left_semi")
-            fresh = mart_plans.refresh_payments(old.select(*mart_plans.MART_COLUMNS),
-                                                payment_rollup(pays, m.installments), affected)
-            sinks.write_table(fresh.sortWithinPartitions("cohort_month", "city", "segment"), out_root,
-                              "portfolio_mart", audit_col="refreshed_at", partition_by=["cohort_month"])
-            result["mart"] = "delta"
-        else:
-            build_mart(spark, staged, out_root, as_of)
-            result["mart"] = "rebuilt"
-    return result
+    p = sinks.Publication(spark, out_root)
+    old = p.read("stg_payments").drop("staged_at") if p.path("stg_payments") else None
+    inc = IncrementalPayments(spark, p.base.marks.get(MARK, DEFAULT_MARK), overlap)
+    result = inc.run(raw.payments, raw.installments, old, lambda df: write_payments(p, df))
+    if not p.path("stg_payments"):
+        return result | {"mart": "unchanged"}
+    staged = build_dimensions(raw, p, as_of)
+    staged["payments"] = p.read("stg_payments").drop("staged_at")
+    build_mart(staged, p, as_of)
+    p.commit({MARK: result["new_mark"]})
+    return result | {"mart": "rebuilt"}
 
 
 def run_export(spark: SparkSession, out_root: str, csv_path: str, as_of: dt.date = DEFAULT_AS_OF) -> None:
@@ -147,13 +154,16 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", required=True, help="output root on shared storage")
     p.add_argument("--as-of", default=DEFAULT_AS_OF.isoformat())
     p.add_argument("--csv", default=None)
+    p.add_argument("--fail-on", default="", help="comma-separated checks that stop a full run when they fail")
+    p.add_argument("--vacuum", action="store_true", help="drop versions of older commits afterwards")
     a = p.parse_args(argv)
     spark = get_session()
     ensure_checkpoint_dir(spark)
     as_of = dt.date.fromisoformat(a.as_of)
     raw = StoredRawTables(spark, a.source) if a.source_kind == "tables" else RawTables(spark, a.source)
     if a.mode == "full":
-        print(run_full(spark, a.source, a.out, as_of, raw=raw))
+        print(run_full(spark, a.source, a.out, as_of, raw=raw,
+                       fail_on={x for x in a.fail_on.split(",") if x}))
     elif a.mode == "validate":
         rows = run_checks(raw, a.out)
         print(sum(1 for r in rows if r["passed"]), "of", len(rows), "checks passed")
@@ -161,6 +171,8 @@ def main(argv: list[str] | None = None) -> int:
         print(run_incremental(spark, a.source, a.out, as_of, raw=raw))
     else:
         run_export(spark, a.out, a.csv or f"{a.out}/bi_dataset_csv", as_of)
+    if a.vacuum:
+        sinks.vacuum(spark, a.out)
     return 0
 
 

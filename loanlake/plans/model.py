@@ -14,33 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from loanlake.operators import rollups, staging
 from loanlake.plans import mart as mart_plans
 from loanlake.sources.binding import RawTables, StoredRawTables
-from loanlake.session import DEFAULT_AS_OF, app_id
+from loanlake.session import DEFAULT_AS_OF
 
 
 class LendingModel:
-    # Lazy plan definitions per (application, source, cut-off). Building a plan is pure driver work
-    # (thousands of expression objects, table resolution); defining it once per session and
-    # reusing it is what registering views does. No data is cached: every action re-reads the
-    # source. ``refresh=True`` re-resolves the tables, e.g. after new files landed.
-    _defined: dict[tuple, "LendingModel"] = {}
-    _raw: dict[tuple, RawTables] = {}
-
     def __init__(self, raw: RawTables, as_of: dt.date = DEFAULT_AS_OF):
         self.raw = raw
         self.as_of = as_of
 
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
-                    refresh: bool = False, ingest: bool = True) -> "LendingModel":
-        """Model over the driver tables; by default the bound raw layer is ingested once per
-        session (see ``RawTables``)."""
-        raw_key = (app_id(spark), sf_dir.rstrip("/"), ingest)
-        if refresh or raw_key not in cls._raw:
-            cls._raw[raw_key] = RawTables(spark, sf_dir, ingest=ingest)
-        key = raw_key + (as_of,)
-        if refresh or key not in cls._defined:
-            cls._defined[key] = cls(cls._raw[raw_key], as_of)
-        return cls._defined[key]
+    def from_driver(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF) -> "LendingModel":
+        """Model over the driver tables as they are now; nothing is copied or kept between calls."""
+        return cls(RawTables(spark, sf_dir), as_of)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, as_of: dt.date = DEFAULT_AS_OF) -> "LendingModel":

@@ -51,30 +51,20 @@ def _set_checkpoint_dir(spark: SparkSession, path: str) -> None:
         pass
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only when none is configured.
+_OWN_CHECKPOINT_DIR: dict[str, str] = {}
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is honoured as is (and is
-    required); the scratch-folder fallback exists for local masters (tests, single machine) only.
-    """
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the folder that ``spark.checkpoint.dir`` names. Where it is unset (tests), one scratch
+    folder per application is made and used; a cluster names shared storage there."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        _set_checkpoint_dir(spark, current)
-        return current
-    try:
-        local = spark.sparkContext.master.startswith("local")
-    except Exception:
-        local = False
-    if not local:
-        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
-                           "(e.g. --conf spark.checkpoint.dir=hdfs:///.../checkpoints)")
-    path = tempfile.mkdtemp(prefix="loanlake-ckpt-")
-    try:
-        spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # some deployments reject runtime changes of core settings
-        pass
-    _set_checkpoint_dir(spark, path)
-    return path
+    if current is None:
+        key = app_id(spark)
+        if key not in _OWN_CHECKPOINT_DIR:
+            _OWN_CHECKPOINT_DIR[key] = tempfile.mkdtemp(prefix="loanlake-ckpt-")
+        current = _OWN_CHECKPOINT_DIR[key]
+    _set_checkpoint_dir(spark, current)
+    return current
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -94,7 +84,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     # Only effective when this call starts the JVM (local runs); on a cluster these come from
     # spark-submit.
     builder = builder.config("spark.ui.enabled", "false")
-    builder = builder.config("spark.driver.memory", os.environ.get("LOANLAKE_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("LOANLAKE_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     try:
         submitted = spark.sparkContext.getConf()

@@ -8,6 +8,11 @@ written as SQL in ``oracle_sql.py``; both must stay in step.
 
 | model | source | rule |
 |---|---|---|
+Defects are planted by key, so that every rule has rows to find: blank and repeated ids, missing parents,
+bad amounts, rates, terms and statuses, payment ids delivered twice, payments without an installment.
+Every eighth loan is "quiet": it belongs to one of five early cohorts and its installments fall due after
+the cut-off but for a share of late ones that differs by cohort.
+
 | customers | customer + nation | id, name, nation name as city, market segment mapped to the
   three lending segments (FURNITURE is left unmapped and is rejected by staging), balance as income |
 | loans | orders | id, customer, order date, total price, rate by priority, term 6 + key % 19,
@@ -22,7 +27,7 @@ written as SQL in ``oracle_sql.py``; both must stay in step.
 
 from __future__ import annotations
 
-import hashlib
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +36,22 @@ from loanlake.sources import schemas
 from loanlake.sources.tables import DriverTables
 
 
+NO_PARENT = "999999999"
+QUIET_LATE_PCT = (0, 3, 10, 20, 50)  # late installments of the five quiet cohorts
+
+
 def _s(c):
     return F.col(c).cast("string")
 
 
+def is_quiet(order_key):
+    return order_key % 8 == 0
+
+
+def quiet_cohort(order_key):
+    return F.floor(order_key / 8) % 5
+
+
 def customers(t: DriverTables) -> DataFrame:
     c = t.table("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = t.table("nation").select("n_nationkey", "n_name")
@@ -44,12 +61,16 @@ def customers(t: DriverTables) -> DataFrame:
                .when(seg == "MACHINERY", F.lit("SME"))
                .otherwise(seg))
     # nation is a 25-row dimension; Spark broadcasts it on its own size estimate.
+    key = F.col("c_custkey")
+    repeated = key % 149 == 30  # takes its neighbour's id
     df = c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
-        _s("c_custkey").alias("customer_id"),
+        F.when(key % 151 == 20, F.lit(" ")).when(repeated, (key - 1).cast("string"))
+        .otherwise(key.cast("string")).alias("customer_id"),
         F.col("c_name").alias("full_name"),
-        F.col("n_name").alias("city"),
+        F.when(key % 61 == 9, F.lit("")).otherwise(F.col("n_name")).alias("city"),
         segment.alias("segment"),
-        F.col("c_acctbal").cast("decimal(18,2)").alias("monthly_income"),
+        F.when(repeated, F.lit(0)).otherwise(F.col("c_acctbal").cast("decimal(18,2)"))
+        .cast("decimal(18,2)").alias("monthly_income"),
         F.lit(None).cast("date").alias("created_at"),
     )
     return schemas.conform(df, schemas.CUSTOMERS)
@@ -67,14 +88,20 @@ def loans(t: DriverTables) -> DataFrame:
     st = F.col("o_orderstatus")
     status = (F.when(st == "O", F.lit("ACTIVE")).when(st == "F", F.lit("CLOSED"))
               .when(st == "P", F.lit("DEFAULT")).otherwise(st))
+    key = F.col("o_orderkey")
+    repeated = key % 499 == 3  # takes its neighbour's id, with no amount
+    early = F.date_add(F.lit("1991-01-15").cast("date"), (31 * quiet_cohort(key)).cast("int"))
     df = o.select(
-        _s("o_orderkey").alias("loan_id"),
-        _s("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("origination_date"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("principal_amount"),
-        rate.cast("decimal(6,4)").alias("annual_rate"),
-        (F.lit(6) + F.col("o_orderkey") % 19).cast("int").alias("term_months"),
-        status.alias("loan_status"),
+        F.when(key % 997 == 5, F.lit(" ")).when(repeated, (key + 1).cast("string"))
+        .otherwise(key.cast("string")).alias("loan_id"),
+        F.when(key % 523 == 17, F.lit(NO_PARENT)).when(key % 541 == 19, F.lit(" "))
+        .otherwise(_s("o_custkey")).alias("customer_id"),
+        F.when(is_quiet(key), early).otherwise(F.col("o_orderdate").cast("date")).alias("origination_date"),
+        F.when(repeated, F.lit(0)).when(key % 577 == 23, F.lit(10))
+        .otherwise(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("principal_amount"),
+        F.when(key % 503 == 7, F.lit(1.5)).otherwise(rate).cast("decimal(6,4)").alias("annual_rate"),
+        F.when(key % 521 == 13, F.lit(0)).otherwise(F.lit(6) + key % 19).cast("int").alias("term_months"),
+        F.when(key % 509 == 11, F.lit("UNKNOWN")).otherwise(status).alias("loan_status"),
         product.alias("product_type"),
     )
     return schemas.conform(df, schemas.LOANS)
@@ -99,16 +126,24 @@ def installments(t: DriverTables) -> DataFrame:
               .when(F.col("any_returned"), F.lit("LATE"))
               .when(F.col("any_open"), F.lit("DUE"))
               .otherwise(F.lit("PARTIAL")))
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    unit = 10 * key + line
+    late_pct = F.element_at(F.array(*[F.lit(p) for p in QUIET_LATE_PCT]), (quiet_cohort(key) + 1).cast("int"))
+    quiet_status = F.when((7 * key + 13 * line) % 100 < late_pct, F.lit("LATE")).otherwise(F.lit("DUE"))
+    quiet_due = F.date_add(F.lit("1998-12-01").cast("date"), (30 * line).cast("int"))
     principal = F.col("principal_sum").cast("decimal(18,2)")
     interest = F.round(principal * F.col("max_tax").cast("decimal(4,2)"), 2).cast("decimal(18,2)")
     df = g.select(
-        F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("installment_id"),
+        F.when(unit % 997 == 5, F.lit(" "))
+        .when(unit % 977 == 13, F.concat(F.lit("dup-"), (key % 50).cast("string")))
+        .otherwise(F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"))).alias("installment_id"),
         _s("l_orderkey").alias("loan_id"),
         F.when(F.col("l_linenumber") == 7, F.lit(99)).otherwise(F.col("l_linenumber")).alias("installment_number"),
-        F.col("due_date"),
-        principal.alias("principal_due"),
+        F.when(is_quiet(key), quiet_due).otherwise(F.col("due_date")).alias("due_date"),
+        F.when(unit % 983 == 11, -principal).otherwise(principal).cast("decimal(18,2)").alias("principal_due"),
         interest.alias("interest_due"),
-        status.alias("installment_status"),
+        F.when(unit % 991 == 7, F.lit("WEIRD")).when(is_quiet(key), quiet_status)
+        .otherwise(status).alias("installment_status"),
     )
     return schemas.conform(df, schemas.INSTALLMENTS)
 
@@ -118,14 +153,18 @@ def payments(t: DriverTables) -> DataFrame:
     et = F.col("event_type")
     status = (F.when(et == "error", F.lit("REVERSED")).when(et == "signup", F.lit("PENDING"))
               .otherwise(F.lit("CONFIRMED")))
+    key = F.col("event_id")
+    loan = F.when(key % 2 == 0, F.col("user_id")).otherwise(key % 1400).cast("string")
+    amount = F.col("value").cast("decimal(18,2)")
     df = e.select(
-        _s("event_id").alias("payment_id"),
-        _s("user_id").alias("loan_id"),
-        F.concat(_s("user_id"), F.lit("-"), (F.lit(1) + F.col("event_id") % 8).cast("string")).alias("installment_id"),
+        F.when(key % 97 == 5, F.lit(" ")).when(key % 40 == 39, (key - 1).cast("string"))
+        .otherwise(key.cast("string")).alias("payment_id"),
+        F.when(key % 107 == 11, F.lit(NO_PARENT)).otherwise(loan).alias("loan_id"),
+        F.when(key % 109 != 13, F.concat(loan, F.lit("-"), (F.lit(1) + key % 8).cast("string"))).alias("installment_id"),
         F.col("ts").cast("date").alias("payment_date"),
-        F.col("value").cast("decimal(18,2)").alias("payment_amount"),
+        F.when(key % 101 == 7, -amount).otherwise(amount).cast("decimal(18,2)").alias("payment_amount"),
         F.nullif(et, F.lit("view")).alias("payment_channel"),
-        status.alias("payment_status"),
+        F.when(key % 103 == 9, F.lit("MYSTERY")).otherwise(status).alias("payment_status"),
         F.col("ts").cast("timestamp_ntz").alias("loaded_at"),
     )
     return schemas.conform(df, schemas.PAYMENTS)
@@ -135,65 +174,36 @@ BINDERS = {"customers": customers, "loans": loans, "installments": installments,
 
 
 class RawTables:
-    """The four raw model frames bound from a driver-table directory.
-
-    ``ingest=False``: each frame is the lazy binding plan over the driver tables.
-    ``ingest=True``: the bound tables are written once as Parquet under the session's
-    ``spark.checkpoint.dir`` (shared storage on a cluster) and read back, like a raw layer that is
-    landed once and then read by every stage. This cuts lineage (an executor loss recomputes from
-    the stored raw layer, not from the driver tables) and lets every later plan prune columns
-    and push filters into plain scans instead of re-deriving the binding.
-    """
+    """The four raw model frames as plans over a driver-table directory. Nothing is copied or kept: each
+    use reads the tables as they are then. ``land`` stores the bound tables where a caller wants that."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, ingest: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
         self.driver = DriverTables(spark, sf_dir)
-        self.ingest = ingest
-        self._cache: dict[str, DataFrame] = {}
-
-    def _landing_path(self, name: str) -> str:
-        from loanlake.session import app_id, ensure_checkpoint_dir
-        root = ensure_checkpoint_dir(self.spark).rstrip("/")
-        tag = hashlib.sha1(self.sf_dir.rstrip("/").encode()).hexdigest()[:12]
-        return f"{root}/loanlake-raw/{app_id(self.spark)}/{tag}/{name}"
-
-    def _get(self, name, fn):
-        if name not in self._cache:
-            df = fn(self.driver)
-            if self.ingest:
-                path = self._landing_path(name)
-                # Spread a table that arrives in fewer partitions than the cluster has cores
-                # (e.g. one file with one row group) so every later scan is parallel; a large
-                # source already has enough partitions and is written as it comes.
-                from loanlake.session import default_parallelism
-                parallelism = default_parallelism(self.spark)
-                try:
-                    few = df.rdd.getNumPartitions() < parallelism  # plan metadata, no job
-                except Exception:  # Spark Connect has no RDD view
-                    few = False
-                if few:
-                    df = df.repartition(parallelism)
-                df.write.mode("overwrite").parquet(path)
-                df = self.spark.read.schema(schemas.RAW[name]).parquet(path)
-            self._cache[name] = df
-        return self._cache[name]
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
-        return self._get("customers", customers)
+        return customers(self.driver)
 
-    @property
+    @cached_property
     def loans(self) -> DataFrame:
-        return self._get("loans", loans)
+        return loans(self.driver)
 
-    @property
+    @cached_property
     def installments(self) -> DataFrame:
-        return self._get("installments", installments)
+        return installments(self.driver)
 
-    @property
+    @cached_property
     def payments(self) -> DataFrame:
-        return self._get("payments", payments)
+        return payments(self.driver)
+
+    def land(self, root: str) -> "StoredRawTables":
+        """Write the raw tables once below ``root`` (shared storage) and return them as stored tables, so
+        that many queries need not derive them again. REBALANCE gives files of the advisory size."""
+        for name in BINDERS:
+            getattr(self, name).hint("rebalance").write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        return StoredRawTables(self.spark, root)
 
 
 class StoredRawTables:

@@ -1,57 +1,151 @@
-"""Sinks: versioned table writes with a pointer switch, CSV export, quality evidence.
+"""Sinks: table versions published by atomic commits, CSV export, quality evidence.
 
 Spark cannot overwrite a path it is reading, and a plain Parquet overwrite is not atomic. A table
-here is a directory of immutable versions plus a one-row pointer dataset naming the current one:
-writers add ``<root>/<name>/v=<stamp>`` and then rewrite ``<root>/<name>/_current``; readers
-resolve the pointer first. A failed write leaves the previous version current.
+here is a set of immutable versions ``<root>/<name>/v=<stamp>``; which version is current is said by
+the commit log ``<root>/_commits``. A commit is one file that Spark's committer renames into place:
+it carries the current version of *every* table and the incremental marks, so a job publishes all of
+its outputs and its mark in one step. A writer that dies before its commit changes nothing that
+readers see; versions it left behind are removed by ``vacuum``.
+
+Only a missing commit log means "nothing written yet". Any other failure to read it is raised, so an
+unreadable log can never be mistaken for an empty store.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+COMMIT_SCHEMA = ("seq long, id string, committed_at timestamp, tables map<string,string>, "
+                 "marks map<string,timestamp_ntz>")
+
 
 def _version_id() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
-def write_table(df: DataFrame, root: str, name: str, audit_col: str | None = None,
-                partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version of ``root/name`` and make it current; returns its path.
+def _is_missing_path(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def _commit_rows(spark: SparkSession, root: str) -> DataFrame | None:
+    """The commit log; None only where it does not exist."""
+    try:
+        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root.rstrip('/')}/_commits")
+    except AnalysisException as e:
+        if _is_missing_path(e):
+            return None
+        raise
+
+
+@dataclass
+class Snapshot:
+    """What the newest commit says: current version paths and marks by name."""
+    seq: int = 0
+    tables: dict[str, str] = field(default_factory=dict)
+    marks: dict[str, dt.datetime] = field(default_factory=dict)
+
 
-    ``audit_col`` adds a write-time stamp (e.g. ``staged_at``). ``partition_by`` lays files out
-    by a low-cardinality column (month, not day) so readers can prune partitions.
+def snapshot(spark: SparkSession, root: str) -> Snapshot:
+    log = _commit_rows(spark, root)
+    # one row per commit (kept few by ``vacuum``); the newest by number, then by id
+    row = log.orderBy(F.desc("seq"), F.desc("id")).first() if log is not None else None
+    if row is None:
+        return Snapshot()
+    return Snapshot(row["seq"], dict(row["tables"] or {}), dict(row["marks"] or {}))
+
+
+class Publication:
+    """Table versions of one job, published together.
+
+    ``write`` adds a version that nobody sees; ``commit`` makes all of them and the given marks current in
+    one step. Jobs over one root run one at a time, as for any store without a lock service.
     """
-    if audit_col:
-        df = df.withColumn(audit_col, F.current_timestamp())
-    path = f"{root.rstrip('/')}/{name}/v={_version_id()}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    spark = df.sparkSession
-    (spark.createDataFrame([(path,)], "path string").coalesce(1)
-     .write.mode("overwrite").json(f"{root.rstrip('/')}/{name}/_current"))
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.base = snapshot(spark, root)
+        self.tables: dict[str, str] = {}
+
+    def write(self, df: DataFrame, name: str, audit_col: str | None = None,
+              partition_by: list[str] | None = None) -> str:
+        """Write ``df`` as a new version of ``name``. ``audit_col`` adds a write-time stamp (e.g.
+        ``staged_at``); ``partition_by`` lays files out by a low-cardinality column (month, not day)."""
+        if audit_col:
+            df = df.withColumn(audit_col, F.current_timestamp())
+        path = f"{self.root}/{name}/v={_version_id()}"
+        w = df.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        self.tables[name] = path
+        return path
+
+    def path(self, name: str) -> str | None:
+        """The version this job wrote, else the current one."""
+        return self.tables.get(name) or self.base.tables.get(name)
+
+    def read(self, name: str) -> DataFrame:
+        path = self.path(name)
+        if path is None:
+            raise FileNotFoundError(f"{self.root}/{name} has no current version")
+        return self.spark.read.parquet(path)
+
+    def commit(self, marks: dict[str, dt.datetime] | None = None) -> Snapshot:
+        done = Snapshot(self.base.seq + 1, {**self.base.tables, **self.tables},
+                        {**self.base.marks, **(marks or {})})
+        row = (done.seq, uuid.uuid4().hex, dt.datetime.now(), done.tables, done.marks)
+        (self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(f"{self.root}/_commits"))
+        self.base, self.tables = done, {}
+        return done
+
+
+def write_table(df: DataFrame, root: str, name: str, audit_col: str | None = None,
+                partition_by: list[str] | None = None) -> str:
+    """Write and publish one table; returns its version path."""
+    p = Publication(df.sparkSession, root)
+    path = p.write(df, name, audit_col, partition_by)
+    p.commit()
     return path
 
 
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
-    try:
-        row = spark.read.schema("path string").json(f"{root.rstrip('/')}/{name}/_current").first()
-    except Exception:  # table never written
-        return None
-    return row["path"] if row else None
+    """Path of the current version; None if the table was never published."""
+    return snapshot(spark, root).tables.get(name)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    path = current_path(spark, root, name)
-    if path is None:
-        raise FileNotFoundError(f"{root}/{name} has no current version")
-    return spark.read.parquet(path)
+    return Publication(spark, root).read(name)
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete versions that none of the newest ``keep`` commits names, and older commits; returns the
+    number of versions removed. Run it when no job writes and no reader holds an old version."""
+    log = _commit_rows(spark, root)
+    if log is None:
+        return 0
+    newest = log.orderBy(F.desc("seq"), F.desc("id")).limit(keep).collect()  # ``keep`` rows
+    used = {path.rstrip("/").rsplit("/", 2)[-2] + "/" + path.rstrip("/").rsplit("/", 1)[-1]
+            for r in newest for path in (r["tables"] or {}).values()}
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = 0
+    for table in fs.listStatus(base):
+        name = table.getPath().getName()
+        if not table.isDirectory() or name.startswith("_"):
+            continue
+        for version in fs.listStatus(table.getPath()):
+            if version.getPath().getName().startswith("v=") and f"{name}/{version.getPath().getName()}" not in used:
+                fs.delete(version.getPath(), True)
+                removed += 1
+    return removed
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -2,18 +2,20 @@
 
 Two forms of the same step:
 
-* **bounded batch** (``IncrementalPayments``): read the stored mark ``lo``, fix the upper bound
-  ``hi = max(loaded_at)`` *before* processing, stage only rows with ``lo < loaded_at <= hi``,
-  upsert them into the staged table by payment id, then advance the mark to ``hi``. A row that
-  lands while the batch runs has ``loaded_at > hi`` and is picked up next time (the mark is never
-  read after processing). An optional overlap re-reads the last ``overlap`` of time before ``lo``;
-  the upsert makes replays idempotent.
+* **bounded batch** (``IncrementalPayments``): read the committed mark ``lo``, fix the upper bound
+  ``hi = max(loaded_at)`` *before* processing, take the raw rows with ``lo - overlap < loaded_at <= hi``
+  and merge them into the staged table. A row that lands while the batch runs has ``loaded_at > hi``
+  and is picked up next time. The overlap re-reads late rows; the merge makes replays idempotent.
 * **stream** (``stream_payments``): a file-source ``readStream`` over landing files with
   ``Trigger.AvailableNow`` — the checkpoint is the mark — and ``foreachBatch`` doing the same
-  stage + upsert per micro-batch.
+  merge per micro-batch.
 
-The mark is a one-row dataset (``last_loaded_at``, ``updated_at``) written with Spark, so it lives
-on the same shared storage as the tables.
+The merge works on payment versions, not on clean rows: the newest raw version of a payment decides,
+so a payment that turns REVERSED, PENDING or invalid leaves the staged table. The orphan flag of every
+staged payment is evaluated again, as its installment may have arrived since.
+
+The mark is part of the commit that publishes the tables (``sources/sinks.py``), so tables and mark
+always agree: a run that fails anywhere before the commit is simply run again.
 """
 
 from __future__ import annotations
@@ -27,29 +29,17 @@ from pyspark.sql import types as T
 
 from loanlake.functions.expr import ntz_lit
 from loanlake.operators import staging
-from loanlake.operators.upsert import upsert
+from loanlake.operators.existence import with_not_in_flag
+from loanlake.operators.upsert import dedup_latest, merge_versions
+from loanlake.sources import sinks
 
 DEFAULT_MARK = dt.datetime(2000, 1, 1)
-
-MARK_SCHEMA = T.StructType([
-    T.StructField("last_loaded_at", T.TimestampNTZType()),
-    T.StructField("updated_at", T.TimestampType()),
-])
-
-
-def read_mark(spark: SparkSession, path: str, default: dt.datetime = DEFAULT_MARK) -> dt.datetime:
-    """Last processed ``loaded_at``; ``default`` when no state was written yet."""
-    try:
-        row = spark.read.schema(MARK_SCHEMA).parquet(path).first()
-    except Exception:  # no state yet (path missing)
-        return default
-    return row["last_loaded_at"] if row and row["last_loaded_at"] else default
+MARK = "payments"
 
 
-def write_mark(spark: SparkSession, path: str, mark: dt.datetime) -> None:
-    (spark.createDataFrame([(mark,)], "last_loaded_at timestamp_ntz")
-     .withColumn("updated_at", F.current_timestamp())
-     .coalesce(1).write.mode("overwrite").parquet(path))
+def read_mark(spark: SparkSession, root: str, name: str = MARK, default: dt.datetime = DEFAULT_MARK) -> dt.datetime:
+    """Committed mark of ``name`` under ``root``; ``default`` only where none was committed."""
+    return sinks.snapshot(spark, root).marks.get(name, default)
 
 
 def window_rows(raw_payments: DataFrame, lo: dt.datetime, hi: dt.datetime | None) -> DataFrame:
@@ -66,35 +56,57 @@ def next_mark(raw_payments: DataFrame) -> DataFrame:
                             F.count(F.lit(1)).alias("n_rows"))
 
 
+def merge_payments(staged: DataFrame | None, window: DataFrame, raw_installments: DataFrame) -> DataFrame:
+    """Staged payments after the raw payment versions of ``window``.
+
+    Per payment id the version with the greatest ``loaded_at`` decides, stored or new; it is kept if
+    it is clean. Rows without an id are never clean. The orphan flag is evaluated anew for all.
+    """
+    flagged = staging.flag_payments(window, raw_installments)
+    newest = dedup_latest(flagged.where(~F.col("_f_no_id")), ["payment_id"], ["loaded_at"])
+    clean = F.lit(True)
+    for name, _ in staging.PAYMENT_SPEC.flags:
+        clean = clean & ~F.col(name)
+    columns = staging.PAYMENT_SPEC.columns
+    versions = newest.select(*columns, clean.alias("_clean"))
+    if staged is None:
+        return versions.where("_clean").drop("_clean")
+    merged = merge_versions(staged.select(*columns), versions, ["payment_id"], "loaded_at", "_clean")
+    return with_not_in_flag(merged.drop("orphan_installment"), F.col("installment_id"), raw_installments,
+                            "installment_id", "orphan_installment").select(*columns)
+
+
 class IncrementalPayments:
     """Bounded-batch incremental load into a staged-payments table (see module doc)."""
 
-    def __init__(self, spark: SparkSession, state_path: str, overlap: dt.timedelta = dt.timedelta(0)):
-        self.spark = spark
-        self.state_path = state_path
-        self.overlap = overlap
+    def __init__(self, spark: SparkSession, lo: dt.datetime, overlap: dt.timedelta = dt.timedelta(0)):
+        self.spark, self.lo, self.overlap = spark, lo, overlap
 
-    def plan(self, raw_payments: DataFrame) -> tuple[dt.datetime, dt.datetime | None, DataFrame]:
-        lo = read_mark(self.spark, self.state_path)
-        hi = next_mark(raw_payments).first()["last_loaded_at"]  # one-row aggregate
-        start = lo - self.overlap if lo > DEFAULT_MARK + self.overlap else lo
-        return lo, hi, window_rows(raw_payments, start, hi)
+    @property
+    def start(self) -> dt.datetime:
+        """Rows at or before it are not read again."""
+        return max(DEFAULT_MARK, self.lo - self.overlap) if self.lo > DEFAULT_MARK else self.lo
 
     def run(self, raw_payments: DataFrame, raw_installments: DataFrame, staged: DataFrame | None,
             write: Callable[[DataFrame], None]) -> dict:
-        """Stage the new window, upsert it into ``staged`` and hand the result to ``write``.
-
-        ``write`` must persist to a new location (the caller switches its pointer afterwards);
-        the mark advances only after ``write`` returned.
-        """
-        lo, hi, batch = self.plan(raw_payments)
-        n_new = window_rows(raw_payments, lo, hi).count() if hi is not None else 0
-        if n_new > 0:
-            delta = staging.stage_payments(batch, raw_installments)
-            merged = delta if staged is None else upsert(staged, delta, ["payment_id"], ["loaded_at"])
-            write(merged)
-        write_mark(self.spark, self.state_path, hi if hi is not None else lo)
-        return {"previous_mark": lo, "new_mark": hi, "new_rows": n_new}
+        """Merge the window into ``staged`` and hand the result to ``write`` (which must not publish it
+        before the caller commits it together with ``new_mark``). Counts and the new mark come from
+        one aggregate over the rows past the window's start, not over all of raw."""
+        undated = F.col("loaded_at").isNull()  # in no window by time: read by every run
+        later = raw_payments.where(undated | (F.col("loaded_at") > ntz_lit(self.start)))
+        seen = later.agg(F.max("loaded_at").alias("hi"),
+                         F.count_if(F.col("loaded_at") > ntz_lit(self.lo)).alias("new"),
+                         F.count(F.lit(1)).alias("n")).first()
+        hi = max(seen["hi"], self.lo) if seen["hi"] is not None else self.lo
+        if seen["n"] or staged is not None:
+            write(merge_payments(staged, later.where(undated | (F.col("loaded_at") <= ntz_lit(hi))), raw_installments))
+        return {"previous_mark": self.lo, "new_mark": hi, "new_rows": seen["new"], "read_rows": seen["n"]}
+
+
+def next_staging_mark(staged: DataFrame) -> DataFrame:
+    """The mark as the staged table itself shows it: max(loaded_at) of what was staged (1 row). It falls
+    short of the raw mark where the newest rows were rejected, so it can only re-read, never skip."""
+    return staged.agg(F.max("loaded_at").alias("last_loaded_at"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def dedup_within(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
