@@ -84,4 +84,74 @@ QUERIES = {f.__name__: f for f in (
     op1_lattice_dedup, op2_hamming_topk, op3_vector_packing, op4_segtree_bpe, op5_rendezvous,
     op6_context_tree, op7_template_lines, op8_ftrl_toxicity,
     op9_warc_salvage, op10_golay_simhash)}
-ORACLE_SQL: dict[str, str] = {}
+
+_LINKS = """
+    SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.label = b.label AND a.vec_id < b.vec_id
+    WHERE list_dot_product(a.u, b.u) >= 0.93"""
+
+_CODES = """
+    SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS bits FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND list_count(list_filter(embedding, lambda x: isfinite(x))) = 64"""
+
+#: Byte by byte with the table of the reflected polynomial 0xEDB88320, built by its rule.
+_CRC32 = """
+    crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: IF(c % 2 = 1, xor(c // 2, 3988292384), c // 2))) AS t),
+    bytes AS (SELECT doc_id, octet_length(encode(COALESCE(text, ''))) + 1 AS size,
+        list_transform(regexp_extract_all(hex(encode(COALESCE(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b
+        FROM documents),
+    crc AS (SELECT doc_id, size, CAST(xor(list_reduce(list_prepend(4294967295, b),
+        lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) AS BIGINT) AS text_crc32
+        FROM bytes, crc_table)"""
+
+_SCORE = """-ln((('0x' || substr(md5(key || ':' || s), 1, 12))::BIGINT + 0.5) / 281474976710656.0)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_lattice_dedup": f"""
+        WITH RECURSIVE norm AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0),
+        unit AS (
+            SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM norm
+            WHERE list_count(list_filter(v, lambda x: isfinite(x))) = len(v) AND list_dot_product(v, v) > 0),
+        link AS ({_LINKS}),
+        both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach(v, r) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION SELECT x.b, reach.r FROM reach JOIN both_ways x ON x.a = reach.v WHERE x.b > reach.r),
+        part AS (SELECT v AS vec_id, MIN(r) AS component_id FROM reach GROUP BY v)
+        SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM part LEFT JOIN (SELECT a AS vec_id, COUNT(*) AS n FROM both_ways GROUP BY a) USING (vec_id)""",
+    "op2_hamming_topk": f"""
+        WITH codes AS ({_CODES})
+        SELECT q.vec_id AS query_id, r.vec_id,
+               CAST(list_sum(list_transform(list_zip(q.bits, r.bits), lambda p: (p[1] <> p[2])::INTEGER)) AS INTEGER)
+                   AS distance,
+               CAST(ROW_NUMBER() OVER (PARTITION BY q.vec_id ORDER BY distance, r.vec_id) AS INTEGER) AS rank
+        FROM codes q JOIN codes r ON q.vec_id <> r.vec_id
+        WHERE q.vec_id % 100 = 0 QUALIFY rank <= 10""",
+    "op5_rendezvous": f"""
+        WITH {_CRC32},
+        named AS (SELECT *, COALESCE(CAST(doc_id AS VARCHAR), '\\N') AS key FROM crc),
+        placed AS (
+            SELECT doc_id, size, text_crc32,
+                   substr(md5(concat_ws('|', key, size, text_crc32)), 1, 3) AS bucket,
+                   list_transform(range(9), lambda s: {_SCORE}) AS scores
+            FROM named),
+        chosen AS (SELECT *, CAST(list_position(scores[1:8], list_min(scores[1:8])) - 1 AS INTEGER) AS shard,
+                          CAST(list_position(scores, list_min(scores)) - 1 AS INTEGER) AS grown_shard FROM placed)
+        SELECT doc_id, size, text_crc32, shard, grown_shard, 'key' AS law,
+               ROW_NUMBER() OVER (PARTITION BY shard ORDER BY bucket, doc_id, size, text_crc32) - 1 AS slot
+        FROM chosen""",
+    "op9_warc_salvage": """
+        WITH hashed AS (
+            SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes, sha1(COALESCE(html, '')) AS h,
+                   MIN(page_id) OVER (PARTITION BY sha1(COALESCE(html, ''))) AS first
+            FROM pages)
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::INTEGER >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '')
+                   AS payload_digest,
+               IF(first = page_id, 'response', 'revisit') AS record_type, NULLIF(first, page_id) AS refers_to
+        FROM hashed""",
+}
