@@ -6,34 +6,64 @@ from fixtures import FixtureRaw, ts
 from loanlake.operators import staging
 from loanlake.operators.upsert import append_new, dedup_latest, upsert
 from loanlake.sources import schemas, sinks
-from loanlake.streaming.incremental import IncrementalPayments, read_mark, stream_payments
+from loanlake.streaming.incremental import (MARK, IncrementalPayments, merge_payments, next_staging_mark,
+                                            read_mark, stream_payments)
 
 
 def ids(df):
     return sorted(r["payment_id"] for r in df.select("payment_id").collect())
 
 
+def rows(df):
+    return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=str)
+
+
 def test_two_batches_equal_one_full_load(spark, scratch):
     raw = FixtureRaw(spark)
-    full = staging.stage_payments(raw.payments, raw.installments)
-    inc = IncrementalPayments(spark, f"{scratch}/mark")
-    written = {}
-
-    def write(df):
-        written["path"] = sinks.write_table(df, scratch, "stg_payments")
-
-    first = raw.payments.where(F.col("loaded_at") <= ts(3))
-    r1 = inc.run(first, raw.installments, None, write)
-    assert r1["new_mark"] == ts(3) and read_mark(spark, f"{scratch}/mark") == ts(3)
-    staged = sinks.read_table(spark, scratch, "stg_payments")
-    r2 = inc.run(raw.payments, raw.installments, staged, write)
+    full = merge_payments(None, raw.payments, raw.installments)
+
+    def run(payments):
+        p = sinks.Publication(spark, scratch)
+        staged = p.read("stg_payments") if p.path("stg_payments") else None
+        r = IncrementalPayments(spark, read_mark(spark, scratch)).run(
+            payments, raw.installments, staged, lambda df: p.write(df, "stg_payments"))
+        p.commit({MARK: r["new_mark"]})
+        return r
+
+    r1 = run(raw.payments.where(F.col("loaded_at") <= ts(3)))
+    assert r1["new_mark"] == ts(3) and read_mark(spark, scratch) == ts(3)
+    r2 = run(raw.payments)
     assert r2["previous_mark"] == ts(3) and r2["new_mark"] == ts(6)
     final = sinks.read_table(spark, scratch, "stg_payments")
-    assert ids(final) == ids(full)
-    assert sorted(map(tuple, final.collect())) == sorted(map(tuple, full.select(final.columns).collect()))
+    assert rows(final) == rows(full)
     # replaying with nothing new leaves the table and advances nothing
-    r3 = inc.run(raw.payments, raw.installments, final, write)
-    assert r3["new_rows"] == 0 and ids(sinks.read_table(spark, scratch, "stg_payments")) == ids(full)
+    r3 = run(raw.payments)
+    assert r3["new_rows"] == 0 and rows(sinks.read_table(spark, scratch, "stg_payments")) == rows(full)
+
+
+def test_merge_removes_reversed_and_reflags_orphans(spark):
+    raw = FixtureRaw(spark)
+    staged = merge_payments(None, raw.payments, raw.installments)
+    first = staged.where("not orphan_installment").first()
+    change = (raw.payments.where(F.trim("payment_id") == first["payment_id"])
+              .withColumn("payment_status", F.lit("REVERSED"))
+              .withColumn("loaded_at", F.lit(dt.datetime(2031, 1, 1)).cast("timestamp_ntz")))
+    fewer = raw.installments.where(F.col("installment_id") != staged.where("not orphan_installment").orderBy(
+        F.desc("payment_id")).first()["installment_id"])
+    before = merge_payments(None, raw.payments, fewer)
+    after = merge_payments(before, change, raw.installments)
+    want = merge_payments(None, raw.payments.unionByName(change), raw.installments)
+    assert first["payment_id"] not in ids(after) and rows(after) == rows(want)
+    # an older version that arrives late changes nothing
+    late = raw.payments.withColumn("loaded_at", F.lit(dt.datetime(2001, 1, 1)).cast("timestamp_ntz"))
+    assert rows(merge_payments(after, late.where(F.trim("payment_id").isin(*ids(after))), raw.installments)) == rows(after)
+
+
+def test_staging_mark(spark):
+    raw = FixtureRaw(spark)
+    staged = merge_payments(None, raw.payments, raw.installments)
+    got = next_staging_mark(staged).first()
+    assert got["n_rows"] == staged.count() and got["last_loaded_at"] <= ts(6)
 
 
 def test_upsert_replay_is_idempotent_and_updates_win(spark):

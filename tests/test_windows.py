@@ -31,3 +31,22 @@ def test_top_k_numbered_ties_broken(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(20)], "id int, score int")
     top = W.top_k_numbered(df, [F.col("score").desc(), F.col("id").asc()], 4).collect()
     assert [(r["rank"], r["id"]) for r in sorted(top, key=lambda r: r["rank"])] == [(1, 2), (2, 5), (3, 8), (4, 11)]
+
+
+def test_running_total_large_with_payload_columns(spark):
+    n = 3_000_000
+    df = spark.range(n).selectExpr("id * 7 % 3000017 AS k", "cast(id % 13 AS decimal(10,2)) AS v",
+                                   "concat('p', id) AS payload", "id % 5 AS other")
+    assert df.select("k").distinct().count() == n
+    got = W.running_total_large(df, "v", "k", "rt")
+    one = df.select("k", "v", F.sum("v").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)).alias("want"))
+    joined = got.select("k", "payload", "rt").join(one, "k")
+    assert joined.count() == n and joined.where("rt <> want").count() == 0
+    assert got.columns == ["k", "v", "payload", "other", "rt"]
+
+
+def test_running_total_large_by_date_and_empty(spark):
+    df = spark.sql("SELECT date_add(date'2020-01-01', cast(id AS int)) AS d, id AS v FROM range(50)")
+    got = {r.d: r.rt for r in W.running_total_large(df, "v", "d", "rt", n_parts=4).collect()}
+    assert [got[k] for k in sorted(got)] == [i * (i + 1) // 2 for i in range(50)]
+    assert W.running_total_large(df.limit(0), "v", "d", "rt").collect() == []
