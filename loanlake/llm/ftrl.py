@@ -28,7 +28,7 @@ from loanlake.llm.common import byte_column, stored
 
 BITS = 20
 MAX_ROWS = 16_384
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 100_000
 BIAS = 0
 
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())

@@ -142,24 +142,25 @@ def fingerprint(text: bytes, words_each: int) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", words_each: int = 4) -> DataFrame:
-    """Add ``fp`` (long: the 64 bits) to every row.
+def fingerprints(docs: DataFrame, text: str = "text", words_each: int = 4, keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns (default: all) and ``fp`` (long: the 64 bits) of every row.
 
     A-Z is lower-cased, words are runs of bytes other than ASCII white space, shingles are
     ``words_each`` space-joined words with repeats (fewer words: the whole sequence). Bit i is 1 if
     it is set in over half of the shingles' XXH64. No words, empty or null text: zero.
     """
-    schema = docs.schema
-    out = T.StructType([f for f in schema.fields if f.name != "fp"] + [T.StructField("fp", T.LongType())])
-    base = docs.drop("fp")
-    return base.mapInArrow(functools.partial(_fp_batches, text=text, words_each=words_each), out)
+    keep = [c for c in docs.columns if c != "fp"] if keep is None else keep
+    out = T.StructType([docs.schema[c] for c in keep] + [T.StructField("fp", T.LongType())])
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text")).mapInArrow(
+        functools.partial(_fp_batches, words_each=words_each), out)
 
 
-def _fp_batches(batches: Iterator[pa.RecordBatch], text: str, words_each: int):
+def _fp_batches(batches: Iterator[pa.RecordBatch], words_each: int):
     for batch in batches:
-        fps = np.array([fingerprint(t, words_each) for t in byte_column(batch, text)], dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))],
-                                         names=[*batch.schema.names, "fp"])
+        fps = np.array([fingerprint(t, words_each) for t in byte_column(batch, "__text")], dtype=np.uint64)
+        rest = batch.drop_columns(["__text"])
+        yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(fps.view(np.int64))],
+                                         names=[*rest.schema.names, "fp"])
 
 
 def _key_batches(batches: Iterator[pa.RecordBatch]):
@@ -231,7 +232,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if max_bits < 0 or words_each < 1:
         raise ValueError("max_bits >= 0 and words_each >= 1")
     slim = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("body"))
-    prints = stored(fingerprints(slim, "body", words_each).select("id", "fp"), "prints")
+    prints = stored(fingerprints(slim, "body", words_each, ["id"]), "prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first_id"),
                                                F.count(F.lit(1)).alias("n")), "distinct")
     keyed = distinct.select("fp").mapInArrow(_key_batches, "fp long, key long")

@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.llm.common import byte_column
-from loanlake.llm.segtree_bpe import PieceCache, slices
+from loanlake.llm.segtree_bpe import LINE_MARK, PieceCache, slices
 
 POOL = 1024
+EMIT_PIECES = 2000  # a few megabytes of ids
 WORDS_A_CALL = 4096
 SPACE = "\u0120"  # how byte-level vocabularies write a space
 
@@ -133,7 +134,8 @@ def _pack(batches: Iterator[pa.RecordBatch], read: Callable, limits: Limits):
         for examples in read(batch):
             for e in examples:
                 packer.add(e)
-            yield from _emit(packer)
+            if len(packer.out) > EMIT_PIECES:
+                yield from _emit(packer)
     packer.drain()
     yield from _emit(packer)
 
@@ -193,23 +195,23 @@ def document_tokens(path: str) -> PieceCache:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
-    def encode_words(words: list[str]) -> list[bytes]:
-        """Ids of each word after a space. Many words are one call: they hold no space, so a token
-        that starts with one is the first of its word."""
+    def encode_keys(keys: list[str]) -> list[bytes]:
+        """Many keys are one call: they hold no space, so a token that starts with one is the first of
+        its key. Before a line break that token is the space alone, which the text does not have."""
         out: list[bytes] = []
-        for at in range(0, len(words), WORDS_A_CALL):
-            part = words[at:at + WORDS_A_CALL]
-            joined = tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids
-            ids = np.array(joined, dtype="<u4")
+        for at in range(0, len(keys), WORDS_A_CALL):
+            part = keys[at:at + WORDS_A_CALL]
+            joined = " " + " ".join(part).replace(LINE_MARK, "")
+            ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
             starts = np.flatnonzero(spaced[ids])
-            if len(starts) != len(part):  # a word that is white space in part: each by itself
-                out += encode([" " + w for w in part])
+            if len(starts) != len(part):  # a key that is white space in part: each by itself
+                out += encode([k[1:] if k[:1] == LINE_MARK else " " + k for k in part])
                 continue
             data, bounds = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
-            out += [data[a:b] for a, b in zip(bounds, bounds[1:])]
+            out += [data[a + 4 * (k[:1] == LINE_MARK):b] for k, a, b in zip(part, bounds, bounds[1:])]
         return out
 
-    return PieceCache(encode, lambda text: any(s in text for s in special), encode_words)
+    return PieceCache(encode, lambda text: any(s in text for s in special), encode_keys)
 
 
 def _read_texts(batch: pa.RecordBatch, path: str, end_id: int):

@@ -35,6 +35,7 @@ SLICE_BYTES = 128 << 10  # few enough distinct words for the processor's caches
 
 #: A space inside a run of white space: splitting there could move a token border.
 _INNER_SPACE = regex.compile(r"\s (?:\s|$)")
+LINE_MARK = "\x00"
 
 
 class Vocabulary:
@@ -195,17 +196,25 @@ def encode_pretokens(vocab: Vocabulary, words: list[bytes]) -> list[list[int]]:
     return out
 
 
+def _single_breaks(text: str) -> bool:
+    """Every line break stands between two characters that are no white space."""
+    return all(line and not line[0].isspace() and not line[-1].isspace() for line in text.split("\n"))
+
+
 class PieceCache:
     """Ids of whole texts from ids of their pieces; pieces that recur are encoded once.
 
-    A text is cut before each space, where no token of the pattern can cross, unless a space stands
-    inside a run of white space or ``uncut`` says so: then it is encoded whole. ``encode`` maps a
-    list of strings to packed ids. The cache is emptied when it is full, so memory stays bounded.
+    A text is cut before each space and each single line break, where no token of the pattern can
+    cross, unless a space stands inside a run of white space or ``uncut`` says so: then it is encoded
+    whole. A key is what follows the space, or ``LINE_MARK`` and what starts with the line break.
+    ``encode`` maps a list of strings to packed ids, ``encode_keys`` a list of keys. The cache is emptied
+    when it is full, so memory stays bounded.
     """
 
-    def __init__(self, encode, uncut=lambda text: False, encode_words=None, entries: int = CACHE_ENTRIES):
+    def __init__(self, encode, uncut=lambda text: False, encode_keys=None, entries: int = CACHE_ENTRIES):
         self.encode, self.uncut, self.entries = encode, uncut, entries
-        self.encode_words = encode_words or (lambda words: encode([" " + w for w in words]))
+        self.encode_keys = encode_keys or (
+            lambda keys: encode([k[1:] if k[:1] == LINE_MARK else " " + k for k in keys]))
         self.after_space: dict[str, bytes] = {}  # ids of " " + key
         self.closing = dict(zip(".,", encode([".", ","])))
 
@@ -222,7 +231,7 @@ class PieceCache:
             else:
                 new.append(w)
         new += stems
-        known.update(zip(new, self.encode_words(new)))
+        known.update(zip(new, self.encode_keys(new)))
         for w in ended:
             known[w] = known[w[:-1]] + self.closing[w[-1]]
 
@@ -236,9 +245,11 @@ class PieceCache:
         words: list[str] = []
         sizes = np.zeros(len(texts) + 1, dtype=np.int64)
         for i, t in enumerate(texts):
-            if "  " in t or self.uncut(t) or _INNER_SPACE.search(t):
+            if "  " in t or LINE_MARK in t or self.uncut(t) or _INNER_SPACE.search(t):
                 heads.append(t)
             else:
+                if "\n" in t and _single_breaks(t):
+                    t = t.replace("\n", " " + LINE_MARK + "\n")
                 cut = t.split(" ")
                 heads.append(cut[0])
                 words += cut[1:]
