@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.llm.common import byte_column
-from loanlake.llm.segtree_bpe import LINE_MARK, PieceCache, slices
+from loanlake.llm.segtree_bpe import CACHE_ENTRIES, LINE_MARK, PieceCache, slices
 
 POOL = 1024
 EMIT_PIECES = 2000  # a few megabytes of ids
@@ -179,7 +179,7 @@ def pack_examples(examples: DataFrame, key: str, ids: str = "ids", prompt_tokens
 
 
 @functools.lru_cache(maxsize=2)
-def document_tokens(path: str) -> PieceCache:
+def document_tokens(path: str, entries: int = CACHE_ENTRIES) -> PieceCache:
     """Ids of texts by a tokenizer file of the ``tokenizers`` library, without adding special tokens. A
     text that holds a special token's string goes to the tokenizer whole."""
     import os
@@ -211,11 +211,11 @@ def document_tokens(path: str) -> PieceCache:
             out += [data[a + 4 * (k[:1] == LINE_MARK):b] for k, a, b in zip(part, bounds, bounds[1:])]
         return out
 
-    return PieceCache(encode, lambda text: any(s in text for s in special), encode_keys)
+    return PieceCache(encode, lambda text: any(s in text for s in special), encode_keys, entries)
 
 
-def _read_texts(batch: pa.RecordBatch, path: str, end_id: int):
-    tokens, end = document_tokens(path), struct.pack("<I", end_id)
+def _read_texts(batch: pa.RecordBatch, path: str, end_id: int, entries: int = CACHE_ENTRIES):
+    tokens, end = document_tokens(path, entries), struct.pack("<I", end_id)
     keys, texts = batch.column(0).to_pylist(), byte_column(batch, "text")
     for part in slices(texts):
         ids = tokens([t.decode("utf-8", "replace") for t in texts[part]])
@@ -223,12 +223,13 @@ def _read_texts(batch: pa.RecordBatch, path: str, end_id: int):
 
 
 def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", end_id: int = 0,
-                   limits: Limits = Limits()) -> DataFrame:
+                   limits: Limits = Limits(), cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """Tokenise and pack whole documents, every token bearing loss; rows as ``pack_examples``.
 
     A document is its text's ids and then ``end_id``, so a null or empty text is one token. ``path`` is
-    a tokenizers file that every executor can open.
+    a tokenizers file that every executor can open. A worker keeps ids of at most ``cache_entries`` words
+    (some 200 bytes each).
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    read = functools.partial(_read_texts, path=path, end_id=end_id)
+    read = functools.partial(_read_texts, path=path, end_id=end_id, entries=cache_entries)
     return rows.mapInArrow(functools.partial(_pack, read=read, limits=limits), PIECES)
