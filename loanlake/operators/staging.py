@@ -127,6 +127,32 @@ def flag_payments(raw: DataFrame, raw_installments: DataFrame) -> DataFrame:
                             "orphan_installment")
 
 
+# ------------------------------------------------------------------------------ strict variants
+
+def strict_customers(raw: DataFrame) -> DataFrame:
+    """As ``flag_customers``, but an unknown (NULL) segment is invalid too."""
+    return flag_customers(raw).withColumn("_f_segment", F.col("_f_segment") | F.col("segment").isNull())
+
+
+def strict_loans(raw: DataFrame) -> DataFrame:
+    """As ``flag_loans``, but an unknown status is invalid too."""
+    return flag_loans(raw).withColumn("_f_status", F.col("_f_status") | F.col("loan_status").isNull())
+
+
+def strict_installments(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
+    """As ``flag_installments``, but an unknown status is invalid and nothing is in arrears before it is due."""
+    overdue = F.coalesce(F.col("due_date") < X.as_of_lit(as_of), F.lit(False))
+    return (flag_installments(raw, as_of)
+            .withColumn("_f_status", F.col("_f_status") | F.col("installment_status").isNull())
+            .withColumn("in_arrears", F.col("in_arrears") & overdue))
+
+
+def strict_payments(raw: DataFrame, raw_installments: DataFrame) -> DataFrame:
+    """As ``flag_payments``, but an unknown status is invalid too."""
+    return flag_payments(raw, raw_installments).withColumn(
+        "_f_status", F.col("_f_status") | F.col("payment_status").isNull())
+
+
 # ------------------------------------------------------------------------------ clean / rejected
 
 def _clean(flagged: DataFrame, spec: StageSpec) -> DataFrame:
@@ -145,21 +171,31 @@ def _rejected(flagged: DataFrame, spec: StageSpec) -> DataFrame:
     return flagged.where(any_bad).select(*spec.columns, reasons.alias("reject_reasons"))
 
 
-def stage_customers(raw: DataFrame) -> DataFrame:
-    return _clean(flag_customers(raw), CUSTOMER_SPEC)
+def stage_customers(raw: DataFrame, strict: bool = False) -> DataFrame:
+    return _clean((strict_customers if strict else flag_customers)(raw), CUSTOMER_SPEC)
+
+
+def stage_loans(raw: DataFrame, strict: bool = False) -> DataFrame:
+    return _clean((strict_loans if strict else flag_loans)(raw), LOAN_SPEC)
 
 
-def stage_loans(raw: DataFrame) -> DataFrame:
-    return _clean(flag_loans(raw), LOAN_SPEC)
+def stage_installments(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF, strict: bool = False) -> DataFrame:
+    return _clean((strict_installments if strict else flag_installments)(raw, as_of), INSTALLMENT_SPEC)
 
 
-def stage_installments(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
-    return _clean(flag_installments(raw, as_of), INSTALLMENT_SPEC)
+def stage_payments(raw: DataFrame, raw_installments: DataFrame, strict: bool = False) -> DataFrame:
+    """Clean payments: CONFIRMED (or NULL-status, unless ``strict``) with a positive amount; orphans are kept
+    with a flag."""
+    return _clean((strict_payments if strict else flag_payments)(raw, raw_installments), PAYMENT_SPEC)
 
 
-def stage_payments(raw: DataFrame, raw_installments: DataFrame) -> DataFrame:
-    """Clean payments: CONFIRMED (or NULL-status) with a positive amount; orphans are kept with a flag."""
-    return _clean(flag_payments(raw, raw_installments), PAYMENT_SPEC)
+def normalize_channels(payments: DataFrame, master: DataFrame) -> DataFrame:
+    """Replace ``payment_channel`` by the master table's name for it (``alias`` -> ``channel``; aliases are
+    unique). Unlisted channels stay. Spark broadcasts the master if its measured size allows."""
+    known = master.select(F.upper(F.trim("alias")).alias("_alias"), F.col("channel").alias("_channel"))
+    joined = payments.join(known, F.upper(F.col("payment_channel")) == F.col("_alias"), "left")
+    return joined.select(*[F.coalesce("_channel", "payment_channel").alias(c) if c == "payment_channel" else c
+                           for c in payments.columns])
 
 
 def rejected_customers(raw: DataFrame) -> DataFrame:

@@ -33,6 +33,9 @@ INCREMENTAL_OVERLAP = dt.timedelta(days=1)
 HISTORY_PREVIOUS_AS_OF = dt.date(1998, 6, 1)
 HISTORY_TRACKED = ["loan_status", "aging_bucket", "in_arrears"]
 
+# Master names of payment channels (parameter of the registered query).
+CHANNEL_MASTER = [("click", "APP"), ("purchase", "CARD"), ("UNKNOWN", "BRANCH")]
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -166,6 +169,27 @@ def _registry() -> dict[str, QueryFn]:
         later = window_rows(raw.payments, INCREMENTAL_MARK - INCREMENTAL_OVERLAP, None)
         return merge_payments(first, later, raw.installments)
     r["incremental_merge"] = merge
+    def loan_upsert(s, d):
+        # stored loans meet a delivery: closed versions of every tenth loan and as many new loans
+        stored = _m(s, d).loans
+        tenth = stored.where("cast(loan_id AS long) % 10 = 0")
+        delivery = tenth.withColumn("loan_status", F.lit("CLOSED")).unionByName(
+            tenth.withColumn("loan_id", F.concat(F.lit("N-"), "loan_id")))
+        return upsert(stored, delivery, ["loan_id"], ["origination_date"])
+    r["loan_upsert"] = loan_upsert
+
+    def strict_arrears(s, d):
+        m = _m(s, d)
+        return (staging.stage_installments(m.raw.installments, m.as_of, strict=True)
+                .where("in_arrears").select("installment_id", "loan_id", "due_date", "days_late"))
+    r["strict_arrears"] = strict_arrears
+
+    def channels(s, d):
+        master = s.createDataFrame(CHANNEL_MASTER, "alias string, channel string")
+        named = staging.normalize_channels(_m(s, d).payments, master)
+        return named.groupBy("payment_channel").agg(
+            F.count(F.lit(1)).alias("n_payments"), F.sum("payment_amount").cast("decimal(38,2)").alias("total"))
+    r["collections_by_channel"] = channels
     r["staging_mark"] = lambda s, d: next_staging_mark(_m(s, d).payments)
     r["running_total"] = lambda s, d: running_total_large(
         _m(s, d).payments.select("payment_id", "loan_id", "payment_amount", "loaded_at"),

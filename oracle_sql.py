@@ -446,6 +446,19 @@ _FINAL.update({
         FROM (FROM judged_payments WHERE NOT list_contains(broken, 'missing_id') {_NEWEST})
         WHERE len(broken) = 0""",
     "incremental_mart_refresh": "FROM mart",
+    "loan_upsert": """
+        SELECT * REPLACE (IF(CAST(loan_id AS BIGINT) % 10 = 0, 'CLOSED', loan_status) AS loan_status) FROM stg_loans
+        UNION ALL
+        SELECT * REPLACE ('N-' || loan_id AS loan_id) FROM stg_loans WHERE CAST(loan_id AS BIGINT) % 10 = 0""",
+    "strict_arrears": f"""
+        SELECT installment_id, loan_id, due_date, days_late FROM stg_installments
+        WHERE due_date < {AS_OF} AND installment_status IN ('LATE', 'PARTIAL', 'DUE')""",
+    "collections_by_channel": f"""
+        SELECT COALESCE(m.channel, p.payment_channel) AS payment_channel, COUNT(*) AS n_payments,
+               {money('SUM(payment_amount)')} AS total
+        FROM stg_payments p LEFT JOIN (VALUES ('CLICK', 'APP'), ('PURCHASE', 'CARD'), ('UNKNOWN', 'BRANCH'))
+             m(alias, channel) ON m.alias = UPPER(p.payment_channel)
+        GROUP BY ALL""",
     "running_total": f"""
         SELECT payment_id, loan_id, payment_amount, loaded_at,
                CAST(SUM(payment_amount) OVER (ORDER BY loaded_at {TOTAL}) AS {MONEY}) AS running_total

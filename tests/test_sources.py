@@ -49,3 +49,17 @@ def test_model_over_stored_raw_tables(spark, scratch):
     direct = LendingModel(raw, AS_OF)
     cols = sorted(direct.mart.columns)
     assert sorted(map(tuple, stored.mart.select(cols).collect())) == sorted(map(tuple, direct.mart.select(cols).collect()))
+
+
+def test_malformed_rows_are_kept_apart(spark, scratch):
+    from loanlake.sources.files import read_landing_checked
+    import os
+    os.makedirs(f"{scratch}/in")
+    head = "payment_id,loan_id,installment_id,payment_date,payment_amount,payment_channel,payment_status,loaded_at"
+    with open(f"{scratch}/in/a.csv", "w") as f:
+        f.write(head + "\nP1,L1,I1,2024-01-02,10.50,app,CONFIRMED,2024-01-02 00:00:00\n"
+                "P2,L1,I1,not a date,ten,app,CONFIRMED,2024-01-02 00:00:00\n")
+    good, bad = read_landing_checked(spark, f"{scratch}/in", "payments")
+    assert [r.payment_id for r in good.collect()] == ["P1"]
+    rows = bad.collect()
+    assert len(rows) == 1 and rows[0].raw_text.startswith("P2,") and rows[0].source_file.endswith("a.csv")

@@ -135,3 +135,26 @@ def test_disbursement_includes_closed_and_rejected_customers(spark):
     assert len(rows) == 5
     assert sum(r["n_loans"] for r in rows) == 5
     assert any(r["city"] is None and r["segment"] is None for r in rows)
+
+
+def test_strict_rules_reject_unknown_values(spark):
+    import datetime as dt
+
+    from loanlake.operators import staging
+    from loanlake.sources import schemas
+    raw = spark.createDataFrame(
+        [("I1", "L1", 1, dt.date(2030, 1, 1), 10, 1, "LATE"), ("I2", "L1", 2, dt.date(2020, 1, 1), 10, 1, "LATE"),
+         ("I3", "L1", 3, dt.date(2020, 1, 1), 10, 1, None)],
+        "installment_id string, loan_id string, installment_number int, due_date date, principal_due int, "
+        "interest_due int, installment_status string")
+    raw = schemas.conform(raw.select("installment_id", "loan_id", "installment_number", "due_date",
+                                     raw.principal_due.cast("decimal(18,2)").alias("principal_due"),
+                                     raw.interest_due.cast("decimal(18,2)").alias("interest_due"),
+                                     "installment_status"), schemas.INSTALLMENTS)
+    day = dt.date(2026, 1, 1)
+    loose = {r.installment_id: r.in_arrears for r in staging.stage_installments(raw, day).collect()}
+    strict = {r.installment_id: r.in_arrears for r in staging.stage_installments(raw, day, strict=True).collect()}
+    assert loose == {"I1": True, "I2": True, "I3": False} and strict == {"I1": False, "I2": True}
+    cust = spark.createDataFrame([("C1", "a", "b", None, 5, None)], "customer_id string, full_name string, city string, "
+                                 "segment string, monthly_income int, created_at date")
+    assert staging.stage_customers(cust).count() == 1 and staging.stage_customers(cust, strict=True).count() == 0
