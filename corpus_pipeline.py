@@ -19,8 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go. The model learns from the labelled rows of ``docs`` whose
     crc32(doc_id) mod 5 is not 0."""
     labels = table(spark, sf_dir, "labels").where(ftrl.remainder("doc_id", 5) != 0)
-    scored = ftrl.score(docs.withColumn("__body", F.col("text")), ftrl.fit(docs, labels), text="__body",
-                        keep=docs.columns)
+    scored = ftrl.score(docs, ftrl.fit(docs, labels), keep=docs.columns)
     return scored.where("predicted = 0").select(*docs.columns)
 
 

@@ -184,7 +184,7 @@ def score(docs: DataFrame, weights: DataFrame, text: str = "text", keep: list[st
     are replaced. Empty input: empty result.
     """
     spark: SparkSession = docs.sparkSession
-    keep = [c for c in docs.columns if c not in ("score", "predicted")] if keep is None else keep
+    keep = [c for c in (keep or docs.columns) if c not in ("score", "predicted")]
     rows = weights.collect()  # at most 2^BITS
     sent = spark.sparkContext.broadcast((np.array([r["bucket"] for r in rows], dtype=np.int64),
                                          np.array([r["weight"] for r in rows], dtype=np.float64)))

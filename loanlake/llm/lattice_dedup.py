@@ -166,7 +166,12 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     * ``vec_id`` names a vector: rows that share it share links. Empty input: empty result. Other
       columns are not read.
     """
-    group = F.col(label).cast("long") if label else F.lit(0).cast("long")
+    if label is None:
+        group = F.lit(0).cast("long")
+    elif vectors.schema[label].dataType.typeName() in ("byte", "short", "integer", "long"):
+        group = F.col(label).cast("long")
+    else:  # other labels by their 64-bit hash
+        group = F.when(F.col(label).isNotNull(), F.xxhash64(label))
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), group.alias("label"),
                           F.col(embedding).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

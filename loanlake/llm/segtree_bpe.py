@@ -17,6 +17,7 @@ import base64
 import functools
 import struct
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from loanlake.llm.common import byte_column
 NEVER = np.int64(1) << np.int64(62)
 POSITION_BITS = 32
 LONGEST_ROW = 64
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 1_500_000
 SLICE_BYTES = 128 << 10  # few enough distinct words for the processor's caches
 
 #: A space inside a run of white space: splitting there could move a token border.
@@ -215,32 +216,47 @@ class PieceCache:
         self.encode, self.uncut, self.entries = encode, uncut, entries
         self.encode_keys = encode_keys or (
             lambda keys: encode([k[1:] if k[:1] == LINE_MARK else " " + k for k in keys]))
-        self.after_space: dict[str, bytes] = {}  # ids of " " + key
         self.closing = dict(zip(".,", encode([".", ","])))
-
-    def _misses(self, words: set[str]) -> None:
-        """Ids of new words. A letter and a closing "." or "," never share a token, so "word," takes
-        the ids of "word" and of ","."""
-        known, ended, new = self.after_space, [], []
-        stems = set()
-        for w in words:
-            if w[-1:] in self.closing and w[-2:-1].isalpha():
-                ended.append(w)
-                if w[:-1] not in known and w[:-1] not in words:
-                    stems.add(w[:-1])
-            else:
-                new.append(w)
-        new += stems
-        known.update(zip(new, self.encode_keys(new)))
-        for w in ended:
-            known[w] = known[w[:-1]] + self.closing[w[-1]]
+        self.clear()
+
+    def clear(self) -> None:
+        """Keys are numbered; number n has ``length[n]`` ids from ``start[n]`` on in ``ids``."""
+        self.number: dict[str, int] = {}
+        self.start, self.length = np.zeros(1 << 10, dtype=np.int64), np.zeros(1 << 10, dtype=np.int64)
+        self.ids, self.used = np.zeros(1 << 12, dtype="<u4"), 0
+
+    def _put(self, keys: list[str], packed: list[bytes]) -> None:
+        ids = np.frombuffer(b"".join(packed), dtype="<u4")
+        length = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+        first, last = len(self.number), len(self.number) + len(keys)
+        if last > len(self.start):
+            self.start, self.length = (np.append(x, np.zeros(last, dtype=np.int64)) for x in (self.start, self.length))
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros(self.used + len(ids), dtype="<u4"))
+        self.start[first:last] = self.used + np.cumsum(length) - length
+        self.length[first:last] = length
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.number.update(zip(keys, range(first, last)))
+
+    def _learn(self, words: set[str]) -> None:
+        """Number new words. A letter and a closing "." or "," never share a token, so "word," takes the ids
+        of "word" and of ","."""
+        ended = [w for w in words if w[-1:] in self.closing and w[-2:-1].isalpha()]
+        new = words.difference(ended)
+        new.update(w[:-1] for w in ended if w[:-1] not in self.number)
+        if new:
+            keys = list(new)
+            self._put(keys, self.encode_keys(keys))
+        if ended:
+            stems = [self.number[w[:-1]] for w in ended]
+            self._put(ended, [self.ids[self.start[n]:self.start[n] + self.length[n]].tobytes() + self.closing[w[-1]]
+                              for w, n in zip(ended, stems)])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text. Each distinct word of the texts is looked up once; the ids are then
-        gathered by word number in one array."""
-        known = self.after_space
-        if len(known) > self.entries:
-            known.clear()
+        """Packed ids of each text: its words' numbers are looked up and their ids gathered in one array."""
+        if len(self.number) > self.entries:
+            self.clear()
         heads: list[str] = []
         words: list[str] = []
         sizes = np.zeros(len(texts) + 1, dtype=np.int64)
@@ -254,19 +270,15 @@ class PieceCache:
                 heads.append(cut[0])
                 words += cut[1:]
                 sizes[i + 1] = len(cut) - 1
-        distinct = list(dict.fromkeys(words))
-        missing = {w for w in distinct if w not in known}
-        if missing:
-            self._misses(missing)
-        number = dict(zip(distinct, range(len(distinct))))
-        at = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
-        ids = [known[w] for w in distinct]
-        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        start = np.cumsum(length) - length
-        n = length[at]
+        at = np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missed = np.flatnonzero(at < 0).tolist()
+        if missed:
+            self._learn({words[i] for i in missed})
+            at[missed] = [self.number[words[i]] for i in missed]
+        n = self.length[at]
         ends = np.cumsum(n)
-        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[at] - ends + n, n)
-        gathered = np.frombuffer(b"".join(ids), dtype="<u4")[source]
+        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[at] - ends + n, n)
+        gathered = self.ids[source]
         bounds = np.append(0, ends)[np.cumsum(sizes)].tolist()
         return [head + gathered[a:b].tobytes()
                 for head, a, b in zip(self.encode(heads), bounds, bounds[1:])]
