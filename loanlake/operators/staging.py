@@ -106,9 +106,10 @@ def flag_installments(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFra
     )
 
 
-def flag_payments(raw: DataFrame, raw_installments: DataFrame) -> DataFrame:
+def flag_payment_rows(raw: DataFrame) -> DataFrame:
+    """The row rules of payments, without the orphan flag (which no rule needs)."""
     status = X.canon("payment_status")
-    base = raw.select(
+    return raw.select(
         X.clean("payment_id").alias("payment_id"),
         X.clean("loan_id").alias("loan_id"),
         X.clean("installment_id").alias("installment_id"),
@@ -122,8 +123,11 @@ def flag_payments(raw: DataFrame, raw_installments: DataFrame) -> DataFrame:
         X.flag(status == F.lit("REVERSED")).alias("_f_reversed"),
         X.flag(status == F.lit("PENDING")).alias("_f_pending"),
     )
+
+
+def flag_payments(raw: DataFrame, raw_installments: DataFrame) -> DataFrame:
     # Orphan: the trimmed installment id is NOT IN the *raw* installment ids (untrimmed).
-    return with_not_in_flag(base, F.col("installment_id"), raw_installments, "installment_id",
+    return with_not_in_flag(flag_payment_rows(raw), F.col("installment_id"), raw_installments, "installment_id",
                             "orphan_installment")
 
 
@@ -163,6 +167,17 @@ def _clean(flagged: DataFrame, spec: StageSpec) -> DataFrame:
     return flagged.where(keep).select(*spec.columns)
 
 
+def layer_counts(flagged: DataFrame, spec: StageSpec, table: str) -> DataFrame:
+    """(layer, table_name, n_rows) of the raw, staged and rejected rows in one pass over the table: a
+    rejected row is one that is not staged."""
+    broken = F.lit(False)
+    for name, _ in spec.flags:
+        broken = broken | F.col(name)
+    n = flagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("bad"))
+    return n.selectExpr(f"stack(3, 'raw', '{table}', n, 'staging', '{table}', n - bad, 'rejected', '{table}', bad) "
+                        "AS (layer, table_name, n_rows)")
+
+
 def _rejected(flagged: DataFrame, spec: StageSpec) -> DataFrame:
     any_bad = None
     for name, _ in spec.flags:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +25,10 @@ def zero_activity_days(disb_daily: DataFrame, coll_daily: DataFrame) -> DataFram
             .unionByName(gaps(coll_daily, "collection_date", "collections")))
 
 
-def row_counts(frames: dict[tuple[str, str], DataFrame]) -> DataFrame:
-    """One row per (layer, table) with its row count, all counts in one job."""
-    out = None
-    for (layer, name), df in frames.items():
-        part = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+def row_counts(layers: list[DataFrame], frames: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """One row per (layer, table) with its row count: ``layers`` are ready counts
+    (``staging.layer_counts``, one scan a table), ``frames`` are counted here. All in one job."""
+    counted = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows")
+        for (layer, name), df in frames.items()]
+    return reduce(DataFrame.unionByName, [*layers, *counted])

@@ -203,17 +203,13 @@ def _registry() -> dict[str, QueryFn]:
     def counts(s, d):
         m = _m(s, d)
         raw = m.raw
-        return alerts.row_counts({
-            ("raw", "customers"): raw.customers, ("raw", "loans"): raw.loans,
-            ("raw", "installments"): raw.installments, ("raw", "payments"): raw.payments,
-            ("staging", "customers"): m.customers, ("staging", "loans"): m.loans,
-            ("staging", "installments"): m.installments, ("staging", "payments"): m.payments,
-            ("rejected", "customers"): staging.rejected_customers(raw.customers),
-            ("rejected", "loans"): staging.rejected_loans(raw.loans),
-            ("rejected", "installments"): staging.rejected_installments(raw.installments),
-            ("rejected", "payments"): staging.rejected_payments(raw.payments, raw.installments),
-            ("analytics", "portfolio_mart"): m.mart,
-        })
+        return alerts.row_counts([
+            staging.layer_counts(staging.flag_customers(raw.customers), staging.CUSTOMER_SPEC, "customers"),
+            staging.layer_counts(staging.flag_loans(raw.loans), staging.LOAN_SPEC, "loans"),
+            staging.layer_counts(staging.flag_installments(raw.installments, m.as_of), staging.INSTALLMENT_SPEC,
+                                 "installments"),
+            staging.layer_counts(staging.flag_payment_rows(raw.payments), staging.PAYMENT_SPEC, "payments"),
+        ], {("analytics", "portfolio_mart"): m.mart})
     r["row_counts"] = counts
 
     # loan delinquency-state history (SCD type 2) from two mart snapshots
