@@ -27,19 +27,16 @@ INSTALLMENT_STATUSES = ["PAID", "DUE", "LATE", "PARTIAL"]
 PAYMENT_STATUSES = ["CONFIRMED", "REVERSED", "PENDING"]
 OUTLIER_INSTALLMENT_NUMBER = 99
 UNKNOWN_CHANNEL = "UNKNOWN"
-# Aging bucket labels: paid/current, 1-30, 31-60, 61-90, over 90 days, not yet due.
-BUCKET_CURRENT = "Al dia"
-BUCKET_1_30 = "1-30 dias"
-BUCKET_31_60 = "31-60 dias"
-BUCKET_61_90 = "61-90 dias"
-BUCKET_90_PLUS = "+90 dias"
-BUCKET_NOT_DUE = "Por vencer"
-# Cohort health classes by arrears percentage: 0, <5, <15, <30, otherwise.
-COHORT_HEALTHY = "Sana"
-COHORT_LOW = "Bajo riesgo"
-COHORT_MODERATE = "Riesgo moderado"
-COHORT_HIGH = "Riesgo alto"
-COHORT_SEVERE = "Deterioro severo"
+# Aging: label of installments that are paid and of loans without delay; bands by last day; label of days
+# beyond them; label of installments not yet due.
+AGING_CURRENT = "Al dia"
+AGING_BANDS = [(30, "1-30 dias"), (60, "31-60 dias"), (90, "61-90 dias")]
+AGING_BEYOND = "+90 dias"
+AGING_NOT_DUE = "Por vencer"
+# Cohort classes: label at an arrears percentage of 0, labels below a percentage, label otherwise.
+COHORT_AT_ZERO = "Sana"
+COHORT_BELOW = [(5, "Bajo riesgo"), (15, "Riesgo moderado"), (30, "Riesgo alto")]
+COHORT_OTHERWISE = "Deterioro severo"
 # ---------------------------------------------------------------------------------------------
 
 MONEY = "decimal(38,2)"
@@ -153,45 +150,41 @@ def installment_in_arrears(status: Column, due_date: Column, as_of: Column) -> C
     return flag(status.isin("LATE", "PARTIAL") | ((status == F.lit("DUE")) & (due_date < as_of)))
 
 
+def _by_band(days: Column, values: list, beyond) -> Column:
+    """The value of the aging band that holds ``days`` (1 or more); ``beyond`` past the last band."""
+    out = F.when(days <= AGING_BANDS[0][0], F.lit(values[0]))
+    for (last, _), value in zip(AGING_BANDS[1:], values[1:]):
+        out = out.when(days <= last, F.lit(value))
+    return out.otherwise(F.lit(beyond))
+
+
 def installment_bucket(status: Column, due_date: Column, as_of: Column) -> Column:
     """Installment aging bucket from the days between due date and cut-off."""
     days = days_between(as_of, due_date)
-    return (F.when(status == F.lit("PAID"), F.lit(BUCKET_CURRENT))
-            .when(days.between(1, 30), F.lit(BUCKET_1_30))
-            .when(days.between(31, 60), F.lit(BUCKET_31_60))
-            .when(days.between(61, 90), F.lit(BUCKET_61_90))
-            .when(days > 90, F.lit(BUCKET_90_PLUS))
-            .otherwise(F.lit(BUCKET_NOT_DUE)))
+    return (F.when(status == F.lit("PAID"), F.lit(AGING_CURRENT))
+            .when(days >= 1, _by_band(days, [label for _, label in AGING_BANDS], AGING_BEYOND))
+            .otherwise(F.lit(AGING_NOT_DUE)))
 
 
 def loan_bucket(max_days_late: Column) -> Column:
     """Loan aging bucket from its worst installment delay (0 -> current)."""
-    d = max_days_late
-    return (F.when(d == 0, F.lit(BUCKET_CURRENT))
-            .when(d.between(1, 30), F.lit(BUCKET_1_30))
-            .when(d.between(31, 60), F.lit(BUCKET_31_60))
-            .when(d.between(61, 90), F.lit(BUCKET_61_90))
-            .otherwise(F.lit(BUCKET_90_PLUS)))
+    return (F.when(max_days_late == 0, F.lit(AGING_CURRENT))
+            .otherwise(_by_band(max_days_late, [label for _, label in AGING_BANDS], AGING_BEYOND)))
 
 
 def bucket_rank(max_days_late: Column) -> Column:
-    """Sort ordinal 0..4 matching ``loan_bucket``."""
-    d = max_days_late
-    return (F.when(d == 0, F.lit(0))
-            .when(d.between(1, 30), F.lit(1))
-            .when(d.between(31, 60), F.lit(2))
-            .when(d.between(61, 90), F.lit(3))
-            .otherwise(F.lit(4)))
+    """Sort ordinal matching ``loan_bucket``: 0, then the bands in order."""
+    n = len(AGING_BANDS)
+    return (F.when(max_days_late == 0, F.lit(0))
+            .otherwise(_by_band(max_days_late, list(range(1, n + 1)), n + 1)))
 
 
 def cohort_health(arrears_pct: Column) -> Column:
     """Cohort class by arrears percentage; a NULL percentage falls through to the worst class."""
-    p = arrears_pct
-    return (F.when(p == 0, F.lit(COHORT_HEALTHY))
-            .when(p < 5, F.lit(COHORT_LOW))
-            .when(p < 15, F.lit(COHORT_MODERATE))
-            .when(p < 30, F.lit(COHORT_HIGH))
-            .otherwise(F.lit(COHORT_SEVERE)))
+    out = F.when(arrears_pct == 0, F.lit(COHORT_AT_ZERO))
+    for below, label in COHORT_BELOW:
+        out = out.when(arrears_pct < below, F.lit(label))
+    return out.otherwise(F.lit(COHORT_OTHERWISE))
 
 
 def calendar_parts(d: Column, prefix: str) -> list[Column]:

@@ -41,25 +41,25 @@ def test_monthly_rate_and_cohort(spark):
 
 def test_installment_bucket_boundaries(spark):
     as_of = dt.date(2030, 6, 30)
-    cases = {-91: X.BUCKET_90_PLUS, -90: X.BUCKET_61_90, -61: X.BUCKET_61_90, -60: X.BUCKET_31_60,
-             -31: X.BUCKET_31_60, -30: X.BUCKET_1_30, -1: X.BUCKET_1_30, 0: X.BUCKET_NOT_DUE,
-             1: X.BUCKET_NOT_DUE}
+    cases = {-91: "+90 dias", -90: "61-90 dias", -61: "61-90 dias", -60: "31-60 dias",
+             -31: "31-60 dias", -30: "1-30 dias", -1: "1-30 dias", 0: "Por vencer",
+             1: "Por vencer"}
     for delta, label in cases.items():
         due = F.lit(as_of + dt.timedelta(days=delta))
         got = one(spark, X.installment_bucket(F.lit("DUE"), due, X.as_of_lit(as_of)))
         assert got == label, (delta, got)
-    assert one(spark, X.installment_bucket(F.lit("PAID"), F.lit(as_of), X.as_of_lit(as_of))) == X.BUCKET_CURRENT
+    assert one(spark, X.installment_bucket(F.lit("PAID"), F.lit(as_of), X.as_of_lit(as_of))) == "Al dia"
 
 
 def test_loan_bucket_and_rank_agree(spark):
-    for days, label, rank in [(0, X.BUCKET_CURRENT, 0), (1, X.BUCKET_1_30, 1), (30, X.BUCKET_1_30, 1),
-                              (31, X.BUCKET_31_60, 2), (61, X.BUCKET_61_90, 3), (91, X.BUCKET_90_PLUS, 4)]:
+    for days, label, rank in [(0, "Al dia", 0), (1, "1-30 dias", 1), (30, "1-30 dias", 1),
+                              (31, "31-60 dias", 2), (61, "61-90 dias", 3), (91, "+90 dias", 4)]:
         assert one(spark, X.loan_bucket(F.lit(days))) == label
         assert one(spark, X.bucket_rank(F.lit(days))) == rank
 
 
 def test_cohort_health_null_is_worst(spark):
-    assert one(spark, X.cohort_health(F.lit(None).cast("double"))) == X.COHORT_SEVERE
-    assert one(spark, X.cohort_health(F.lit(0.0))) == X.COHORT_HEALTHY
-    assert one(spark, X.cohort_health(F.lit(4.99))) == X.COHORT_LOW
-    assert one(spark, X.cohort_health(F.lit(29.99))) == X.COHORT_HIGH
+    assert one(spark, X.cohort_health(F.lit(None).cast("double"))) == "Deterioro severo"
+    assert one(spark, X.cohort_health(F.lit(0.0))) == "Sana"
+    assert one(spark, X.cohort_health(F.lit(4.99))) == "Bajo riesgo"
+    assert one(spark, X.cohort_health(F.lit(29.99))) == "Riesgo alto"
