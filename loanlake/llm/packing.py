@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from loanlake.llm.common import byte_column
 from loanlake.llm.segtree_bpe import CACHE_ENTRIES, LINE_MARK, PieceCache, slices
 
-POOL = 1024
+POOL = 256
 EMIT_PIECES = 2000  # a few megabytes of ids
 WORDS_A_CALL = 4096
 SPACE = "\u0120"  # how byte-level vocabularies write a space
@@ -94,6 +94,7 @@ class Packer:
         items = self.waiting
         need = np.array([(e.tokens - s, 1, e.loss_between(s, e.tokens)) for e, s in items],
                         dtype=np.float64).reshape(-1, 3)
+        share = need / cap
         left = len(items)
         here = np.ones(left, dtype=bool)
         while left > keep:
@@ -101,7 +102,7 @@ class Packer:
             while left and room[0] > 0 and room[1] > 0:
                 fits = here & (need <= room).all(axis=1)
                 if fits.any():
-                    gain = (need / cap) @ (room / cap)
+                    gain = share @ (room / cap)
                     i = int(np.where(fits, gain, -1.0).argmax())
                     n = int(need[i, 0])
                 else:  # cut the rest that fills most of the room
@@ -120,6 +121,7 @@ class Packer:
                 if s + n < e.tokens:
                     items[i] = (e, s + n)
                     need[i] = (e.tokens - s - n, 1, e.loss_between(s + n, e.tokens))
+                    share[i] = need[i] / cap
                 else:
                     here[i] = False
                     left -= 1
