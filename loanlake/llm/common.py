@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.session import ensure_checkpoint_dir
+from loanlake.session import default_parallelism, ensure_checkpoint_dir
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -136,17 +136,23 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps (a known scheme for graphs that fit no machine)
     shrink the links to stars. Each step is a minimum per node, combined before the shuffle, and an
-    equi-join that splits skewed nodes; each round is written to the shared folder and read back.
-    It ends when a round changes nothing.
+    equi-join that splits skewed nodes; each round is written to the shared folder and read back, in no
+    more files than twice the cluster's cores. It ends when every component is a star around its
+    smallest node, which one join and one count per round tell.
     """
-    def signature(e: DataFrame):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+    spark = edges.sparkSession
+    files = 2 * default_parallelism(spark)
+
+    def are_stars(e: DataFrame) -> bool:
+        centres = e.select(F.col("lo").alias("hi")).distinct()
+        inner = e.join(centres, "hi", "left_semi").select("hi")
+        twice = e.groupBy("hi").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi")
+        return inner.union(twice).isEmpty()
 
     e = stored(edges.where("a <> b")
-               .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(),
-               "links")
-    was = signature(e)
-    while True:
+               .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
+               .coalesce(files), "links")
+    while not are_stars(e):
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
@@ -157,10 +163,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "hi").where("lo <> m")
                  .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
                  .union(low.select("hi", F.col("m").alias("lo"))).distinct())
-        e = stored(small, "links")
-        now = signature(e)
-        if now == was:
-            break
-        was = now
+        e = stored(small.coalesce(files), "links")
     roots = e.select(F.col("lo").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(roots)
