@@ -28,7 +28,8 @@ def op2_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                    cache_entries=1_500_000)
     return pieces.select(F.col("key").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
