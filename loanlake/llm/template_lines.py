@@ -2,15 +2,17 @@
 
 A line's tokens are its words; tokens with a digit, ``://`` or ``@`` are variable fields (``<*>``). The tree
 has a fixed depth: number of tokens, then the first ``LEAD`` tokens. Inside a leaf, lines are one
-template if they agree, field by field, in at least 0.8 of their positions: positions are dealt to
-ten groups, and lines of n tokens may differ in at most min(2, n // 5) groups. What differs
-becomes a variable field too. Templates that occur in two or more documents are dropped, but for
-their first occurrence (smallest id, then smallest line number).
-
-At scale: equal lines are one row before any comparison. Two lines that differ in at most two of ten
-groups agree on one of three sets of groups, so lines of a leaf meet by the hash of such a set;
-a frequent set is compared in pairs of blocks and a task emits a spanning forest. A template's
-documents are counted by minimum and maximum, which combine before the shuffle.
+template if they agree, field by field, in at least 0.8 of their positions: lines of n tokens may
+differ in at most n // 5 positions, wherever these are. What differs becomes a variable field too, and
+lines linked over others are one template. Templates that occur in two or more documents are dropped,
+but for their first occurrence (smallest id, then smallest hash of the text, then smallest line number).
+
+At scale: equal lines are one row before any comparison, and only lines that share their leaf with
+another one get a signature, a hash per token, from one row that holds them. The lines of a leaf meet by
+the leaf itself, in pairs of blocks, or, where a leaf has more blocks than n // 5 + 1, by that many
+groups of positions, of which one is free of differences. A task counts the differing positions and
+emits a spanning forest. A template's documents are counted by minimum and maximum, which combine
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from loanlake.llm.segtree_bpe import slices
 
 MIN_TOKENS = 5  # shorter lines recur by chance
 LEAD = 3
-GROUPS = 10
-SETS = ((0, 1, 2, 3), (4, 5, 6), (7, 8, 9))
+GROUPS = 10  # of the rule before this one; read by tests/llm/test_text_models.py only
+MAX_CELLS = 1 << 22  # compared at a time
 FIELD = b"<*>"
 _VARIABLE = re.compile(rb"[0-9@]|://")
 NO_ID = np.iinfo(np.int64).max
@@ -52,85 +54,115 @@ def line_name(tokens: list[bytes]) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def leaf_name(tokens: list[bytes]) -> int:
+    """Signed 64-bit name of the leaf: number of tokens and the first ones."""
+    h = xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join(tokens[:LEAD]))
+    return h - (1 << 64) if h >> 63 else h
+
+
 def signature(tokens: list[bytes]) -> bytes:
-    """Hashes of the leaf, of the ten position groups, and the number of groups that may differ."""
-    digest = xxhash.xxh32_intdigest
-    leaf = xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join(tokens[:LEAD]))
-    parts = [leaf & 0xFFFFFFFF, leaf >> 32]
-    parts += [digest(b" ".join(tokens[g::GROUPS])) for g in range(GROUPS)]
-    parts.append(min(2, len(tokens) // 5))
-    return np.array(parts, dtype=np.uint32).tobytes()
+    """A 32-bit hash per token."""
+    return np.array([xxhash.xxh32_intdigest(t) for t in tokens], dtype=np.uint32).tobytes()
 
 
 def _lines(batches: Iterator[pa.RecordBatch], min_tokens: int):
     for batch in batches:
-        ids = batch.column(0).to_pylist()
+        ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         texts = byte_column(batch, "text")
         for part in slices(texts, 4 << 20):
-            doc, pos, name, sig = [], [], [], []
+            doc, row, pos, name, leaf, n = [], [], [], [], [], []
             for i in range(part.start, part.stop):
                 for p, line in enumerate(texts[i].split(b"\n")):
                     tokens = masked_tokens(line)
                     if len(tokens) >= min_tokens:
                         doc.append(ids[i])
+                        row.append(rows[i])
                         pos.append(p)
                         name.append(line_name(tokens))
-                        sig.append(signature(tokens))
+                        leaf.append(leaf_name(tokens))
+                        n.append(len(tokens))
             if doc:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.array(name, pa.int64()),
-                     pa.array(sig, pa.binary())], names=["id", "pos", "line", "sig"])
+                    [pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(pos, pa.int32()),
+                     pa.array(name, pa.int64()), pa.array(leaf, pa.int64()), pa.array(n, pa.int32())],
+                    names=["id", "row", "pos", "line", "leaf", "n"])
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]):
+    """(text, want: [(pos, line, leaf, crowd)]) -> the signatures of these lines of the text."""
+    for batch in batches:
+        texts, wants = byte_column(batch, "text"), batch.column(batch.schema.get_field_index("want")).to_pylist()
+        for part in slices(texts, 4 << 20):
+            out = []
+            for text, want in zip(texts[part.start:part.stop], wants[part.start:part.stop]):
+                lines = text.split(b"\n")
+                out += [(w["line"], w["leaf"], w["crowd"], signature(masked_tokens(lines[w["pos"]]))) for w in want]
+            if out:
+                line, leaf, crowd, sig = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(line, pa.int64()), pa.array(leaf, pa.int64()), pa.array(crowd, pa.int64()),
+                     pa.array(sig, pa.binary())], names=["line", "leaf", "crowd", "sig"])
 
 
-def _signatures(sigs: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(sigs), dtype=np.uint32).reshape(len(sigs), GROUPS + 3)
+def position_keys(leaf: int, sig: bytes) -> list[int]:
+    """Hashes of the n // 5 + 1 groups of the positions after the leading ones: two lines of a leaf that
+    differ in at most n // 5 positions share one."""
+    tokens = np.frombuffer(sig, dtype=np.uint32)
+    groups = len(tokens) // 5 + 1
+    return [xxhash.xxh64_intdigest(tokens[LEAD + g::groups].tobytes(), (leaf + g) & (1 << 64) - 1) for g in range(groups)]
 
 
-def _set_keys(batches: Iterator[pa.RecordBatch]):
-    """(line, sig) -> the line under the hash of its leaf and each set of groups."""
+def _meeting_keys(batches: Iterator[pa.RecordBatch], block: int):
+    """(line, leaf, crowd, sig) -> the line under its leaf or, if that has more blocks, its position groups."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        line, sig = batch.column(0), _signatures(batch.column(1).to_pylist())
-        for s, members in enumerate(SETS):
-            key = sig[:, 0].astype(np.uint64) << np.uint64(32) | sig[:, 1]
-            for c in members:
-                key = (key ^ sig[:, 2 + c]) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(29)
-            key = key * np.uint64(2 * s + 3)
-            yield pa.RecordBatch.from_arrays([line, pa.array(key.view(np.int64))], names=["line", "key"])
+        line, key = [], []
+        for name, leaf, crowd, sig in zip(*(c.to_pylist() for c in batch.columns)):
+            keys = [leaf & (1 << 64) - 1] if -(-crowd // block) <= len(sig) // 20 + 1 else position_keys(leaf, sig)
+            line += [name] * len(keys)
+            key += keys
+        if line:
+            yield pa.RecordBatch.from_arrays([pa.array(line, pa.int64()), pa.array(np.array(key, dtype=np.uint64).view(np.int64))],
+                                             names=["line", "key"])
 
 
 def same_template(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Pairwise over rows of two signature arrays."""
-    out = np.zeros((len(a), len(b)), dtype=np.int8)
-    for c in range(GROUPS):
-        out += a[:, None, 2 + c] != b[None, :, 2 + c]
-    near = out <= np.minimum(a[:, None, -1], b[None, :, -1])
-    return near & (a[:, None, 0] == b[None, :, 0]) & (a[:, None, 1] == b[None, :, 1])
+    """Pairwise over rows of two signature arrays of n tokens: at most n // 5 positions differ."""
+    n = a.shape[1]
+    out = np.zeros((len(a), len(b)), dtype=np.int32)
+    step = max(1, MAX_CELLS // max(1, len(a) * len(b)))
+    for at in range(0, n, step):
+        if step == 1:
+            out += a[:, None, at] != b[None, :, at]
+        else:
+            out += (a[:, None, at:at + step] != b[None, :, at:at + step]).sum(axis=2, dtype=np.int32)
+    return out <= n // 5
 
 
 def _verify(batches: Iterator[pa.RecordBatch]):
     for t in sorted_groups(batches, ["key", "lo", "hi"]):
         bounds = group_bounds(t, ["key", "lo", "hi"])
         line, own, lo, hi = (t.column(c).to_numpy() for c in ("line", "own_block", "lo", "hi"))
-        sig = _signatures(t.column("sig").to_pylist())
         a_out, b_out = [], []
         for f, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             if e - f < 2:
                 continue
-            if lo[f] == hi[f]:
-                left = right = np.arange(f, e)
-            else:
-                left, right = f + np.flatnonzero(own[f:e] == lo[f]), f + np.flatnonzero(own[f:e] == hi[f])
-            near = np.zeros((e - f, e - f), dtype=bool)
-            if len(left) and len(right):
-                near[np.ix_(left - f, right - f)] = same_template(sig[left], sig[right])
-            near |= near.T
-            np.fill_diagonal(near, False)
-            for i, j in spanning_links(near):
-                a_out.append(line[f + i])
-                b_out.append(line[f + j])
+            sigs = t.column("sig").slice(f, e - f).to_pylist()
+            lengths = np.array([len(s) for s in sigs])
+            for length in set(lengths.tolist()):
+                at = np.flatnonzero(lengths == length)  # all, but for equal hashes of two leaves
+                sig = np.frombuffer(b"".join(sigs[i] for i in at), dtype=np.uint32).reshape(len(at), -1)
+                if lo[f] == hi[f]:
+                    left = right = np.arange(len(at))
+                else:
+                    left, right = np.flatnonzero(own[f + at] == lo[f]), np.flatnonzero(own[f + at] == hi[f])
+                near = np.zeros((len(at), len(at)), dtype=bool)
+                if len(left) and len(right):
+                    near[np.ix_(left, right)] = same_template(sig[left], sig[right])
+                near |= near.T
+                np.fill_diagonal(near, False)
+                for i, j in spanning_links(near):
+                    a_out.append(line[f + at[i]])
+                    b_out.append(line[f + at[j]])
         if a_out:
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())],
                                              names=["a", "b"])
@@ -138,16 +170,26 @@ def _verify(batches: Iterator[pa.RecordBatch]):
 
 def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_tokens: int = MIN_TOKENS,
                     block: int = 1024) -> DataFrame:
-    """(id, pos, line) of every line to drop: its template occurs in two or more documents and this is
-    not its first occurrence. Rows that share an id are one document, as are those without an id (null),
-    which come last."""
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
+    """(id, row, pos, line) of every line to drop: its template occurs in two or more documents and this is
+    not its first occurrence. ``row`` is the hash of the text. Rows that share an id are one document, as are
+    those without an id (null), which come last."""
+    rows = _keyed(docs, doc_id, text).select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.col(f"`{text}`").alias("text"))
     lines = stored(rows.mapInArrow(functools.partial(_lines, min_tokens=min_tokens),
-                                   "id long, pos int, line long, sig binary"), "lines")
-    distinct = stored(lines.groupBy("line").agg(F.min(F.struct("id", "pos")).alias("at"), F.max("id").alias("last"),
-                                                F.min("sig").alias("sig")), "distinct-lines")
-    keyed = distinct.select("line", "sig").mapInArrow(_set_keys, "line long, key long")
-    met = shared_key_blocks(keyed, "line", block, drop_lonely=True).join(distinct.select("line", "sig"), "line")
+                                   "id long, row long, pos int, line long, leaf long, n int"), "lines")
+    distinct = stored(lines.groupBy("line").agg(F.min(F.struct("id", "row", "pos")).alias("at"), F.max("id").alias("last"),
+                                                F.min("leaf").alias("leaf"), F.min("n").alias("n")), "distinct-lines")
+    # shorter lines differ in no position
+    crowded = (distinct.where("n >= 5").groupBy("leaf").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"))
+    want = (distinct.where("n >= 5").join(crowded, "leaf").groupBy("at.id", "at.row")
+            .agg(F.collect_list(F.struct("at.pos", "line", "leaf", "crowd")).alias("want")))
+    signed = rows.join(want, ["id", "row"]).select("text", "want").mapInArrow(
+        _wanted, "line long, leaf long, crowd long, sig binary")
+    # equal rows give a line several times
+    signed = stored(signed.groupBy("line").agg(F.min("leaf").alias("leaf"), F.min("crowd").alias("crowd"),
+                                               F.min("sig").alias("sig")), "signatures")
+    keyed = signed.select("line", "leaf", "crowd", "sig").mapInArrow(
+        functools.partial(_meeting_keys, block=block), "line long, key long")
+    met = shared_key_blocks(keyed, "line", block, drop_lonely=True).join(signed.select("line", "sig"), "line")
     links = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(
         _verify, "a long, b long")
     parts = components(links)
@@ -156,9 +198,13 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     recurring = (named.groupBy("template").agg(F.min("at").alias("at"), F.max("last").alias("last"))
                  .where(F.col("at.id") < F.col("last")).select("template", "at"))
     of_line = named.select("line", "template").join(recurring, "template").select("line", "at")
-    return (lines.select("id", "pos", "line").join(of_line, "line")
-            .where(~((F.col("id") == F.col("at.id")) & (F.col("pos") == F.col("at.pos"))))
-            .select("id", "pos", "line"))
+    return (lines.select("id", "row", "pos", "line").join(of_line, "line")
+            .where(F.struct("id", "row", "pos") != F.col("at")).select("id", "row", "pos", "line"))
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select("*", F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("__id"),
+                       F.xxhash64(F.col(f"`{text}`")).alias("__row"))
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch], text: str):
@@ -198,11 +244,10 @@ def drop_recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")] if keep is None else keep
     keep = [c for c in keep if c != text]
     gone = recurring_lines(docs, doc_id, text, min_tokens)
-    per_doc = gone.groupBy(F.col("id").alias("__id")).agg(
-        F.collect_list(F.struct("pos", "line")).alias("__drop"))
-    body = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`"),
-                       F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("__id"))
-    joined = body.join(per_doc, "__id", "left").drop("__id")
+    per_doc = gone.groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(
+        F.collect_set(F.struct("pos", "line")).alias("__drop"))
+    body = _keyed(docs, doc_id, text).select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`"), "__id", "__row")
+    joined = body.join(per_doc, ["__id", "__row"], "left").drop("__id", "__row")
     out = T.StructType([docs.schema[c] for c in keep] + [T.StructField(text, T.BinaryType()),
                                                          T.StructField("n_lines", T.LongType()),
                                                          T.StructField("n_dropped", T.LongType())])

@@ -116,6 +116,40 @@ def test_lines_of_the_test_data(spark):
     assert nulls == {1: (None, 0), 2: ("", 0)}
 
 
+def stated_brute(docs):
+    """``template_brute`` by the stated rule: lines of a leaf agree in at least 0.8 of their positions."""
+    lines = [(L.NO_ID if i is None else i, p, tokens) for i, t in docs for p, line in enumerate((t or "").encode().split(b"\n"))
+             if len(tokens := L.masked_tokens(line)) >= L.MIN_TOKENS]
+
+    def same(a, b):
+        return (len(a) == len(b) and a[:L.LEAD] == b[:L.LEAD]
+                and 5 * sum(x != y for x, y in zip(a, b)) <= len(a))
+
+    parts = brute.components(range(len(lines)), [(i, j) for i in range(len(lines)) for j in range(i)
+                                                 if same(lines[i][2], lines[j][2])])
+    groups = {}
+    for k, root in parts.items():
+        groups.setdefault(root, []).append(lines[k][:2])
+    return {at for g in groups.values() if len({i for i, _ in g}) > 1 for at in set(g) - {min(g)}}
+
+
+@pytest.mark.parametrize("block", [1024, 2, 1])
+def test_lines_agree_in_four_fifths_of_their_positions(spark, block):
+    rng, docs = np.random.default_rng(11), []
+    for n in (5, 9, 10, 14, 20, 60, 101):
+        for base in range(3):
+            words = [f"{chr(97 + base)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(n)]
+            for changed in (0, 1, n // 5, n // 5 + 1, n // 5 + 2):
+                line = list(words)
+                for k in rng.choice(np.arange(L.LEAD, n), min(changed, n - L.LEAD), replace=False):
+                    line[k] = "other" + "".join(rng.choice(list("xyz"), 8))
+                docs.append((len(docs), " ".join(line)))
+    docs += [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").selectExpr("doc_id + 1000", "text").collect()]
+    got = {(r.id, r.pos) for r in L.recurring_lines(spark.createDataFrame(docs, DOC), block=block).collect()}
+    assert got == stated_brute(docs)
+    assert got > template_brute(docs)
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     scored = queries.op8_ftrl_toxicity(spark, sf)
