@@ -3,7 +3,8 @@
 A line's tokens are its words; tokens with a digit, ``://`` or ``@`` are variable fields (``<*>``). The tree
 has a fixed depth: number of tokens, then the first ``LEAD`` tokens. Inside a leaf, lines are one
 template if they agree, field by field, in at least 0.8 of their positions: lines of n tokens may
-differ in at most n // 5 positions, wherever these are. What differs becomes a variable field too, and
+differ in at most n // 5 positions, wherever these are, so that lines of fewer than five words have to be
+equal. What differs becomes a variable field too, and
 lines linked over others are one template. Templates that occur in two or more documents are dropped,
 but for their first occurrence (smallest id, then smallest hash of the text, then smallest line number).
 
@@ -32,7 +33,7 @@ from loanlake.llm.common import (byte_column, components, group_bounds, shared_k
                                  spanning_links, stored)
 from loanlake.llm.segtree_bpe import slices
 
-MIN_TOKENS = 5  # shorter lines recur by chance
+MIN_TOKENS = 1  # every line with a word; below five words lines are one template if equal
 LEAD = 3
 GROUPS = 10  # of the rule before this one; read by tests/llm/test_text_models.py only
 MAX_CELLS = 1 << 22  # compared at a time
@@ -237,7 +238,8 @@ def drop_recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Every row of ``docs`` with the ``keep`` columns (default: all), its text without recurring lines,
     ``n_lines`` and ``n_dropped``.
 
-    Lines are separated by ``\\n``; those of fewer than ``min_tokens`` words stay. A text that loses all lines
+    Lines are separated by ``\\n``; those of fewer than ``min_tokens`` words stay, by default
+    blank lines only. A text that loses all lines
     is empty; null stays null, and both have 0 lines. A line that recurs only inside one document
     stays. Columns called ``n_lines`` or ``n_dropped`` are replaced. Empty input: empty result.
     """

@@ -150,6 +150,13 @@ def test_lines_agree_in_four_fifths_of_their_positions(spark, block):
     assert got > template_brute(docs)
 
 
+def test_short_lines_recur_by_equality(spark):
+    docs = [(1, "All rights reserved.\nShare this article\n\nonly here"), (2, "Share this\nAll rights reserved.\n\n"),
+            (3, "Share this story\nAll rights reserved.\nonce more\nonce more"), (4, "Page 4\nShare this article"), (5, "Page 5")]
+    got = {(r.id, r.pos) for r in L.recurring_lines(spark.createDataFrame(docs, DOC)).collect()}
+    assert got == {(2, 1), (3, 1), (4, 1), (5, 0)} == stated_brute(docs)
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     scored = queries.op8_ftrl_toxicity(spark, sf)
