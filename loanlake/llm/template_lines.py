@@ -4,7 +4,8 @@ A line's tokens are its words; tokens with a digit, ``://`` or ``@`` are variabl
 has a fixed depth: number of tokens, then the first ``LEAD`` tokens. Inside a leaf, lines are one
 template if they agree, field by field, in at least 0.8 of their positions: lines of n tokens may
 differ in at most n // 5 positions, wherever these are, so that lines of fewer than five words have to be
-equal. What differs becomes a variable field too, and
+equal. Variable fields stand for each other only in lines whose tokens are constant to ``MIN_CONSTANT``
+or more; other lines, such as rows of numbers, recur by equality of their words as they are. What differs becomes a variable field too, and
 lines linked over others are one template. Templates that occur in two or more documents are dropped,
 but for their first occurrence (smallest id, then smallest hash of the text, then smallest line number).
 
@@ -35,6 +36,7 @@ from loanlake.llm.segtree_bpe import slices
 
 MIN_TOKENS = 1  # every line with a word; below five words lines are one template if equal
 LEAD = 3
+MIN_CONSTANT = 0.5
 GROUPS = 10  # of the rule before this one; read by tests/llm/test_text_models.py only
 MAX_CELLS = 1 << 22  # compared at a time
 FIELD = b"<*>"
@@ -42,11 +44,19 @@ _VARIABLE = re.compile(rb"[0-9@]|://")
 NO_ID = np.iinfo(np.int64).max
 
 
-def masked_tokens(line: bytes) -> list[bytes]:
+def fields(line: bytes) -> tuple[list[bytes], bool]:
+    """A line's tokens and whether it may be one template with other lines."""
     tokens = line.split()
-    if _VARIABLE.search(line):
-        tokens = [FIELD if _VARIABLE.search(t) else t for t in tokens]
-    return tokens
+    if not _VARIABLE.search(line):
+        return tokens, True
+    masked = [FIELD if _VARIABLE.search(t) else t for t in tokens]
+    if len(tokens) - masked.count(FIELD) < MIN_CONSTANT * len(tokens):
+        return tokens, False
+    return masked, True
+
+
+def masked_tokens(line: bytes) -> list[bytes]:
+    return fields(line)[0]
 
 
 def line_name(tokens: list[bytes]) -> int:
@@ -74,14 +84,14 @@ def _lines(batches: Iterator[pa.RecordBatch], min_tokens: int):
             doc, row, pos, name, leaf, n = [], [], [], [], [], []
             for i in range(part.start, part.stop):
                 for p, line in enumerate(texts[i].split(b"\n")):
-                    tokens = masked_tokens(line)
+                    tokens, template = fields(line)
                     if len(tokens) >= min_tokens:
                         doc.append(ids[i])
                         row.append(rows[i])
                         pos.append(p)
                         name.append(line_name(tokens))
                         leaf.append(leaf_name(tokens))
-                        n.append(len(tokens))
+                        n.append(len(tokens) if template else 0)
             if doc:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(pos, pa.int32()),
@@ -179,7 +189,7 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                    "id long, row long, pos int, line long, leaf long, n int"), "lines")
     distinct = stored(lines.groupBy("line").agg(F.min(F.struct("id", "row", "pos")).alias("at"), F.max("id").alias("last"),
                                                 F.min("leaf").alias("leaf"), F.min("n").alias("n")), "distinct-lines")
-    # shorter lines differ in no position
+    # shorter lines differ in no position; rows of variable tokens have n = 0
     crowded = (distinct.where("n >= 5").groupBy("leaf").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"))
     want = (distinct.where("n >= 5").join(crowded, "leaf").groupBy("at.id", "at.row")
             .agg(F.collect_list(F.struct("at.pos", "line", "leaf", "crowd")).alias("want")))

@@ -157,6 +157,13 @@ def test_short_lines_recur_by_equality(spark):
     assert got == {(2, 1), (3, 1), (4, 1), (5, 0)} == stated_brute(docs)
 
 
+def test_rows_of_numbers_recur_only_as_they_are(spark):
+    docs = [(1, "12 34 56 78 90\n7 7 7 7 7 7\ntotal 1 2 3 4\n3 of 4 pages"), (2, "1 9 8 7 6\n12 34 56 78 91\ntotal 5 6 7 8\n7 of 9 pages"),
+            (3, "7 7 7 7 7 7\n12 34 56 78 90"), (4, "5\n2020-01-01"), (5, "6\n2020-01-01")]
+    got = {(r.id, r.pos) for r in L.recurring_lines(spark.createDataFrame(docs, DOC)).collect()}
+    assert got == {(2, 3), (3, 0), (3, 1), (5, 1)}
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     scored = queries.op8_ftrl_toxicity(spark, sf)
