@@ -7,7 +7,7 @@ differ in at most n // 5 positions, wherever these are, so that lines of fewer t
 equal. Variable fields stand for each other only in lines whose tokens are constant to ``MIN_CONSTANT``
 or more; other lines, such as rows of numbers, recur by equality of their words as they are. What differs becomes a variable field too, and
 lines linked over others are one template. Templates that occur in two or more documents are dropped,
-but for their first occurrence (smallest id, then smallest hash of the text, then smallest line number).
+but for their first occurrence (smallest id, then smallest row key, then smallest line number).
 
 At scale: equal lines are one row before any comparison, and only lines that share their leaf with
 another one get a signature, a hash per token, from one row that holds them. The lines of a leaf meet by
@@ -38,6 +38,7 @@ MIN_TOKENS = 1  # every line with a word; below five words lines are one templat
 LEAD = 3
 MIN_CONSTANT = 0.5
 GROUPS = 10  # of the rule before this one; read by tests/llm/test_text_models.py only
+BLOCK = 1024
 MAX_CELLS = 1 << 22  # compared at a time
 FIELD = b"<*>"
 _VARIABLE = re.compile(rb"[0-9@]|://")
@@ -180,14 +181,32 @@ def _verify(batches: Iterator[pa.RecordBatch]):
 
 
 def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_tokens: int = MIN_TOKENS,
-                    block: int = 1024) -> DataFrame:
+                    block: int = BLOCK) -> DataFrame:
     """(id, row, pos, line) of every line to drop: its template occurs in two or more documents and this is
-    not its first occurrence. ``row`` is the hash of the text. Rows that share an id are one document, as are
-    those without an id (null), which come last."""
-    rows = _keyed(docs, doc_id, text).select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.col(f"`{text}`").alias("text"))
+    not its first occurrence. Rows that share an id are one document; a row without an id (null) is one by
+    itself, comes last and has the largest long as id. ``row`` is the hash of the text or, without an id, a number."""
+    return _recurring(_keyed(docs, doc_id, text), text, min_tokens, block)
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with ``__id`` and ``__row``. Rows of one id and text lose the same lines, so they share a key; rows
+    without an id are stored with a number each, since equal ones are several documents."""
+    own = F.col(f"`{doc_id}`").cast("long")
+    named = docs.where(own.isNotNull()).select("*", own.alias("__id"), F.xxhash64(F.col(f"`{text}`")).alias("__row"))
+    nameless = docs.where(own.isNull()).select("*", F.lit(NO_ID).alias("__id"), F.monotonically_increasing_id().alias("__row"))
+    return named.union(stored(nameless, "rows-without-id"))
+
+
+def _recurring(keyed: DataFrame, text: str, min_tokens: int, block: int) -> DataFrame:
+    rows = keyed.select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.col(f"`{text}`").alias("text"))
+
+    def document(at: str = ""):
+        own = F.when(F.col(f"{at}id") == NO_ID, F.col(f"{at}row")).otherwise(F.lit(0).cast("long"))
+        return F.struct(F.col(f"{at}id").alias("id"), own.alias("own"))
+
     lines = stored(rows.mapInArrow(functools.partial(_lines, min_tokens=min_tokens),
                                    "id long, row long, pos int, line long, leaf long, n int"), "lines")
-    distinct = stored(lines.groupBy("line").agg(F.min(F.struct("id", "row", "pos")).alias("at"), F.max("id").alias("last"),
+    distinct = stored(lines.groupBy("line").agg(F.min(F.struct("id", "row", "pos")).alias("at"), F.max(document()).alias("last"),
                                                 F.min("leaf").alias("leaf"), F.min("n").alias("n")), "distinct-lines")
     # shorter lines differ in no position; rows of variable tokens have n = 0
     crowded = (distinct.where("n >= 5").groupBy("leaf").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"))
@@ -207,17 +226,12 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = distinct.join(parts, F.col("line") == F.col("node"), "left").select(
         "line", F.coalesce("root", "line").alias("template"), "at", "last")
     recurring = (named.groupBy("template").agg(F.min("at").alias("at"), F.max("last").alias("last"))
-                 .where(F.col("at.id") < F.col("last")).select("template", "at"))
+                 .where(document("at.") < F.col("last")).select("template", "at"))
     of_line = named.select("line", "template").join(recurring, "template").select("line", "at")
     return (lines.select("id", "row", "pos", "line").join(of_line, "line")
             .where(F.struct("id", "row", "pos") != F.col("at")).select("id", "row", "pos", "line"))
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select("*", F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("__id"),
-                       F.xxhash64(F.col(f"`{text}`")).alias("__row"))
-
-
 def _rebuild(batches: Iterator[pa.RecordBatch], text: str):
     for batch in batches:
         raw, marks = byte_column(batch, text), batch.column(batch.schema.get_field_index("__drop")).to_pylist()
@@ -255,10 +269,11 @@ def drop_recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")] if keep is None else keep
     keep = [c for c in keep if c != text]
-    gone = recurring_lines(docs, doc_id, text, min_tokens)
+    keyed = _keyed(docs, doc_id, text)
+    gone = _recurring(keyed, text, min_tokens, BLOCK)
     per_doc = gone.groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(
         F.collect_set(F.struct("pos", "line")).alias("__drop"))
-    body = _keyed(docs, doc_id, text).select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`"), "__id", "__row")
+    body = keyed.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`"), "__id", "__row")
     joined = body.join(per_doc, ["__id", "__row"], "left").drop("__id", "__row")
     out = T.StructType([docs.schema[c] for c in keep] + [T.StructField(text, T.BinaryType()),
                                                          T.StructField("n_lines", T.LongType()),

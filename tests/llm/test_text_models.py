@@ -164,6 +164,21 @@ def test_rows_of_numbers_recur_only_as_they_are(spark):
     assert got == {(2, 3), (3, 0), (3, 1), (5, 1)}
 
 
+def test_rows_without_id_are_documents_of_their_own(spark):
+    line, other = "this very line is in all of these rows", "and that one is in two rows without an id"
+    rows = [(None, other), (None, other + "\nfirst"), (None, "same text twice without an id"), (None, "same text twice without an id"),
+            (None, line), (5, line + "\nkept"), (5, "x\n" + line), (6, "inside one id only and nowhere else"),
+            (6, "y\ninside one id only and nowhere else")] + [(7, line)] * 3
+    out = [(r.doc_id, r.text) for r in L.drop_recurring(spark.createDataFrame(rows, DOC).repartition(3)).collect()]
+    assert len(out) == len(rows)
+    nameless = sorted(text for i, text in out if i is None)
+    assert nameless in (sorted([other, "first", "same text twice without an id", "", ""]),
+                        sorted(["", other + "\nfirst", "same text twice without an id", "", ""]))
+    assert sorted(text for i, text in out if i == 5) in (sorted([line + "\nkept", "x"]), sorted(["kept", "x\n" + line]))
+    assert [text for i, text in out if i == 7] == ["", "", ""]
+    assert sorted(text for i, text in out if i == 6) == [rows[7][1], rows[8][1]]
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     scored = queries.op8_ftrl_toxicity(spark, sf)
