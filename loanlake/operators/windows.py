@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+PART_ROWS = 1_000_000
+
 
 def running_sum(value: str, partition_by: list[str], order_by: list[Column]) -> Column:
     """``SUM(value) OVER (PARTITION BY .. ORDER BY .. ROWS UNBOUNDED PRECEDING..CURRENT ROW)``."""
@@ -48,15 +50,18 @@ def top_k_numbered(df: DataFrame, order_by: list[Column], k: int, rank_col: str
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
 
 
-def running_total_large(df: DataFrame, value: str, order_col: str, out: str, n_parts: int = 64) -> DataFrame:
+def running_total_large(df: DataFrame, value: str, order_col: str, out: str, n_parts: int | None = None) -> DataFrame:
     """Global running total (``ROWS UNBOUNDED PRECEDING`` by ``order_col``) for inputs too large for one task.
 
-    ``order_col`` is numeric, a date or a timestamp without NULLs, and unique. Its approximate quantiles
-    give at most ``n_parts - 1`` bounds (one row to the driver); a row's bucket is a function of its own
+    ``order_col`` is numeric, a date or a timestamp, and unique but for NULLs, which come last in a bucket of
+    their own, in any order. ``n_parts`` grows with the rows by default: one for each ``PART_ROWS``, at least 64.
+    The approximate quantiles of ``order_col`` give at most ``n_parts - 1`` bounds (one row to the driver); a row's bucket is a function of its own
     ``order_col`` and these bounds, so every branch of the plan agrees on it, whatever columns it
     carries. Running sums inside the buckets are shifted by the totals of earlier buckets, at most
-    ``n_parts`` rows.
+    ``n_parts`` + 1 rows.
     """
+    if n_parts is None:
+        n_parts = max(64, -(-df.count() // PART_ROWS))
     kind = df.schema[order_col].dataType.typeName()
     o = F.col(order_col)
     place = {"date": F.unix_date(o).cast("double")}.get(
@@ -66,13 +71,13 @@ def running_total_large(df: DataFrame, value: str, order_col: str, out: str, n_p
     bounds = sorted(set(bounds))
     bucket = F.aggregate(F.array(*[F.lit(b) for b in bounds]), F.lit(0),
                          lambda n, b: n + (place > b).cast("int")) if bounds else F.lit(0)
-    placed = df.withColumn("_bucket", bucket)
+    placed = df.withColumn("_bucket", F.when(place.isNull(), F.lit(len(bounds) + 1)).otherwise(bucket))
     inside = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     totals = placed.groupBy("_bucket").agg(F.sum(value).alias("_sum"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    # at most n_parts rows: the size is bounded by the parameter
+    # at most n_parts + 1 rows: the size is bounded by the parameter
     return (placed.withColumn("_local", F.sum(value).over(inside)).join(F.broadcast(offsets), "_bucket")
             .withColumn(out, F.col("_local") + F.col("_offset"))
             .drop("_bucket", "_local", "_offset"))

@@ -50,3 +50,14 @@ def test_running_total_large_by_date_and_empty(spark):
     got = {r.d: r.rt for r in W.running_total_large(df, "v", "d", "rt", n_parts=4).collect()}
     assert [got[k] for k in sorted(got)] == [i * (i + 1) // 2 for i in range(50)]
     assert W.running_total_large(df.limit(0), "v", "d", "rt").collect() == []
+
+
+def test_running_total_large_keeps_rows_without_order(spark, monkeypatch):
+    df = spark.sql("SELECT if(id < 197, id, null) AS k, id AS v FROM range(200)")
+    monkeypatch.setattr(W, "PART_ROWS", 2)
+    for n_parts in (None, 7):
+        rows = W.running_total_large(df, "v", "k", "rt", n_parts=n_parts).collect()
+        assert sorted(r.v for r in rows) == list(range(200))
+        assert all(r.rt == r.v * (r.v + 1) // 2 for r in rows if r.k is not None)
+        last = sorted((r.rt, r.v) for r in rows if r.k is None)
+        assert last[-1][0] == 199 * 100 and last[0][0] == 196 * 197 // 2 + last[0][1]
