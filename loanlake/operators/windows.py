@@ -5,7 +5,7 @@ Scale notes. A window with ``partitionBy`` shuffles on the partition keys and so
 partition; a window *without* partition keys runs in one task. The global windows used by the
 business questions run on aggregates whose size is bounded by the calendar (one row per day)
 or by k (top-k), never on the raw fact tables. For an unbounded global running total use
-``running_total_large``, which computes per-range-partition offsets instead of one task.
+``running_total_large``, which shifts sums of bounded ranges by the totals of earlier ones.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlake.session import ensure_checkpoint_dir
+
 PART_ROWS = 1_000_000
 
 
@@ -50,34 +52,42 @@ def top_k_numbered(df: DataFrame, order_by: list[Column], k: int, rank_col: str
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
 
 
-def running_total_large(df: DataFrame, value: str, order_col: str, out: str, n_parts: int | None = None) -> DataFrame:
-    """Global running total (``ROWS UNBOUNDED PRECEDING`` by ``order_col``) for inputs too large for one task.
+def prefix_sums(df: DataFrame, order_by: list[str], value: str, out: str, n_parts: int | None = None,
+                range_rows: int | None = None) -> DataFrame:
+    """Running sum of ``value`` over all rows in the order of ``order_by`` (ascending, nulls last), for inputs too
+    large for one task.
 
-    ``order_col`` is numeric, a date or a timestamp, and unique but for NULLs, which come last in a bucket of
-    their own, in any order. ``n_parts`` grows with the rows by default: one for each ``PART_ROWS``, at least 64.
-    The approximate quantiles of ``order_col`` give at most ``n_parts - 1`` bounds (one row to the driver); a row's bucket is a function of its own
-    ``order_col`` and these bounds, so every branch of the plan agrees on it, whatever columns it
-    carries. Running sums inside the buckets are shifted by the totals of earlier buckets, at most
-    ``n_parts`` + 1 rows.
+    Rows are dealt to partitions (``n_parts``, by default as many as shuffles have) by ranges of ``order_by``,
+    sorted there and numbered; every ``range_rows`` rows of a partition (default ``PART_ROWS``) are a range, so a
+    range is bounded even where many rows share their order. Sums inside the
+    ranges are shifted by the totals of earlier ranges (rows / ``range_rows`` rows, joined by the range's number).
+    The numbered rows are checkpointed: each branch of the plan reads the same ranges, and a lost executor costs a
+    re-read. Rows that tie in ``order_by`` follow each other in any, but one, order; name a key last to
+    settle it. A null ``value`` adds nothing; before the first value the sum is null.
     """
-    if n_parts is None:
-        n_parts = max(64, -(-df.count() // PART_ROWS))
-    kind = df.schema[order_col].dataType.typeName()
-    o = F.col(order_col)
-    place = {"date": F.unix_date(o).cast("double")}.get(
-        kind, o.cast("timestamp").cast("double") if kind.startswith("timestamp") else o.cast("double"))
-    bounds = df.select(place.alias("_at")).agg(F.percentile_approx(
-        "_at", [i / n_parts for i in range(1, n_parts)], 10_000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    bucket = F.aggregate(F.array(*[F.lit(b) for b in bounds]), F.lit(0),
-                         lambda n, b: n + (place > b).cast("int")) if bounds else F.lit(0)
-    placed = df.withColumn("_bucket", F.when(place.isNull(), F.lit(len(bounds) + 1)).otherwise(bucket))
-    inside = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    totals = placed.groupBy("_bucket").agg(F.sum(value).alias("_sum"))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    # at most n_parts + 1 rows: the size is bounded by the parameter
-    return (placed.withColumn("_local", F.sum(value).over(inside)).join(F.broadcast(offsets), "_bucket")
-            .withColumn(out, F.col("_local") + F.col("_offset"))
-            .drop("_bucket", "_local", "_offset"))
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in order_by]
+    rows = range_rows or PART_ROWS
+    spread = df.repartitionByRange(*([n_parts] if n_parts else []), *order).sortWithinPartitions(*order)
+    index = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = (spread.withColumn("_at", F.monotonically_increasing_id())
+                .withColumn("_range", F.shiftright("_at", 33) * (1 << 33) + F.floor(index / rows)))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = numbered.checkpoint()
+    totals = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", F.sum("_sum").over(earlier).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = F.sum(value).over(inside)
+    zero = F.lit(0).cast(totals.schema["_sum"].dataType)
+    return (ranged.withColumn("_local", local).join(offsets, "_range")
+            .withColumn(out, F.when(F.col("_local").isNull() & F.col("_offset").isNull(), None).otherwise(
+                F.coalesce("_local", zero) + F.coalesce("_offset", zero)))
+            .drop("_range", "_at", "_local", "_offset"))
+
+
+def running_total_large(df: DataFrame, value: str, order_col: str, out: str, n_parts: int | None = None,
+                        ties: list[str] | None = None, range_rows: int | None = None) -> DataFrame:
+    """Global running total (``ROWS UNBOUNDED PRECEDING`` by ``order_col``, then ``ties``) for inputs too large for
+    one task; see ``prefix_sums``. Rows without an ``order_col`` come last. Rows that tie in all of
+    ``ties`` (default: none) are summed in any order."""
+    return prefix_sums(df, [order_col, *(ties or [])], value, out, n_parts, range_rows)

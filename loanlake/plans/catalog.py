@@ -193,7 +193,7 @@ def _registry() -> dict[str, QueryFn]:
     r["staging_mark"] = lambda s, d: next_staging_mark(_m(s, d).payments)
     r["running_total"] = lambda s, d: running_total_large(
         _m(s, d).payments.select("payment_id", "loan_id", "payment_amount", "loaded_at"),
-        "payment_amount", "loaded_at", "running_total").withColumn(
+        "payment_amount", "loaded_at", "running_total", ties=["payment_id"]).withColumn(
             "running_total", F.col("running_total").cast("decimal(38,2)"))
     r["dedup_payments"] = lambda s, d: dedup_latest(_m(s, d).payments, ["payment_id"], ["loaded_at"])
 

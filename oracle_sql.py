@@ -461,7 +461,7 @@ _FINAL.update({
         GROUP BY ALL""",
     "running_total": f"""
         SELECT payment_id, loan_id, payment_amount, loaded_at,
-               CAST(SUM(payment_amount) OVER (ORDER BY loaded_at {TOTAL}) AS {MONEY}) AS running_total
+               CAST(SUM(payment_amount) OVER (ORDER BY loaded_at, payment_id {TOTAL}) AS {MONEY}) AS running_total
         FROM stg_payments""",
     "zero_activity_days": _gaps("disbursement", "disbursement_daily", "disbursement_date") + " UNION ALL "
                           + _gaps("collections", "collections_daily", "collection_date"),

@@ -61,3 +61,25 @@ def test_running_total_large_keeps_rows_without_order(spark, monkeypatch):
         assert all(r.rt == r.v * (r.v + 1) // 2 for r in rows if r.k is not None)
         last = sorted((r.rt, r.v) for r in rows if r.k is None)
         assert last[-1][0] == 199 * 100 and last[0][0] == 196 * 197 // 2 + last[0][1]
+
+
+def test_prefix_sums_over_many_bounded_ranges(spark):
+    n = 300_000
+    df = spark.range(n).selectExpr("if(id % 3 = 0, 5, id * 7 % 100003) AS k", "id", "id % 13 AS v", "'x' AS _sum")
+    got = W.prefix_sums(df, ["k", "id"], "v", "rt", range_rows=3)  # some 10^5 ranges; a third of all rows share k
+    want = df.select("id", F.sum("v").over(Window.orderBy("k", "id").rowsBetween(Window.unboundedPreceding, 0)).alias("w"))
+    joined = got.join(want, "id")
+    assert joined.count() == n and joined.where("rt <> w").count() == 0 and got.columns == [*df.columns, "rt"]
+
+
+def test_prefix_sums_ties_and_nulls(spark):
+    df = spark.createDataFrame([("b", None), ("a", None), (None, 4), ("a", 2), ("é", 3), ("Z", None)], "k string, v long")
+    rows = W.prefix_sums(df, ["k", "v"], "v", "rt").collect()
+    assert {(r.k, r.v): r.rt for r in rows} == {("Z", None): None, ("a", 2): 2, ("a", None): 2, ("b", None): 2, ("é", 3): 5, (None, 4): 9}
+    assert W.prefix_sums(df.limit(0), ["k"], "v", "rt").collect() == []
+
+
+def test_running_total_folds_no_bounds(spark):
+    df = spark.range(100).selectExpr("id AS k", "id AS v")
+    plan = W.running_total_large(df, "v", "k", "rt", range_rows=3)._jdf.queryExecution().toString()
+    assert "lambda" not in plan and "Generate" not in plan
