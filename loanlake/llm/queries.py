@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.llm import (ctw, ftrl, golay_simhash, hamming_topk, lattice_dedup, packing, rendezvous,
-                          segtree_bpe, template_lines, warc_salvage)
+from loanlake.llm import (ctw, ftrl, golay_simhash, hamming_topk, lattice_dedup, mixing, packing, periodic_runs,
+                          rendezvous, segtree_bpe, template_lines, warc_salvage, whitening)
 from loanlake.llm.common import table
 
 SHARDS = 8
@@ -81,10 +81,48 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", golay_simhash.hex_print("fp").alias("fingerprint"), "component_id")
 
 
+def op11_polar_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=32)
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), weights=(5, 2, 1), cap=3)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
+                        "source", "copies")
+
+
+def periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``; in one document of ten, by the id's CRC-32, the words from the a-th repeat with
+    period p, as the contract of op13 states it. Null ids and texts without words stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.col("text"), F.lit(f"({mixing.WORD})"), F.lit(1))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    numbered = cut.withColumn("n", F.size("words").cast("long"))
+    placed = numbered.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn(
+        "p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1),
+                           lambda i: F.get("words", source(i).cast("int")))
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.concat_ws(" ", repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_synchronised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # the earlier of two runs of equal exponent stays; runs come by start and period
+    best = F.expr("""aggregate(runs, cast(null AS struct<start: bigint, length: bigint, period: bigint>), (m, r) ->
+        if(m IS NULL OR r.length * m.period > m.length * r.period, r, m))""")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    out = periodic_runs.collapse_runs(docs).withColumn("best", best)
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lattice_dedup, op2_hamming_topk, op3_vector_packing, op4_segtree_bpe, op5_rendezvous,
     op6_context_tree, op7_template_lines, op8_ftrl_toxicity,
-    op9_warc_salvage, op10_golay_simhash)}
+    op9_warc_salvage, op10_golay_simhash, op11_polar_whitening, op12_source_mix, op13_synchronised_runs)}
 
 _LINKS = """
     SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.label = b.label AND a.vec_id < b.vec_id
@@ -155,4 +193,32 @@ ORACLE_SQL: dict[str, str] = {
                    AS payload_digest,
                IF(first = page_id, 'response', 'revisit') AS record_type, NULLIF(first, page_id) AS refers_to
         FROM hashed""",
+    "op12_source_mix": """
+        WITH sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+                   md5(concat_ws('|', COALESCE(CAST(doc_id AS VARCHAR), '\\N'), COALESCE(source, '\\N'), COALESCE(text, '\\N'))) AS k
+            FROM documents),
+        numbered AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k) AS i FROM sized),
+        totals AS (
+            SELECT source, CAST(SUM(size) AS HUGEINT) AS s,
+                   [5, 2, 1][(ROW_NUMBER() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+            FROM sized GROUP BY source),
+        -- by cap per weight: a source is held if the price of those before it, all held, exceeds its cap
+        judged AS (
+            SELECT source, s, w, w * (SUM(s) OVER () - 3 * COALESCE(SUM(s) OVER before, 0))
+                       > 3 * s * (SUM(w) OVER () - COALESCE(SUM(w) OVER before, 0)) AS held
+            FROM totals WINDOW before AS (ORDER BY s / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        priced AS (
+            SELECT source, CAST(s AS BIGINT) AS source_size,
+                   CASE WHEN s = 0 THEN 0 WHEN held THEN CAST(3 * s AS DOUBLE)
+                        ELSE CAST(w * (SUM(s) OVER () - 3 * COALESCE(SUM(s) FILTER (held) OVER (), 0)) AS DOUBLE)
+                             / CAST(SUM(w) FILTER (NOT held) OVER () AS DOUBLE) END AS target
+            FROM judged),
+        rated AS (SELECT *, IF(source_size = 0, 0, least(target / source_size, 3.0::DOUBLE)) AS rate FROM priced),
+        drawn AS (
+            SELECT d.*, p.source_size, p.target, CAST(floor(rate) AS BIGINT)
+                   + CAST((('0x' || substr(md5('0:' || k || ':' || i), 1, 12))::BIGINT + 0.5) / 281474976710656.0
+                          < rate - floor(rate) AS BIGINT) AS copies
+            FROM numbered d JOIN rated p ON d.source IS NOT DISTINCT FROM p.source)
+        SELECT doc_id, size, source_size, target, size * copies AS taken, source, copies FROM drawn""",
 }

@@ -84,7 +84,7 @@ def test_run_gives_the_last_stage(spark, stages):
 
 def test_one_query_per_operator():
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def test_encoding_query(spark):
