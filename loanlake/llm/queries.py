@@ -70,7 +70,8 @@ def op8_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc_salvage.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    records = warc_salvage.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"),
+                                       payloads=False)
     return records.where("kind = 'record'").select(
         warc_salvage.page_number("record_id").alias("page_id"), "payload_bytes", "payload_digest",
         "record_type", warc_salvage.page_number("refers_to").alias("refers_to"))

@@ -8,7 +8,11 @@ Salvage reader: archives are read member by member (gzip) or record by record (p
 counts only if every check holds: gzip checksum, version line, header syntax, Content-Length, the
 closing blank lines and, if present, the SHA-1 digests of block and payload. After a failed check
 the reader searches for the next gzip magic or version line from which a whole record passes,
-resumes there, and reports the bytes between as a quarantined gap. Memory is one record.
+resumes there, and reports the bytes between as a quarantined gap. Headers have no size limit: one ends at its
+blank line, or is given up at the next version line or the archive's end. Folded header lines and SHA-1
+digests in base32 or hex, in any case, are read as they are meant. Memory is one record.
+
+The manifest says how many records each archive holds; ``check_counts`` holds it against what was read.
 """
 
 from __future__ import annotations
@@ -31,11 +35,13 @@ from loanlake.llm.common import byte_column, shared_path, stored
 # Fixed values of the WARC and gzip formats.
 VERSION = b"WARC/1.1"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+_HEAD_END = re.compile(rb"\r\n\r\n|\nWARC/1\.[01]\r\n")
 MAGIC = b"\x1f\x8b\x08"
 REVISIT_PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 ROLL_BYTES = 64 << 20
 CHUNK = 1 << 18
+READ_TASKS = 20_000  # at most; further archives share tasks
 HOT_SALTS = 16
 
 
@@ -84,8 +90,13 @@ class Source:
 
 
 def _headers(head: bytes) -> dict[bytes, bytes] | None:
+    """Headers by lower-case name, folded lines joined by a space; None if a line is neither."""
     out: dict[bytes, bytes] = {}
+    name = b""
     for line in head.split(b"\r\n")[1:]:
+        if line[:1] in (b" ", b"\t") and name:
+            out[name.lower()] = (out[name.lower()] + b" " + line.strip()).strip()
+            continue
         name, colon, value = line.partition(b":")
         if not colon or not name or name != name.strip():
             return None
@@ -93,13 +104,22 @@ def _headers(head: bytes) -> dict[bytes, bytes] | None:
     return out
 
 
-def _checked(version_and_head: bytes, block: bytes) -> tuple[dict[bytes, bytes], bytes] | str:
+def sha1_of(digest: bytes) -> bytes | None:
+    """The 20 bytes that a labelled SHA-1 digest (base32 or hex, any case) names; None for others."""
+    label, _, value = digest.partition(b":")
+    try:
+        if label.strip().lower() == b"sha1":
+            value = value.strip()
+            return base64.b32decode(value, casefold=True) if len(value) == 32 else bytes.fromhex(value.decode())
+    except ValueError:
+        pass
+    return None
+
+
+def _checked(headers: dict[bytes, bytes], block: bytes) -> tuple[dict[bytes, bytes], bytes] | str:
     """(headers, payload) of a record, or the check that failed."""
-    headers = _headers(version_and_head)
-    if headers is None:
-        return "header syntax"
-    want = headers.get(b"warc-block-digest", b"")
-    if want.startswith(b"sha1:") and want[5:] != digest32(block):
+    want = sha1_of(headers.get(b"warc-block-digest", b""))
+    if want is not None and want != hashlib.sha1(block).digest():
         return "block digest"
     payload = block
     if headers.get(b"content-type", b"").startswith(b"application/http"):
@@ -107,34 +127,38 @@ def _checked(version_and_head: bytes, block: bytes) -> tuple[dict[bytes, bytes],
         if not found:
             return "http header"
         headers |= {b"http:" + k: v for k, v in (_headers(http) or {}).items()}
-    want = headers.get(b"warc-payload-digest", b"")
-    if headers.get(b"warc-type") != b"revisit" and want.startswith(b"sha1:") and want[5:] != digest32(payload):
+    want = sha1_of(headers.get(b"warc-payload-digest", b""))
+    if headers.get(b"warc-type") != b"revisit" and want is not None and want != hashlib.sha1(payload).digest():
         return "payload digest"
     return headers, payload
 
 
 def _plain_record(read, offset: int):
     """((headers, payload), end) of the uncompressed record at ``offset``, or the failed check."""
-    head, step = b"", 4096
-    while b"\r\n\r\n" not in head:
+    head, step, seen = bytearray(), 4096, 0
+    while (found := _HEAD_END.search(head, seen)) is None:
         more = read(offset + len(head), step)
         if not more:
             return "truncated header"
+        seen = max(0, len(head) - 12)
         head += more
         if not VERSION_LINE.match(head[:10]):
             return "version line"
-        step = min(step * 2, CHUNK)
-        if len(head) > (1 << 20):
-            return "header too long"
-    head = head[:head.index(b"\r\n\r\n")]
-    m = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d{1,18})[ \t]*(?:\r\n|$)", head)
-    if not m:
+        step = min(step * 2, 1 << 24)
+    if found[0] != b"\r\n\r\n":
+        return "truncated header"
+    head = bytes(head[:found.start()])
+    headers = _headers(head)
+    length = (headers or {}).get(b"content-length", b"")
+    if headers is not None and not re.fullmatch(rb"\d{1,18}", length):
         return "content length"
-    start, n = offset + len(head) + 4, int(m[1])
+    if headers is None:
+        return "header syntax"
+    start, n = offset + len(head) + 4, int(length)
     tail = read(start + n, 4)
     if tail != b"\r\n\r\n":
         return "record end"
-    got = _checked(head, read(start, n))
+    got = _checked(headers, read(start, n))
     return got if isinstance(got, str) else (got, start + n + 4)
 
 
@@ -297,7 +321,9 @@ def _row(path: str, found: tuple) -> dict:
     headers, payload = found[3], found[4]
     kind = headers.get(b"warc-type", b"")
     if kind == b"revisit":
-        digest = headers.get(b"warc-payload-digest", b"").removeprefix(b"sha1:")
+        digest = headers.get(b"warc-payload-digest", b"")
+        sha = sha1_of(digest)
+        digest = digest if sha is None else base64.b32encode(sha)
         n = headers.get(b"http:content-length", b"")
         size, payload = (int(n) if n.isdigit() else None), None
     else:
@@ -316,10 +342,20 @@ READ_SCHEMA = ("kind string, path string, offset long, length long, reason strin
 def read_archives(paths: DataFrame) -> DataFrame:
     """Salvage every archive named in the first column of ``paths`` (URIs that pyarrow opens): rows
     of kind ``record`` or ``gap``. Empty archives give no row; a damaged one gives its whole
-    records and its gaps. One task reads one archive at a time, so many files spread over tasks."""
-    path = paths.columns[0]
-    return (paths.select(F.col(path)).where(F.col(path).isNotNull())
-            .repartition(F.xxhash64(path)).mapInArrow(_read_files, READ_SCHEMA))
+    records and its gaps. Paths are counted first: up to ``READ_TASKS`` archives have a task each, which an
+    explicit number of ranges keeps apart (adaptive execution would merge these few bytes into one task)."""
+    named = paths.select(F.col(paths.columns[0]).alias("path")).where("path is not null")
+    n = min(max(1, named.count()), READ_TASKS)
+    return named.repartitionByRange(n, "path").mapInArrow(_read_files, READ_SCHEMA)
+
+
+def check_counts(manifest: DataFrame, records: DataFrame) -> None:
+    """Raise if an archive of the manifest gave fewer or more records than were written."""
+    read = records.where("kind = 'record'").groupBy("path").agg(F.count(F.lit(1)).alias("found"))
+    wrong = manifest.join(read, "path", "left").where("coalesce(found, 0) <> records").select("path", "records", "found")
+    first = wrong.first()
+    if first is not None:
+        raise RuntimeError(f"{first['path']}: {first['records']} records written, {first['found'] or 0} read")
 
 
 def page_number(column: str):
@@ -327,8 +363,12 @@ def page_number(column: str):
     return F.nullif(F.regexp_extract(column, r"^<urn:page:(-?\d+)>$", 1), F.lit("")).cast("long")
 
 
-def round_trip(pages: DataFrame, name: str = "warc") -> DataFrame:
-    """Write the pages, read the archives back: the reader's rows."""
+def round_trip(pages: DataFrame, name: str = "warc", payloads: bool = True) -> DataFrame:
+    """Write the pages, read the archives back, check that each gave its records: the reader's rows, with or
+    without their payloads, as a stored table."""
     manifest = write_archives(pages, shared_path(pages.sparkSession, name),
                               url="url" if "url" in pages.columns else None)
-    return read_archives(manifest.select("path"))
+    records = read_archives(manifest.select("path"))
+    records = stored(records if payloads else records.drop("payload"), "warc-records")
+    check_counts(manifest, records)
+    return records

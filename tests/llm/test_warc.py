@@ -116,3 +116,49 @@ def test_archives_damaged_on_disk_are_salvaged(spark, tmp_path):
 def test_query_on_pages(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "html").collect()]
     assert sorted(map(tuple, queries.op9_warc_salvage(spark, SMALL).collect()), key=str) == expected(rows)
+
+
+def test_long_and_folded_headers_and_digest_spellings():
+    payload = b"<p>body</p>"
+    long = W.page_record(1, b"http://x/" + b"u" * (3 << 20), payload, W.digest32(payload), False, None)
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+    sha, of_block = hashlib.sha1(payload), hashlib.sha1(block)
+    digests = [b"sha1:" + sha.hexdigest().encode(), b"SHA1:" + sha.hexdigest().upper().encode(),
+               b"sha1:" + W.digest32(payload).lower(), b"md5:whatever", b"sha1:no-digest"]
+    records = [long]
+    for d in digests:
+        records.append(b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: <http://a/\r\n  b>\r\nContent-Type: application/http\r\n"
+                       b"WARC-Payload-Digest: " + d + b"\r\nWARC-Block-Digest: sha1:" + of_block.hexdigest().encode()
+                       + b"\r\nContent-Length:\r\n %d\r\n\r\n" % len(block) + block + b"\r\n\r\n")
+    for pack in (bytes, W.gzip_member):
+        found = read(b"".join(map(pack, records)))
+        assert [f[0] for f in found] == ["record"] * 6 and {f[4] for f in found} == {payload}
+        assert found[1][3][b"warc-target-uri"] == b"<http://a/ b>" and len(found[0][3][b"warc-target-uri"]) == 9 + (3 << 20)
+    wrong = records[1].replace(sha.hexdigest().encode(), b"0" * 40)
+    # a header without an end is given up at the next version line
+    endless = b"WARC/1.0\r\nX: " + b"y" * 5_000_000 + b"\r\n"
+    found = read(wrong + endless + records[2])
+    assert [(f[0], f[3]) for f in found][0] == ("gap", "payload digest") and [f[0] for f in found] == ["gap", "record"]
+    covered(found, len(wrong + endless + records[2]))
+
+
+def test_pages_with_very_long_urls_come_back(spark):
+    rows = [(1, "http://a", "x"), (2, "http://b/" + "u" * (1 << 20), "y"), (3, "http://c", "x")]
+    out = W.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"), payloads=False)
+    assert "payload" not in out.columns and out.where("kind = 'gap'").count() == 0
+    assert sorted(W_ids(out)) == [1, 2, 3]
+
+
+def W_ids(records):
+    return [r[0] for r in records.where("kind = 'record'").select(W.page_number("record_id")).collect()]
+
+
+def test_an_archive_is_read_by_a_task_of_its_own(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"<p>{i}</p>") for i in range(90)], "page_id long, html string").repartition(9)
+    manifest = W.write_archives(df, str(tmp_path / "a"), url=None)
+    read = W.read_archives(manifest.select("path"))
+    tasks = read.selectExpr("spark_partition_id() AS task", "path").distinct().groupBy("task").count().collect()
+    assert len(tasks) == manifest.count() == 9 and {r["count"] for r in tasks} == {1}
+    W.check_counts(manifest, read)
+    with pytest.raises(RuntimeError, match="records written"):
+        W.check_counts(manifest, read.where("record_id <> '<urn:page:7>'"))
