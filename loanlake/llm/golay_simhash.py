@@ -217,6 +217,15 @@ def _forest(x: np.ndarray, left: np.ndarray, right: np.ndarray, max_bits: int):
     return spanning_links(linked)
 
 
+def links_of(distinct: DataFrame, max_bits: int, block: int = 2048) -> DataFrame:
+    """(a, b) of fingerprints ``fp``, each given once, at ``max_bits`` or fewer differing bits: of the links of any
+    two blocks of a key, a spanning forest."""
+    keyed = distinct.mapInArrow(_key_batches, "fp long, key long")
+    met = (shared_key_blocks(keyed, "fp", block).repartition("key", "lo", "hi")
+           .sortWithinPartitions("key", "lo", "hi"))
+    return met.mapInArrow(functools.partial(_verify_batches, max_bits=max_bits), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     words_each: int = 4, max_bits: int = 4, block: int = 2048) -> DataFrame:
     """One row per row of ``docs``: the id column, ``fp`` (long) and ``component_id`` (the smallest
@@ -235,11 +244,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     prints = stored(fingerprints(slim, "body", words_each, ["id"]), "prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first_id"),
                                                F.count(F.lit(1)).alias("n")), "distinct")
-    keyed = distinct.select("fp").mapInArrow(_key_batches, "fp long, key long")
-    met = (shared_key_blocks(keyed, "fp", block).repartition("key", "lo", "hi")
-           .sortWithinPartitions("key", "lo", "hi"))
-    links = met.mapInArrow(functools.partial(_verify_batches, max_bits=max_bits), "a long, b long")
-    parts = components(links)
+    parts = components(links_of(distinct.select("fp"), max_bits, block))
     # component id of every fingerprint that is shared or linked; the others are their own
     linked = distinct.join(parts, distinct.fp == parts.node, "left").select(
         "fp", "first_id", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("near"))
@@ -257,9 +262,19 @@ def hex_print(column: str):
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          words_each: int = 4, max_bits: int = 4) -> DataFrame:
-    """Keep one document (the smallest id) of each group; all columns of ``docs`` stay. Documents
-    without an id are kept. Repeated rows of a kept id are kept as they are."""
-    groups = near_duplicates(docs, doc_id, text, words_each, max_bits)
-    gone = groups.where(F.col(doc_id) != F.col("component_id")).select(
-        F.col(doc_id).alias("__gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
+    """Keep one row of each group, that of the smallest id (null ids last; equal ids: any one); all columns of
+    ``docs`` stay, whatever their names. A row is a document: rows that share an id are judged by their own
+    texts. The rows are stored with a number each, which decides between equal ids."""
+    held = "__row"
+    while held in map(str.lower, docs.columns):
+        held += "_"
+    rows = stored(docs.withColumn(held, F.monotonically_increasing_id()), "numbered")
+    slim = rows.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("body"), held)
+    prints = stored(fingerprints(slim, "body", words_each, ["id", held]), "prints")
+    named = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col(held).alias("row"))
+    per_print = prints.groupBy("fp").agg(F.min(named).alias("first"))
+    per_print = stored(per_print, "distinct")
+    linked = per_print.join(components(links_of(per_print.select("fp"), max_bits)), F.col("fp") == F.col("node"), "left")
+    kept = (linked.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+            .select(F.col("first.row").alias(held)))
+    return rows.join(kept, held, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

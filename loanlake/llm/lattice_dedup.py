@@ -163,8 +163,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
       non-finite components, null labels and null ids link with nothing; such a row has 0 links
       and its own id as component (null id: null, and ``kept`` true).
     * Repeated rows are vectors like any other: they link with each other.
-    * ``vec_id`` names a vector: rows that share it share links. Empty input: empty result. Other
-      columns are not read.
+    * Each row is a vector, whatever its id: rows that share an id have the links of their own vectors, and
+      count as several where they are linked. Empty input: empty result. Other columns are not read.
     """
     if label is None:
         group = F.lit(0).cast("long")
@@ -184,8 +184,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         "h1", F.when(F.col("valid"), F.xxhash64(clean))).withColumn(
         "h2", F.when(F.col("valid"), F.xxhash64(F.lit(7), clean)))
     same = ["label", "h1", "h2"]
-    reps = (named.where("valid").groupBy(*same)
-            .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")))
+    # a number names each distinct vector from here on, as ids may repeat
+    reps = stored(named.where("valid").groupBy(*same)
+                  .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec"))
+                  .withColumn("rep", F.monotonically_increasing_id()), "distinct-vectors")
     shape = (tables, blocks, width, probes)
     prepared = stored(reps.select("rep", "label", "vec", "copies").mapInArrow(
         functools.partial(_prepare, shape=shape),
@@ -196,12 +198,13 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         functools.partial(_verify, threshold=threshold), "a long, b long, links long"), "links")
     degree = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("linked"))
     parts = components(found.where("b is not null").select("a", "b"))
-    per_rep = (prepared.select("rep", "copies").join(degree, "rep", "left")
-               .join(parts, F.col("rep") == F.col("node"), "left")
-               .select("rep", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                       F.coalesce("root", "rep").alias("component_id")))
-    # rows find their vector's representative by its 128-bit name
-    names = reps.select(*same, "rep").join(per_rep, "rep").drop("rep")
+    smallest = (parts.join(reps.select(F.col("rep").alias("node"), "first"), "node")
+                .groupBy("root").agg(F.min("first").alias("smallest")))
+    in_part = parts.join(smallest, "root").select(F.col("node").alias("rep"), "smallest")
+    # rows find their vector by its 128-bit name
+    names = (reps.select(*same, "rep", "first", "copies").join(degree, "rep", "left").join(in_part, "rep", "left")
+             .select(*same, (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                     F.coalesce("smallest", "first").alias("component_id")))
     out = named.drop("vec", "valid").join(names, same, "left")
     component = F.coalesce("component_id", "id")
     return out.select(
