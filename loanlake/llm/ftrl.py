@@ -195,5 +195,5 @@ def score(docs: DataFrame, weights: DataFrame, text: str = "text", keep: list[st
 
 
 def remainder(doc_id: str, n: int):
-    """crc32 of the id as text, modulo n."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n))
+    """crc32 of the id as text, modulo n; -1, which is no remainder, for a null id."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n)), F.lit(-1))

@@ -37,7 +37,6 @@ from loanlake.llm.segtree_bpe import slices
 MIN_TOKENS = 1  # every line with a word; below five words lines are one template if equal
 LEAD = 3
 MIN_CONSTANT = 0.5
-GROUPS = 10  # of the rule before this one; read by tests/llm/test_text_models.py only
 BLOCK = 1024
 MAX_CELLS = 1 << 22  # compared at a time
 FIELD = b"<*>"

@@ -115,3 +115,25 @@ def test_scoring_query_beats_unigrams_on_held_out_text(spark):
     small = queries.op6_context_tree(spark, SMALL).collect()
     assert all(r.held_out == (brute.crc_mod(r.doc_id, 7) == 2) for r in small)
     assert all(r.n_known == r.n_tokens for r in small if not r.held_out)
+
+
+def test_stages_on_an_empty_table_and_null_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    text = "you are a fine reader of these five or more words today"
+    rows = [(None, text, "en", None, 55), (None, text, None, "s", 55), (3, None, None, None, None), (4, "", "en", "s", 0), (5, text, "en", "s", 55)]
+    for data in ([], rows):
+        docs = spark.createDataFrame(data, schema)
+        for name, stage in C.STAGES:
+            docs = common.stored(stage(spark, docs, SMALL), f"edge-{name}")
+        assert docs.count() >= len(data) - 3
+    assert docs.where("doc_id = 5").count() == 1
+
+
+def test_held_out_of_null_ids_is_false(spark, scratch):
+    path = f"{scratch}/t"
+    spark.createDataFrame([(None, "some text"), (1, "other text"), (2, None)], "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    for query in (queries.op6_context_tree, queries.op8_ftrl_toxicity):
+        assert {r.doc_id: r.held_out for r in query(spark, path).collect()} == {
+            None: False, 1: brute.crc_mod(1, 7 if "op6" in query.__name__ else 5) == (2 if "op6" in query.__name__ else 0),
+            2: brute.crc_mod(2, 7 if "op6" in query.__name__ else 5) == (2 if "op6" in query.__name__ else 0)}
