@@ -16,11 +16,12 @@ from loanlake.llm.common import stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.5 or more go. The model learns from the labelled rows of ``docs`` whose
-    crc32(doc_id) mod 5 is not 0."""
+    """Documents scored 0.5 or more go, but for exactly 0.5, the score of a model that no weight moves (as
+    where nothing is labelled). The model learns from the labelled rows of ``docs`` whose crc32(doc_id) mod 5
+    is not 0."""
     labels = table(spark, sf_dir, "labels").where(ftrl.remainder("doc_id", 5) != 0)
     scored = ftrl.score(docs, ftrl.fit(docs, labels), keep=docs.columns)
-    return scored.where("predicted = 0").select(*docs.columns)
+    return scored.where("predicted = 0 OR score = 0.5").select(*docs.columns)
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
-STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_recurring_lines), 
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_recurring_lines),
           ("simhash_dedup", near_duplicates), ("packing", pack)]
 
 #: Logistic regression, fingerprints and tokenizers are beyond SQL; see tests/llm.
