@@ -37,6 +37,12 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Do driver and executors run in one process (and share its folders)?"""
+    master = spark.conf.get("spark.master", None) or ""
+    return master == "local" or master.startswith("local[")
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return spark.sparkContext.defaultParallelism
@@ -55,10 +61,13 @@ _OWN_CHECKPOINT_DIR: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the folder that ``spark.checkpoint.dir`` names. Where it is unset (tests), one scratch
-    folder per application is made and used; a cluster names shared storage there."""
+    """Return the folder that ``spark.checkpoint.dir`` names. Where it is unset and the session is local (tests),
+    one scratch folder per application is made and used; a cluster has to name shared storage there."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current is None:
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it has to name a folder that the driver "
+                               "and all executors share")
         key = app_id(spark)
         if key not in _OWN_CHECKPOINT_DIR:
             _OWN_CHECKPOINT_DIR[key] = tempfile.mkdtemp(prefix="loanlake-ckpt-")

@@ -63,3 +63,25 @@ def test_running_total_ends_at_city_total(spark, m):
     shares = q1.groupBy("disbursement_date").agg(F.sum("day_share_pct").alias("s")).collect()
     assert all(abs(r["s"] - 100) < 0.01 * 60 for r in shares)  # rounding of up to 60 rows per day
     assert D("0") not in last.values()
+
+
+def test_no_machine_local_checkpoints_on_a_cluster():
+    import pytest
+
+    from loanlake.session import ensure_checkpoint_dir, is_local
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        def __init__(self, **kw):
+            self.conf = Conf({k.replace("_", "."): v for k, v in kw.items()})
+
+    for master in ("yarn", "spark://host:1", "local-cluster[2,1,1024]", "k8s://x"):
+        session = Session(spark_master=master)
+        assert not is_local(session)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(session)
+    assert is_local(Session(spark_master="local[4]")) and is_local(Session(spark_master="local"))
+    assert ensure_checkpoint_dir(Session(spark_master="yarn", **{"spark_checkpoint_dir": "s3://b/c"})) == "s3://b/c"
