@@ -13,22 +13,27 @@ import datetime as dt
 import logging
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.operators import quality, staging
+from loanlake.operators import delta, quality, staging
+from loanlake.plans import mart as mart_plans
 from loanlake.plans import questions as Q
 from loanlake.plans import views as V
 from loanlake.plans.model import LendingModel, MaterializedModel
-from loanlake.session import DEFAULT_AS_OF
-from loanlake.sources import schemas, sinks
+from loanlake.functions.expr import ntz_lit
+from loanlake.session import DEFAULT_AS_OF, ensure_checkpoint_dir
+from loanlake.sources import schemas, segments, sinks
 from loanlake.sources.binding import RawTables, StoredRawTables
-from loanlake.streaming.incremental import DEFAULT_MARK, MARK, IncrementalPayments, merge_payments
+from loanlake.streaming.incremental import (DAY, DEFAULT_MARK, MARK, VERSION_COLUMNS, changed_days, day_totals,
+                                            fresh_versions, load_month, newest, on_days, version_prints, versions,
+                                            with_orphans)
 
 log = logging.getLogger("loanlake.jobs")
 
 STAGED = ("customers", "loans", "installments", "payments")
-LATE_OVERLAP = dt.timedelta(days=3)  # rows may arrive with a load stamp this far back
+PAYMENT_KEYS = ["payment_id", "installment_id"]  # indexed per segment
+BUCKET_LOANS = 250_000  # loans of a state bucket
 
 
 class ChecksFailed(RuntimeError):
@@ -55,38 +60,92 @@ def run_checks(raw: RawTables, out_root: str | None = None, fail_on: set[str] |
     return rows
 
 
-def build_dimensions(raw: RawTables, p: sinks.Publication, as_of: dt.date) -> dict[str, DataFrame]:
-    """Write customers, loans and installments (and all rejected rows) and return them read back."""
+def _dimensions(raw: RawTables, as_of: dt.date) -> dict[str, tuple[DataFrame, DataFrame]]:
     m = LendingModel(raw, as_of)
-    frames = {"customers": m.customers, "loans": m.loans, "installments": m.installments}
-    rejected = {
-        "customers": staging.rejected_customers(raw.customers),
-        "loans": staging.rejected_loans(raw.loans),
-        "installments": staging.rejected_installments(raw.installments, as_of),
-        "payments": staging.rejected_payments(raw.payments, raw.installments),
-    }
-    for name, df in rejected.items():
-        p.write(df, f"rejected_{name}", audit_col="staged_at")
-    out = {}
-    for name, df in frames.items():
-        schemas.assert_schema(df, schemas.STAGED[name])  # contract check on the plan, no job
-        p.write(df, f"stg_{name}", audit_col="staged_at")
-        out[name] = p.read(f"stg_{name}").drop("staged_at")
-    return out
-
-
-def write_payments(p: sinks.Publication, df: DataFrame) -> None:
-    schemas.assert_schema(df, schemas.STAGED["payments"])
-    p.write(df, "stg_payments", audit_col="staged_at")
+    return {"customers": (m.customers, staging.rejected_customers(raw.customers)),
+            "loans": (m.loans, staging.rejected_loans(raw.loans)),
+            "installments": (m.installments, staging.rejected_installments(raw.installments, as_of))}
+
+
+def build_dimensions(raw: RawTables, p: sinks.Publication, as_of: dt.date,
+                     names: tuple[str, ...] = ("customers", "loans", "installments")) -> None:
+    """Write the named staged tables and their rejected rows."""
+    for name, (staged, rejected) in _dimensions(raw, as_of).items():
+        if name in names:
+            schemas.assert_schema(staged, schemas.STAGED[name])  # contract check on the plan, no job
+            p.write(staged, f"stg_{name}", audit_col="staged_at")
+            p.write(rejected, f"rejected_{name}", audit_col="staged_at")
+
+
+def _staged(p: sinks.Publication, name: str) -> DataFrame:
+    return p.read(f"stg_{name}").drop("staged_at")
+
+
+def _bucket(n: int) -> Column:
+    """Segment of a state row: a hash bucket of its loan."""
+    return F.concat(F.lit("b"), F.pmod(F.xxhash64("loan_id"), F.lit(n)).cast("string"))
+
+
+def source_state(raw: RawTables, as_of: dt.date) -> DataFrame:
+    """(name, n, fp): rows and an order-free fingerprint of each table that has no load stamp, and the cut-off."""
+    out = [raw.spark.createDataFrame([("as_of", as_of.toordinal(), 0)], "name string, n long, fp long")]
+    for name in ("customers", "loans", "installments"):
+        df = getattr(raw, name)
+        fp = F.coalesce(F.bit_xor(F.xxhash64(F.lit(0), *df.columns)), F.lit(0))
+        out.append(df.agg(F.count(F.lit(1)).alias("n"), fp.alias("fp")).select(F.lit(name).alias("name"), "n", "fp"))
+    return segments.union(out)
+
+
+def _write_payments(p: sinks.Publication, rows: DataFrame, raw_installments: DataFrame,
+                    replace: set[str] | None = None) -> set[str]:
+    """Newest versions (with ``_clean``) as the segments of ``stg_payments``: load months of clean ones, and
+    beside the table those of versions that keep their payment out of it."""
+    flagged = with_orphans(rows, raw_installments).select(*staging.PAYMENT_SPEC.columns, "_clean")
+    segment = load_month(F.when(F.col("_clean"), F.lit("s")).otherwise(F.lit("-")))
+    schemas.assert_schema(flagged.drop("_clean"), schemas.STAGED["payments"])
+    return p.write_segments(flagged, "stg_payments", segment, PAYMENT_KEYS, "staged_at", replace, without=["_clean"])
+
+
+def _write_rejected(p: sinks.Publication, rows: DataFrame, replace: set[str] | None = None) -> None:
+    p.write_segments(rows, "rejected_payments", load_month(F.lit("s")), ["installment_id"], "staged_at", replace)
+
+
+def _write_seen(p: sinks.Publication, rows: DataFrame, replace: set[str] | None = None) -> None:
+    month = F.concat(F.lit("s"), F.date_format(DAY, "yyyyMM"))
+    p.write_segments(version_prints(rows), "payments_seen", month, replace=replace)
+
+
+def _write_presence(p: sinks.Publication, raw_installments: DataFrame) -> None:
+    """Distinct installment ids, the null one included: what orphan flags rest on."""
+    p.write(raw_installments.select("installment_id").distinct(), "installment_ids")
+
+
+def _states(p: sinks.Publication, as_of: dt.date) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The rollup states of whole staged tables."""
+    one = F.lit(1)
+    pays, inst = (_staged(p, n).withColumn(delta.SIGN, one) for n in ("payments", "installments"))
+    return {"state_installments": (delta.installment_state(inst, as_of), delta.INSTALLMENT_KEY),
+            "state_cash": (delta.cash_state(pays), delta.CASH_KEY), "state_days": (delta.day_state(pays), delta.DAY_KEY)}
+
+
+def build_states(p: sinks.Publication, as_of: dt.date) -> None:
+    loans = _staged(p, "loans").count()
+    n = max(8, -(-loans // BUCKET_LOANS))
+    p.write(p.spark.createDataFrame([(n,)], "buckets int"), "state_buckets")
+    for name, (state, _) in _states(p, as_of).items():
+        p.write_segments(state, name, _bucket(n))
 
 
 def build_mart(staged: dict[str, DataFrame], p: sinks.Publication, as_of: dt.date) -> DataFrame:
-    m = MaterializedModel(staged, as_of)
-    schemas.assert_schema(m.mart, schemas.MART)
+    return write_mart(p, MaterializedModel(staged, as_of).mart)
+
+
+def write_mart(p: sinks.Publication, mart: DataFrame) -> DataFrame:
+    schemas.assert_schema(mart, schemas.MART)
     # D9: laid out by origination cohort, clustered by city and segment inside each file. REBALANCE
     # brings a month's rows together, splits months larger than the advisory size and merges small
     # ones, so the number of files follows months and size, not tasks x months.
-    clustered = (m.mart.hint("rebalance", "cohort_month")
+    clustered = (mart.hint("rebalance", "cohort_month")
                  .sortWithinPartitions("cohort_month", "city", "segment"))
     p.write(clustered, "portfolio_mart", audit_col="refreshed_at", partition_by=["cohort_month"])
     return p.read("portfolio_mart").drop("refreshed_at")
@@ -96,6 +155,19 @@ def kpis(mart: DataFrame) -> dict:
     return Q.portfolio_kpis(mart).first().asDict()
 
 
+def _build_all(raw: RawTables, p: sinks.Publication, as_of: dt.date) -> DataFrame:
+    """Every published table from the raw ones."""
+    build_dimensions(raw, p, as_of)
+    _write_payments(p, newest(versions(raw.payments)), raw.installments)
+    _write_rejected(p, staging.rejected_payments(raw.payments, raw.installments))
+    _write_seen(p, raw.payments)
+    p.write(day_totals(raw.payments), "payments_days")
+    _write_presence(p, raw.installments)
+    p.write(source_state(raw, as_of), "source_state")
+    build_states(p, as_of)
+    return build_mart({n: _staged(p, n) for n in STAGED}, p, as_of)
+
+
 def run_full(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = DEFAULT_AS_OF,
              raw=None, fail_on: set[str] | None = None) -> dict:
     """Checks, staging, mart and mark from the raw tables, published together. The newest version of a
@@ -104,37 +176,174 @@ def run_full(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = D
     raw = raw or RawTables(spark, sf_dir)
     p = sinks.Publication(spark, out_root)
     checks = run_checks(raw, out_root, fail_on, p)
-    staged = build_dimensions(raw, p, as_of)
     hi = raw.payments.agg(F.max("loaded_at")).first()[0]
-    write_payments(p, merge_payments(None, raw.payments, raw.installments))
-    staged["payments"] = p.read("stg_payments").drop("staged_at")
-    mart = build_mart(staged, p, as_of)
+    mart = _build_all(raw, p, as_of)
     report = kpis(mart)
     p.commit({MARK: hi or DEFAULT_MARK})
     return {"checks_passed": sum(1 for r in checks if r["passed"]), "checks": len(checks),
             "kpis": report, "mark": hi, "seconds": round(time.time() - t0, 2)}
 
 
+def _presence_changes(p: sinks.Publication, raw_installments: DataFrame) -> tuple[DataFrame, bool]:
+    """Installment ids that came or went, and whether the table's being empty or holding a null changed (which
+    turns every orphan flag)."""
+    was = p.read("installment_ids").withColumn("_was", F.lit(True))
+    now = raw_installments.select("installment_id").distinct().withColumn("_now", F.lit(True))
+    both = was.join(now, was.installment_id.eqNullSafe(now.installment_id), "full")
+    ids = both.where("_was IS NULL OR _now IS NULL").select(
+        F.coalesce(was.installment_id, now.installment_id).alias("installment_id")).checkpoint()
+    facts = both.agg(*[f for side, key in (("_was", was.installment_id), ("_now", now.installment_id)) for f in (
+        F.count_if(F.col(side)) == 0, F.count_if(F.col(side) & key.isNull()) > 0)]).first()
+    return ids.where("installment_id IS NOT NULL"), tuple(facts[:2]) != tuple(facts[2:])
+
+
+def _all_names(p: sinks.Publication, table: str) -> set[str]:
+    return {e["segment"] for e in p.entries(table)}
+
+
+def merge_new_payments(raw: RawTables, p: sinks.Publication, fresh: DataFrame, flipped: DataFrame,
+                       every: bool) -> tuple[DataFrame, set[str]]:
+    """Merge raw versions no run has read into the staged payments and return the signed change of these and the
+    segments that were written anew: those that hold a version of the same payment, those the new versions
+    belong to, and those with payments whose installment came or went. All others stay the files they are."""
+    batch = newest(versions(fresh)).checkpoint()
+    month = load_month(F.when(F.col("_clean"), F.lit("s")).otherwise(F.lit("-")))
+    if every:
+        touched = _all_names(p, "stg_payments")
+    else:
+        asked = segments.keyed(batch, "payment_id").unionByName(segments.keyed(flipped, "installment_id"))
+        touched = p.holding("stg_payments", asked)
+    touched |= {r[0] for r in batch.select(month.alias("m")).distinct().collect()}
+    old = p.read_segments("stg_payments", touched)
+    live = ~F.col(segments.SEGMENT).startswith("-")
+    stored = old.select(*VERSION_COLUMNS, live.alias("_clean"))
+    before = old.where(live).select(*staging.PAYMENT_SPEC.columns)
+    written = _write_payments(p, newest(stored.unionByName(batch)), raw.installments, touched)
+    after = p.read_segments("stg_payments", {s for s in written if not segments.hidden(s)})
+    change = delta.signed_changes(before, after.select(*staging.PAYMENT_SPEC.columns)).checkpoint()
+
+    # rejected rows: the new ones, and the orphan flags of those whose installment came or went
+    held = _all_names(p, "rejected_payments") if every else p.holding(
+        "rejected_payments", segments.keyed(flipped, "installment_id"))
+    columns = [c for c in p.read("rejected_payments").columns if c != "staged_at"]
+    again = p.read_segments("rejected_payments", held).select(*[c for c in columns if c != "orphan_installment"])
+    rejected = staging.rejected_payments(fresh, raw.installments).unionByName(
+        with_orphans(again, raw.installments).select(*columns))
+    _write_rejected(p, rejected, held)
+    return change, touched
+
+
+def _changed_loans(p: sinks.Publication, old: dict[str, DataFrame], payments: DataFrame | None,
+                   installments: DataFrame | None, renewed: set[str]) -> DataFrame:
+    """Loans whose mart row may differ: those of changed rows, of payments to changed installments and of
+    changed customers."""
+    found = [x.select("loan_id") for x in (payments, installments) if x is not None]
+    if installments is not None:
+        ids = installments.select("installment_id").distinct()
+        found.append(p.read_segments("state_cash").join(ids, "installment_id", "left_semi").select("loan_id"))
+    if "loans" in renewed:
+        found.append(delta.signed_changes(old["loans"], _staged(p, "loans")).select("loan_id"))
+    if "customers" in renewed:
+        who = delta.signed_changes(old["customers"], _staged(p, "customers")).select("customer_id").distinct()
+        found.append(_staged(p, "loans").join(who, "customer_id", "left_semi").select("loan_id"))
+    return segments.union(found).where("loan_id IS NOT NULL").distinct().checkpoint()
+
+
+def refresh_mart(p: sinks.Publication, as_of: dt.date, old: dict[str, DataFrame], payments: DataFrame | None,
+                 renewed: set[str]) -> dict:
+    """Keep the rollup states and the mart by signed changes: state buckets of changed loans are written anew,
+    mart rows of other loans pass through."""
+    installments = delta.signed_changes(old["installments"], _staged(p, "installments")).checkpoint() \
+        if "installments" in renewed else None
+    loans = _changed_loans(p, old, payments, installments, renewed)
+    n = p.read("state_buckets").first()[0]
+    touched = {r[0] for r in loans.select(_bucket(n).alias("b")).distinct().collect()}  # at most n
+    changes = {"state_installments": installments is not None and delta.installment_state(installments, as_of),
+               "state_cash": payments is not None and delta.cash_state(payments),
+               "state_days": payments is not None and delta.day_state(payments)}
+    keys = {"state_installments": delta.INSTALLMENT_KEY, "state_cash": delta.CASH_KEY, "state_days": delta.DAY_KEY}
+    state = {}
+    for name, change in changes.items():
+        held = p.read_segments(name, touched).drop(segments.SEGMENT)
+        if change is not False:
+            # rows of a null loan have a bucket too, but no mart row
+            of = change.select(_bucket(n).alias("b")).distinct()
+            also = {r[0] for r in of.collect()} | touched
+            p.write_segments(delta.added(p.read_segments(name, also).drop(segments.SEGMENT), change, keys[name]), name,
+                             _bucket(n), replace=also)
+            held = p.read_segments(name, touched).drop(segments.SEGMENT)
+        state[name] = held.join(loans, "loan_id", "left_semi")
+    open_loans = mart_plans.open_loans(_staged(p, "loans"), _staged(p, "customers")).join(loans, "loan_id", "left_semi")
+    rows = mart_plans.portfolio_mart(
+        open_loans, delta.installment_rollup(state["state_installments"]),
+        delta.payment_rollup(state["state_cash"], state["state_days"], _staged(p, "installments")), as_of)
+    kept = p.read("portfolio_mart").drop("refreshed_at").select(*mart_plans.MART_COLUMNS).join(loans, "loan_id", "left_anti")
+    write_mart(p, kept.unionByName(rows))
+    return {"mart": "refreshed", "changed_loans": loans.count()}
+
+
 def run_incremental(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.date = DEFAULT_AS_OF,
-                    raw=None, overlap: dt.timedelta = LATE_OVERLAP) -> dict:
-    """Merge the payments loaded since the committed mark (and the ``overlap`` before it), refresh the
-    other staged tables and the mart, and publish all of it with the new mark in one commit.
+                    raw=None) -> dict:
+    """Read the raw payment versions that no run has read, however late they come, merge them into the segments
+    they concern, refresh what changed in the other staged tables, keep the mart by signed changes, and publish
+    all of it with the new mark in one commit.
 
-    Only payments are read by window. The other tables are small beside them and carry no load stamp,
-    so they are refreshed whole, and the mart with them: it depends on all four and on the cut-off.
+    What is new is told by load days: days whose row count or fingerprint differ from the last run's are read, and
+    of their rows those whose fingerprint is not stored. Where nothing is new, nothing is written. Another
+    cut-off moves every day count, so it rebuilds installments, states and mart, but not the payments.
     """
     raw = raw or RawTables(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
     p = sinks.Publication(spark, out_root)
-    old = p.read("stg_payments").drop("staged_at") if p.path("stg_payments") else None
-    inc = IncrementalPayments(spark, p.base.marks.get(MARK, DEFAULT_MARK), overlap)
-    result = inc.run(raw.payments, raw.installments, old, lambda df: write_payments(p, df))
-    if not p.path("stg_payments"):
+    lo = p.base.marks.get(MARK, DEFAULT_MARK)
+    first = p.path("payments_seen") is None
+    totals = day_totals(raw.payments).checkpoint()
+    days = changed_days(totals, None if first else p.read("payments_days"))
+    if first:
+        if not days:
+            return {"previous_mark": lo, "new_mark": lo, "new_rows": 0, "late_rows": 0, "read_rows": 0, "mart": "unchanged"}
+        fresh = raw.payments
+    else:
+        months = {f"s{d.year:04d}{d.month:02d}" for d in days}
+        seen = p.read_segments("payments_seen", months).where(F.col(DAY).isin(days))
+        fresh = fresh_versions(on_days(raw.payments, days), seen).checkpoint()
+    late = F.col("loaded_at").isNull() | (F.col("loaded_at") <= ntz_lit(lo))
+    count = fresh.agg(F.max("loaded_at").alias("hi"), F.count(F.lit(1)).alias("n"), F.count_if(late).alias("late")).first()
+    hi = max(lo, count["hi"] or lo)
+    result = {"previous_mark": lo, "new_mark": hi, "new_rows": count["n"] - count["late"], "late_rows": count["late"],
+              "read_rows": count["n"]}
+    if first:
+        _build_all(raw, p, as_of)
+        p.commit({MARK: hi})
+        return result | {"mart": "rebuilt"}
+
+    now = source_state(raw, as_of).checkpoint()
+    renewed = {r[0] for r in now.join(p.read("source_state"), ["name", "n", "fp"], "left_anti").select("name").collect()}
+    if not count["n"] and not renewed:
         return result | {"mart": "unchanged"}
-    staged = build_dimensions(raw, p, as_of)
-    staged["payments"] = p.read("stg_payments").drop("staged_at")
-    build_mart(staged, p, as_of)
-    p.commit({MARK: result["new_mark"]})
-    return result | {"mart": "rebuilt"}
+    old = {n: _staged(p, n) for n in STAGED if n != "payments"}
+    flipped, every = (_presence_changes(p, raw.installments) if "installments" in renewed
+                      else (p.read("installment_ids").limit(0), False))
+    change = None
+    if count["n"] or every or not flipped.isEmpty():
+        change, touched = merge_new_payments(raw, p, fresh, flipped, every)
+        result["segments"] = len(touched)
+        _write_seen(p, fresh, replace=set())
+        p.write(totals, "payments_days")
+    moved = "as_of" in renewed
+    if moved or renewed:
+        build_dimensions(raw, p, as_of, tuple(renewed | {"installments"} if moved else renewed))
+        p.write(now, "source_state")
+        if "installments" in renewed:
+            _write_presence(p, raw.installments)
+    if moved:
+        build_states(p, as_of)
+        build_mart({n: _staged(p, n) for n in STAGED}, p, as_of)
+        result["mart"] = "rebuilt"
+    else:
+        result |= refresh_mart(p, as_of, old, change, renewed)
+    p.commit({MARK: hi})
+    return result
 
 
 def run_export(spark: SparkSession, out_root: str, csv_path: str, as_of: dt.date = DEFAULT_AS_OF) -> None:

@@ -14,12 +14,18 @@ unreadable log can never be mistaken for an empty store.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import os
 import uuid
 from dataclasses import dataclass, field
 
+from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loanlake.sources import segments
 
 COMMIT_SCHEMA = ("seq long, id string, committed_at timestamp, tables map<string,string>, "
                  "marks map<string,timestamp_ntz>")
@@ -43,6 +49,14 @@ def _commit_rows(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
+def _is_manifest(path: str) -> bool:
+    return path.rstrip("/").rsplit("/", 1)[-1].startswith("m=")
+
+
+def _row_schema(manifest: list) -> T.StructType:
+    return T.StructType.fromJson(json.loads(next(e["row_schema"] for e in manifest if e["segment"] is None)))
+
+
 @dataclass
 class Snapshot:
     """What the newest commit says: current version paths and marks by name."""
@@ -86,6 +100,47 @@ class Publication:
         self.tables[name] = path
         return path
 
+    def write_segments(self, df: DataFrame, name: str, segment: Column, keys: list[str] | None = None,
+                       audit_col: str | None = None, replace: set[str] | None = None,
+                       without: list[str] | None = None) -> set[str]:
+        """Write ``df`` (``without`` the columns that only ``segment`` needs) as segments of ``name`` (see
+        ``segments.py``), indexed by the ``keys`` columns, and return their names. They take the place of the whole table or, if ``replace`` is given, of the segments
+        it names; the files of all others are not touched."""
+        old = [] if replace is None else [e for e in self.entries(name) if e[0] not in replace]
+        if audit_col:
+            df = df.withColumn(audit_col, F.current_timestamp())
+        named = df.withColumn(segments.SEGMENT, segment).drop(*(without or []))
+        schema = T.StructType([f for f in named.schema.fields if f.name != segments.SEGMENT])
+        path = self.write(named.hint("rebalance", segments.SEGMENT), name, partition_by=[segments.SEGMENT])
+        new = segments.describe(self.spark, path, schema, list(keys or []))
+        manifest = f"{self.root}/{name}/m={_version_id()}"
+        about = (None, None, None, None, None, schema.json())
+        (self.spark.createDataFrame([*map(tuple, old), *new, about], segments.ENTRY).coalesce(1)
+         .write.parquet(manifest))
+        self.tables[name] = manifest
+        return {e[0] for e in new}
+
+    def _manifest(self, name: str) -> list:
+        path = self.path(name)
+        if path is None or not _is_manifest(path):
+            return []
+        return self.spark.read.schema(segments.ENTRY).parquet(path).collect()  # a row per segment
+
+    def entries(self, name: str) -> list:
+        """Manifest entries of a segmented table; none for others."""
+        return [e for e in self._manifest(name) if e["segment"] is not None]
+
+    def read_segments(self, name: str, names: set[str] | None = None) -> DataFrame:
+        """Rows of the named (default: all) segments, hidden ones included, with their segment."""
+        rows = self._manifest(name)
+        chosen = [e for e in rows if e["segment"] is not None and (names is None or e["segment"] in names)]
+        return segments.read(self.spark, chosen, _row_schema(rows), named=True)
+
+    def holding(self, name: str, values: DataFrame) -> set[str]:
+        """Segments of ``name`` that hold any of ``values`` (key, value)."""
+        rows = self._manifest(name)
+        return segments.holding(self.spark, [e for e in rows if e["segment"] is not None], _row_schema(rows), values)
+
     def path(self, name: str) -> str | None:
         """The version this job wrote, else the current one."""
         return self.tables.get(name) or self.base.tables.get(name)
@@ -94,6 +149,10 @@ class Publication:
         path = self.path(name)
         if path is None:
             raise FileNotFoundError(f"{self.root}/{name} has no current version")
+        if _is_manifest(path):
+            rows = self._manifest(name)
+            shown = [e for e in rows if e["segment"] is not None and not segments.hidden(e["segment"])]
+            return segments.read(self.spark, shown, _row_schema(rows))
         return self.spark.read.parquet(path)
 
     def commit(self, marks: dict[str, dt.datetime] | None = None) -> Snapshot:
@@ -125,25 +184,27 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
-    """Delete versions that none of the newest ``keep`` commits names, and older commits; returns the
-    number of versions removed. Run it when no job writes and no reader holds an old version."""
+    """Delete versions that none of the newest ``keep`` commits names, directly or by a manifest; returns the
+    number of versions removed. A version of which some segments are still named stays. Run it when no job
+    writes and no reader holds an old version. The file system is the one ``pyarrow`` opens for ``root``."""
     log = _commit_rows(spark, root)
     if log is None:
         return 0
     newest = log.orderBy(F.desc("seq"), F.desc("id")).limit(keep).collect()  # ``keep`` rows
-    used = {path.rstrip("/").rsplit("/", 2)[-2] + "/" + path.rstrip("/").rsplit("/", 1)[-1]
-            for r in newest for path in (r["tables"] or {}).values()}
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    used = set()
+    for path in {path.rstrip("/") for r in newest for path in (r["tables"] or {}).values()}:
+        used.add("/".join(path.rsplit("/", 2)[-2:]))
+        if _is_manifest(path):
+            entries = spark.read.schema(segments.ENTRY).parquet(path).where("path IS NOT NULL").select("path").collect()
+            used |= {"/".join(e["path"].rsplit("/", 3)[-3:-1]) for e in entries}
+    where, base = fs.FileSystem.from_uri(root if "://" in root else os.path.abspath(root))
     removed = 0
-    for table in fs.listStatus(base):
-        name = table.getPath().getName()
-        if not table.isDirectory() or name.startswith("_"):
+    for table in where.get_file_info(fs.FileSelector(base)):
+        if table.type != fs.FileType.Directory or table.base_name.startswith("_"):
             continue
-        for version in fs.listStatus(table.getPath()):
-            if version.getPath().getName().startswith("v=") and f"{name}/{version.getPath().getName()}" not in used:
-                fs.delete(version.getPath(), True)
+        for version in where.get_file_info(fs.FileSelector(table.path)):
+            if version.base_name[:2] in ("v=", "m=") and f"{table.base_name}/{version.base_name}" not in used:
+                where.delete_dir(version.path)
                 removed += 1
     return removed
 

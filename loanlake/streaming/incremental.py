@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,10 +31,12 @@ from loanlake.functions.expr import ntz_lit
 from loanlake.operators import staging
 from loanlake.operators.existence import with_not_in_flag
 from loanlake.operators.upsert import dedup_latest, merge_versions
-from loanlake.sources import sinks
+from loanlake.sources import schemas, sinks
 
 DEFAULT_MARK = dt.datetime(2000, 1, 1)
 MARK = "payments"
+UNDATED = dt.date(1900, 1, 1)  # load day of rows without a stamp
+VERSION_COLUMNS = [c for c in staging.PAYMENT_SPEC.columns if c != "orphan_installment"]
 
 
 def read_mark(spark: SparkSession, root: str, name: str = MARK, default: dt.datetime = DEFAULT_MARK) -> dt.datetime:
@@ -76,6 +78,92 @@ def merge_payments(staged: DataFrame | None, window: DataFrame, raw_installments
                             "installment_id", "orphan_installment").select(*columns)
 
 
+# ----------------------------------------------------------------- rows of any age, by what was read
+
+DAY = "load_day"
+
+
+def load_day() -> Column:
+    """Day of the load stamp; undated rows share ``UNDATED``."""
+    return F.coalesce(F.to_date("loaded_at"), F.lit(UNDATED))
+
+
+def day_totals(raw_payments: DataFrame) -> DataFrame:
+    """(load_day, n, fp): rows per load day and an order-free fingerprint of their ids and stamps. It reads two
+    columns and has a row per calendar day."""
+    return raw_payments.groupBy(load_day().alias(DAY)).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("payment_id", "loaded_at")).alias("fp"))
+
+
+def changed_days(totals: DataFrame, known: DataFrame | None) -> list[dt.date]:
+    """Load days whose totals are not those of the last run (at most a row per calendar day)."""
+    if known is not None:
+        totals = totals.join(known, [DAY, "n", "fp"], "left_anti")
+    return sorted(r[0] for r in totals.select(DAY).collect())
+
+
+def on_days(rows: DataFrame, days: list[dt.date]) -> DataFrame:
+    """Raw rows of the given load days: ranges of the stamp, which reach the scan, one per run of days."""
+    cond, one = F.lit(False), dt.timedelta(days=1)
+    runs: list[list[dt.date]] = []
+    for day in days:
+        if day == UNDATED:
+            cond = cond | F.col("loaded_at").isNull()
+        if runs and day - runs[-1][1] == one:
+            runs[-1][1] = day
+        else:
+            runs.append([day, day])
+    for lo, hi in runs:
+        start, end = (dt.datetime.combine(x, dt.time()) for x in (lo, hi + one))
+        cond = cond | ((F.col("loaded_at") >= ntz_lit(start)) & (F.col("loaded_at") < ntz_lit(end)))
+    return rows.where(cond)
+
+
+def version_prints(rows: DataFrame) -> DataFrame:
+    """(load_day, f1, f2, n): how often each raw version, by a 128-bit fingerprint of all columns, occurs."""
+    cols = [f.name for f in schemas.PAYMENTS.fields]
+    return rows.groupBy(load_day().alias(DAY), F.xxhash64(*cols).alias("f1"), F.xxhash64(F.lit(1), *cols).alias("f2")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def fresh_versions(rows: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """The raw rows that ``seen`` (fingerprints of what earlier runs read) does not have, each as often as it is new.
+
+    An anti join on counts: equal rows are one before the shuffle, whatever their number.
+    """
+    cols = [f.name for f in schemas.PAYMENTS.fields]
+    counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    if seen is not None:
+        known = seen.groupBy("f1", "f2").agg(F.sum("n").alias("_seen"))
+        counted = (counted.withColumn("f1", F.xxhash64(*cols)).withColumn("f2", F.xxhash64(F.lit(1), *cols))
+                   .join(known, ["f1", "f2"], "left").withColumn("_n", F.col("_n") - F.coalesce("_seen", F.lit(0))))
+    return counted.where("_n > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*cols)
+
+
+def versions(raw_rows: DataFrame) -> DataFrame:
+    """Payment versions with an id: the staged columns without the orphan flag, and ``_clean``."""
+    flagged = staging.flag_payment_rows(raw_rows).where(~F.col("_f_no_id"))
+    clean = F.lit(True)
+    for name, _ in staging.PAYMENT_SPEC.flags:
+        clean = clean & ~F.col(name)
+    return flagged.select(*VERSION_COLUMNS, clean.alias("_clean"))
+
+
+def newest(rows: DataFrame) -> DataFrame:
+    """Per payment the version with the greatest stamp, then the greatest columns: the same one in whatever
+    batches the versions came."""
+    return dedup_latest(rows, ["payment_id"], ["loaded_at"])
+
+
+def with_orphans(rows: DataFrame, raw_installments: DataFrame) -> DataFrame:
+    return with_not_in_flag(rows, F.col("installment_id"), raw_installments, "installment_id", "orphan_installment")
+
+
+def load_month(prefix: Column) -> Column:
+    """Segment of a row: a prefix and the month of its load stamp."""
+    return F.concat(prefix, F.coalesce(F.date_format("loaded_at", "yyyyMM"), F.lit("undated")))
+
+
 class IncrementalPayments:
     """Bounded-batch incremental load into a staged-payments table (see module doc)."""
 
