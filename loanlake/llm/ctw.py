@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,7 @@ from loanlake.llm.segtree_bpe import slices
 DEPTH = 5
 BLOCK_BYTES = 32 << 20
 BLOCKS_EACH = 64  # of one bucket in one task, about
+MAX_TASKS = 20_000  # that score blocks
 END = 0xFF  # no byte of UTF-8: start context and end symbol
 WORDS, GRAMS, DOC = 0, 1, 2
 LN2 = math.log(2)
@@ -442,7 +443,10 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     answers = (model.union(ask).repartition("kind", "bucket", "salt")
                .sortWithinPartitions("kind", "bucket", "salt", F.col("block").asc_nulls_first())
                .mapInArrow(functools.partial(_answer, depth=depth, top=top), ROWS))
-    scored = (answers.union(gathered.where(F.col("kind") == DOC)).repartition("block")
+    # a task for each block, up to MAX_TASKS: blocks are dealt in turn, so that no task's share grows with the input
+    tasks = max(1, min(sizes[0], MAX_TASKS))
+    dealt = answers.union(gathered.where(F.col("kind") == DOC)).join(_turns(gathered), "block")
+    scored = (dealt.repartitionById(tasks, F.pmod("turn", F.lit(tasks)).cast("int")).select(*answers.columns)
               .sortWithinPartitions("block", "kind")
               .mapInArrow(functools.partial(_score_blocks, depth=depth, tokens=tokens, vocabulary=vocabulary, ends=ends),
                           "id long, held_out boolean, n_tokens long, n_known long, base_score double, "
@@ -452,6 +456,12 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
         "base_score", "score", (-F.col("score") / math.log10(2) / (F.col("bytes") + 1)).alias("bits_per_byte"))
 
 
+def _turns(gathered: DataFrame) -> DataFrame:
+    """(block, turn): the blocks, one for each ``BLOCK_BYTES`` of text, numbered from 0."""
+    blocks = gathered.where(F.col("kind") == DOC).select("block").distinct()
+    return stored(blocks.select("block", (F.row_number().over(Window.orderBy("block")) - 1).alias("turn")), "ctw-turns")
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]):
     n = v = 0
     for batch in batches:
