@@ -7,23 +7,28 @@ them. Used by ``__spark_entry__.py`` and ``bench.py``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlake.functions.expr import ntz_lit
-from loanlake.operators import quality, staging
-from loanlake.operators.history import initial_history, scd2_apply
+from loanlake.operators import delta, quality, staging
+from loanlake.operators.doubles import payment_doubles
+from loanlake.operators.history import history_series, initial_history, scd2_apply
 from loanlake.operators.rollups import payment_rollup
 from loanlake.operators.upsert import append_new, dedup_latest, upsert
 from loanlake.plans import mart as mart_plans
-from loanlake.plans import alerts
+from loanlake.plans import alerts, jobs
 from loanlake.plans import questions as Q
 from loanlake.plans import views as V
 from loanlake.plans.model import LendingModel
 from loanlake.operators.windows import running_total_large
-from loanlake.streaming.incremental import merge_payments, next_mark, next_staging_mark, window_rows
+from loanlake.session import ensure_checkpoint_dir
+from loanlake.sources import sinks
+from loanlake.streaming.incremental import (changed_days, day_totals, fresh_versions, merge_payments, newest, next_mark,
+                                            next_staging_mark, on_days, version_prints, versions, window_rows)
 
 # Parameters of the registered incremental queries: the stored mark of the previous run and the
 # re-read overlap before it (the upsert makes the overlap idempotent).
@@ -33,6 +38,9 @@ INCREMENTAL_OVERLAP = dt.timedelta(days=1)
 HISTORY_PREVIOUS_AS_OF = dt.date(1998, 6, 1)
 HISTORY_TRACKED = ["loan_status", "aging_bucket", "in_arrears"]
 
+HISTORY_SERIES = [dt.date(1997 + (7 + i) // 12, (7 + i) % 12 + 1, 1) for i in range(12)]
+DOUBLES_WITHIN = dt.timedelta(hours=24)
+
 # Master names of payment channels (parameter of the registered query).
 CHANNEL_MASTER = [("click", "APP"), ("purchase", "CARD"), ("UNKNOWN", "BRANCH")]
 
@@ -178,6 +186,56 @@ def _registry() -> dict[str, QueryFn]:
         return upsert(stored, delivery, ["loan_id"], ["origination_date"])
     r["loan_upsert"] = loan_upsert
 
+    def deliveries(s, d):
+        # what a first run sees, and all: some rows of the first weeks are delivered late
+        raw = _m(s, d).raw
+        late = F.minute("loaded_at") % 11 == 0
+        return raw, raw.payments.where((F.col("loaded_at") <= ntz_lit(INCREMENTAL_MARK)) & ~late)
+
+    def late_versions(s, d):
+        raw, first = deliveries(s, d)
+        days = changed_days(day_totals(raw.payments), day_totals(first))
+        fresh = fresh_versions(on_days(raw.payments, days), version_prints(first))
+        return fresh.withColumn("late", F.coalesce(F.col("loaded_at") <= ntz_lit(INCREMENTAL_MARK), F.lit(True)))
+
+    def scoped_merge(s, d):
+        raw, first = deliveries(s, d)
+        p = sinks.Publication(s, f"{ensure_checkpoint_dir(s).rstrip('/')}/scoped-merge-{uuid.uuid4().hex}")
+        jobs.write_payment_segments(p, newest(versions(first)), raw.installments)
+        fresh = fresh_versions(raw.payments, version_prints(first))
+        jobs.merge_segments(p, fresh, raw.installments)
+        return p.read("stg_payments").drop("staged_at")
+
+    def mart_by_delta(s, d):
+        # states of the payments before the mark and of half of the installments, then the signed changes to all
+        m = _m(s, d)
+        before = m.payments.where(m.payments.loaded_at <= ntz_lit(INCREMENTAL_MARK)).withColumn(
+            "payment_amount", (F.col("payment_amount") + 1).cast("decimal(18,2)"))
+        half = m.installments.where("cast(loan_id AS long) % 2 = 0 OR days_late > 100").withColumn(
+            "days_late", F.col("days_late") + 1)
+        inst, pays = delta.signed_changes(half, m.installments), delta.signed_changes(before, m.payments)
+        was = lambda df: df.withColumn(delta.SIGN, F.lit(1))
+        state = {
+            "inst": delta.added(delta.installment_state(was(half), m.as_of), delta.installment_state(inst, m.as_of),
+                                delta.INSTALLMENT_KEY),
+            "cash": delta.added(delta.cash_state(was(before)), delta.cash_state(pays), delta.CASH_KEY),
+            "days": delta.added(delta.day_state(was(before)), delta.day_state(pays), delta.DAY_KEY)}
+        return mart_plans.portfolio_mart(m.open_loans, delta.installment_rollup(state["inst"]),
+                                         delta.payment_rollup(state["cash"], state["days"], m.installments), m.as_of)
+
+    r["late_versions"], r["scoped_merge"], r["mart_by_delta"] = late_versions, scoped_merge, mart_by_delta
+
+    def doubles(s, d):
+        # staged payments and a gateway's retries: every 20th again, hours later, for the next installment
+        pays = _m(s, d).payments
+        key = F.col("payment_id").cast("long")
+        again = (pays.where(key % 20 == 0).withColumn("loaded_at", F.expr(
+            "loaded_at + make_dt_interval(0, cast(cast(payment_id AS long) % 7 * 5 AS int), 0, 0)"))
+            .withColumn("installment_id", F.concat("loan_id", F.lit("-9")))
+            .withColumn("payment_id", F.concat("payment_id", F.lit("-retry"))))
+        return payment_doubles(pays.unionByName(again), DOUBLES_WITHIN)
+    r["payment_doubles"] = doubles
+
     def strict_arrears(s, d):
         m = _m(s, d)
         return (staging.stage_installments(m.raw.installments, m.as_of, strict=True)
@@ -219,6 +277,11 @@ def _registry() -> dict[str, QueryFn]:
         h0 = initial_history(prev.mart, "loan_id", HISTORY_TRACKED, prev.as_of)
         return scd2_apply(h0, cur.mart, "loan_id", HISTORY_TRACKED, cur.as_of)
     r["loan_status_history"] = history
+
+    def series(s, d):
+        m = _m(s, d)
+        return history_series(m.open_loans, m.installments, HISTORY_SERIES)
+    r["loan_history_series"] = series
     return r
 
 

@@ -96,7 +96,7 @@ def source_state(raw: RawTables, as_of: dt.date) -> DataFrame:
     return segments.union(out)
 
 
-def _write_payments(p: sinks.Publication, rows: DataFrame, raw_installments: DataFrame,
+def write_payment_segments(p: sinks.Publication, rows: DataFrame, raw_installments: DataFrame,
                     replace: set[str] | None = None) -> set[str]:
     """Newest versions (with ``_clean``) as the segments of ``stg_payments``: load months of clean ones, and
     beside the table those of versions that keep their payment out of it."""
@@ -140,7 +140,8 @@ def build_mart(staged: dict[str, DataFrame], p: sinks.Publication, as_of: dt.dat
     return write_mart(p, MaterializedModel(staged, as_of).mart)
 
 
-def write_mart(p: sinks.Publication, mart: DataFrame) -> DataFrame:
+def write_mart(p: sinks.Publication, mart: DataFrame, history: bool = True) -> DataFrame:
+    """Publish the mart and, with ``history``, its state at this cut-off beside those of others."""
     schemas.assert_schema(mart, schemas.MART)
     # D9: laid out by origination cohort, clustered by city and segment inside each file. REBALANCE
     # brings a month's rows together, splits months larger than the advisory size and merges small
@@ -148,6 +149,11 @@ def write_mart(p: sinks.Publication, mart: DataFrame) -> DataFrame:
     clustered = (mart.hint("rebalance", "cohort_month")
                  .sortWithinPartitions("cohort_month", "city", "segment"))
     p.write(clustered, "portfolio_mart", audit_col="refreshed_at", partition_by=["cohort_month"])
+    if history:
+        # the marts of other cut-offs stay the files they are; this one's takes the place of its last state
+        day = F.concat(F.lit("s"), F.date_format("as_of", "yyyyMMdd"))
+        kept = {r[0] for r in mart.select(day).distinct().collect()}  # one cut-off
+        p.write_segments(p.read("portfolio_mart").select(*mart_plans.MART_COLUMNS), "mart_history", day, replace=kept)
     return p.read("portfolio_mart").drop("refreshed_at")
 
 
@@ -158,7 +164,7 @@ def kpis(mart: DataFrame) -> dict:
 def _build_all(raw: RawTables, p: sinks.Publication, as_of: dt.date) -> DataFrame:
     """Every published table from the raw ones."""
     build_dimensions(raw, p, as_of)
-    _write_payments(p, newest(versions(raw.payments)), raw.installments)
+    write_payment_segments(p, newest(versions(raw.payments)), raw.installments)
     _write_rejected(p, staging.rejected_payments(raw.payments, raw.installments))
     _write_seen(p, raw.payments)
     p.write(day_totals(raw.payments), "payments_days")
@@ -201,8 +207,8 @@ def _all_names(p: sinks.Publication, table: str) -> set[str]:
     return {e["segment"] for e in p.entries(table)}
 
 
-def merge_new_payments(raw: RawTables, p: sinks.Publication, fresh: DataFrame, flipped: DataFrame,
-                       every: bool) -> tuple[DataFrame, set[str]]:
+def merge_segments(p: sinks.Publication, fresh: DataFrame, raw_installments: DataFrame,
+                   flipped: DataFrame | None = None, every: bool = False) -> tuple[DataFrame, set[str]]:
     """Merge raw versions no run has read into the staged payments and return the signed change of these and the
     segments that were written anew: those that hold a version of the same payment, those the new versions
     belong to, and those with payments whose installment came or went. All others stay the files they are."""
@@ -211,18 +217,22 @@ def merge_new_payments(raw: RawTables, p: sinks.Publication, fresh: DataFrame, f
     if every:
         touched = _all_names(p, "stg_payments")
     else:
-        asked = segments.keyed(batch, "payment_id").unionByName(segments.keyed(flipped, "installment_id"))
+        asked = segments.keyed(batch, "payment_id")
+        if flipped is not None:
+            asked = asked.unionByName(segments.keyed(flipped, "installment_id"))
         touched = p.holding("stg_payments", asked)
     touched |= {r[0] for r in batch.select(month.alias("m")).distinct().collect()}
     old = p.read_segments("stg_payments", touched)
     live = ~F.col(segments.SEGMENT).startswith("-")
     stored = old.select(*VERSION_COLUMNS, live.alias("_clean"))
     before = old.where(live).select(*staging.PAYMENT_SPEC.columns)
-    written = _write_payments(p, newest(stored.unionByName(batch)), raw.installments, touched)
+    written = write_payment_segments(p, newest(stored.unionByName(batch)), raw_installments, touched)
     after = p.read_segments("stg_payments", {s for s in written if not segments.hidden(s)})
-    change = delta.signed_changes(before, after.select(*staging.PAYMENT_SPEC.columns)).checkpoint()
+    return delta.signed_changes(before, after.select(*staging.PAYMENT_SPEC.columns)).checkpoint(), touched
 
-    # rejected rows: the new ones, and the orphan flags of those whose installment came or went
+
+def merge_rejected(raw: RawTables, p: sinks.Publication, fresh: DataFrame, flipped: DataFrame, every: bool) -> None:
+    """Add the new rejected rows; renew the orphan flags of those whose installment came or went."""
     held = _all_names(p, "rejected_payments") if every else p.holding(
         "rejected_payments", segments.keyed(flipped, "installment_id"))
     columns = [c for c in p.read("rejected_payments").columns if c != "staged_at"]
@@ -230,7 +240,6 @@ def merge_new_payments(raw: RawTables, p: sinks.Publication, fresh: DataFrame, f
     rejected = staging.rejected_payments(fresh, raw.installments).unionByName(
         with_orphans(again, raw.installments).select(*columns))
     _write_rejected(p, rejected, held)
-    return change, touched
 
 
 def _changed_loans(p: sinks.Publication, old: dict[str, DataFrame], payments: DataFrame | None,
@@ -326,7 +335,8 @@ def run_incremental(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.d
                       else (p.read("installment_ids").limit(0), False))
     change = None
     if count["n"] or every or not flipped.isEmpty():
-        change, touched = merge_new_payments(raw, p, fresh, flipped, every)
+        change, touched = merge_segments(p, fresh, raw.installments, flipped, every)
+        merge_rejected(raw, p, fresh, flipped, every)
         result["segments"] = len(touched)
         _write_seen(p, fresh, replace=set())
         p.write(totals, "payments_days")

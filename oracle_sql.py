@@ -445,6 +445,47 @@ _FINAL.update({
         SELECT * EXCLUDE (broken)
         FROM (FROM judged_payments WHERE NOT list_contains(broken, 'missing_id') {_NEWEST})
         WHERE len(broken) = 0""",
+    "late_versions": f"""
+        SELECT *, COALESCE(loaded_at <= {MARK}, TRUE) AS late FROM raw_payments
+        WHERE loaded_at IS NULL OR loaded_at > {MARK} OR minute(loaded_at) % 11 = 0""",
+    "scoped_merge": f"""
+        SELECT * EXCLUDE (broken)
+        FROM (FROM judged_payments WHERE NOT list_contains(broken, 'missing_id') {_NEWEST})
+        WHERE len(broken) = 0""",
+    "mart_by_delta": "FROM mart",
+    # sessions of equal loan and amount: a new one where the gap to the payment before exceeds a day
+    "payment_doubles": f"""
+        SELECT loan_id, payment_amount, MIN(loaded_at) AS first_at, MAX(loaded_at) AS last_at, COUNT(*) AS n_payments,
+               COALESCE(MIN(installment_id) <> MAX(installment_id), FALSE) AS across_installments,
+               CAST(payment_amount * (COUNT(*) - 1) AS {MONEY}) AS excess
+        FROM (SELECT *, COUNT(*) FILTER (WHERE starts) OVER (PARTITION BY loan_id, payment_amount ORDER BY loaded_at, payment_id
+                                                             {TOTAL}) AS session
+              FROM (SELECT *, COALESCE(loaded_at - LAG(loaded_at) OVER (PARTITION BY loan_id, payment_amount
+                                       ORDER BY loaded_at, payment_id) > INTERVAL 24 HOUR, TRUE) AS starts
+                    FROM (FROM stg_payments UNION ALL BY NAME
+                          SELECT * REPLACE (payment_id || '-retry' AS payment_id, loan_id || '-9' AS installment_id,
+                                            loaded_at + to_hours(CAST(payment_id AS BIGINT) % 7 * 5) AS loaded_at)
+                          FROM stg_payments WHERE CAST(payment_id AS BIGINT) % 20 = 0)
+                    WHERE loaded_at IS NOT NULL))
+        GROUP BY loan_id, payment_amount, session HAVING COUNT(*) > 1""",
+    # every state of every cut-off, then the ones that differ from the cut-off before
+    "loan_history_series": """
+        SELECT loan_id, loan_status, aging_bucket, in_arrears, valid_from,
+               LEAD(valid_from) OVER (PARTITION BY loan_id ORDER BY valid_from) AS valid_to
+        FROM (SELECT *, LAG((aging_bucket, in_arrears)) OVER (PARTITION BY loan_id ORDER BY valid_from) AS was
+              FROM (SELECT o.loan_id, o.loan_status, d AS valid_from, COALESCE(MAX(a.label), 'Al dia') AS aging_bucket,
+                           o.loan_status = 'DEFAULT' OR COALESCE(MAX(f.arrears), FALSE) AS in_arrears
+                    FROM open_loans o
+                    CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '1997-08-01', DATE '1998-07-01', INTERVAL 1 MONTH)) AS DATE) AS d)
+                    LEFT JOIN (SELECT loan_id, d, MAX(IF(installment_status <> 'PAID', GREATEST(CAST(d - due_date AS INTEGER), 0), 0)) AS late,
+                                      BOOL_OR(COALESCE(installment_status IN ('LATE', 'PARTIAL')
+                                              OR (installment_status = 'DUE' AND due_date < d), FALSE)) AS arrears
+                               FROM stg_installments, (SELECT CAST(unnest(generate_series(DATE '1997-08-01', DATE '1998-07-01',
+                                                                                          INTERVAL 1 MONTH)) AS DATE) AS d)
+                               GROUP BY ALL) f USING (loan_id, d)
+                    LEFT JOIN aging a ON f.late BETWEEN a.first_day AND a.last_day
+                    GROUP BY o.loan_id, o.loan_status, d))
+        WHERE was IS NULL OR was <> (aging_bucket, in_arrears)""",
     "incremental_mart_refresh": "FROM mart",
     "loan_upsert": """
         SELECT * REPLACE (IF(CAST(loan_id AS BIGINT) % 10 = 0, 'CLOSED', loan_status) AS loan_status) FROM stg_loans
