@@ -4,9 +4,9 @@ SQL ``x NOT IN (SELECT k FROM parent)`` has three-valued semantics: it is TRUE f
 the parent is empty, NULL when ``x`` is NULL, FALSE on a match, NULL when there is no match but the
 parent holds a NULL key, and TRUE otherwise. Spark plans the SQL form as a null-aware anti join
 that must broadcast the parent (or, inside a projection, as a nested-loop existence join, O(n*m)).
-Here the same semantics are expressed as an equi-join against the *distinct non-null* parent keys
-(a normal shuffle/sort-merge or size-checked broadcast join) plus two scalar facts about the parent
-(row count, NULL-key count) evaluated once as a scalar subquery.
+Here the same semantics are one equi-join against the parent's distinct keys (a normal shuffle/sort-merge or
+size-checked broadcast join) plus two scalar facts about the parent (row count, NULL-key count) from the same
+grouping. Rows with a NULL key take a salt as join key, so they neither match nor meet in one partition.
 """
 
 from __future__ import annotations
@@ -24,47 +24,50 @@ def key_counts(parent: DataFrame, parent_key: str) -> DataFrame:
     return parent.groupBy(F.col(parent_key).alias("_p_key")).agg(F.count(F.lit(1)).alias("_cnt"))
 
 
-def _parent_stats(parent: DataFrame, parent_key: str) -> Column:
-    """Scalar subquery: struct(n = rows, nn = rows with a NULL key) of the parent. A plain aggregate: one
-    partial row per task is all that is shuffled."""
-    return parent.select(F.struct(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(parent_key).isNull()).alias("nn"),
-    )).scalar()
+NULL_SALTS = 1024
 
 
-def _present_keys(parent: DataFrame, parent_key: str) -> DataFrame:
-    """Distinct non-null parent keys (``_p_key``). The join below is on plain equality, so it takes this
-    grouping's partitioning as it is: one exchange per key set."""
-    return parent.select(F.col(parent_key).alias("_p_key")).where(F.col("_p_key").isNotNull()).distinct()
+def _marked(key: Column) -> Column:
+    """A parent key that is never null: ``k`` and the key, or ``n``."""
+    return F.coalesce(F.concat(F.lit("k"), key.cast("string")), F.lit("n"))
 
 
-def with_not_in_flag(left: DataFrame, left_key: Column, parent: DataFrame, parent_key: str,
-                     flag_name: str) -> DataFrame:
-    """Add ``flag_name = CASE WHEN left_key NOT IN (SELECT parent_key FROM parent) THEN TRUE ELSE FALSE``.
+def salted(key: Column, columns: list[str]) -> Column:
+    """A child key that is never null: ``k`` and the key, or a salt that no parent key equals. Rows without a
+    key thus spread over the partitions of the join, by their first two columns (more would be read for this alone)."""
+    salt = F.pmod(F.xxhash64(*columns[:2]), F.lit(NULL_SALTS)).cast("string")
+    return F.coalesce(F.concat(F.lit("k"), key.cast("string")), F.concat(F.lit("s"), salt))
+
+
+def _joined(child: DataFrame, child_key: Column, parent: DataFrame, parent_key: str) -> tuple[DataFrame, Column]:
+    """The child's rows, once each, and the value of ``child_key NOT IN parent`` with NULL read as FALSE.
 
-    Rows with a NULL key match nothing, so they skip the join instead of meeting in one partition.
+    One grouping of the parent gives its distinct keys, null included, and their counts. The join takes it with the
+    partitioning it has; the parent's facts (rows, rows without a key) are a scalar aggregate of the same
+    grouping, whose shuffle Spark reuses. The child is read once.
     """
-    stats = _parent_stats(parent, parent_key)
-    empty = stats["n"] == 0
-    hits = _present_keys(parent, parent_key).withColumn("_p_hit", F.lit(True))
-    keyed = left.withColumn("_l_key", left_key)
-    joined = keyed.where(F.col("_l_key").isNotNull()).join(hits, F.col("_l_key") == F.col("_p_key"), "left")
-    flagged = joined.withColumn(flag_name, empty | (F.col("_p_hit").isNull() & (stats["nn"] == 0)))
-    without = keyed.where(F.col("_l_key").isNull()).withColumn(flag_name, empty)
-    out = [*left.columns, flag_name]
-    return flagged.select(*out).unionByName(without.select(*out))
+    keys = parent.groupBy(_marked(F.col(parent_key)).alias("_p_key")).agg(F.count(F.lit(1)).alias("_p_cnt"))
+    facts = keys.agg(F.struct(
+        F.coalesce(F.sum("_p_cnt"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(F.col("_p_key") == "n", F.col("_p_cnt"))), F.lit(0)).alias("nn")).alias("f")).scalar()
+    keyed = child.withColumn("_l_null", child_key.isNull()).withColumn("_l_key", salted(child_key, child.columns))
+    rows = keyed.join(keys, F.col("_l_key") == F.col("_p_key"), "left")
+    missing = ~F.col("_l_null") & F.col("_p_cnt").isNull() & (facts["nn"] == 0)
+    return rows, (facts["n"] == 0) | missing
+
+
+def with_not_in_flag(left: DataFrame, left_key: Column, parent: DataFrame, parent_key: str,
+                     flag_name: str) -> DataFrame:
+    """Add ``flag_name = CASE WHEN left_key NOT IN (SELECT parent_key FROM parent) THEN TRUE ELSE FALSE``."""
+    rows, not_in = _joined(left, left_key, parent, parent_key)
+    return rows.withColumn(flag_name, not_in).select(*left.columns, flag_name)
 
 
 def not_in_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows of ``child`` for which ``child_key NOT IN (SELECT parent_key FROM parent)`` is TRUE: all if
     the parent is empty, none if it holds a NULL, else those with a non-null key without a match."""
-    stats = _parent_stats(parent, parent_key)
-    k = F.col(child_key)
-    keys = _present_keys(parent, parent_key)
-    with_key = child.where(k.isNotNull() & (stats["nn"] == 0)).join(keys, k == F.col("_p_key"), "left_anti")
-    without = child.where(k.isNull() & (stats["n"] == 0))
-    return with_key.unionByName(without)
+    rows, not_in = _joined(child, F.col(child_key), parent, parent_key)
+    return rows.where(not_in).select(*child.columns)
 
 
 def with_in_flag(left: DataFrame, left_key: Column, keys: DataFrame, key: str, flag_name: str) -> DataFrame:

@@ -85,7 +85,8 @@ def flag_loans(raw: DataFrame) -> DataFrame:
     )
 
 
-def flag_installments(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
+def flag_installments(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF, keep: list[str] | None = None) -> DataFrame:
+    """``keep``: further columns of ``raw`` to carry."""
     today = X.as_of_lit(as_of)
     status = X.canon("installment_status")
     due = F.col("due_date")
@@ -103,6 +104,7 @@ def flag_installments(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFra
         X.flag(X.is_blank("loan_id")).alias("_f_no_loan"),
         X.flag(X.not_in(status, X.INSTALLMENT_STATUSES)).alias("_f_status"),
         X.flag(F.col("installment_number") == X.OUTLIER_INSTALLMENT_NUMBER).alias("_f_outlier"),
+        *(keep or []),
     )
 
 
@@ -198,6 +200,12 @@ def stage_installments(raw: DataFrame, as_of: dt.date = DEFAULT_AS_OF, strict: b
     return _clean((strict_installments if strict else flag_installments)(raw, as_of), INSTALLMENT_SPEC)
 
 
+def clean_payment_rows(raw: DataFrame) -> DataFrame:
+    """Clean payments without the orphan flag: a filter, no join."""
+    columns = [c for c in PAYMENT_SPEC.columns if c != "orphan_installment"]
+    return _clean(flag_payment_rows(raw), StageSpec(columns, PAYMENT_SPEC.flags))
+
+
 def stage_payments(raw: DataFrame, raw_installments: DataFrame, strict: bool = False) -> DataFrame:
     """Clean payments: CONFIRMED (or NULL-status, unless ``strict``) with a positive amount; orphans are kept
     with a flag."""

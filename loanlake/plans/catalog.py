@@ -88,8 +88,7 @@ def _registry() -> dict[str, QueryFn]:
         return V.disbursement_daily(m.loans, m.customers)
 
     def coll(s, d):
-        m = _m(s, d)
-        return V.collections_daily(m.payments, m.installments)
+        return _m(s, d).collections_daily
 
     r["disbursement_daily"] = disb
     r["collections_daily"] = coll

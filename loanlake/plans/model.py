@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanlake.operators import rollups, staging
 from loanlake.plans import mart as mart_plans
+from loanlake.plans import views
 from loanlake.sources.binding import RawTables, StoredRawTables
 from loanlake.session import DEFAULT_AS_OF
 
@@ -55,9 +56,17 @@ class LendingModel:
     def installment_rollup(self) -> DataFrame:
         return rollups.installment_rollup(self.installments, self.as_of)
 
+    @cached_property
+    def installment_lookup(self) -> DataFrame:
+        return rollups.installment_lookup(self.raw.installments, self.as_of)
+
     @cached_property
     def payment_rollup(self) -> DataFrame:
-        return rollups.payment_rollup(self.payments, self.installments)
+        return rollups.payment_rollup_by_lookup(staging.clean_payment_rows(self.raw.payments), self.installment_lookup)
+
+    @cached_property
+    def collections_daily(self) -> DataFrame:
+        return views.collections_daily_by_lookup(staging.clean_payment_rows(self.raw.payments), self.installment_lookup)
 
     @cached_property
     def open_loans(self) -> DataFrame:
@@ -76,3 +85,6 @@ class MaterializedModel(LendingModel):
         super().__init__(raw=None, as_of=as_of)  # type: ignore[arg-type]
         for name, df in frames.items():
             self.__dict__[name] = df
+        # staged payments have their orphan flag already
+        self.__dict__.setdefault("payment_rollup", rollups.payment_rollup(self.payments, self.installments))
+        self.__dict__.setdefault("collections_daily", views.collections_daily(self.payments, self.installments))

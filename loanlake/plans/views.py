@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.functions import expr as X
+from loanlake.operators import rollups
 
 
 def disbursement_daily(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
@@ -54,6 +55,26 @@ def collections_daily(stg_payments: DataFrame, stg_installments: DataFrame) -> D
     )
 
 
+def collections_daily_by_lookup(payments: DataFrame, lookup: DataFrame) -> DataFrame:
+    """``collections_daily`` of clean payments without orphan flags: payments are combined per day and installment,
+    and these partial rows meet the installments once. A payment counts once per staged installment of its id,
+    at least once, as in the per-row join."""
+    pre = payments.groupBy("payment_date", "installment_id").agg(
+        F.count("payment_id").alias("_n"), F.sum("payment_amount").alias("_amt"))
+    found = rollups.payments_looked_up(pre, lookup).where(~F.col("orphan_installment"))
+    times = F.greatest(F.col("n_staged"), F.lit(1))
+    amount = F.col("_amt").cast("decimal(27,2)")
+    whole, late = amount * times.cast("decimal(10,0)"), amount * F.col("n_late").cast("decimal(10,0)")
+    total, arrears = F.sum(whole), F.sum(late)
+    return found.groupBy(F.col("payment_date").alias("collection_date")).agg(
+        F.sum(F.col("_n") * times).cast("bigint").alias("n_payments"),
+        X.money(total).alias("total_collected"),
+        X.money(arrears).alias("collected_arrears"),
+        X.money(F.sum(whole - late)).alias("collected_current"),
+        X.safe_pct(arrears, total).alias("arrears_pct"),
+    )
+
+
 def cohort_portfolio(mart: DataFrame) -> DataFrame:
     """Open-loan balances and arrears by origination cohort month."""
     n_arrears = X.count_when(F.col("in_arrears") == F.lit(True))

@@ -54,20 +54,52 @@ def test_raw_layer_scans_are_pruned(spark, scratch):
     assert "IsNotNull(loaded_at), GreaterThan(loaded_at," in text
 
 
-def test_one_exchange_per_key_set(spark, scratch):
-    # NOT IN against stored installments: their distinct keys are shuffled once, and the join uses that
-    from loanlake.operators.existence import with_not_in_flag
+def test_not_in_reads_child_and_parent_once(spark, scratch):
+    # NOT IN against stored installments: one scan of the child; the parent's grouping is shuffled once, the join
+    # takes it as it is, and the parent's facts reuse it
+    from loanlake.operators.existence import not_in_rows, with_not_in_flag
     from loanlake.sources.binding import RawTables
     from pyspark.sql import functions as F
     raw = RawTables(spark, SMALL).land(f"{scratch}/raw")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(name, "-1")
     try:
-        out = with_not_in_flag(raw.payments, F.col("installment_id"), raw.installments, "installment_id", "orphan")
-        text = plan_text(out)
-        keys = [line for line in text.splitlines() if "Exchange hashpartitioning(_p_key" in line]
-        sides = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+        for out in (with_not_in_flag(raw.payments, F.col("installment_id"), raw.installments, "installment_id", "orphan"),
+                    not_in_rows(raw.payments, "installment_id", raw.installments, "installment_id")):
+            out.collect()
+            final = plan_text(out).split("== Initial Plan ==\n   Project")[0].split("SortMergeJoin", 1)
+            main = final[1].split("== Initial Plan ==")[0]
+            assert main.count("FileScan parquet") == 2 and main.count("Exchange hashpartitioning(") == 2
+            assert "ReusedExchange" in final[0] and "ReusedSubquery" in plan_text(out)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(keys) == 1 and len(sides) == 2
-
-
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("name,scans", [("stage_payments", 2), ("payment_rollup", 2), ("collections_daily", 2), ("portfolio_mart", 6),
+                                        ("quality_report", 20)])
+def test_final_plans_scan_little(spark, name, scans):
+    """Distinct scans that a query runs: subqueries and repeated groupings reuse what is there."""
+    df = QUERIES[name](spark, SMALL)
+    df.collect()
+    assert 0 < len(scanned(df._jdf.queryExecution().executedPlan())) <= scans
+
+
+def scanned(plan):
+    """Physical file scans below a plan, each once; those behind a reused exchange are the exchange's own."""
+    found, todo = set(), [plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name.startswith("FileSourceScan"):
+            found.add(node.id())
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "ReusedExchangeExec":
+            pass
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+            todo += [node.subqueries().apply(i) for i in range(node.subqueries().size())]
+    return found
