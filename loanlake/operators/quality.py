@@ -41,7 +41,7 @@ class RowRule:
     threshold: int = 0
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def finish(df: DataFrame) -> DataFrame:
     """Add pass/fail and the detail text to (seq, table_name, check_name, failed_count, threshold)."""
     return df.select(
         F.col("seq").cast("int").alias("seq"),
@@ -53,17 +53,16 @@ def _finish(df: DataFrame) -> DataFrame:
     )
 
 
-def _row_rules(df: DataFrame, rules: list[RowRule]) -> DataFrame:
-    """Evaluate many row rules in one aggregate pass, then unpivot to one row per rule."""
+def row_counts(df: DataFrame, rules: list[RowRule]) -> DataFrame:
+    """Broken rows of many row rules from one aggregate pass, unpivoted to one row per rule."""
     counts = df.agg(*[F.count_if(r.cond).alias(f"_c{r.seq}") for r in rules])
     parts = ", ".join(f"{r.seq}, '{r.table}', '{r.name}', _c{r.seq}, {r.threshold}" for r in rules)
-    return _finish(counts.selectExpr(
-        f"stack({len(rules)}, {parts}) AS (seq, table_name, check_name, failed_count, threshold)"))
+    return counts.selectExpr(f"stack({len(rules)}, {parts}) AS (seq, table_name, check_name, failed_count, threshold)")
 
 
-def _scalar(seq: int, table: str, name: str, counted: DataFrame, threshold: int = 0) -> DataFrame:
+def scalar_check(seq: int, table: str, name: str, counted: DataFrame, threshold: int = 0) -> DataFrame:
     """One check from a frame whose row count is the failure count."""
-    return _finish(counted.agg(F.count(F.lit(1)).alias("failed_count")).select(
+    return finish(counted.agg(F.count(F.lit(1)).alias("failed_count")).select(
         F.lit(seq).alias("seq"), F.lit(table).alias("table_name"), F.lit(name).alias("check_name"),
         "failed_count", F.lit(threshold).alias("threshold")))
 
@@ -96,8 +95,8 @@ class TableChecks:
     frames: list[FrameRule]
 
     def report(self) -> DataFrame:
-        parts = [_row_rules(self.df, self.rules)] if self.rules else []
-        parts += [_scalar(f.seq, f.table, f.name, f.rows(), f.threshold) for f in self.frames]
+        parts = [finish(row_counts(self.df, self.rules))] if self.rules else []
+        parts += [scalar_check(f.seq, f.table, f.name, f.rows(), f.threshold) for f in self.frames]
         return reduce(DataFrame.unionByName, parts)
 
 
@@ -251,34 +250,41 @@ def _astray(child: str, parent: str) -> Column:
             .otherwise(_total(F.when(~no_key & (F.col(parent) == 0), F.col(child)))))
 
 
-def key_checks(customers: DataFrame, loans: DataFrame, installments: DataFrame, payments: DataFrame) -> list[DataFrame]:
-    """The checks on keys, a frame per key: uniqueness, foreign keys and membership come from one census each."""
+def key_rules() -> dict[str, list[tuple]]:
+    """Checks on a key from its census: (seq, table, name, value, threshold) per key."""
+    c = F.col
+    return {
+        "customer_id": [(2, "customers", "pk_unique", _repeated("customers"), 0),
+                        (8, "loans", "fk_customer", _astray("loans", "customers"), 0)],
+        "loan_id": [(7, "loans", "pk_unique", _repeated("loans"), 0),
+                    (15, "installments", "fk_loan", _astray("units", "loans"), 0),
+                    (19, "loans", "without_installments", _astray("open", "units"), 0),
+                    (22, "payments", "fk_loan", _astray("pays", "loans"), 0),
+                    (30, "cross", "closed_unpaid", _total(F.when(c("_key").isNotNull(), c("closed") * c("unpaid"))), 2)],
+        "installment_id": [(14, "installments", "pk_unique", _repeated("units"), 0),
+                           (23, "payments", "orphan_installment", _astray("pays", "units"), 1)]}
+
+
+def key_censuses(customers: DataFrame, loans: DataFrame, installments: DataFrame,
+                 payments: DataFrame) -> list[tuple[str, DataFrame, list[tuple]]]:
+    """(key, census, checks): uniqueness, foreign keys and membership of a key come from one census."""
     every, c = F.lit(True), F.col
     unpaid = X.not_in(F.upper(c("installment_status")), ["PAID"]) & (c("installment_number") != X.OUTLIER_INSTALLMENT_NUMBER)
-    found = [
-        (_census("customer_id", (customers, {"customers": every}), (loans, {"loans": every})), [
-            (2, "customers", "pk_unique", _repeated("customers"), 0),
-            (8, "loans", "fk_customer", _astray("loans", "customers"), 0)]),
-        (_census("loan_id",
-                 (loans, {"loans": every, "open": c("loan_status").isin(*X.OPEN_LOAN_STATUSES),
-                          "closed": F.upper(c("loan_status")) == F.lit("CLOSED")}),
-                 (installments, {"units": every, "unpaid": unpaid}), (payments, {"pays": every})), [
-            (7, "loans", "pk_unique", _repeated("loans"), 0),
-            (15, "installments", "fk_loan", _astray("units", "loans"), 0),
-            (19, "loans", "without_installments", _astray("open", "units"), 0),
-            (22, "payments", "fk_loan", _astray("pays", "loans"), 0),
-            (30, "cross", "closed_unpaid", _total(F.when(c("_key").isNotNull(), c("closed") * c("unpaid"))), 2)]),
-        (_census("installment_id", (installments, {"units": every}), (payments, {"pays": every})), [
-            (14, "installments", "pk_unique", _repeated("units"), 0),
-            (23, "payments", "orphan_installment", _astray("pays", "units"), 1)]),
-    ]
-    out = []
-    for census, checks in found:
-        counts = census.agg(*[value.cast("long").alias(f"_c{seq}") for seq, _, _, value, _ in checks])
-        parts = ", ".join(f"{seq}, '{table}', '{name}', _c{seq}, {most}" for seq, table, name, _, most in checks)
-        out.append(_finish(counts.selectExpr(
-            f"stack({len(checks)}, {parts}) AS (seq, table_name, check_name, failed_count, threshold)")))
-    return out
+    census = {
+        "customer_id": _census("customer_id", (customers, {"customers": every}), (loans, {"loans": every})),
+        "loan_id": _census("loan_id",
+                           (loans, {"loans": every, "open": c("loan_status").isin(*X.OPEN_LOAN_STATUSES),
+                                    "closed": F.upper(c("loan_status")) == F.lit("CLOSED")}),
+                           (installments, {"units": every, "unpaid": unpaid}), (payments, {"pays": every})),
+        "installment_id": _census("installment_id", (installments, {"units": every}), (payments, {"pays": every}))}
+    return [(name, census[name], checks) for name, checks in key_rules().items()]
+
+
+def key_report(census: DataFrame, checks: list[tuple]) -> DataFrame:
+    counts = census.agg(*[value.cast("long").alias(f"_c{seq}") for seq, _, _, value, _ in checks])
+    parts = ", ".join(f"{seq}, '{table}', '{name}', _c{seq}, {most}" for seq, table, name, _, most in checks)
+    return finish(counts.selectExpr(
+        f"stack({len(checks)}, {parts}) AS (seq, table_name, check_name, failed_count, threshold)"))
 
 
 BY_KEY = {2, 7, 8, 14, 15, 19, 22, 23, 30}
@@ -288,7 +294,7 @@ def quality_report(customers: DataFrame, loans: DataFrame, installments: DataFra
                    payments: DataFrame) -> DataFrame:
     """All 30 checks, one row each (``seq`` gives the report order): one pass per table for its row rules, one
     census per key for the checks on keys, and the rest by themselves."""
-    parts = key_checks(customers, loans, installments, payments)
+    parts = [key_report(census, checks) for _, census, checks in key_censuses(customers, loans, installments, payments)]
     for t in all_checks(customers, loans, installments, payments):
         rest = TableChecks(t.df, t.rules, [f for f in t.frames if f.seq not in BY_KEY])
         if rest.rules or rest.frames:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlake.functions.expr import ntz_lit
-from loanlake.operators import delta, quality, staging
+from loanlake.operators import check_states, delta, quality, staging
 from loanlake.operators.doubles import payment_doubles
 from loanlake.operators.history import history_series, initial_history, scd2_apply
 from loanlake.operators.rollups import payment_rollup
@@ -27,6 +27,7 @@ from loanlake.plans.model import LendingModel
 from loanlake.operators.windows import running_total_large
 from loanlake.session import ensure_checkpoint_dir
 from loanlake.sources import sinks
+from loanlake.sources.literals import literal_rows
 from loanlake.streaming.incremental import (changed_days, day_totals, fresh_versions, merge_payments, newest, next_mark,
                                             next_staging_mark, on_days, version_prints, versions, window_rows)
 
@@ -44,6 +45,9 @@ DOUBLES_WITHIN = dt.timedelta(hours=24)
 # Master names of payment channels (parameter of the registered query).
 CHANNEL_MASTER = [("click", "APP"), ("purchase", "CARD"), ("UNKNOWN", "BRANCH")]
 
+# Daily collection targets of channels from a day on (parameter of the registered query).
+CHANNEL_TARGETS = [("click", "2024-01-05", 4000), ("purchase", "2024-01-10", "3500.50"), ("UNKNOWN", "2024-01-01", None)]
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -137,6 +141,15 @@ def _registry() -> dict[str, QueryFn]:
     r["quality_cross"] = q_cross
     r["quality_report"] = q_report
     r["fk_violations"] = fk
+
+    def checks_by_window(s, d):
+        # the stored state has the payments up to the mark; a run adds the window past it
+        c, lo, i, p = raw4(s, d)
+        past = F.coalesce(p.loaded_at > ntz_lit(INCREMENTAL_MARK), F.lit(False))
+        first = check_states.states_of(c, lo, i, p.where(~past))
+        window = check_states.states_of(c.limit(0), lo.limit(0), i.limit(0), p.where(past))
+        return check_states.report(check_states.merged(first, window))
+    r["quality_by_window"] = checks_by_window
     r["loans_without_installments"] = lambda s, d: quality.loans_without_installments(raw4(s, d)[1], raw4(s, d)[2])
     r["overcollected_loans"] = lambda s, d: quality.overcollected_loans(raw4(s, d)[1], raw4(s, d)[3])
     r["closed_with_unpaid"] = lambda s, d: quality.closed_with_unpaid(raw4(s, d)[2], raw4(s, d)[1])
@@ -242,11 +255,20 @@ def _registry() -> dict[str, QueryFn]:
     r["strict_arrears"] = strict_arrears
 
     def channels(s, d):
-        master = s.createDataFrame(CHANNEL_MASTER, "alias string, channel string")
+        master = literal_rows(s, CHANNEL_MASTER, "alias string, channel string")
         named = staging.normalize_channels(_m(s, d).payments, master)
         return named.groupBy("payment_channel").agg(
             F.count(F.lit(1)).alias("n_payments"), F.sum("payment_amount").cast("decimal(38,2)").alias("total"))
     r["collections_by_channel"] = channels
+
+    def against_targets(s, d):
+        targets = literal_rows(s, CHANNEL_TARGETS, "channel string, since date, daily_target decimal(18,2)")
+        days = _m(s, d).payments.groupBy("payment_channel", "payment_date").agg(
+            F.sum("payment_amount").cast("decimal(38,2)").alias("collected"))
+        met = days.join(targets, (F.col("payment_channel") == F.col("channel")) & (F.col("payment_date") >= F.col("since")))
+        return met.select("channel", "payment_date", "collected", "daily_target",
+                          (F.col("collected") >= F.col("daily_target")).alias("met"))
+    r["collections_vs_target"] = against_targets
     r["staging_mark"] = lambda s, d: next_staging_mark(_m(s, d).payments)
     r["running_total"] = lambda s, d: running_total_large(
         _m(s, d).payments.select("payment_id", "loan_id", "payment_amount", "loaded_at"),

@@ -32,7 +32,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlake.sources import schemas
+from loanlake.sources import schemas, sinks
 from loanlake.sources.tables import DriverTables
 
 
@@ -200,14 +200,18 @@ class RawTables:
 
     def land(self, root: str) -> "StoredRawTables":
         """Write the raw tables once below ``root`` (shared storage) and return them as stored tables, so
-        that many queries need not derive them again. REBALANCE gives files of the advisory size."""
+        that many queries need not derive them again. REBALANCE gives files of the advisory size. Every table
+        is a new version, and one commit switches to all of them: a land that fails leaves the old ones."""
+        p = sinks.Publication(self.spark, root)
         for name in BINDERS:
-            getattr(self, name).hint("rebalance").write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+            p.write(getattr(self, name).hint("rebalance"), name)
+        p.commit()
         return StoredRawTables(self.spark, root)
 
 
 class StoredRawTables:
-    """Raw tables already stored as Parquet under ``root/<table>`` (the production case).
+    """Raw tables already stored as Parquet under ``root/<table>`` or as versions that a commit under ``root``
+    names (the production case).
 
     Read with the explicit raw schemas; nothing is copied or re-derived, so at any scale the
     model's plans start from plain pruned, filter-pushed scans of the stored tables.
@@ -218,7 +222,8 @@ class StoredRawTables:
         self.root = root.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(schemas.RAW[name]).parquet(f"{self.root}/{name}")
+        path = sinks.current_path(self.spark, self.root, name) or f"{self.root}/{name}"
+        return self.spark.read.schema(schemas.RAW[name]).parquet(path)
 
     @property
     def customers(self) -> DataFrame:

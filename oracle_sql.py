@@ -424,6 +424,15 @@ _STAGES = [("raw", t, f"raw_{t}") for t in ("customers", "loans", "installments"
 _FINAL.update({
     "quality_customers": _report(1, 5), "quality_loans": _report(6, 12), "quality_installments": _report(13, 19),
     "quality_payments": _report(20, 28), "quality_cross": _report(29, 30), "quality_report": _report(1, 30),
+    "quality_by_window": _report(1, 30),
+    "collections_vs_target": f"""
+        SELECT channel, payment_date, CAST(SUM(payment_amount) AS {MONEY}) AS collected, daily_target,
+               SUM(payment_amount) >= daily_target AS met
+        FROM stg_payments JOIN (VALUES ('click', DATE '2024-01-05', CAST(4000 AS DECIMAL(18,2))),
+                                       ('purchase', DATE '2024-01-10', CAST(3500.50 AS DECIMAL(18,2))),
+                                       ('UNKNOWN', DATE '2024-01-01', NULL)) t(channel, since, daily_target)
+             ON payment_channel = channel AND payment_date >= since
+        GROUP BY channel, payment_date, daily_target""",
     "fk_violations": " UNION ALL ".join(
         f"SELECT '{child}.{key}' AS relation, {child[:-1]}_id AS child_id, {key} AS parent_id "
         f"FROM raw_{child} WHERE {_astray(child, key, parent)}"

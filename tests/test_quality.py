@@ -53,3 +53,26 @@ def test_duplicates_and_overcollection(spark):
     big = raw.payments.withColumn("payment_amount", F.col("payment_amount") * 100)
     over = {r["loan_id"] for r in quality.overcollected_loans(raw.loans, big).collect()}
     assert over == {"L1"}
+
+
+def test_states_of_windows_add_up_to_the_report(spark):
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from loanlake.operators import check_states as S
+    raw = FixtureRaw(spark)
+    tables = [raw.customers, raw.loans, raw.installments, raw.payments]
+    # rows that repeat keys, lack them, or come in another window than their parent; a null parent key; no parents
+    doubled = [t.unionByName(t.limit(2)) for t in tables]
+    no_key = doubled[1].unionByName(raw.loans.limit(1).withColumn("loan_id", F.lit(None).cast("string")))
+    cases = [tables, doubled, [doubled[0], no_key, *doubled[2:]], [tables[0], tables[1].limit(0), *tables[2:]], [t.limit(0) for t in tables]]
+    for case in cases:
+        parts = []
+        for k in range(3):
+            parts.append(S.states_of(*[t.where(F.pmod(F.xxhash64(*t.columns), F.lit(3)) == k) for t in case]))
+        got = S.report(reduce(S.merged, parts)).orderBy("seq").collect()
+        want = [t.report() for t in quality.all_checks(*case)]
+        one_by_one = reduce(lambda a, b: a.unionByName(b), want).orderBy("seq").collect()
+        assert got == one_by_one and len(got) == 30
+        assert quality.quality_report(*case).orderBy("seq").collect() == one_by_one

@@ -63,3 +63,48 @@ def test_malformed_rows_are_kept_apart(spark, scratch):
     assert [r.payment_id for r in good.collect()] == ["P1"]
     rows = bad.collect()
     assert len(rows) == 1 and rows[0].raw_text.startswith("P2,") and rows[0].source_file.endswith("a.csv")
+
+
+def test_literal_rows_are_cast_or_refused(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    import pytest
+
+    from loanlake.sources.literals import literal_rows
+    schema = "id string, day date, amount decimal(18,2), n int, at timestamp_ntz, ok boolean"
+    rows = [("a", "2030-01-31", 5, "7", "2030-01-01 10:00:00", True), (None,) * 6, ("b", dt.date(2030, 2, 1), "5.25", 3, dt.datetime(2030, 1, 2, 3), "false")]
+    got = literal_rows(spark, rows, schema)
+    assert got.dtypes == [tuple(x.split(" ")) for x in schema.split(", ")]
+    assert [tuple(r) for r in got.collect()] == [
+        ("a", dt.date(2030, 1, 31), D("5.00"), 7, dt.datetime(2030, 1, 1, 10), True), (None,) * 6,
+        ("b", dt.date(2030, 2, 1), D("5.25"), 3, dt.datetime(2030, 1, 2, 3), False)]
+    assert literal_rows(spark, [], schema).collect() == []
+    for bad in (("a", "31/01/2030", 1, 1, None, None), ("a", None, "x", 1, None, None), ("a", None, 1, 1.5, None, "maybe")):
+        with pytest.raises(Exception):
+            literal_rows(spark, [bad], schema).collect()
+    with pytest.raises(ValueError):
+        literal_rows(spark, [("a",)], schema)
+    with pytest.raises(TypeError):
+        literal_rows(spark, [("a", [1], 1, 1, None, None)], schema)
+
+
+def test_a_failed_land_leaves_the_raw_tables(spark, scratch, monkeypatch):
+    import pytest
+
+    from conftest import SMALL
+    from loanlake.sources import sinks
+    from loanlake.sources.binding import RawTables
+    first = RawTables(spark, SMALL).land(scratch)
+    before = {n: getattr(first, n).count() for n in ("customers", "loans", "installments", "payments")}
+    write = sinks.Publication.write
+
+    def failing(self, df, name, *a, **k):
+        if name == "payments":
+            raise RuntimeError("lost")
+        return write(self, df.limit(1), name, *a, **k)
+
+    monkeypatch.setattr(sinks.Publication, "write", failing)
+    with pytest.raises(RuntimeError):
+        RawTables(spark, SMALL).land(scratch)
+    assert {n: getattr(first, n).count() for n in before} == before and before["loans"] > 1
