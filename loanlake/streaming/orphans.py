@@ -30,7 +30,9 @@ def settle_orphans(payments: DataFrame, installments: DataFrame, landed_at: str
     known = (installments.where(f"installment_id IS NOT NULL AND {landed_at} IS NOT NULL")
              .select(F.col("installment_id").alias("_id"), F.col(landed_at).cast("timestamp").alias("_landed"))
              .withWatermark("_landed", delay).dropDuplicatesWithinWatermark(["_id"]))
-    held = payments.where(waits).withColumn("_at", F.col("loaded_at").cast("timestamp")).withWatermark("_at", delay)
+    # the watermark is told by all payments, so the filter looks at it: Spark moves one that does not below it
+    timed = payments.withColumn("_at", F.col("loaded_at").cast("timestamp")).withWatermark("_at", delay)
+    held = timed.where(F.when(F.col("_at").isNull(), F.lit(False)).otherwise(F.col("installment_id").isNotNull()))
     met = held.join(known, F.expr(
         f"installment_id = _id AND _landed <= _at + INTERVAL {wait} AND _landed >= _at - INTERVAL {reach}"), "left_outer")
     settled = met.select(*columns, F.col("_id").isNull().alias("orphan_installment"))
