@@ -1,20 +1,26 @@
 """Line dedup by a log-template tree.
 
 A line's tokens are its words; tokens with a digit, ``://`` or ``@`` are variable fields (``<*>``). The tree
-has a fixed depth: number of tokens, then the first ``LEAD`` tokens. Inside a leaf, lines are one
-template if they agree, field by field, in at least 0.8 of their positions: lines of n tokens may
-differ in at most n // 5 positions, wherever these are, so that lines of fewer than five words have to be
-equal. Variable fields stand for each other only in lines whose tokens are constant to ``MIN_CONSTANT``
-or more; other lines, such as rows of numbers, recur by equality of their words as they are. What differs becomes a variable field too, and
-lines linked over others are one template. Templates that occur in two or more documents are dropped,
-but for their first occurrence (smallest id, then smallest row key, then smallest line number).
+has a fixed depth: number of tokens, then the first ``LEAD`` tokens. A leaf keeps templates. Each is founded by a
+line, and a line joins a template if it agrees with the founder, field by field, in at least 0.8 of its positions:
+lines of n tokens may differ in at most n // 5 positions, wherever these are, so that lines of fewer than five words
+have to be equal. Lines come in the order of their 64-bit names; one that joins no template of its leaf founds one,
+others join the one whose founder has the smallest name. So lines are compared with templates, not with one
+another, and none is further from its template than stated. Positions in which a line of the template differs from
+its founder are variable fields too (``templates`` lists them).
+
+Variable fields stand for each other only in lines whose tokens are constant to ``MIN_CONSTANT``
+or more; other lines, such as rows of numbers, recur by equality of their words as they are. Templates that occur in
+two or more documents are dropped, but for their first occurrence (smallest id, then smallest row key, then smallest
+line number).
 
 At scale: equal lines are one row before any comparison, and only lines that share their leaf with
-another one get a signature, a hash per token, from one row that holds them. The lines of a leaf meet by
-the leaf itself, in pairs of blocks, or, where a leaf has more blocks than n // 5 + 1, by that many
-groups of positions, of which one is free of differences. A task counts the differing positions and
-emits a spanning forest. A template's documents are counted by minimum and maximum, which combine
-before the shuffle.
+another one get a signature, a hash per token, from one row that holds them. A leaf of at most ``BLOCK`` distinct lines
+is one group of a task. Larger leaves take rounds: their lines meet by the leaf itself, in pairs of blocks, or, where
+a leaf has more blocks than n // 5 + 1, by that many groups of positions, of which one is free of differences. In
+a round each undecided line asks for founders and for undecided lines before it; it joins, waits or founds. As names
+are hashes, the rounds grow with the logarithm of the leaf. A template's documents are counted by minimum
+and maximum, which combine before the shuffle.
 """
 
 from __future__ import annotations
@@ -30,8 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlake.llm.common import (byte_column, components, group_bounds, shared_key_blocks, sorted_groups,
-                                 spanning_links, stored)
+from loanlake.llm.common import byte_column, group_bounds, shared_key_blocks, sorted_groups, stored
 from loanlake.llm.segtree_bpe import slices
 
 MIN_TOKENS = 1  # every line with a word; below five words lines are one template if equal
@@ -149,34 +154,118 @@ def same_template(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out <= n // 5
 
 
-def _verify(batches: Iterator[pa.RecordBatch]):
+def _by_length(t: pa.Table, start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, signatures) of a group: one pair, but for equal hashes of two leaves."""
+    sigs = t.column("sig").slice(start, end - start).to_pylist()
+    lengths = np.array([len(x) for x in sigs])
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        yield start + at, np.frombuffer(b"".join(sigs[i] for i in at), dtype=np.uint32).reshape(len(at), -1)
+
+
+def _pairs_out(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["line", "template"])
+
+
+def _found(batches: Iterator[pa.RecordBatch]):
+    """Whole leaves, lines in order -> (line, template)."""
+    for t in sorted_groups(batches, ["leaf"]):
+        bounds = group_bounds(t, ["leaf"])
+        line, out, of = t.column("line").to_numpy(), [], []
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            for rows, sig in _by_length(t, start, end):
+                near = same_template(sig, sig)
+                template = np.full(len(rows), -1)
+                for i in range(len(rows)):  # in the order of names
+                    if template[i] < 0:
+                        template[np.flatnonzero(near[i] & (template < 0))] = i
+                out += line[rows].tolist()
+                of += line[rows[template]].tolist()
+        if out:
+            yield _pairs_out(out, of)
+
+
+UNDECIDED, FOUNDER, MEMBER = 0, 1, 2
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]):
+    """(table, rows, signatures, sides) of each pair of blocks: a side is (rows that ask, rows that answer), by
+    their numbers among ``rows``."""
     for t in sorted_groups(batches, ["key", "lo", "hi"]):
         bounds = group_bounds(t, ["key", "lo", "hi"])
-        line, own, lo, hi = (t.column(c).to_numpy() for c in ("line", "own_block", "lo", "hi"))
-        a_out, b_out = [], []
-        for f, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if e - f < 2:
-                continue
-            sigs = t.column("sig").slice(f, e - f).to_pylist()
-            lengths = np.array([len(s) for s in sigs])
-            for length in set(lengths.tolist()):
-                at = np.flatnonzero(lengths == length)  # all, but for equal hashes of two leaves
-                sig = np.frombuffer(b"".join(sigs[i] for i in at), dtype=np.uint32).reshape(len(at), -1)
-                if lo[f] == hi[f]:
-                    left = right = np.arange(len(at))
+        own, lo, hi = (t.column(c).to_numpy() for c in ("own_block", "lo", "hi"))
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            for rows, sig in _by_length(t, start, end):
+                every = np.arange(len(rows))
+                if lo[start] == hi[start]:
+                    yield t, rows, sig, [(every, every)]
                 else:
-                    left, right = np.flatnonzero(own[f + at] == lo[f]), np.flatnonzero(own[f + at] == hi[f])
-                near = np.zeros((len(at), len(at)), dtype=bool)
-                if len(left) and len(right):
-                    near[np.ix_(left, right)] = same_template(sig[left], sig[right])
-                near |= near.T
-                np.fill_diagonal(near, False)
-                for i, j in spanning_links(near):
-                    a_out.append(line[f + at[i]])
-                    b_out.append(line[f + at[j]])
-        if a_out:
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())],
-                                             names=["a", "b"])
+                    left, right = every[own[rows] == lo[start]], every[own[rows] == hi[start]]
+                    yield t, rows, sig, [(left, right), (right, left)]
+
+
+def _vote(batches: Iterator[pa.RecordBatch]):
+    """Of each undecided line: is there a founder, is there an undecided line among those before it that it agrees
+    with?"""
+    for t, rows, sig, sides in _meetings(batches):
+        line, status = t.column("line").to_numpy()[rows], t.column("status").to_numpy()[rows]
+        out, founder, waiting = [], [], []
+        for ask, answer in sides:
+            ask, answer = ask[status[ask] == UNDECIDED], answer[status[answer] != MEMBER]
+            if len(ask) and len(answer):
+                near = same_template(sig[ask], sig[answer]) & (line[answer][None, :] < line[ask][:, None])
+                out.append(line[ask])
+                founder.append((near & (status[answer] == FOUNDER)).any(axis=1))
+                waiting.append((near & (status[answer] == UNDECIDED)).any(axis=1))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out, founder, waiting)],
+                                             names=["line", "founder", "waiting"])
+
+
+def _join_founders(batches: Iterator[pa.RecordBatch]):
+    """(line, template) of the members: the smallest founder before them in this pair of blocks."""
+    last = np.iinfo(np.int64).max
+    for t, rows, sig, sides in _meetings(batches):
+        line, status = t.column("line").to_numpy()[rows], t.column("status").to_numpy()[rows]
+        for ask, answer in sides:
+            ask, answer = ask[status[ask] == MEMBER], answer[status[answer] == FOUNDER]
+            if len(ask) and len(answer):
+                near = same_template(sig[ask], sig[answer]) & (line[answer][None, :] < line[ask][:, None])
+                least = np.where(near, line[answer][None, :], last).min(axis=1)
+                has = near.any(axis=1)
+                if has.any():
+                    yield _pairs_out(line[ask][has], least[has])
+
+
+def _in_rounds(signed: DataFrame, block: int) -> DataFrame:
+    """(line, template) of leaves that no task holds whole."""
+    keyed = signed.select("line", "leaf", "crowd", "sig").mapInArrow(
+        functools.partial(_meeting_keys, block=block), "line long, key long")
+    met = stored(shared_key_blocks(keyed, "line", block, drop_lonely=True), "template-meetings")
+    state = signed.select("line", "sig", F.lit(UNDECIDED).alias("status"))
+
+    def asked(rows: DataFrame, answer, schema: str) -> DataFrame:
+        return (met.join(rows, "line").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+                .mapInArrow(answer, schema))
+
+    while True:
+        votes = asked(state.where(F.col("status") != MEMBER), _vote, "line long, founder boolean, waiting boolean")
+        heard = votes.groupBy("line").agg(F.bool_or("founder").alias("founder"), F.bool_or("waiting").alias("waiting"))
+        status = (F.when(F.col("status") != UNDECIDED, F.col("status")).when(F.col("founder"), F.lit(MEMBER))
+                  .when(F.col("waiting"), F.lit(UNDECIDED)).otherwise(F.lit(FOUNDER)))
+        state = stored(state.join(heard, "line", "left").select("line", "sig", status.alias("status")), "template-state")
+        if state.where(F.col("status") == UNDECIDED).isEmpty():
+            break
+    joined = asked(state, _join_founders, "line long, template long").groupBy("line").agg(F.min("template").alias("template"))
+    return joined.union(state.where(F.col("status") == FOUNDER).select("line", F.col("line").alias("template")))
+
+
+def _template_of(signed: DataFrame, block: int) -> DataFrame:
+    """(line, template) of all lines with a signature."""
+    small = (signed.where(F.col("crowd") <= block).select("line", "leaf", "sig").repartition("leaf")
+             .sortWithinPartitions("leaf", "line").mapInArrow(_found, "line long, template long"))
+    large = signed.where(F.col("crowd") > block)
+    return small if large.isEmpty() else small.union(_in_rounds(large, block))
 
 
 def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_tokens: int = MIN_TOKENS,
@@ -196,16 +285,62 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return named.union(stored(nameless, "rows-without-id"))
 
 
-def _recurring(keyed: DataFrame, text: str, min_tokens: int, block: int) -> DataFrame:
-    rows = keyed.select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.col(f"`{text}`").alias("text"))
+def templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_tokens: int = MIN_TOKENS,
+              block: int = BLOCK) -> DataFrame:
+    """The kept templates of two or more different lines: ``template`` (the founder's name), ``n_lines`` (different
+    lines), ``pattern`` (the founder with ``<*>`` in every field that varies) and ``variable`` (their numbers)."""
+    _, named, signed = _named_lines(_keyed(docs, doc_id, text), text, min_tokens, block)
+    members = named.select("line", "template").join(signed.select("line", "sig"), "line")
+    founders = members.where("line = template").select("template", F.col("sig").alias("founder"))
+    varying = members.join(founders, "template").mapInArrow(_differences, "template long, position int").groupBy(
+        "template").agg(F.sort_array(F.collect_set("position")).alias("variable"))  # as many as the line has fields
+    kept = members.groupBy("template").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1").join(varying, "template")
+    first = kept.join(named.where("line = template").select("template", "at"), "template")
+    rows = _keyed(docs, doc_id, text).select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.col(f"`{text}`").alias("text"))
+    one = rows.join(first.select(F.col("at.id").alias("id"), F.col("at.row").alias("row")).distinct(), ["id", "row"], "left_semi")
+    shown = one.dropDuplicates(["id", "row"]).join(
+        first.select(F.col("at.id").alias("id"), F.col("at.row").alias("row"), F.col("at.pos").alias("pos"), "template", "n_lines", "variable"),
+        ["id", "row"])
+    return shown.select("template", "n_lines", "variable", "pos", "text").mapInArrow(
+        _patterns, "template long, n_lines long, variable array<int>, pattern string")
+
+
+def _differences(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        get = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        of, at = [], []
+        for template, sig, founder in zip(get["template"].to_pylist(), get["sig"].to_pylist(), get["founder"].to_pylist()):
+            where = np.flatnonzero(np.frombuffer(sig, np.uint32) != np.frombuffer(founder, np.uint32))
+            of += [template] * len(where)
+            at += where.tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(at, pa.int32())], names=["template", "position"])
+
+
+def _patterns(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        rows = batch.select(["template", "n_lines", "variable", "pos"]).to_pylist()
+        patterns = []
+        for row, text in zip(rows, byte_column(batch, "text")):
+            tokens = masked_tokens(text.split(b"\n")[row["pos"]])
+            for p in row["variable"]:
+                tokens[p] = FIELD
+            patterns.append(b" ".join(tokens).decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([*batch.select(["template", "n_lines", "variable"]).columns, pa.array(patterns)],
+                                         names=["template", "n_lines", "variable", "pattern"])
+
+
+def _document(at: str = ""):
+    own = F.when(F.col(f"{at}id") == NO_ID, F.col(f"{at}row")).otherwise(F.lit(0).cast("long"))
+    return F.struct(F.col(f"{at}id").alias("id"), own.alias("own"))
 
-    def document(at: str = ""):
-        own = F.when(F.col(f"{at}id") == NO_ID, F.col(f"{at}row")).otherwise(F.lit(0).cast("long"))
-        return F.struct(F.col(f"{at}id").alias("id"), own.alias("own"))
+
+def _named_lines(keyed: DataFrame, text: str, min_tokens: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All lines; each different line with its template, first occurrence and last document; the signatures."""
+    rows = keyed.select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.col(f"`{text}`").alias("text"))
 
     lines = stored(rows.mapInArrow(functools.partial(_lines, min_tokens=min_tokens),
                                    "id long, row long, pos int, line long, leaf long, n int"), "lines")
-    distinct = stored(lines.groupBy("line").agg(F.min(F.struct("id", "row", "pos")).alias("at"), F.max(document()).alias("last"),
+    distinct = stored(lines.groupBy("line").agg(F.min(F.struct("id", "row", "pos")).alias("at"), F.max(_document()).alias("last"),
                                                 F.min("leaf").alias("leaf"), F.min("n").alias("n")), "distinct-lines")
     # shorter lines differ in no position; rows of variable tokens have n = 0
     crowded = (distinct.where("n >= 5").groupBy("leaf").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"))
@@ -216,16 +351,16 @@ def _recurring(keyed: DataFrame, text: str, min_tokens: int, block: int) -> Data
     # equal rows give a line several times
     signed = stored(signed.groupBy("line").agg(F.min("leaf").alias("leaf"), F.min("crowd").alias("crowd"),
                                                F.min("sig").alias("sig")), "signatures")
-    keyed = signed.select("line", "leaf", "crowd", "sig").mapInArrow(
-        functools.partial(_meeting_keys, block=block), "line long, key long")
-    met = shared_key_blocks(keyed, "line", block, drop_lonely=True).join(signed.select("line", "sig"), "line")
-    links = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(
-        _verify, "a long, b long")
-    parts = components(links)
-    named = distinct.join(parts, F.col("line") == F.col("node"), "left").select(
-        "line", F.coalesce("root", "line").alias("template"), "at", "last")
+    parts = _template_of(signed, block)
+    named = distinct.join(parts, "line", "left").select(
+        "line", F.coalesce("template", "line").alias("template"), "at", "last")
+    return lines, named, signed
+
+
+def _recurring(keyed: DataFrame, text: str, min_tokens: int, block: int) -> DataFrame:
+    lines, named, _ = _named_lines(keyed, text, min_tokens, block)
     recurring = (named.groupBy("template").agg(F.min("at").alias("at"), F.max("last").alias("last"))
-                 .where(document("at.") < F.col("last")).select("template", "at"))
+                 .where(_document("at.") < F.col("last")).select("template", "at"))
     of_line = named.select("line", "template").join(recurring, "template").select("line", "at")
     return (lines.select("id", "row", "pos", "line").join(of_line, "line")
             .where(F.struct("id", "row", "pos") != F.col("at")).select("id", "row", "pos", "line"))

@@ -65,25 +65,25 @@ def test_probabilities_of_the_next_byte_sum_to_one():
 
 
 def template_brute(docs):
-    """First occurrences stay; (id, pos) of lines whose template is in several documents: lines of a leaf that
-    agree in at least 0.8 of their positions."""
-    lines = []
+    """First occurrences stay; (id, pos) of lines whose template is in several documents. The tree line by line: in
+    the order of names a line joins the first founder of its leaf that it agrees with in 0.8 of its positions."""
+    lines, different = [], {}
     for i, t in docs:
         for p, line in enumerate((t or "").encode().split(b"\n")):
-            tokens = L.masked_tokens(line)
+            tokens, template = L.fields(line)
             if len(tokens) >= L.MIN_TOKENS:
-                lines.append((L.NO_ID if i is None else i, p, tokens))
-
-    def same(a, b):
-        if len(a) != len(b) or a[:L.LEAD] != b[:L.LEAD]:
-            return False
-        return 5 * sum(x != y for x, y in zip(a, b)) <= len(a)
-
-    parts = brute.components(range(len(lines)), [(i, j) for i in range(len(lines)) for j in range(i)
-                                                 if same(lines[i][2], lines[j][2])])
+                lines.append((L.NO_ID if i is None else i, p, L.line_name(tokens)))
+                different[L.line_name(tokens)] = (tokens, template)
+    founders, joined = {}, {}
+    for name in sorted(different):
+        tokens, template = different[name]
+        leaf = founders.setdefault((len(tokens), *tokens[:L.LEAD]), []) if template else []
+        joined[name] = next((f for f, other in leaf if 5 * sum(x != y for x, y in zip(tokens, other)) <= len(tokens)), name)
+        if joined[name] == name:
+            leaf.append((name, tokens))
     groups = {}
-    for k, root in parts.items():
-        groups.setdefault(root, []).append(lines[k][:2])
+    for i, p, name in lines:
+        groups.setdefault(joined[name], []).append((i, p))
     return {at for g in groups.values() if len({i for i, _ in g}) > 1 for at in set(g) - {min(g)}}
 
 
@@ -133,6 +133,31 @@ def test_lines_agree_in_four_fifths_of_their_positions(spark, block):
     assert got == template_brute(docs)
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_no_line_is_further_from_its_template_than_stated(spark, block):
+    """A chain of lines, each one word from the next: compared with templates, not with one another."""
+    words = [f"w{chr(97 + k)}" for k in range(20)]
+    chain = []
+    for k in range(17):
+        line = list(words)
+        line[3:3 + k] = [f"x{chr(97 + i)}" for i in range(k)]
+        chain.append((k, " ".join(line)))
+    docs = chain + [(100, " ".join(words[:3] + ["one", "other", "end"])), (101, "user ann of the north logged in at 10:30"),
+                    (102, "user ann of the south logged in at 11:45"), (103, "nothing alike in this line at all here")]
+    df = spark.createDataFrame(docs, DOC)
+    got = {(r.id, r.pos) for r in L.recurring_lines(df, block=block).collect()}
+    assert got == template_brute(docs) and len(got) < 16  # single linkage would leave one line of the chain
+    kept = {r.template: r for r in L.templates(df, block=block).collect()}
+    named = {L.line_name(L.masked_tokens(t.encode())): t for _, t in docs}
+    assert {r.n_lines for r in kept.values()} and set(kept) <= set(named)
+    for r in kept.values():
+        founder = named[r.template].split()
+        want = L.masked_tokens(named[r.template].encode())
+        assert r.variable and all(r.pattern.split()[p] == "<*>" for p in r.variable)
+        assert all(x == y.decode() for p, (x, y) in enumerate(zip(r.pattern.split(), want)) if p not in r.variable) and len(founder) == len(want)
+    assert any("logged in at <*>" in r.pattern and r.pattern.startswith("user ann of the <*>") for r in kept.values())
+
+
 def test_short_lines_recur_by_equality(spark):
     docs = [(1, "All rights reserved.\nShare this article\n\nonly here"), (2, "Share this\nAll rights reserved.\n\n"),
             (3, "Share this story\nAll rights reserved.\nonce more\nonce more"), (4, "Page 4\nShare this article"), (5, "Page 5")]
