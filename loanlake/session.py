@@ -93,6 +93,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     # Only effective when this call starts the JVM (local runs); on a cluster these come from
     # spark-submit.
     builder = builder.config("spark.ui.enabled", "false")
+    # PySpark looks up the caller's line at each column call for its error messages, several calls to the JVM each;
+    # half of the time it takes to build a plan of some hundred expressions
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled",
+                             os.environ.get("LOANLAKE_DATAFRAME_DEBUGGING", "false"))
     builder = builder.config("spark.driver.memory", os.environ.get("LOANLAKE_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     try:
