@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -235,7 +236,25 @@ def _registry() -> dict[str, QueryFn]:
         return mart_plans.portfolio_mart(m.open_loans, delta.installment_rollup(state["inst"]),
                                          delta.payment_rollup(state["cash"], state["days"], m.installments), m.as_of)
 
+    def job_mart(s, d):
+        # the incremental job twice: the first delivery, then all; published tables are read back
+        raw, first = deliveries(s, d)
+        root = f"{ensure_checkpoint_dir(s).rstrip('/')}/job-mart-{uuid.uuid4().hex}"
+        for payments in (first, raw.payments):
+            given = SimpleNamespace(spark=s, customers=raw.customers, loans=raw.loans, installments=raw.installments,
+                                    payments=payments)
+            jobs.run_incremental(s, None, root, raw=given)
+        return sinks.read_table(s, root, "portfolio_mart").drop("refreshed_at").select(*mart_plans.MART_COLUMNS)
+
+    def export_readback(s, d):
+        out = f"{ensure_checkpoint_dir(s).rstrip('/')}/export-{uuid.uuid4().hex}"
+        data = V.bi_dataset(_m(s, d).mart)
+        sinks.export_csv(data, out)
+        # the null marker is one that does not occur, so that a quoted empty text stays one
+        return s.read.option("header", True).option("nullValue", "\\N").schema(data.schema).csv(out)
+
     r["late_versions"], r["scoped_merge"], r["mart_by_delta"] = late_versions, scoped_merge, mart_by_delta
+    r["incremental_job_mart"], r["export_readback"] = job_mart, export_readback
 
     def doubles(s, d):
         # staged payments and a gateway's retries: every 20th again, hours later, for the next installment

@@ -53,8 +53,8 @@ _VALUES = [
     ("aging", """SELECT * FROM (VALUES (1, 30, 1, '1-30 dias'), (31, 60, 2, '31-60 dias'),
         (61, 90, 3, '61-90 dias'), (91, 2147483647, 4, '+90 dias')) v(first_day, last_day, place, label)"""),
     ("standing", """SELECT * FROM (VALUES ('LATE', TRUE), ('PARTIAL', TRUE), ('DUE', FALSE)) v(status, at_once)"""),
-    ("health", """SELECT * FROM (VALUES (-1e18, 0, 'Bajo riesgo'), (0, 0.005, 'Sana'), (0.005, 5, 'Bajo riesgo'),
-        (5, 15, 'Riesgo moderado'), (15, 30, 'Riesgo alto'), (30, 1e18, 'Deterioro severo')) v(lo, hi, label)"""),
+    ("health", """SELECT * FROM (VALUES ('-infinity'::DOUBLE, 5, 'Bajo riesgo'), (5, 15, 'Riesgo moderado'),
+        (15, 30, 'Riesgo alto')) v(lo, hi, label)"""),
 ]
 
 # The four raw tables from the driver's tables; the same binding as loanlake/sources/binding.py.
@@ -270,11 +270,12 @@ _VIEWS = [
 RELATIONS = [*_VALUES, *_RAW, *_STAGED, *_MART, *_VIEWS]
 
 
-def chain(as_of: str = AS_OF, suffix: str = "") -> str:
-    """All relations as a WITH list at one cut-off."""
+def chain(as_of: str = AS_OF, suffix: str = "", instead: dict[str, str] | None = None) -> str:
+    """All relations as a WITH list at one cut-off, some with another text ``instead``."""
     names = {name: name + suffix for name, _ in RELATIONS}
-    return ",\n".join(f"{names[name]} AS ({sql.replace('@today', as_of).format(**names).strip()})"
-                      for name, sql in RELATIONS)
+    texts = {**dict(RELATIONS), **(instead or {})}
+    return ",\n".join(f"{names[name]} AS ({texts[name].replace('@today', as_of).format(**names).strip()})"
+                      for name, _ in RELATIONS)
 
 
 def _rejected(table: str) -> str:
@@ -313,7 +314,8 @@ _FINAL: dict[str, str] = {
         WINDOW week AS (ORDER BY collection_date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)
         ORDER BY collection_date DESC""",
     "q3_cohort_health": """
-        SELECT c.* RENAME (cohort_month AS cohort), COALESCE(h.label, 'Deterioro severo') AS cohort_class
+        SELECT c.* RENAME (cohort_month AS cohort),
+               CASE WHEN c.arrears_pct = 0 THEN 'Sana' ELSE COALESCE(h.label, 'Deterioro severo') END AS cohort_class
         FROM cohort_portfolio c LEFT JOIN health h ON c.arrears_pct >= h.lo AND c.arrears_pct < h.hi
         ORDER BY cohort""",
     "q4_top_delinquent": f"""
@@ -462,6 +464,7 @@ _FINAL.update({
         FROM (FROM judged_payments WHERE NOT list_contains(broken, 'missing_id') {_NEWEST})
         WHERE len(broken) = 0""",
     "mart_by_delta": "FROM mart",
+    "export_readback": "FROM bi_dataset",
     # sessions of equal loan and amount: a new one where the gap to the payment before exceeds a day
     "payment_doubles": f"""
         SELECT loan_id, payment_amount, MIN(loaded_at) AS first_at, MAX(loaded_at) AS last_at, COUNT(*) AS n_payments,
@@ -541,4 +544,7 @@ def oracle_queries() -> dict[str, str]:
     out["loan_status_history"] = (
         f"WITH {chain()},\n{chain(PREV_AS_OF, '_before')}\nSELECT loan_id, s.loan_status AS loan_status, "
         f"s.aging_bucket AS aging_bucket, s.in_arrears AS in_arrears, valid_from, valid_to FROM ({_HISTORY})")
+    # the jobs stage the newest version of a payment
+    newest = _FINAL["scoped_merge"].replace("judged_payments", "{judged_payments}")
+    out["incremental_job_mart"] = f"WITH {chain(instead={'stg_payments': newest})}\nFROM mart"
     return out
