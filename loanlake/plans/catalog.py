@@ -21,7 +21,7 @@ from loanlake.operators.history import history_series, initial_history, scd2_app
 from loanlake.operators.rollups import payment_rollup
 from loanlake.operators.upsert import append_new, dedup_latest, upsert
 from loanlake.plans import mart as mart_plans
-from loanlake.plans import alerts, jobs
+from loanlake.plans import alerts, colocated, jobs
 from loanlake.plans import questions as Q
 from loanlake.plans import views as V
 from loanlake.plans.model import LendingModel
@@ -41,6 +41,7 @@ HISTORY_PREVIOUS_AS_OF = dt.date(1998, 6, 1)
 HISTORY_TRACKED = ["loan_status", "aging_bucket", "in_arrears"]
 
 HISTORY_SERIES = [dt.date(1997 + (7 + i) // 12, (7 + i) % 12 + 1, 1) for i in range(12)]
+CITIES = ["NATION_3", "NATION_17"]
 DOUBLES_WITHIN = dt.timedelta(hours=24)
 
 # Master names of payment channels (parameter of the registered query).
@@ -253,6 +254,21 @@ def _registry() -> dict[str, QueryFn]:
         # the null marker is one that does not occur, so that a quoted empty text stays one
         return s.read.option("header", True).option("nullValue", "\\N").schema(data.schema).csv(out)
 
+    def laid_out(s, d):
+        # staged tables and mart, published, then the layout job
+        root = f"{ensure_checkpoint_dir(s).rstrip('/')}/layout-{uuid.uuid4().hex}"
+        m, p = _m(s, d), sinks.Publication(s, root)
+        for n in jobs.STAGED:
+            p.write(getattr(m, n), f"stg_{n}", audit_col="staged_at")
+        p.write(m.mart, "portfolio_mart")
+        p.commit()
+        jobs.run_layout(s, root, m.as_of)
+        return root
+
+    r["colocated_mart"] = lambda s, d: colocated.Colocated(s, laid_out(s, d)).mart()
+    r["mart_of_cities"] = lambda s, d: colocated.rows_with(
+        sinks.Publication(s, laid_out(s, d)), "mart_by_place", "city", CITIES)
+
     r["late_versions"], r["scoped_merge"], r["mart_by_delta"] = late_versions, scoped_merge, mart_by_delta
     r["incremental_job_mart"], r["export_readback"] = job_mart, export_readback
 

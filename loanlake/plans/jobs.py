@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlake.operators import delta, quality, staging
+from loanlake.plans import colocated
 from loanlake.plans import mart as mart_plans
 from loanlake.plans import questions as Q
 from loanlake.plans import views as V
@@ -157,6 +158,21 @@ def write_mart(p: sinks.Publication, mart: DataFrame, history: bool = True) -> D
     return p.read("portfolio_mart").drop("refreshed_at")
 
 
+def run_layout(spark: SparkSession, out_root: str, as_of: dt.date = DEFAULT_AS_OF, **sizes: int) -> dict:
+    """Lay out the published staged tables by loan and the published mart along a curve of city and segment, under one
+    commit (``plans/colocated.py``, which names the ``sizes``). The layout is that of this run: later runs of the other
+    jobs do not change it."""
+    p = sinks.Publication(spark, out_root)
+    m = MaterializedModel({n: _staged(p, n) for n in STAGED}, as_of)
+    colocated.colocate(p, m.open_loans, m.installments, m.payments, as_of,
+                       **{k: v for k, v in sizes.items() if k in ("hot_rows", "bucket_rows")})
+    mart = p.read("portfolio_mart").select(*mart_plans.MART_COLUMNS)
+    colocated.write_along_curve(p, mart, "mart_by_place", ["city", "segment"],
+                                **{k: v for k, v in sizes.items() if k == "segment_rows"})
+    p.commit()
+    return {"segments": len(p.entries("mart_by_place"))}
+
+
 def kpis(mart: DataFrame) -> dict:
     return Q.portfolio_kpis(mart).first().asDict()
 
@@ -366,7 +382,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from loanlake.session import ensure_checkpoint_dir, get_session
     p = argparse.ArgumentParser(prog="loanlake")
-    p.add_argument("mode", choices=["full", "validate", "incremental", "export"])
+    p.add_argument("mode", choices=["full", "validate", "incremental", "layout", "export"])
     p.add_argument("--source", required=True,
                    help="driver parquet tables (--source-kind driver) or raw tables root (tables)")
     p.add_argument("--source-kind", choices=["driver", "tables"], default="driver")
@@ -388,6 +404,8 @@ def main(argv: list[str] | None = None) -> int:
         print(sum(1 for r in rows if r["passed"]), "of", len(rows), "checks passed")
     elif a.mode == "incremental":
         print(run_incremental(spark, a.source, a.out, as_of, raw=raw))
+    elif a.mode == "layout":
+        print(run_layout(spark, a.out, as_of))
     else:
         run_export(spark, a.out, a.csv or f"{a.out}/bi_dataset_csv", as_of)
     if a.vacuum:

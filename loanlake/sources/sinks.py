@@ -14,6 +14,7 @@ unreadable log can never be mistaken for an empty store.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import os
 import uuid
@@ -53,6 +54,11 @@ def _is_manifest(path: str) -> bool:
     return path.rstrip("/").rsplit("/", 1)[-1].startswith("m=")
 
 
+def _catalog_name(path: str) -> str:
+    """Name of a bucketed version in the session's catalog: versions are never written twice."""
+    return "loanlake_" + hashlib.md5(path.encode()).hexdigest()
+
+
 def _row_schema(manifest: list) -> T.StructType:
     return T.StructType.fromJson(json.loads(next(e["row_schema"] for e in manifest if e["segment"] is None)))
 
@@ -100,6 +106,26 @@ class Publication:
         self.tables[name] = path
         return path
 
+    def write_bucketed(self, df: DataFrame, name: str, key: str, buckets: int) -> None:
+        """Write ``df`` as a new version of ``name`` in ``buckets`` buckets of ``key``, a sorted file for each, for
+        ``read_bucketed``. A bucket is one task's work, so hot keys have to be kept out of it."""
+        path = f"{self.root}/{name}/v={_version_id()}"
+        (df.repartition(buckets, key).write.format("parquet").mode("errorifexists").option("path", path)
+         .bucketBy(buckets, key).sortBy(key).saveAsTable(_catalog_name(path)))
+        self.tables[name] = path
+
+    def read_bucketed(self, name: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+        """A bucketed version, with its buckets known to Spark: the session's catalog gets an entry for its files
+        where it has none."""
+        path = self.path(name)
+        table = _catalog_name(path)
+        if not self.spark.catalog.tableExists(table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            place = path.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                           f"INTO {buckets} BUCKETS LOCATION '{place}'")
+        return self.spark.table(table)
+
     def write_segments(self, df: DataFrame, name: str, segment: Column, keys: list[str] | None = None,
                        audit_col: str | None = None, replace: set[str] | None = None,
                        without: list[str] | None = None) -> set[str]:

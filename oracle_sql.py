@@ -464,6 +464,8 @@ _FINAL.update({
         FROM (FROM judged_payments WHERE NOT list_contains(broken, 'missing_id') {_NEWEST})
         WHERE len(broken) = 0""",
     "mart_by_delta": "FROM mart",
+    "colocated_mart": "FROM mart",
+    "mart_of_cities": "FROM mart WHERE city IN ('NATION_3', 'NATION_17')",
     "export_readback": "FROM bi_dataset",
     # sessions of equal loan and amount: a new one where the gap to the payment before exceeds a day
     "payment_doubles": f"""
