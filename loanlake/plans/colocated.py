@@ -136,7 +136,7 @@ def curve_cell(df: DataFrame, columns: list[str], bits: int = CURVE_BITS) -> Col
     found = df.agg(*[F.approx_percentile(n, cuts, 10_000) for n in numbers]).first()
     cell = F.lit(0)
     for j, (column, number, quantiles) in enumerate(zip(columns, numbers, found)):
-        bounds = F.array(*[F.lit(b).cast("long") for b in sorted(set(quantiles or []))]).cast("array<bigint>")
+        bounds = F.array(*[F.lit(b).cast("long") for b in quantiles or []]).cast("array<bigint>")
         position = F.when(_text(column).isNull(), F.lit(0)).otherwise(F.size(F.filter(bounds, _up_to(number))))
         for i in range(bits):
             bit = F.shiftright(position, i).bitwiseAND(F.lit(1))
