@@ -225,3 +225,56 @@ def test_ftrl_step_follows_the_rule():
         z, n = z + g - s * w, n + g * g
         model.learn(np.array([7]), np.array([1.0]), y)
         assert math.isclose(model.z[7], z) and math.isclose(model.n[7], n)
+
+
+def plain_sigmoid(x):
+    return 1 / (1 + math.exp(-max(-35.0, min(35.0, x))))
+
+
+def plain_ftrl(train, s):
+    """FTRL-proximal one coordinate at a time, over dictionaries; ``train`` has (features, label) in order."""
+    z, n = {}, {}
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= s.l1:
+            return 0.0
+        return -(z[k] - math.copysign(s.l1, z[k])) / ((s.beta + math.sqrt(n[k])) / s.alpha + s.l2)
+
+    for _ in range(s.epochs):
+        for found, label in train:
+            w = {k: weight(k) for k in found}
+            p = plain_sigmoid(sum(w[k] * v for k, v in found.items()))
+            for k, v in found.items():
+                g, before = (p - label) * v, n.get(k, 0.0)
+                z[k] = z.get(k, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / s.alpha * w[k]
+                n[k] = before + g * g
+    return weight
+
+
+def plain_features(text):
+    """Buckets of words, pairs and skip-grams and their values, a bucket by its first kind."""
+    raw = (text or "").encode()
+    words = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 127 and b > 32 and not chr(b).isalnum() else b for b in raw).split()
+    h = [ftrl.xxhash.xxh64_intdigest(w) for w in words]
+    out = {0: 1.0}
+    for hashed in h:
+        out.setdefault(hashed >> 44, 1.0)
+    for (gap, c), value in zip(ftrl._GAPS, (0.5, 0.3, 0.3)):
+        for a, b in zip(h, h[gap:]):
+            out.setdefault((a * c + b * (c ^ 0xA5A5A5A4)) % 2 ** 64 >> 44, value)
+    return out
+
+
+def test_scores_equal_a_plain_retraining(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").where(ftrl.remainder("doc_id", 5) != 0)
+    settings = ftrl.Settings(l1=0.5, epochs=3)  # more weights than by default
+    got = {r.doc_id: r.score for r in ftrl.score(docs, ftrl.fit(docs, labels, settings=settings), keep=["doc_id"]).collect()}
+    found = {r.doc_id: plain_features(r.text) for r in docs.collect()}
+    order = labels.where("toxic IS NOT NULL").selectExpr("xxhash64(doc_id) AS turn", "doc_id", "toxic").distinct().collect()
+    train = [(found[r.doc_id], r.toxic) for r in sorted(order) if r.doc_id in found]
+    assert len(train) > 50 and {y for _, y in train} == {0, 1}
+    weight = plain_ftrl(train, settings)
+    assert sum(weight(k) != 0 for k in {k for f, _ in train for k in f}) > 100
+    for i, f in found.items():
+        assert got[i] == pytest.approx(plain_sigmoid(sum(weight(k) * v for k, v in f.items())), rel=1e-6, abs=1e-9)
