@@ -74,7 +74,9 @@ def history_series(open_loans: DataFrame, stg_installments: DataFrame, cutoffs:
         before = F.get("_s", i - 1)
         return (i == 0) | (s["aging_bucket"] != before["aging_bucket"]) | (s["in_arrears"] != before["in_arrears"])
 
+    # outer: the first version is always there, and Spark puts no filter of its own ahead of the projections, which
+    # would work out the states of all cut-offs anew for each element
     changed = states.withColumn("_s", F.filter("_s", begins))
-    return changed.select("loan_id", "loan_status", "_s", F.posexplode("_s").alias("_i", "_v")).select(
+    return changed.select("loan_id", "loan_status", "_s", F.posexplode_outer("_s").alias("_i", "_v")).select(
         "loan_id", "loan_status", "_v.aging_bucket", "_v.in_arrears", "_v.valid_from",
         F.get("_s", F.col("_i") + 1)["valid_from"].alias("valid_to"))
