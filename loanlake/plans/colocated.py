@@ -37,6 +37,7 @@ LAYOUT_SCHEMA = "name string, buckets int, n_apart long, as_of date, row_schema
 HOT_ROWS = 1_000_000      # rows of one loan in one table
 BUCKET_ROWS = 4_000_000   # mean rows of a bucket of the largest table
 CURVE_BITS = 6            # positions per column: 2^6, so two columns have 4,096 cells
+COUNT_CELLS = 65_536      # hashes of loans by which rows are counted first
 CURVE_ROWS = 4_000_000    # rows of a segment
 
 
@@ -58,16 +59,28 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
         X.money(X.sum_when(F.col("to_arrears"), F.col("payment_amount"))).alias("collected_arrears"))
 
 
+def _sizes(frames: dict[str, DataFrame], hot_rows: int) -> tuple[int, DataFrame]:
+    """Rows of the largest table, and the loans with more than ``hot_rows`` rows in one. Rows are first counted by a
+    hash of their loan, which leaves little to shuffle; loans are counted only where a hash has so many rows."""
+    cell = F.pmod(F.xxhash64(KEY), F.lit(COUNT_CELLS)).cast("int")
+    cells = segments.union(df.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("n")).withColumn("t", F.lit(t))
+                           for t, df in frames.items()).checkpoint()
+    total = cells.groupBy("t").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    full = F.broadcast(cells.where(F.col("n") > hot_rows).select("_cell").distinct())  # at most COUNT_CELLS
+    counts = segments.union(
+        df.where(F.col(KEY).isNotNull()).select(KEY, cell.alias("_cell")).join(full, "_cell", "left_semi")
+        .groupBy(KEY).agg(F.count(F.lit(1)).alias("n")) for df in frames.values())
+    return total, counts.where(F.col("n") > hot_rows).select(KEY).distinct().checkpoint()
+
+
 def colocate(p: sinks.Publication, open_loans: DataFrame, installments: DataFrame, payments: DataFrame,
              as_of: dt.date = DEFAULT_AS_OF, hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS) -> None:
     """Write the layout as versions of ``p``; it counts once ``p`` is committed. ``payments`` are staged ones.
     Empty tables give empty buckets."""
     frames = dict(zip(TABLES, (open_loans, installments, payments_with_arrears(payments, installments).checkpoint())))
-    counts = segments.union(df.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).withColumn("t", F.lit(t))
-                            for t, df in frames.items()).checkpoint()
-    total = counts.groupBy("t").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    total, hot = _sizes(frames, hot_rows)
     buckets = max(1, -(-total // bucket_rows))
-    hot = counts.where((F.col("n") > hot_rows) & F.col(KEY).isNotNull()).select(KEY).distinct().checkpoint()
+    hot = F.broadcast(hot)  # at most rows / hot_rows: no table is shuffled to set them apart
     about = []
     for t, df in frames.items():
         named = df.where(F.col(KEY).isNotNull())

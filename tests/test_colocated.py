@@ -118,3 +118,25 @@ def test_cells_follow_the_order_of_both_columns(spark):
         assert [p for _, p in by] == sorted(p for _, p in by)  # monotone in its column
         assert len({p for _, p in by}) >= 6
     assert part(cell[(-1, 0)], 0) == 0 and part(cell[(0, -1)], 1) == 0
+
+
+def test_loans_apart_cost_no_shuffle(spark, tmp_path, monkeypatch):
+    rows = [("A", i) for i in range(9)] + [("B", i) for i in range(4)] + [(None, i) for i in range(9)]
+    units = spark.createDataFrame(rows, "loan_id string, n int")
+    total, hot = colocated._sizes({"open_loans": units.limit(0), "installments": units, "payments": units.limit(3)}, 5)
+    assert total == len(rows) and [r[0] for r in hot.collect()] == ["A"]
+    plans, write = [], sinks.Publication.write_bucketed
+
+    def recorded(self, df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(self, df, *args)
+    monkeypatch.setattr(sinks.Publication, "write_bucketed", recorded)
+    for name in THRESHOLDS:
+        monkeypatch.setenv(name, spark.conf.get(name))
+        spark.conf.set(name, "-1")
+    try:
+        publish(spark, str(tmp_path), hot_rows=12, bucket_rows=500)
+    finally:
+        for name in THRESHOLDS:
+            spark.conf.set(name, os.environ[name])
+    assert all(re.search("BroadcastHashJoin.*LeftAnti", p) for p in plans) and len(plans) == 3
