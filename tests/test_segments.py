@@ -64,3 +64,11 @@ def test_replaced_segments_leave_the_others_as_they_are(spark, scratch):
     assert sinks.read_table(spark, scratch, "t").columns == ["id", "ref", "month", "v"]
     assert sinks.read_table(spark, scratch, "t").count() == 0 and p.holding("t", spark.createDataFrame([("id", "k1")], "key string, value string")) == set()
     assert sinks.vacuum(spark, scratch, keep=1) > 0
+
+
+def test_filters_are_built_without_a_join_by_segment(spark):
+    rows = spark.createDataFrame([(str(i), "s202401") for i in range(50)], f"payment_id string, {segments.SEGMENT} string")
+    filters = segments._filters(rows, ["payment_id"], {"s202401": 10})
+    plan = filters._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {r["segment"] for r in filters.collect()} == {"s202401"} and filters.count() <= 10
