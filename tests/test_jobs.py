@@ -131,3 +131,13 @@ def test_mart_files_follow_months(spark, scratch):
     path = sinks.current_path(spark, scratch, "portfolio_mart")
     months = glob.glob(f"{path}/cohort_month=*")
     assert len(glob.glob(f"{path}/cohort_month=*/part-*")) <= len(months) + 8
+
+
+def test_job_mart_lands_the_installments_once(spark, monkeypatch):
+    from loanlake.plans import catalog
+    plans = []
+    monkeypatch.setattr(jobs, "run_incremental", lambda s, d, root, raw: plans.append(
+        raw.installments._jdf.queryExecution().executedPlan().toString()))
+    with pytest.raises(FileNotFoundError):  # the job that publishes is left out
+        catalog.QUERIES["incremental_job_mart"](spark, SMALL)
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
