@@ -103,3 +103,11 @@ def scanned(plan):
             todo += [node.children().apply(i) for i in range(node.children().size())]
             todo += [node.subqueries().apply(i) for i in range(node.subqueries().size())]
     return found
+
+
+@pytest.mark.parametrize("name,tables", [("quality_by_window", ["lineitem"])])
+def test_tables_of_many_uses_are_landed_once(spark, name, tables):
+    # the query's own plan reads stored installments (and staged payments): nothing groups the lines again
+    text = plan_text(QUERIES[name](spark, SMALL))
+    assert "landed-" in text
+    assert not any(f"{t}.parquet" in text for t in tables)

@@ -76,3 +76,21 @@ def test_states_of_windows_add_up_to_the_report(spark):
         one_by_one = reduce(lambda a, b: a.unionByName(b), want).orderBy("seq").collect()
         assert got == one_by_one and len(got) == 30
         assert quality.quality_report(*case).orderBy("seq").collect() == one_by_one
+
+
+def test_states_are_grouped_once_for_all_windows(spark):
+    from functools import reduce
+
+    from loanlake.operators import check_states as S
+    raw = FixtureRaw(spark)
+    parts = [S.states_of(raw.customers, raw.loans, raw.installments, raw.payments) for _ in range(3)]
+    all_windows = reduce(S.merged, parts)
+    for name in ("customer_id", "loan_id", "installment_id", "payment_id", "same_day", "amounts", "cash"):
+        assert "Aggregate" not in all_windows[name]._jdf.queryExecution().optimizedPlan().toString()
+    kept = S.summed(all_windows)
+    for name, key in S.KEYS.items():
+        assert kept[name].count() == kept[name].select(*key).distinct().count()
+        assert sorted(kept[name].columns) == sorted(parts[0][name].columns)
+    n_loans = {r["_key"]: r["loans"] for r in kept["loan_id"].collect()}
+    assert n_loans["L1"] == 3
+    assert S.report(kept).orderBy("seq").collect() == S.report(all_windows).orderBy("seq").collect()
