@@ -105,7 +105,7 @@ def scanned(plan):
     return found
 
 
-@pytest.mark.parametrize("name,tables", [("quality_by_window", ["lineitem"])])
+@pytest.mark.parametrize("name,tables", [("quality_by_window", ["lineitem"]), ("mart_by_delta", ["lineitem", "events"])])
 def test_tables_of_many_uses_are_landed_once(spark, name, tables):
     # the query's own plan reads stored installments (and staged payments): nothing groups the lines again
     text = plan_text(QUERIES[name](spark, SMALL))
