@@ -111,3 +111,23 @@ def test_tables_of_many_uses_are_landed_once(spark, name, tables):
     text = plan_text(QUERIES[name](spark, SMALL))
     assert "landed-" in text
     assert not any(f"{t}.parquet" in text for t in tables)
+
+
+def test_not_in_join_is_not_merged_into_few_tasks(spark):
+    # small partitions of the join stay apart: merged by compressed bytes, a task would grow with the input
+    from loanlake.operators.existence import not_in_rows, with_not_in_flag
+    from pyspark.sql import functions as F
+    child = spark.range(400).select(F.col("id").cast("string").alias("c"), F.col("id").alias("v"))
+    parent = spark.range(0, 400, 2).select(F.col("id").cast("string").alias("p"))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        flagged = with_not_in_flag(child, F.col("c"), parent, "p", "out").withColumn("task", F.spark_partition_id()).collect()
+        rows = not_in_rows(child, "c", parent, "p").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert {r["v"] for r in flagged if r["out"]} == {r["v"] for r in rows} == set(range(1, 400, 2))
+    for found in (flagged, rows):
+        assert len({r["task"] for r in found}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
